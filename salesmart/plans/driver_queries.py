@@ -793,7 +793,7 @@ def stream_fact_sales(spark, sf):
 @query
 def run_datamart(spark, sf):
     summary = pipelines.run_datamart(
-        t.staging_sales(spark, sf), scratch_path(spark, "datamart"), categories=t.CATEGORIES, strict=False
+        t.staging_sales(spark, sf), scratch_path(spark, "datamart"), categories=t.CATEGORIES, strict=False, partition_unit="month"
     )
     return summary.drop("generated_at")
 
@@ -801,7 +801,8 @@ def run_datamart(spark, sf):
 @query
 def run_star_schema(spark, sf):
     report = pipelines.run_star_schema(
-        t.customers_raw(spark, sf), t.products_raw(spark, sf), t.transactions_raw(spark, sf), scratch_path(spark, "star")
+        t.customers_raw(spark, sf), t.products_raw(spark, sf), t.transactions_raw(spark, sf), scratch_path(spark, "star"),
+        partition_unit="month",
     )
     return report.drop("report_generated_at")
 

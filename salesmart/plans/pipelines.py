@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.functions.dates import calendar, date_series_of
+from salesmart.functions.dates import calendar, date_series_of, month_start
 from salesmart.operators import quality, star
 from salesmart.operators.incremental import merge_daily_summary
-from salesmart.operators.transform import Day, daily_summary, on_days, order_day_summary, transform_positive, transform_sales
+from salesmart.operators.transform import (
+    PIVOT_CATEGORIES, daily_summary, on_days, order_day_summary, transform_positive, transform_sales,
+)
 from salesmart.plans.reports import daily_sales_report
 from salesmart.sources.files import dated_path, read_staging_csv, require_filled
 from salesmart.sources.schemas import ORDER_LINES_RAW, required_columns
-from salesmart.sources.tables import export_table, overwrite_partitions, replace_from_itself, table_exists, write_truncate
+from salesmart.sources.tables import (
+    export_table, overwrite_partitions, reload_days, replace_from_itself, table_exists, write_truncate,
+)
+
+Bound = date | str | None
+MONTH = "partition_month"
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
@@ -27,28 +34,44 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callabl
     return spark.read.parquet(path)
 
 
+def store(rows: DataFrame, path: str, day: str, first: Bound, last: Bound, cluster_by: list[str], partition_unit: str) -> DataFrame:
+    """Reload ``first``..``last`` (or everything) and return that range of the stored table.
+
+    ``partition_unit`` is ``day``, or ``month`` for tables with few rows per day. Whole partitions
+    are replaced, so a table in months can only be loaded as a whole.
+    """
+    spark = rows.sparkSession
+    if partition_unit == "day":
+        if first is None and last is None:
+            write_truncate(rows, path, [day], cluster_by)
+        else:
+            reload_days(rows, path, day, first, first if last is None else last, cluster_by)
+    elif first is None and last is None:
+        write_truncate(rows.withColumn(MONTH, month_start(F.col(day))), path, [MONTH], [day, *cluster_by])
+    else:
+        raise ValueError("a table partitioned by month cannot reload single days")
+    return on_days(spark.read.schema(rows.schema).parquet(path), day, first, last)
+
+
 def run_datamart(
-    staging: DataFrame, root: str, first: Day | None = None, last: Day | None = None, *,
-    run_ts: datetime | None = None, categories: tuple[str, ...] | None = None, strict: bool = True,
+    staging: DataFrame, root: str, first: Bound = None, last: Bound = None, *, run_ts: datetime | None = None,
+    categories: tuple[str, ...] = PIVOT_CATEGORIES, strict: bool = True, partition_unit: str = "day",
 ) -> DataFrame:
     """Staging to clean lines to daily summary to quality gate; returns the summary table."""
-    spark = staging.sparkSession
-    clean_path, summary_path = f"{root}/sales_cleaned", f"{root}/daily_sales_summary"
     clean = transform_sales(staging, first, last, run_ts)
-    overwrite_partitions(clean, clean_path, ["order_date"], ["category", "customer_id"])
-
-    loaded = on_days(spark.read.schema(clean.schema).parquet(clean_path), "order_date", first, last)
-    options = {} if categories is None else {"categories": categories}
-    summary = daily_summary(loaded, run_ts=run_ts, **options)
-    result = merge_into(spark, summary_path, summary, lambda t, s: merge_daily_summary(t, s, "report_date"))
+    loaded = store(clean, f"{root}/sales_cleaned", "order_date", first, last, ["category", "customer_id"], partition_unit)
+    summary = daily_summary(loaded, categories, run_ts)
+    result = merge_into(
+        staging.sparkSession, f"{root}/daily_sales_summary", summary, lambda t, s: merge_daily_summary(t, s, "report_date")
+    )
     if strict:
         quality.enforce_quality(loaded)
     return result
 
 
 def run_star_schema(
-    customers: DataFrame, products: DataFrame, transactions: DataFrame, root: str, first: Day | None = None,
-    last: Day | None = None, *, run_ts: datetime | None = None, days: DataFrame | None = None,
+    customers: DataFrame, products: DataFrame, transactions: DataFrame, root: str, first: Bound = None,
+    last: Bound = None, *, run_ts: datetime | None = None, days: DataFrame | None = None, partition_unit: str = "day",
 ) -> DataFrame:
     """Dimensions, fact, fact gate and daily report; returns the report table.
 
@@ -59,9 +82,8 @@ def run_star_schema(
     merge_into(spark, f"{root}/dim_product", star.dim_product(products, run_ts), star.scd1_product)
 
     fact = star.fact_sales(transactions, first, last)
-    fact_path = f"{root}/fact_sales"
-    overwrite_partitions(fact, fact_path, ["transaction_date"], ["customer_key", "product_key"])
-    loaded = on_days(spark.read.schema(fact.schema).parquet(fact_path), "transaction_date", first, last)
+    keys = ["customer_key", "product_key"]
+    loaded = store(fact, f"{root}/fact_sales", "transaction_date", first, last, keys, partition_unit)
     quality.require_pass(quality.validate_fact_count(loaded), "validation", quality.VALIDATION_PASSED)
 
     if days is None:

@@ -94,6 +94,19 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     (_writer(df, "overwrite", partition_by, cluster_by).option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
+def reload_days(
+    df: DataFrame, path: str, column: str, first: date | str, last: date | str, cluster_by: Sequence[str] = (),
+) -> None:
+    """Replace the days ``first``..``last`` by the rows of ``df``: days without new rows become empty."""
+    spark = df.sparkSession
+    before = {d for d in partition_values(spark, path, column) if str(first) <= d <= str(last)}
+    overwrite_partitions(df, path, [column], cluster_by)
+    if before:
+        # One value per day of the range comes to the driver.
+        filled = {str(r[0]) for r in df.select(column).distinct().collect()}
+        drop_partitions(spark, path, column, before - filled)
+
+
 def append_evolving(df: DataFrame, path: str, schema: StructType | None = None) -> StructType:
     """Append rows that may bring new columns or leave out old ones; return the widened schema.
 
@@ -142,17 +155,25 @@ def retained(df: DataFrame, column: str, as_of: Column, days: int) -> DataFrame:
 
 
 def expire_partitions(spark: SparkSession, path: str, column: str, as_of: date, days: int) -> list[str]:
-    """Delete day partitions older than ``days`` before ``as_of``; return their names."""
-    fs, root = _file_system(spark, path)
+    """Delete day partitions older than ``days`` before ``as_of``; return their days."""
     oldest = (as_of - timedelta(days=days)).isoformat()
-    dropped = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        label, _, value = name.partition("=")
-        if label == column and value < oldest:
-            fs.delete(status.getPath(), True)
-            dropped.append(name)
-    return sorted(dropped)
+    return drop_partitions(spark, path, column, {d for d in partition_values(spark, path, column) if d < oldest})
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition column, from the folder names."""
+    if not table_exists(spark, path):
+        return []
+    fs, root = _file_system(spark, path)
+    names = [status.getPath().getName().partition("=") for status in fs.listStatus(root)]
+    return [value for label, _, value in names if label == column]
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: set[str]) -> list[str]:
+    fs, _ = _file_system(spark, path)
+    for value in values:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"), True)
+    return sorted(values)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
