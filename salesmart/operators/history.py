@@ -37,7 +37,7 @@ def cdc_apply(target: DataFrame, changes: DataFrame, key: str, order: Sequence[s
         target, last, key,
         update=[c for c in columns if c != key],
         delete_when=F.col(f"s.{op}") == DELETE,
-        insert=columns, insert_when=F.col(f"s.{op}") != DELETE,
+        insert=columns, insert_when=F.col(f"s.{op}") != DELETE, unique_source=True,
     )
 
 

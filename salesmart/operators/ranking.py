@@ -1,56 +1,77 @@
-"""Global row numbers and n-tiles without sorting all rows in one task."""
+"""Global n-tiles without sorting all rows in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Number of value ranges a global order is cut into, and of leading tie bits that cut a repeated value.
+# Number of ranges a global order is cut into, and of tie ranges that cut a repeated value.
 RANGES = 64
-TIE_BITS = 6
+_NUMBER = "decimal(38,4)"
+
 
+def with_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Column], tie: Column) -> DataFrame:
+    """Add one global ``NTILE(tiles)`` column per entry of ``orders`` (name -> ascending number).
 
-def with_global_rank(df: DataFrame, value: Column, tie: Column, name: str, descending: bool = False) -> DataFrame:
-    """Add the 1-based position of each row in the order (``value``, ``tie``), and the row count.
+    Rows with equal numbers are ordered by ``tie``, a unique number; NULL numbers come first. Rows are
+    cut into ranges at the approximate quantiles of the number. A number that is itself a cut point
+    may repeat very often and gets a range of its own, cut further at the quantiles of ``tie``. A
+    row's position is its place in its range plus all rows of the ranges before it, so it is exact
+    however the approximate quantiles fall; they only balance the work.
 
-    ``tie`` must be a unique, evenly spread 64-bit integer, such as a surrogate key; NULL values come
-    first. Rows are cut
-    into ranges of ``value`` at its approximate quantiles. A value that is itself a cut point may
-    repeat very often and gets a range of its own, which is cut further by ``tie``. Positions count
-    rows inside a range plus all rows of the ranges before it, so they are exact however well or
-    badly the approximate quantiles fall; those only balance the work. ``df`` is read several
-    times: hand in a settled frame.
+    ``df`` is read several times: hand in a settled frame.
     """
-    ordered = (-value if descending else value).cast("decimal(38,4)")
-    rows = df.withColumn("__v", ordered).withColumn("__tie", tie)
+    names = list(orders)
+    base = df.select("*", tie.cast(_NUMBER).alias("__tie"), *[orders[n].cast(_NUMBER).alias(f"__v_{n}") for n in names])
+    cuts = _cuts(base, ["__tie", *[f"__v_{n}" for n in names]])
+    for n in names:
+        v = F.col(f"__v_{n}")
+        points, ties = _numbers(cuts[f"__v_{n}"]), _numbers(cuts["__tie"])
+        place = F.when(v.isNull(), -1).otherwise(_below(points, v) * 2 + F.array_contains(points, v).cast("int"))
+        base = base.withColumn(f"__r_{n}", place).withColumn(
+            f"__p_{n}", F.when(F.pmod(f"__r_{n}", F.lit(2)) == 1, _below(ties, F.col("__tie"))).otherwise(0)
+        )
+
+    ranked = base
+    for n in names:
+        inside = Window.partitionBy(f"__r_{n}", f"__p_{n}").orderBy(f"__v_{n}", "__tie")
+        ranked = ranked.withColumn("__pos", F.row_number().over(inside)).join(
+            F.broadcast(_offsets(base, f"__r_{n}", f"__p_{n}")), [f"__r_{n}", f"__p_{n}"]
+        )
+        ranked = ranked.withColumn(n, tile_of(F.col("__before") + F.col("__pos"), F.col("__all"), tiles))
+        ranked = ranked.drop("__pos", "__before", "__all")
+    return ranked.select(*df.columns, *names)
+
+
+def _cuts(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """Distinct approximate quantiles: at most RANGES numbers per column come to the driver."""
     points = [i / RANGES for i in range(1, RANGES)]
-    # One row: at most RANGES numbers come to the driver.
-    quantiles = rows.agg(F.percentile_approx("__v", points, 10_000)).first()[0] or []
-    cuts = F.array(*[F.lit(c).cast("decimal(38,4)") for c in sorted(set(quantiles))])
-    if not quantiles:
-        cuts = F.array().cast("array<decimal(38,4)>")
-
-    v = F.col("__v")
-    below = F.size(F.filter(cuts, lambda c: c < v))
-    value_range = F.when(v.isNull(), -1).otherwise(below * 2 + F.array_contains(cuts, v).cast("int"))
-    rows = rows.withColumn("__range", value_range).withColumn(
-        "__part", F.when(F.pmod("__range", F.lit(2)) == 1, F.shiftright("__tie", 64 - TIE_BITS)).otherwise(0)
-    )
+    row = df.agg(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).first()
+    return {c: sorted(set(row[c] or [])) for c in columns}
+
+
+def _numbers(values: list) -> Column:
+    return F.array(*map(F.lit, values)).cast(f"array<{_NUMBER}>")
 
-    # At most (2 * RANGES + 1) * 2**TIE_BITS summary rows, so one task can add them up and the
-    # result has a size bound whatever the data.
-    sizes = rows.groupBy("__range", "__part").agg(F.count(F.lit(1)).alias("__n"))
-    order = Window.orderBy("__range", "__part")
-    offsets = sizes.select(
-        "__range", "__part",
+
+def _below(points: Column, value: Column) -> Column:
+    """How many cut points are smaller than ``value``."""
+    return F.size(F.filter(points, lambda p: p < value))
+
+
+def _offsets(df: DataFrame, place: str, part: str) -> DataFrame:
+    """Rows before each range, and rows in all.
+
+    There are at most 2 * RANGES * RANGES + 2 ranges whatever the data, so one task can add them up
+    and the result can be broadcast.
+    """
+    sizes = df.groupBy(place, part).agg(F.count(F.lit(1)).alias("__n"))
+    order = Window.orderBy(place, part)
+    return sizes.select(
+        place, part,
         F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(f"{name}_rows"),
-    )
-    inside = Window.partitionBy("__range", "__part").orderBy("__v", "__tie")
-    return (
-        rows.withColumn("__pos", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["__range", "__part"])
-        .withColumn(name, F.col("__before") + F.col("__pos"))
-        .drop("__v", "__tie", "__range", "__part", "__pos", "__before")
+        F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__all"),
     )
 
 
@@ -61,9 +82,3 @@ def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     large = F.floor((position - 1) / (size + 1)) + 1
     small = F.floor((position - 1 - extra) / F.greatest(size, F.lit(1))) + 1
     return F.when(in_large, large).otherwise(small).cast("bigint")
-
-
-def with_ntile(df: DataFrame, tiles: int, value: Column, tie: Column, name: str, descending: bool = False) -> DataFrame:
-    """Add the global ``NTILE(tiles)`` over (``value``, ``tie``)."""
-    ranked = with_global_rank(df, value, tie, "__rank", descending)
-    return ranked.withColumn(name, tile_of(F.col("__rank"), F.col("__rank_rows"), tiles)).drop("__rank", "__rank_rows")

@@ -3,7 +3,7 @@
 A window partitioned by key puts all rows of that key into one task. Here keys above a size limit
 are cut into time buckets, each bucket is handled as a partition of its own, and the value that must
 cross a bucket's edge is worked out on one summary row per bucket. Keys below the limit keep a
-single partition, so the usual case costs one extra count.
+single partition; without any hot key all that is added is one count over the key column.
 """
 
 from __future__ import annotations
@@ -20,10 +20,13 @@ HOT_ROWS = 5_000_000
 def cut_hot_keys(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add a bucket column: ``bucket`` for keys with more than ``hot_rows`` rows, NULL for the rest.
 
-    At most rows / hot_rows keys can be hot, so the join side stays small whatever the data.
+    Counts the rows per key at once; without a hot key the frame comes back as it is and its windows
+    need no further care. At most rows / hot_rows keys can be hot.
     """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows)
     hot = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+    if hot.isEmpty():
+        return df
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
     marked = df.join(hot, same, "left").withColumn(BUCKET, F.when(F.col("__hot"), bucket))
     return marked.drop("__hot", *[f"__hot_{k}" for k in keys])
@@ -42,6 +45,8 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
 def _with_neighbour(df, keys, order, columns, name, forward) -> DataFrame:
     payload = F.struct(*columns)
     step, edge = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
+    if BUCKET not in df.columns:
+        return df.withColumn(name, step(payload).over(Window.partitionBy(*keys).orderBy(*order)))
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(BUCKET)
     edges = (
@@ -56,6 +61,9 @@ def _with_neighbour(df, keys, order, columns, name, forward) -> DataFrame:
 
 def with_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add ``name``: the last non-null ``value`` up to and including each row, per key in ``order``."""
+    if BUCKET not in df.columns:
+        running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(running))
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     edges = (

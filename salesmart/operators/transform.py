@@ -7,8 +7,9 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions import rules
-from salesmart.functions.dates import COMPACT_DATE, parse_day
+from salesmart.functions.dates import COMPACT_DATE, is_weekend, parse_day
 from salesmart.functions.money import as_doubles, average_of, mean, money, percent
+from salesmart.functions.totals import totals_and_distincts
 from salesmart.sources.tables import add_audit
 
 # Category names of the default pivot and the summary columns they fill.
@@ -74,10 +75,7 @@ def daily_summary(
     net = F.col("net_amount")
     sizes = [*[label for label, _ in rules.ORDER_SIZES], rules.LARGEST_ORDER]
     is_valid = F.col("data_quality_flag") == rules.VALID
-    report = clean.groupBy(F.col("order_date").alias("report_date")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("product_id").alias("unique_products"),
+    totals = [
         F.sum("quantity").alias("total_quantity"),
         F.sum("total_amount").alias("gross_sales"),
         F.sum("discount_amount").alias("total_discounts"),
@@ -89,7 +87,9 @@ def daily_summary(
         F.count_if(is_valid).alias("valid_records_count"),
         F.count_if(~is_valid).alias("invalid_records_count"),
         percent(F.count_if(is_valid), F.count(F.lit(1))).alias("data_quality_score"),
-    )
+    ]
+    distinct = {"total_orders": "order_id", "unique_customers": "customer_id", "unique_products": "product_id"}
+    report = totals_and_distincts(clean.withColumnRenamed("order_date", "report_date"), ["report_date"], totals, distinct)
     return add_audit(as_doubles(report), "generated_at", run_ts)
 
 
@@ -109,16 +109,15 @@ def transform_positive(
 def order_day_summary(sales: DataFrame, run_ts: datetime | Column | None = None) -> DataFrame:
     """Ten-column summary per order date of the file load."""
     total = F.col("total_amount")
-    report = sales.groupBy("order_date").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("product_id").alias("unique_products"),
+    totals = [
         F.sum("quantity").alias("total_quantity"),
         F.sum(total).alias("total_sales"),
         average_of(total).alias("avg_order_value"),
         F.min(total).alias("min_order_value"),
         F.max(total).alias("max_order_value"),
-    )
+    ]
+    distinct = {"total_orders": "order_id", "unique_customers": "customer_id", "unique_products": "product_id"}
+    report = totals_and_distincts(sales, ["order_date"], totals, distinct)
     return add_audit(as_doubles(report), "updated_at", run_ts)
 
 
@@ -183,6 +182,4 @@ def with_tax(df: DataFrame, price: str = "price", rate: str = "0.18") -> DataFra
 
 
 def day_type(day: Column) -> Column:
-    from salesmart.functions.dates import is_weekend
-
     return F.when(is_weekend(day), "Weekend").otherwise("Weekday")

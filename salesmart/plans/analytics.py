@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesmart.functions import rules
 from salesmart.functions.dates import month_start, week_start
 from salesmart.functions.money import as_doubles, percent
-from salesmart.operators.ranking import with_ntile
+from salesmart.operators.ranking import with_ntiles
 from salesmart.session import settle
 
 SCORES = 5
@@ -15,22 +15,23 @@ SCORES = 5
 VELOCITY_WEEKS, RECENT_WEEKS, PREVIOUS_WEEKS = 12, 4, 8
 
 
-def rfm_segments(fact: DataFrame, dim_customer: DataFrame, as_of: Column) -> DataFrame:
-    """Recency, frequency and money scores (1-5) and segment of every customer, best first."""
+def rfm_segments(fact: DataFrame, dim_customer: DataFrame, as_of: Column, tie: str = "customer_key") -> DataFrame:
+    """Recency, frequency and money scores (1-5) and segment of every customer, best first.
+
+    Customers with equal values are ordered by the number in ``tie``.
+    """
     per_customer = fact.groupBy("customer_key").agg(
         F.max("transaction_date").alias("last_purchase_date"),
         F.count_distinct("transaction_id").alias("frequency"),
         F.sum("net_amount").alias("monetary_value"),
     )
-    metrics = per_customer.join(dim_customer.select("customer_key", "customer_id", "customer_name"), "customer_key").select(
-        "customer_key", "customer_id", "customer_name",
+    metrics = per_customer.join(dim_customer, "customer_key").select(
+        F.col(tie).alias("tie"), "customer_id", "customer_name",
         F.date_diff(as_of, "last_purchase_date").cast("bigint").alias("recency_days"), "frequency", "monetary_value",
     )
     # Three global orders follow; the facts are aggregated once for all of them.
-    scored, tie = settle(metrics, "rfm"), F.col("customer_key")
-    scored = with_ntile(scored, SCORES, F.col("recency_days"), tie, "r_score", descending=True)
-    scored = with_ntile(scored, SCORES, F.col("frequency"), tie, "f_score")
-    scored = with_ntile(scored, SCORES, F.col("monetary_value"), tie, "m_score")
+    orders = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("monetary_value")}
+    scored = with_ntiles(settle(metrics, "rfm"), SCORES, orders, F.col("tie"))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return as_doubles(
         scored.select(
@@ -133,23 +134,27 @@ def pair_support(baskets: DataFrame, min_support: int, chunk: int = 512) -> Data
 
 
 def product_affinity(
-    fact: DataFrame, names: DataFrame, item: str = "product_key", name: str = "product_name",
+    fact: DataFrame, names: DataFrame, item: str = "product_key", code: str = "product_id", name: str = "product_name",
     min_support: int = 10, rows: int = 20, chunk: int = 512,
 ) -> DataFrame:
     """Items bought together in at least ``min_support`` transactions, most frequent pairs first.
 
-    ``names`` maps ``item`` to the ``name`` to show.
+    ``names`` maps ``item`` to the ``name`` to show and to the ``code`` that orders the two items of
+    a pair, and pairs with equal counts.
     """
     baskets = fact.select(F.col("transaction_id").alias("basket"), F.col(item).alias("item")).dropna().distinct()
     pairs = pair_support(baskets, min_support, chunk)
     transactions = fact.agg(F.count_distinct("transaction_id")).scalar()
-    a = names.select(F.col(item).alias("item_a"), F.col(name).alias("product_a"))
-    b = names.select(F.col(item).alias("item_b"), F.col(name).alias("product_b"))
-    named = pairs.join(a, "item_a").join(b, "item_b")
-    top = named.orderBy(F.desc("shared"), "item_a", "item_b").limit(rows)
+    label = F.struct(F.col(code).alias("code"), F.col(name).alias("name"))
+    a = names.select(F.col(item).alias("item_a"), label.alias("a"))
+    b = names.select(F.col(item).alias("item_b"), label.alias("b"))
+    named = pairs.join(a, "item_a").join(b, "item_b").select(
+        "shared", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    )
+    top = named.orderBy(F.desc("shared"), "a", "b").limit(rows)
     return as_doubles(
         top.select(
-            "product_a", "product_b", F.col("shared").alias("co_occurrence_count"),
+            F.col("a.name").alias("product_a"), F.col("b.name").alias("product_b"), F.col("shared").alias("co_occurrence_count"),
             percent(F.col("shared"), transactions).alias("support_pct"),
         )
     )

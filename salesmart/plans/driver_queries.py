@@ -285,8 +285,11 @@ def _old_customers(spark, sf):
     return star.dim_customer(early, t.day_start(t.FIRST_HALF_YEAR_END))
 
 
-def _effective_day(df: DataFrame) -> DataFrame:
-    return df.withColumn("effective_date", F.to_date("effective_date"))
+def _shown(dimension: DataFrame) -> DataFrame:
+    """A dimension with its load moment as a day, and a test of its hashed key in place of the key."""
+    name = dimension.columns[0].removesuffix("_key")
+    same = F.col(f"{name}_key") == surrogate_key(F.col(f"{name}_id"))
+    return dimension.withColumn("effective_date", F.to_date("effective_date")).withColumn(f"{name}_key", same)
 
 
 @query
@@ -298,7 +301,7 @@ def dim_date_fill(spark, sf):
 
 @query
 def scd1_customer(spark, sf):
-    return _effective_day(star.scd1_customer(_old_customers(spark, sf), t.dim_customer(spark, sf)))
+    return _shown(star.scd1_customer(_old_customers(spark, sf), t.dim_customer(spark, sf)))
 
 
 @query
@@ -306,7 +309,7 @@ def scd1_product(spark, sf):
     sold = t.table(spark, sf, "lineitem").where(F.to_date("l_shipdate") <= F.lit(t.FIRST_HALF_YEAR_END).cast("date"))
     sold = sold.select(F.col("l_partkey").cast("string").alias("product_id")).distinct()
     early = t.products_raw(spark, sf).join(sold, "product_id", "left_semi").withColumn("unit_price", F.lit(0.0))
-    return _effective_day(star.scd1_product(star.dim_product(early, t.day_start(t.FIRST_HALF_YEAR_END)), t.dim_product(spark, sf)))
+    return _shown(star.scd1_product(star.dim_product(early, t.day_start(t.FIRST_HALF_YEAR_END)), t.dim_product(spark, sf)))
 
 
 @query
@@ -334,7 +337,7 @@ def merge_newer_wins(spark, sf):
 def merge_soft_delete(spark, sf):
     recent = t.dim_customer(spark, sf).join(_ordered_since(spark, sf, t.LAST_HALF_YEAR_START), "customer_id", "left_semi")
     columns = ["customer_name", "email", "city", "country", "effective_date"]
-    return _effective_day(merge.merge_soft_delete(_old_customers(spark, sf), recent, "customer_id", columns))
+    return _shown(merge.merge_soft_delete(_old_customers(spark, sf), recent, "customer_id", columns))
 
 
 @query
@@ -375,7 +378,8 @@ def _customer_segments(spark, sf):
 def scd2_apply(spark, sf):
     source = _customer_segments(spark, sf).drop("balance")
     day = F.lit(t.LOAD_DAY).cast("date")
-    return history.scd2_apply(_segment_history(spark, sf), source, "customer_id", ["customer_name", "segment"], day)
+    versions = history.scd2_apply(_segment_history(spark, sf), source, "customer_id", ["customer_name", "segment"], day)
+    return versions.withColumn("customer_key", F.col("customer_key").isNotNull())
 
 
 @query
@@ -412,17 +416,24 @@ def dim_date(spark, sf):
 
 @query
 def dim_customer(spark, sf):
-    return _effective_day(t.dim_customer(spark, sf))
+    return _shown(t.dim_customer(spark, sf))
 
 
 @query
 def dim_product(spark, sf):
-    return _effective_day(t.dim_product(spark, sf))
+    return _shown(t.dim_product(spark, sf))
 
 
 @query
 def fact_sales(spark, sf):
-    return as_doubles(t.fact(spark, sf))
+    """All facts, their hashed keys resolved through the dimensions."""
+    return as_doubles(_with_ids(spark, sf, t.fact(spark, sf)))
+
+
+def _with_ids(spark, sf, fact: DataFrame) -> DataFrame:
+    customers = t.dim_customer(spark, sf).select("customer_key", "customer_id")
+    products = t.dim_product(spark, sf).select("product_key", "product_id")
+    return fact.join(customers, "customer_key").join(products, "product_key").drop("customer_key", "product_key")
 
 
 @query
@@ -434,13 +445,15 @@ def fact_lookup(spark, sf):
     def of(name):
         return biggest.select(f"b.{name}").scalar()
 
-    return as_doubles(star.fact_lookup(fact, of("customer_key"), of("product_key"), of("transaction_date")))
+    found = star.fact_lookup(fact, of("customer_key"), of("product_key"), of("transaction_date"))
+    return as_doubles(_with_ids(spark, sf, found))
 
 
 @query
 def orphan_check(spark, sf):
     """Facts whose customer is missing from the dimension as first loaded."""
-    return star.orphan_check(t.fact(spark, sf), _old_customers(spark, sf), "customer_key")
+    orphans = star.orphan_check(t.fact(spark, sf), _old_customers(spark, sf), "customer_key")
+    return orphans.join(t.dim_customer(spark, sf).select("customer_key", "customer_id"), "customer_key").drop("customer_key")
 
 
 # --- projections and summaries -------------------------------------------------------------------
@@ -617,7 +630,8 @@ def approx_customers(spark, sf):
 
 @query
 def rfm_segments(spark, sf):
-    return analytics.rfm_segments(t.fact(spark, sf), t.dim_customer(spark, sf), t.last_order_day(spark, sf))
+    customers = t.dim_customer(spark, sf).withColumn("number", F.col("customer_id").cast("bigint"))
+    return analytics.rfm_segments(t.fact(spark, sf), customers, t.last_order_day(spark, sf), tie="number")
 
 
 @query
@@ -640,7 +654,7 @@ def category_affinity(spark, sf):
     """Categories bought together; the part type stands for the product."""
     lines = t.staging_sales(spark, sf).select(F.col("order_id").alias("transaction_id"), "category")
     names = t.table(spark, sf, "part").select(F.col("p_type").alias("category")).distinct()
-    return analytics.product_affinity(lines, names.withColumn("name", F.col("category")), "category", "name", min_support=10)
+    return analytics.product_affinity(lines, names, "category", "category", "category", min_support=10)
 
 
 def _customers_and_orders(spark, sf):

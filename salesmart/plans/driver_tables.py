@@ -22,9 +22,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines with their order's customer and day: the raw material of staging and fact."""
+    """Order lines with their order's customer and day: the raw material of staging and fact.
+
+    Both tables grow with the data, so the join is asked to shuffle at every size. AQE splits an
+    order key that holds much of the lines.
+    """
     total = money("l_extendedprice")
-    return table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    orders = table(spark, sf, "orders").hint("merge")
+    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").alias("p_partkey"),

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesmart.functions.dates import calendar, date_series_of, month_start
 from salesmart.operators import quality, star
-from salesmart.operators.incremental import merge_daily_summary
+from salesmart.operators.incremental import merge_days
 from salesmart.operators.transform import (
     PIVOT_CATEGORIES, daily_summary, on_days, order_day_summary, transform_positive, transform_sales,
 )
 from salesmart.plans.reports import daily_sales_report
+from salesmart.session import settle
 from salesmart.sources.files import dated_path, read_staging_csv, require_filled
 from salesmart.sources.schemas import ORDER_LINES_RAW, required_columns
 from salesmart.sources.tables import (
@@ -25,7 +27,11 @@ MONTH = "partition_month"
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Apply ``merge(target, source)`` to the table at ``path``; the first load just writes the source."""
+    """Apply ``merge(target, source)`` to the table at ``path``, or to an empty one on the first load.
+
+    The source is settled first: a merge reads it several times.
+    """
+    source = settle(source, "source")
     if table_exists(spark, path):
         replace_from_itself(merge(spark.read.parquet(path), source), path)
     else:
@@ -62,7 +68,7 @@ def run_datamart(
     loaded = store(clean, f"{root}/sales_cleaned", "order_date", first, last, ["category", "customer_id"], partition_unit)
     summary = daily_summary(loaded, categories, run_ts)
     result = merge_into(
-        staging.sparkSession, f"{root}/daily_sales_summary", summary, lambda t, s: merge_daily_summary(t, s, "report_date")
+        staging.sparkSession, f"{root}/daily_sales_summary", summary, partial(merge_days, on="report_date")
     )
     if strict:
         quality.enforce_quality(loaded)
@@ -90,7 +96,7 @@ def run_star_schema(
         days = calendar(date_series_of(loaded, F.col("transaction_date")))
     dim_date = merge_into(spark, f"{root}/dim_date", days, star.dim_date_fill)
     report = daily_sales_report(loaded, dim_date, run_ts=run_ts)
-    return merge_into(spark, f"{root}/daily_sales_report", report, lambda t, s: merge_daily_summary(t, s, "full_date"))
+    return merge_into(spark, f"{root}/daily_sales_report", report, partial(merge_days, on="full_date"))
 
 
 def run_file_etl(
@@ -113,7 +119,7 @@ def run_file_etl(
     today = sales.where(F.col("partition_date") == run_date)
     touched = today.select("order_date").distinct()
     summary = order_day_summary(sales.join(touched, "order_date", "left_semi"), run_ts)
-    result = merge_into(spark, summary_path, summary, lambda t, s: merge_daily_summary(t, s, "order_date"))
+    result = merge_into(spark, summary_path, summary, partial(merge_days, on="order_date"))
 
     quality.require_pass(quality.reconcile_counts(staging, today), "result", quality.QUALITY_CHECK_PASSED)
     export_table(result, f"{root}/{dated_path(export_to, run_date)}")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from salesmart.functions import rules
 from salesmart.functions.dates import date_series_of
 from salesmart.functions.money import as_doubles, average_of, mean, percent
+from salesmart.functions.totals import totals_and_distincts
 from salesmart.operators.transform import Day, on_days
 from salesmart.sources.tables import add_audit
 
@@ -25,12 +26,7 @@ def daily_sales_report(fact: DataFrame, dim_date: DataFrame, day: Day | None = N
     """Fourteen-column report per calendar day (one day, or all days)."""
     net = F.col("net_amount")
     days = on_days(dim_date, "full_date", day)
-    report = _with_calendar(fact, days, "full_date", "day_name", "is_weekend").groupBy(
-        "full_date", "day_name", "is_weekend"
-    ).agg(
-        F.count_distinct("transaction_id").alias("total_transactions"),
-        F.count_distinct("customer_key").alias("unique_customers"),
-        F.count_distinct("product_key").alias("unique_products"),
+    totals = [
         F.sum("quantity").alias("total_quantity"),
         F.sum("total_amount").alias("total_sales"),
         F.sum("discount_amount").alias("total_discounts"),
@@ -38,7 +34,11 @@ def daily_sales_report(fact: DataFrame, dim_date: DataFrame, day: Day | None = N
         average_of(net).alias("avg_transaction_value"),
         F.min(net).alias("min_transaction"),
         F.max(net).alias("max_transaction"),
-    )
+    ]
+    distinct = {"total_transactions": "transaction_id", "unique_customers": "customer_key", "unique_products": "product_key"}
+    per_day = totals_and_distincts(on_days(fact, "transaction_date", day), ["date_key"], totals, distinct)
+    named = ["full_date", "day_name", "is_weekend"]
+    report = _with_calendar(per_day, days, *named).select(*named, *[c for c in per_day.columns if c != "date_key"])
     return add_audit(as_doubles(report), "report_generated_at", run_ts)
 
 
@@ -138,12 +138,14 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
     The window runs over one row per month.
     """
-    months = _with_calendar(fact, dim_date, "year", "month", "month_name").groupBy("year", "month", "month_name").agg(
-        F.count_distinct("transaction_id").alias("total_transactions"),
-        F.count_distinct("customer_key").alias("unique_customers"),
+    totals = [
         F.sum("quantity").alias("total_units"),
         F.sum("net_amount").alias("net_sales"),
         average_of(F.col("net_amount")).alias("avg_transaction_value"),
+    ]
+    months = totals_and_distincts(
+        _with_calendar(fact, dim_date, "year", "month", "month_name"), ["year", "month", "month_name"], totals,
+        {"total_transactions": "transaction_id", "unique_customers": "customer_key"},
     )
     previous = F.lag("net_sales").over(Window.orderBy("year", "month"))
     trend = months.withColumn("prev_month_sales", previous)
@@ -154,15 +156,14 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame, year: int | Column | None = None) -> DataFrame:
     """Weekend against weekday sales, over everything or one year."""
     days = dim_date if year is None else dim_date.where(F.col("year") == year)
-    kind = F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type")
-    return as_doubles(
-        _with_calendar(fact, days, "is_weekend").groupBy(kind).agg(
-            F.count_distinct("transaction_id").alias("total_transactions"),
-            F.sum("net_amount").alias("net_sales"),
-            average_of(F.col("net_amount")).alias("avg_transaction_value"),
-            average_of(F.col("quantity")).alias("avg_items_per_order"),
-        )
-    )
+    kind = F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday")
+    totals = [
+        F.sum("net_amount").alias("net_sales"),
+        average_of(F.col("net_amount")).alias("avg_transaction_value"),
+        average_of(F.col("quantity")).alias("avg_items_per_order"),
+    ]
+    typed = _with_calendar(fact, days, "is_weekend").withColumn("day_type", kind)
+    return as_doubles(totals_and_distincts(typed, ["day_type"], totals, {"total_transactions": "transaction_id"}))
 
 
 def geo_sales(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -202,16 +203,17 @@ def geo_sales(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 def discount_effectiveness(fact: DataFrame) -> DataFrame:
     """Orders, averages and revenue per discount bucket, in bucket order."""
-    bucket = rules.discount_bucket(F.col("discount_amount"), F.col("total_amount")).alias("discount_bucket")
+    bucket = rules.discount_bucket(F.col("discount_amount"), F.col("total_amount"))
+    totals = [
+        average_of(F.col("quantity")).alias("avg_items_per_order"),
+        average_of(F.col("total_amount")).alias("avg_gross_order_value"),
+        average_of(F.col("net_amount")).alias("avg_net_order_value"),
+        F.sum("discount_amount").alias("total_discount_given"),
+        F.sum("net_amount").alias("total_revenue"),
+    ]
+    bucketed = fact.withColumn("discount_bucket", bucket)
     return as_doubles(
-        fact.groupBy(bucket).agg(
-            F.count_distinct("transaction_id").alias("order_count"),
-            average_of(F.col("quantity")).alias("avg_items_per_order"),
-            average_of(F.col("total_amount")).alias("avg_gross_order_value"),
-            average_of(F.col("net_amount")).alias("avg_net_order_value"),
-            F.sum("discount_amount").alias("total_discount_given"),
-            F.sum("net_amount").alias("total_revenue"),
-        )
+        totals_and_distincts(bucketed, ["discount_bucket"], totals, {"order_count": "transaction_id"})
     ).orderBy(rules.discount_bucket_rank(F.col("discount_bucket")))
 
 
