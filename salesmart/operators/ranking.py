@@ -7,14 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Number of ranges a global order is cut into, and of tie ranges that cut a repeated value.
-RANGES = 64
-_NUMBER = "decimal(38,4)"
+RANGES = 32
+_NUMBER = "bigint"
 
 
 def with_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Column], tie: Column) -> DataFrame:
-    """Add one global ``NTILE(tiles)`` column per entry of ``orders`` (name -> ascending number).
+    """Add one global ``NTILE(tiles)`` column per entry of ``orders`` (name -> ascending whole number).
 
-    Rows with equal numbers are ordered by ``tie``, a unique number; NULL numbers come first. Rows are
+    Rows with equal numbers are ordered by ``tie``, a unique whole number; NULL numbers come first. Rows are
     cut into ranges at the approximate quantiles of the number. A number that is itself a cut point
     may repeat very often and gets a range of its own, cut further at the quantiles of ``tie``. A
     row's position is its place in its range plus all rows of the ranges before it, so it is exact
@@ -52,7 +52,7 @@ def _cuts(df: DataFrame, columns: list[str]) -> dict[str, list]:
 
 
 def _numbers(values: list) -> Column:
-    return F.array(*map(F.lit, values)).cast(f"array<{_NUMBER}>")
+    return F.expr(f"cast(array({', '.join(f'{v}L' for v in values)}) as array<{_NUMBER}>)")
 
 
 def _below(points: Column, value: Column) -> Column:

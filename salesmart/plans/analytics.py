@@ -30,7 +30,8 @@ def rfm_segments(fact: DataFrame, dim_customer: DataFrame, as_of: Column, tie: s
         F.date_diff(as_of, "last_purchase_date").cast("bigint").alias("recency_days"), "frequency", "monetary_value",
     )
     # Three global orders follow; the facts are aggregated once for all of them.
-    orders = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("monetary_value")}
+    # Whole numbers: days, orders and cents.
+    orders = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": (F.col("monetary_value") * 100).cast("bigint")}
     scored = with_ntiles(settle(metrics, "rfm"), SCORES, orders, F.col("tie"))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return as_doubles(
@@ -98,27 +99,31 @@ def sales_velocity(fact: DataFrame, dim_product: DataFrame, as_of: Column, rows:
 def pair_support(baskets: DataFrame, min_support: int, chunk: int = 512) -> DataFrame:
     """Item pairs that share at least ``min_support`` baskets, with the number they share.
 
-    ``baskets`` holds distinct (basket, item) rows. The result is exact; the work stays bounded by
+    ``baskets`` holds distinct (basket, item) rows and is read several times: hand in a settled
+    frame. The result is exact; the work stays bounded by
     - dropping items that are themselves in fewer than ``min_support`` baskets: no pair of theirs
       can reach it;
-    - not pairing up the largest baskets, up to ``min_support - 1`` of them. A pair that reaches the
-      support must also occur in one of the other baskets, so pairs found there are looked up in the
-      large baskets instead;
-    - spreading the pairs of every other basket over tasks, ``chunk`` items at a time.
+    - not pairing up the largest baskets of more than ``chunk`` items, up to ``min_support - 1`` of
+      them. A pair that reaches the support must also occur in one of the other baskets, so pairs
+      found there are looked up in the large baskets instead;
+    - spreading the pairs of other baskets of more than ``chunk`` items over several tasks.
     """
     frequent = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support)
-    kept = settle(baskets.join(frequent.select("item"), "item", "left_semi"), "baskets")
+    kept = baskets.join(frequent.select("item"), "item", "left_semi")
     sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-    # At most min_support - 1 basket ids come to the driver.
-    large = [r.basket for r in sizes.where(F.col("size") > chunk).orderBy(F.desc("size"), "basket").limit(min_support - 1).collect()]
-
-    usual = kept.where(~F.col("basket").isin(large)) if large else kept
-    slices = F.ceil(F.col("size") / chunk).cast("int")
-    sized = usual.join(sizes.where(F.col("size") > 1), "basket")
-    left = sized.select("basket", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), slices).cast("int").alias("slice"))
-    right = sized.select("basket", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    # At most min_support basket ids come to the driver.
+    long = sizes.where(F.col("size") > chunk).orderBy(F.desc("size"), "basket").limit(min_support).collect()
+    large = [row.basket for row in long[: min_support - 1]]
+    left, right = kept.withColumnRenamed("item", "item_a"), kept.withColumnRenamed("item", "item_b")
+    together = ["basket"]
+    if long:
+        slices = F.ceil(F.col("size") / chunk).cast("int")
+        sized = kept.where(~F.col("basket").isin(large)).join(sizes.where(F.col("size") > 1), "basket")
+        left = sized.select("basket", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), slices).cast("int").alias("slice"))
+        right = sized.select("basket", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+        together = ["basket", "slice"]
     shared = (
-        left.join(right, ["basket", "slice"])
+        left.join(right, together)
         .where(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("shared"))
@@ -143,7 +148,7 @@ def product_affinity(
     a pair, and pairs with equal counts.
     """
     baskets = fact.select(F.col("transaction_id").alias("basket"), F.col(item).alias("item")).dropna().distinct()
-    pairs = pair_support(baskets, min_support, chunk)
+    pairs = pair_support(settle(baskets, "baskets"), min_support, chunk)
     transactions = fact.agg(F.count_distinct("transaction_id")).scalar()
     label = F.struct(F.col(code).alias("code"), F.col(name).alias("name"))
     a = names.select(F.col(item).alias("item_a"), label.alias("a"))
