@@ -110,6 +110,8 @@ def point_in_time_join(
     condition would compare all of them).
     """
     fact_columns = facts.columns
+    # A version that ended the moment it began is never valid; without these, starts are unique per key.
+    versions = versions.where(F.col(end).isNull() | (F.col(start) < F.col(end)))
     line = (
         facts.select(F.col(key).alias("__key"), F.col(moment).alias("__at"), F.lit(1).alias("__kind"),
                      F.struct(*fact_columns).alias("__fact"))

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from samples import as_set, staging, staging_rows
@@ -6,6 +8,8 @@ from salesmart.operators import quality, star, transform
 
 CLEAN = ["row_count_check", "null_check", "value_range_check", "business_rule_check", "duplicate_check", "quality_score_check"]
 
+MONEY = {"total_amount", "discount_amount", "net_amount"}
+
 
 def clean(spark, *edits, copies=2):
     """Valid clean rows with the given column edits applied to the first ones."""
@@ -13,7 +17,7 @@ def clean(spark, *edits, copies=2):
     df = transform.transform_sales(staging(spark, rows=rows))
     data = [r.asDict() for r in df.collect()]
     for i, edit in enumerate(edits):
-        data[i].update(edit)
+        data[i].update({k: Decimal(v) if k in MONEY else v for k, v in edit.items()})
     return spark.createDataFrame([tuple(d[c] for c in df.columns) for d in data], df.schema)
 
 
