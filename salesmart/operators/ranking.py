@@ -6,8 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Number of ranges a global order is cut into, and of tie ranges that cut a repeated value.
-RANGES = 32
+# Rows a range should hold, the least and most ranges of a global order, and the tie ranges that
+# cut a repeated value.
+ROWS_PER_RANGE = 1_000_000
+LEAST_RANGES, MOST_RANGES, TIE_RANGES = 16, 256, 32
 _NUMBER = "bigint"
 
 
@@ -45,10 +47,13 @@ def with_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Column], tie: Co
 
 
 def _cuts(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Distinct approximate quantiles: at most RANGES numbers per column come to the driver."""
-    points = [i / RANGES for i in range(1, RANGES)]
-    row = df.agg(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    """Distinct approximate quantiles: at most MOST_RANGES numbers per column come to the driver."""
+    points = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).first()
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, row["n"] // ROWS_PER_RANGE))
+    wanted = {"__tie": TIE_RANGES}
+    steps = {c: max(1, MOST_RANGES // wanted.get(c, ranges)) for c in columns}
+    return {c: sorted(set((row[c] or [])[steps[c] - 1 :: steps[c]])) for c in columns}
 
 
 def _numbers(values: list) -> Column:
@@ -63,8 +68,8 @@ def _below(points: Column, value: Column) -> Column:
 def _offsets(df: DataFrame, place: str, part: str) -> DataFrame:
     """Rows before each range, and rows in all.
 
-    There are at most 2 * RANGES * RANGES + 2 ranges whatever the data, so one task can add them up
-    and the result can be broadcast.
+    There are at most 2 * MOST_RANGES * TIE_RANGES + 2 ranges (16,386) whatever the data, so one task
+    can add them up and the result can be broadcast.
     """
     sizes = df.groupBy(place, part).agg(F.count(F.lit(1)).alias("__n"))
     order = Window.orderBy(place, part)

@@ -10,7 +10,7 @@ from salesmart.functions.dates import calendar, date_key, date_series, parse_day
 from salesmart.functions.keys import surrogate_key
 from salesmart.functions.money import money
 from salesmart.operators.merge import merge_table
-from salesmart.operators.transform import Day, on_days
+from salesmart.operators.transform import Day, on_days, on_moments
 from salesmart.sources.tables import add_audit
 
 # Span of the calendar dimension.
@@ -64,9 +64,10 @@ def fact_sales(raw: DataFrame, first: Day | None = None, last: Day | None = None
     Without a day range every row is kept under its own day, late ones included.
     """
     rows = raw.withColumn("transaction_timestamp", parse_moment(raw, "transaction_timestamp"))
+    rows = on_moments(rows, "transaction_timestamp", first, last)
     rows = rows.withColumn("transaction_date", F.to_date("transaction_timestamp"))
     total, discount = money("total_amount"), money("discount_amount")
-    return on_days(rows, "transaction_date", first, last).select(
+    return rows.select(
         "transaction_id",
         date_key(F.col("transaction_date")).alias("date_key"),
         surrogate_key(F.col("customer_id")).alias("customer_key"),

@@ -29,6 +29,15 @@ def on_days(df: DataFrame, column: str, first: Day | None, last: Day | None = No
     return df.where(F.col(column).between(_as_day(first), _as_day(last)))
 
 
+def on_moments(df: DataFrame, column: str, first: Day | None, last: Day | None = None) -> DataFrame:
+    """As :func:`on_days`, for a timestamp column: a plain range on it, which the scan can use."""
+    if first is None and last is None:
+        return df
+    last = first if last is None else last
+    rows = df if first is None else df.where(F.col(column) >= _as_day(first))
+    return rows.where(F.col(column) < F.date_add(_as_day(last), 1))
+
+
 def _as_day(value: Day) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
@@ -166,7 +175,7 @@ def sales_performance(sales: DataFrame, by: list[str]) -> DataFrame:
 
 def stage_customers(raw: DataFrame, as_of: Day, days: int = 7) -> DataFrame:
     """Recently created customers with upper-cased names."""
-    return raw.where(F.to_date("created_at") >= F.date_sub(_as_day(as_of), days)).select(
+    return raw.where(F.col("created_at") >= F.date_sub(_as_day(as_of), days)).select(
         "customer_id", F.upper("customer_name").alias("customer_name"), "email", "created_at",
     )
 

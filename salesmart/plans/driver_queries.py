@@ -268,21 +268,21 @@ def refresh_daily_rollup(spark, sf):
 # --- merge and history ---------------------------------------------------------------------------
 
 
-def _ordered_until(spark, sf, day):
-    orders = t.table(spark, sf, "orders").where(F.to_date("o_orderdate") <= F.lit(day).cast("date"))
+def _ordered_before(spark, sf, day):
+    orders = t.table(spark, sf, "orders").where(F.col("o_orderdate") < t.day_start(day))
     return orders.select(F.col("o_custkey").cast("string").alias("customer_id")).distinct()
 
 
 def _ordered_since(spark, sf, day):
-    orders = t.table(spark, sf, "orders").where(F.to_date("o_orderdate") >= F.lit(day).cast("date"))
+    orders = t.table(spark, sf, "orders").where(F.col("o_orderdate") >= t.day_start(day))
     return orders.select(F.col("o_custkey").cast("string").alias("customer_id")).distinct()
 
 
 def _old_customers(spark, sf):
     """The customer dimension as first loaded: early customers, region as city, no e-mail."""
-    early = t.customers_raw(spark, sf).join(_ordered_until(spark, sf, t.FIRST_HALF_YEAR_END), "customer_id", "left_semi")
+    early = t.customers_raw(spark, sf).join(_ordered_before(spark, sf, t.EARLY_END), "customer_id", "left_semi")
     early = early.withColumn("city", F.col("country")).withColumn("email", F.lit(None).cast("string"))
-    return star.dim_customer(early, t.day_start(t.FIRST_HALF_YEAR_END))
+    return star.dim_customer(early, t.day_start(t.EARLY_END))
 
 
 def _shown(dimension: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _shown(dimension: DataFrame) -> DataFrame:
 @query
 def dim_date_fill(spark, sf):
     days = t.dim_date(spark, sf)
-    loaded = days.where(F.col("full_date") <= F.lit(t.FIRST_HALF_YEAR_END).cast("date")).withColumn("is_holiday", F.lit(True))
+    loaded = days.where(F.col("full_date") < F.lit(t.EARLY_END).cast("date")).withColumn("is_holiday", F.lit(True))
     return star.dim_date_fill(loaded, days)
 
 
@@ -306,10 +306,10 @@ def scd1_customer(spark, sf):
 
 @query
 def scd1_product(spark, sf):
-    sold = t.table(spark, sf, "lineitem").where(F.to_date("l_shipdate") <= F.lit(t.FIRST_HALF_YEAR_END).cast("date"))
+    sold = t.table(spark, sf, "lineitem").where(F.col("l_shipdate") < t.day_start(t.EARLY_END))
     sold = sold.select(F.col("l_partkey").cast("string").alias("product_id")).distinct()
     early = t.products_raw(spark, sf).join(sold, "product_id", "left_semi").withColumn("unit_price", F.lit(0.0))
-    return _shown(star.scd1_product(star.dim_product(early, t.day_start(t.FIRST_HALF_YEAR_END)), t.dim_product(spark, sf)))
+    return _shown(star.scd1_product(star.dim_product(early, t.day_start(t.EARLY_END)), t.dim_product(spark, sf)))
 
 
 @query
@@ -320,7 +320,7 @@ def merge_daily_summary(spark, sf):
         F.to_date("moment").alias("order_date"),
     )
     loaded = transform.order_day_summary(lines.where(F.col("quantity") > 25)).drop("updated_at")
-    fresh = transform.order_day_summary(transform.on_days(lines, "order_date", t.LAST_HALF_YEAR_START, t.LOAD_DAY)).drop("updated_at")
+    fresh = transform.order_day_summary(transform.on_days(lines, "order_date", t.LATE_START, t.LOAD_DAY)).drop("updated_at")
     return incremental.merge_daily_summary(loaded, fresh, "order_date")
 
 
@@ -335,7 +335,7 @@ def merge_newer_wins(spark, sf):
 
 @query
 def merge_soft_delete(spark, sf):
-    recent = t.dim_customer(spark, sf).join(_ordered_since(spark, sf, t.LAST_HALF_YEAR_START), "customer_id", "left_semi")
+    recent = t.dim_customer(spark, sf).join(_ordered_since(spark, sf, t.LATE_START), "customer_id", "left_semi")
     columns = ["customer_name", "email", "city", "country", "effective_date"]
     return _shown(merge.merge_soft_delete(_old_customers(spark, sf), recent, "customer_id", columns))
 
@@ -358,7 +358,7 @@ def scd2_build(spark, sf):
 def _segment_history(spark, sf):
     """Open SCD2 versions of early customers; those in debt carried another segment."""
     day = F.lit("1995-01-01").cast("date")
-    early = _customer_segments(spark, sf).join(_ordered_until(spark, sf, t.FIRST_HALF_YEAR_END), "customer_id", "left_semi")
+    early = _customer_segments(spark, sf).join(_ordered_before(spark, sf, t.EARLY_END), "customer_id", "left_semi")
     return early.select(
         surrogate_key(F.col("customer_id"), day).alias("customer_key"), "customer_id", "customer_name",
         F.when(F.col("balance") < 0, "IN DEBT").otherwise(F.col("segment")).alias("segment"),
@@ -659,7 +659,7 @@ def category_affinity(spark, sf):
 
 def _customers_and_orders(spark, sf):
     customers = t.customers_raw(spark, sf).select("customer_id", "customer_name", "city")
-    late = t.table(spark, sf, "orders").where(F.to_date("o_orderdate") >= F.lit(t.LAST_HALF_YEAR_START).cast("date"))
+    late = t.table(spark, sf, "orders").where(F.col("o_orderdate") >= t.day_start(t.LATE_START))
     return customers, late.select(F.col("o_custkey").cast("string").alias("customer_id"), money("o_totalprice").alias("amount"))
 
 

@@ -9,8 +9,8 @@ from salesmart.functions.money import money
 from salesmart.operators import star
 
 # Days between which the incremental examples split the data; all rows are used on one side or the other.
-FIRST_HALF_YEAR_END = "1995-06-30"
-LAST_HALF_YEAR_START = "2001-01-01"
+EARLY_END = "1995-07-01"
+LATE_START = "2001-01-01"
 LOAD_DAY = "2001-08-01"
 EVENTS_CUT = "2024-01-15"
 EVENTS_LAST_DAYS = "2024-01-28"

@@ -118,7 +118,10 @@ def run_file_etl(
     sales = spark.read.schema(loaded.schema).parquet(sales_path)
     today = sales.where(F.col("partition_date") == run_date)
     touched = today.select("order_date").distinct()
-    summary = order_day_summary(sales.join(touched, "order_date", "left_semi"), run_ts)
+    # The range lets the scan skip files and row groups; the semi join picks the exact dates.
+    span = touched.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    near = sales.where(F.col("order_date").between(span.select("lo").scalar(), span.select("hi").scalar()))
+    summary = order_day_summary(near.join(touched, "order_date", "left_semi"), run_ts)
     result = merge_into(spark, summary_path, summary, partial(merge_days, on="order_date"))
 
     quality.require_pass(quality.reconcile_counts(staging, today), "result", quality.QUALITY_CHECK_PASSED)
