@@ -85,13 +85,13 @@ def scd2_build(
     ``order[0]`` is the moment of a change and becomes the validity interval ``[valid_from, valid_to)``.
     """
     moment = order[0]
-    cut = timeline.cut_hot_keys(
+    line = timeline.cut_hot_keys(
         changes.select(key, *order, *tracked), [key], F.date_trunc("hour", moment) if bucket is None else bucket, hot_rows,
     )
-    before = timeline.with_previous(cut, [key], order, tracked, "__before")
+    before = timeline.with_previous(line, order, tracked, "__before")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__before.{c}")) for c in tracked])
     starts = before.where(F.col("__before").isNull() | ~same).drop("__before")
-    after = timeline.with_next(starts, [key], order, [moment], "__after")
+    after = timeline.with_next(line.on(starts), order, [moment], "__after")
     return after.select(
         key, *tracked, F.col(moment).alias("valid_from"), F.col(f"__after.{moment}").alias("valid_to"),
         F.col("__after").isNull().alias("is_current"),
@@ -123,7 +123,7 @@ def point_in_time_join(
         .where(F.col("__key").isNotNull())
     )
     cut = timeline.cut_hot_keys(line, ["__key"], F.date_trunc("hour", "__at") if bucket is None else bucket, hot_rows)
-    carried = timeline.with_latest(cut, ["__key"], ["__at", "__kind"], "__version", "__valid")
+    carried = timeline.with_latest(cut, ["__at", "__kind"], "__version", "__valid")
     until = F.col("__valid.__end")
     return carried.where(
         (F.col("__kind") == 1) & F.col("__valid").isNotNull() & (until.isNull() | (F.col("__at") < until))

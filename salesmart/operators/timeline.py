@@ -10,76 +10,101 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 BUCKET = "__bucket"
 HOT_ROWS = 5_000_000
+# Up to this many hot keys are written into the plan; more are found by a join.
+LISTED_KEYS = 1_000
 
 
-def cut_hot_keys(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add a bucket column: ``bucket`` for keys with more than ``hot_rows`` rows, NULL for the rest.
+class Timeline(NamedTuple):
+    """Rows with their key; ``buckets`` tells whether hot keys were cut, ``nulls`` whether one is NULL."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    buckets: bool = False
+    nulls: bool = False
+
+    def on(self, rows: DataFrame) -> "Timeline":
+        return self._replace(rows=rows)
 
-    Counts the rows per key at once; without a hot key the frame comes back as it is and its windows
-    need no further care. At most rows / hot_rows keys can be hot.
-    """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows)
-    hot = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
-    if hot.isEmpty():
-        return df
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    marked = df.join(hot, same, "left").withColumn(BUCKET, F.when(F.col("__hot"), bucket))
-    return marked.drop("__hot", *[f"__hot_{k}" for k in keys])
 
+def cut_hot_keys(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int = HOT_ROWS) -> Timeline:
+    """Give the rows of keys with more than ``hot_rows`` rows the bucket ``bucket``; others get none.
 
-def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    Counts the rows per key at once, combined before its shuffle. At most rows / hot_rows keys can be
+    hot; no more than LISTED_KEYS of them come to the driver.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counts.where(F.col("__rows") > hot_rows).select(*keys)
+    listed = hot.limit(LISTED_KEYS + 1).collect()
+    if not listed:
+        return Timeline(df, tuple(keys))
+    if len(listed) > LISTED_KEYS:
+        marks = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+        same = _all(F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys)
+        marked = df.join(marks, same, "left").withColumn(BUCKET, F.when(F.col("__hot"), bucket))
+        return Timeline(marked.drop("__hot", *[f"__hot_{k}" for k in keys]), tuple(keys), True, True)
+    nulls = any(value is None for row in listed for value in row)
+    return Timeline(df.withColumn(BUCKET, F.when(_is_listed(keys, listed, nulls), bucket)), tuple(keys), True, nulls)
+
+
+def _is_listed(keys: Sequence[str], listed: list[Row], nulls: bool) -> Column:
+    if len(keys) == 1 and not nulls:
+        return F.col(keys[0]).isin([row[0] for row in listed])
+    return reduce(lambda a, b: a | b, [_all(F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, row)) for row in listed])
+
+
+def with_previous(line: Timeline, order: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
     """Add struct ``name``: ``columns`` of the row before, per key in ``order``; NULL on the first row."""
-    return _with_neighbour(df, keys, order, columns, name, forward=False)
+    return _with_neighbour(line, order, columns, name, F.lag, F.max_by)
 
 
-def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+def with_next(line: Timeline, order: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
     """Add struct ``name``: ``columns`` of the row after, per key in ``order``; NULL on the last row."""
-    return _with_neighbour(df, keys, order, columns, name, forward=True)
+    return _with_neighbour(line, order, columns, name, F.lead, F.min_by)
 
 
-def _with_neighbour(df, keys, order, columns, name, forward) -> DataFrame:
+def _with_neighbour(line: Timeline, order, columns, name, step, edge) -> DataFrame:
     payload = F.struct(*columns)
-    step, edge = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-    if BUCKET not in df.columns:
-        return df.withColumn(name, step(payload).over(Window.partitionBy(*keys).orderBy(*order)))
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(BUCKET)
-    edges = (
-        df.where(F.col(BUCKET).isNotNull())
-        .groupBy(*keys, BUCKET)
-        .agg(edge(payload, F.struct(*order)).alias("__edge"))
-        .withColumn("__edge", step("__edge").over(across))
-    )
-    local = df.withColumn("__local", step(payload).over(inside))
-    return join_buckets(local, edges, keys).withColumn(name, F.coalesce("__local", "__edge")).drop("__local", "__edge")
+    near = step(payload).over(_parts(line).orderBy(*order))
+    across = step("__edge").over(Window.partitionBy(*line.keys).orderBy(BUCKET))
+    return _fill(line, near, edge(payload, F.struct(*order)), across, name)
 
 
-def with_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+def with_latest(line: Timeline, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add ``name``: the last non-null ``value`` up to and including each row, per key in ``order``."""
-    if BUCKET not in df.columns:
-        running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.last(value, ignorenulls=True).over(running))
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    edges = (
-        df.where(F.col(BUCKET).isNotNull())
-        .groupBy(*keys, BUCKET)
-        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__edge"))
-        .withColumn("__edge", F.last("__edge", ignorenulls=True).over(before))
+    near = F.last(value, ignorenulls=True).over(_parts(line).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    in_bucket = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+    before = Window.partitionBy(*line.keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return _fill(line, near, in_bucket, F.last("__edge", ignorenulls=True).over(before), name)
+
+
+def _parts(line: Timeline):
+    return Window.partitionBy(*line.keys, BUCKET) if line.buckets else Window.partitionBy(*line.keys)
+
+
+def _fill(line: Timeline, near: Column, in_bucket: Column, across: Column, name: str) -> DataFrame:
+    """The value seen inside a bucket, or else the one its neighbour buckets hand over.
+
+    ``in_bucket`` is aggregated to one row per bucket before its shuffle. The join back is on the
+    columns the rows are partitioned by already, so it moves none of them (a NULL hot key needs a
+    null-safe join, which does). Rows of uncut keys have no bucket and match nothing.
+    """
+    if not line.buckets:
+        return line.rows.withColumn(name, near)
+    columns = [*line.keys, BUCKET]
+    edges = line.rows.where(F.col(BUCKET).isNotNull()).groupBy(*columns).agg(in_bucket.alias("__edge"))
+    edges = edges.withColumn("__edge", across).select("__edge", *[F.col(c).alias(f"__e_{c}") for c in columns])
+    same = _all(
+        F.col(c).eqNullSafe(F.col(f"__e_{c}")) if line.nulls and c != BUCKET else F.col(c) == F.col(f"__e_{c}") for c in columns
     )
-    local = df.withColumn("__local", F.last(value, ignorenulls=True).over(inside))
-    return join_buckets(local, edges, keys).withColumn(name, F.coalesce("__local", "__edge")).drop("__local", "__edge")
+    filled = line.rows.withColumn("__near", near).join(edges, same, "left").withColumn(name, F.coalesce("__near", "__edge"))
+    return filled.drop("__near", "__edge", *[f"__e_{c}" for c in columns])
 
 
-def join_buckets(df: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-bucket values; rows of uncut keys have no bucket and match nothing."""
-    renamed = edges.select(*[F.col(c).alias(f"__e_{c}") if c in (*keys, BUCKET) else F.col(c) for c in edges.columns])
-    same = F.col(BUCKET) == F.col(f"__e_{BUCKET}")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"__e_{key}"))
-    return df.join(renamed, same, "left").drop(*[f"__e_{c}" for c in (*keys, BUCKET)])
+def _all(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions)

@@ -63,11 +63,19 @@ def test_point_in_time_join_with_and_without_hot_keys(spark, hot_rows):
 
 def test_hot_rows_leave_their_key_partition(spark):
     df = spark.createDataFrame(change_log(4), CHANGES)
-    cut = timeline.cut_hot_keys(df, ["user_id"], F.date_trunc("hour", "ts"), 500)
-    buckets = cut.groupBy("user_id").agg(F.count_distinct(timeline.BUCKET).alias("n"), F.count(timeline.BUCKET).alias("cut"))
+    line = timeline.cut_hot_keys(df, ["user_id"], F.date_trunc("hour", "ts"), 500)
+    buckets = line.rows.groupBy("user_id").agg(F.count_distinct(timeline.BUCKET).alias("n"), F.count(timeline.BUCKET).alias("cut"))
     by_user = {r.user_id: (r.n, r.cut) for r in buckets.collect()}
     assert by_user[0][0] > 50 and all(by_user[u] == (0, 0) for u in (1, 2, 3))
-    assert timeline.BUCKET not in timeline.cut_hot_keys(df, ["user_id"], F.col("ts"), 10**9).columns
+    assert not timeline.cut_hot_keys(df, ["user_id"], F.col("ts"), 10**9).buckets
+
+
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_hot_null_keys_and_many_hot_keys(spark, monkeypatch, listed):
+    monkeypatch.setattr(timeline, "LISTED_KEYS", listed)
+    log = [(None if r[0] == 0 else r[0], *r[1:]) for r in change_log(6)]
+    built = history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], hot_rows=300)
+    assert as_list(built) == versions_by_hand(log)
 
 
 def test_latest_row_per_key(spark):
