@@ -45,14 +45,12 @@ def rfm_segments(fact: DataFrame, dim_customer: DataFrame, as_of: Column, tie: s
 def cohort_retention(fact: DataFrame) -> DataFrame:
     """Active customers per first-purchase month and later month, with the share retained.
 
-    Facts shrink to distinct (customer, month) pairs before anything else; a customer's first month
-    is then a window over at most as many rows as there are months.
+    One shuffle of the facts, of at most one set of months per customer and task.
     """
-    active = fact.select("customer_key", month_start(F.col("transaction_date")).alias("transaction_month")).distinct()
-    per_customer = Window.partitionBy("customer_key")
+    month = month_start(F.col("transaction_date"))
+    customers = fact.where(F.col("customer_key").isNotNull()).groupBy("customer_key").agg(F.collect_set(month).alias("months"))
     cells = (
-        active.where(F.col("customer_key").isNotNull())
-        .withColumn("cohort_month", F.min("transaction_month").over(per_customer))
+        customers.select(F.array_min("months").alias("cohort_month"), F.explode("months").alias("transaction_month"))
         .groupBy("cohort_month", "transaction_month")
         .agg(F.count(F.lit(1)).alias("customer_count"))
     )
