@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.functions import rules
 from salesmart.functions.money import mean, percent
+from salesmart.operators.merge import duplicate_keys
 
 PASS = "PASS"
 # Lowest share of valid rows (percent), largest staging load, volume band, freshness limit.
@@ -286,6 +287,13 @@ def require_columns(df: DataFrame, expected: Sequence[str]) -> None:
         raise QualityError(f"missing columns: {missing}")
 
 
+def require_unique(df: DataFrame, column: str) -> None:
+    """Fail if a non-null value occurs twice, such as one hashed key for two business keys."""
+    repeated = duplicate_keys(df, [column]).limit(3).collect()
+    if repeated:
+        raise QualityError(f"{column} is not unique: {[row[0] for row in repeated]}")
+
+
 def column_health(df: DataFrame, not_null: str, unique: str) -> DataFrame:
     """Are all values of one column filled, and of another one distinct?"""
     counted = df.agg(F.count_if(F.col(not_null).isNull()).alias("nulls"), F.count(F.lit(1)).alias("n"))

@@ -84,8 +84,10 @@ def run_star_schema(
     ``days`` is the calendar to fill in; by default it spans the days of the transactions.
     """
     spark = transactions.sparkSession
-    merge_into(spark, f"{root}/dim_customer", star.dim_customer(customers, run_ts), star.scd1_customer)
-    merge_into(spark, f"{root}/dim_product", star.dim_product(products, run_ts), star.scd1_product)
+    dim_customer = merge_into(spark, f"{root}/dim_customer", star.dim_customer(customers, run_ts), star.scd1_customer)
+    dim_product = merge_into(spark, f"{root}/dim_product", star.dim_product(products, run_ts), star.scd1_product)
+    quality.require_unique(dim_customer, "customer_key")
+    quality.require_unique(dim_product, "product_key")
 
     fact = star.fact_sales(transactions, first, last)
     keys = ["customer_key", "product_key"]

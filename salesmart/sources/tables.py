@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from salesmart.session import settle
-
+# Suffixes of a table's next and previous content during a swap.
+NEW, OLD = ".new", ".old"
 EXPORT_FORMATS = ("csv", "json", "parquet")
 
 
@@ -76,10 +76,15 @@ def write_truncate(df: DataFrame, path: str, partition_by: Sequence[str] = (), c
 def replace_from_itself(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
     """Replace a table with a frame computed from it.
 
-    The new content is complete in the shared folder before the old one is touched, and stays
-    there, so a run that dies half way can be finished from it.
+    The new content is written next to the table and then swapped in by two renames. A run that dies
+    in between leaves both copies; :func:`table_exists` finishes or undoes the swap.
     """
-    write_truncate(settle(df, "replace"), path, partition_by, cluster_by)
+    spark = df.sparkSession
+    write_truncate(df, path + NEW, partition_by, cluster_by)
+    drop_folder(spark, path + OLD)
+    rename_folder(spark, path, path + OLD)
+    rename_folder(spark, path + NEW, path)
+    drop_folder(spark, path + OLD)
 
 
 def write_if_empty(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
@@ -170,17 +175,39 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values: set[str]) -> list[str]:
-    fs, _ = _file_system(spark, path)
     for value in values:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}"), True)
+        drop_folder(spark, f"{path}/{column}={value}")
     return sorted(values)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a table? A swap that was cut off (see :func:`replace_from_itself`) is settled first."""
+    if not folder_exists(spark, path) and folder_exists(spark, path + OLD):
+        rename_folder(spark, path + (NEW if is_complete(spark, path + NEW) else OLD), path)
+    return folder_exists(spark, path)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Did the job that wrote this folder finish?"""
+    return folder_exists(spark, f"{path}/_SUCCESS")
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, root = _file_system(spark, path)
     return fs.exists(root)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, root = _file_system(spark, path)
+    fs.delete(root, True)
+
+
+def rename_folder(spark: SparkSession, source: str, target: str) -> None:
+    fs, root = _file_system(spark, source)
+    if not fs.rename(root, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def _file_system(spark: SparkSession, path: str):
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     return root.getFileSystem(spark._jsc.hadoopConfiguration()), root

@@ -14,7 +14,11 @@ from pyspark.sql.types import StructType, TimestampType
 
 from salesmart.operators.history import DELETE, latest_per_key
 from salesmart.operators.star import fact_sales
-from salesmart.sources.tables import replace_from_itself, table_exists, write_append, write_truncate
+from salesmart.sources.tables import (
+    drop_partitions, is_complete, partition_values, table_exists, write_append, write_truncate,
+)
+
+VERSION = "version"
 
 
 def file_stream(spark: SparkSession, pattern: str, schema: StructType, fmt: str = "csv", files_per_batch: int | None = None) -> DataFrame:
@@ -47,22 +51,37 @@ def stream_cdc_apply(
 ) -> DataFrame:
     """Fold a change feed into a state table; return the live rows.
 
-    The state keeps the last change of every key, deletions included. Folding a batch in twice, or
-    batches in another order, therefore ends in the same state.
+    The state keeps the last change of every key, deletions included, so batches may come in any
+    order. Each batch writes its own version of the state from the last complete version before it:
+    a batch that is run again, after any failure, starts from the same version and writes the same.
     """
     spark, schema = changes.sparkSession, changes.schema
 
-    def fold(batch: DataFrame, _batch_id: int) -> None:
+    def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        newest = latest_per_key(batch, [key], order)
-        if table_exists(session, state_path):
-            known = session.read.schema(schema).parquet(state_path)
-            replace_from_itself(latest_per_key(known.unionByName(newest), [key], order), state_path)
-        else:
-            write_truncate(newest, state_path)
+        state = latest_per_key(batch, [key], order)
+        earlier = [v for v in complete_versions(session, state_path) if v < batch_id]
+        if earlier:
+            known = session.read.schema(schema).parquet(version_path(state_path, earlier[-1]))
+            state = latest_per_key(known.unionByName(state), [key], order)
+        write_truncate(state, version_path(state_path, batch_id))
+        drop_partitions(session, state_path, VERSION, {str(v) for v in earlier[:-1]})
 
     run_available(changes.writeStream.foreachBatch(fold), checkpoint)
-    return spark.read.schema(schema).parquet(state_path).where(F.col(op) != DELETE)
+    versions = complete_versions(spark, state_path)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(version_path(state_path, versions[-1])).where(F.col(op) != DELETE)
+
+
+def version_path(state_path: str, version: int) -> str:
+    return f"{state_path}/{VERSION}={version}"
+
+
+def complete_versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Fully written versions of a state table, oldest first."""
+    found = sorted(int(v) for v in partition_values(spark, state_path, VERSION))
+    return [v for v in found if is_complete(spark, version_path(state_path, v))]
 
 
 def stream_fact_sales(raw: DataFrame, target: str, checkpoint: str) -> DataFrame:

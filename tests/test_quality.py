@@ -91,6 +91,9 @@ def test_simple_checks(spark):
     with pytest.raises(quality.QualityError):
         quality.require_true(quality.check_min_rows(raw, 16))
     assert as_set(quality.schema_check(raw, ["order_id", "nope"])) == {("order_id", True), ("nope", False)}
+    quality.require_unique(raw, "order_id")
+    with pytest.raises(quality.QualityError, match="customer_id is not unique"):
+        quality.require_unique(raw, "customer_id")
     with pytest.raises(quality.QualityError, match="nope"):
         quality.require_columns(raw, ["order_id", "nope"])
     assert tuple(quality.column_health(raw, "customer_id", "customer_id").first()) == (True, False)

@@ -47,6 +47,8 @@ def test_change_feed_ends_in_the_same_state(spark, tmp_path, order):
     got = ingest.stream_cdc_apply(stream, str(tmp_path / "state"), str(tmp_path / "progress"), "user_id", ["seq"])
     want = latest_per_key(spark.createDataFrame(rows, FEED), ["user_id"], ["seq"]).where("op <> 'DELETE'")
     assert as_set(got) == as_set(want)
+    versions = ingest.complete_versions(spark, str(tmp_path / "state"))
+    assert versions == ([0] if order == "one batch" else [1, 2])
 
 
 def test_late_and_repeated_sales_are_kept_once(spark, tmp_path):

@@ -76,6 +76,19 @@ def test_write_dispositions(spark, path):
     assert stored(spark, path) == {("2024-01-01", 1)}
 
 
+def test_a_swap_that_was_cut_off_is_settled(spark, path):
+    old, new = days(spark, ("2024-01-01", 1)), days(spark, ("2024-01-01", 2))
+    tables.write_truncate(old, path + tables.OLD)
+    new.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path + tables.NEW)
+    assert tables.table_exists(spark, path) and stored(spark, path) == {("2024-01-01", 1)}
+    tables.rename_folder(spark, path, path + tables.OLD)
+    tables.write_truncate(new, path + tables.NEW)
+    assert tables.table_exists(spark, path) and stored(spark, path) == {("2024-01-01", 2)}
+    tables.replace_from_itself(spark.read.parquet(path).withColumn("v", F.col("v") + 1), path)
+    assert stored(spark, path) == {("2024-01-01", 3)}
+    assert not tables.folder_exists(spark, path + tables.OLD) and not tables.folder_exists(spark, path + tables.NEW)
+
+
 def test_partition_reloads_are_idempotent_and_complete(spark, path):
     tables.overwrite_partitions(days(spark, ("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)), path, ["day"])
     for _ in range(2):
