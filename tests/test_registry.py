@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, canonical
+from salesmart.plans.driver_oracle import ORACLES
+from salesmart.plans.driver_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="given tables not here")
@@ -22,7 +24,8 @@ def db():
 
 
 def test_names_agree():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -30,7 +33,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = contract.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
