@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import compression_quality
+from salesmart.llm import compression_quality, html_extract
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_pages(pages).select("page_id", "url", "article.*")
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and compression verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -20,6 +26,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op10_compression_quality": op10_compression_quality,
 }
 ORACLES: dict[str, str] = {}
