@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract
+from salesmart.llm import compression_quality, html_extract, shuffle_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,17 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(pages).select("page_id", "url", "article.*")
 
 
+def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 40 shards of equal counts, read from the written shards."""
+    placed = shuffle_shards.place_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
+    stored = shuffle_shards.read_shards(placed, shuffle_shards.write_shards(placed))
+    text = F.coalesce("text", F.lit(""))
+    return stored.select(
+        "doc_id", (F.octet_length(text) + shuffle_shards.RECORD_BYTES).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and compression verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,6 +39,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
 }
 ORACLES: dict[str, str] = {}
