@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract, shuffle_shards
+from salesmart.llm import compression_quality, html_extract, shuffle_shards, warc_zstd
+from salesmart.session import settle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,14 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(pages).select("page_id", "url", "article.*")
 
 
+def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    marked = warc_zstd.mark_revisits(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    archives = settle(warc_zstd.write_archives(marked), "warc")
+    records = warc_zstd.read_archives(archives, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled into 40 shards of equal counts, read from the written shards."""
     placed = shuffle_shards.place_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
@@ -39,7 +48,17 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op3_warc_zstd": op3_warc_zstd,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc_zstd": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        g AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id > first THEN first END AS refers_to
+        FROM p LEFT JOIN g USING (payload_digest)""",
+}
