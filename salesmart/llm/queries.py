@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, html_extract, pii_crf, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -21,6 +21,12 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(pages).select("page_id", "url", "article.*")
 
 
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_crf.find_personal_data(docs).select("doc_id", "personal.*")
+
+
 def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back."""
     marked = warc_zstd.mark_revisits(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -48,6 +54,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op2_pii_crf": op2_pii_crf,
     "op3_warc_zstd": op3_warc_zstd,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
