@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract, pii_crf, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, html_extract, pii_crf, secret_links, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -35,6 +35,11 @@ def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_links.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled into 40 shards of equal counts, read from the written shards."""
     placed = shuffle_shards.place_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_pii_crf": op2_pii_crf,
     "op3_warc_zstd": op3_warc_zstd,
+    "op4_secret_links": op4_secret_links,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
 }
