@@ -25,19 +25,19 @@ from salesmart.session import scratch_path, settle
 
 #: Bytes a record weighs besides its text.
 RECORD_BYTES = 16
-#: Buckets whose sizes are summed up in one task when the offsets are made.
-BUCKETS_A_GROUP = 4096
+#: Cells whose counts are summed up in one task when the offsets are made.
+CELLS_A_GROUP = 4096
 
 
 def _offsets(counts: DataFrame) -> DataFrame:
-    """``counts`` (bucket, part, n) with the rows before each; no task sees all buckets."""
-    grouped = counts.withColumn("grp", F.expr(f"bucket div {BUCKETS_A_GROUP}"))
+    """(cell, first) of ``counts`` (cell, n): the rows before each cell; no task sees all cells."""
+    grouped = counts.withColumn("grp", F.expr(f"cell div {CELLS_A_GROUP}"))
     before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     groups = grouped.groupBy("grp").agg(F.sum("n").alias("n")).select(
         "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("grp").orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("grp").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     return grouped.join(groups, "grp").select(
-        "bucket", "part", (F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("first"))
+        "cell", (F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("first"))
 
 
 def place_rows(
@@ -60,21 +60,22 @@ def place_rows(
     counts = settle(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "bucket-counts")
     parts = F.ceil(F.col("bytes") / bucket_bytes)
     large = counts.filter((F.col("bytes") > oversize * bucket_bytes) & (F.col("n") > 1)).select("bucket", parts.alias("parts"))
-    if large.isEmpty():
-        rows = rows.withColumn("part", F.lit(0).cast("long"))
-        counts = counts.select("bucket", F.lit(0).cast("long").alias("part"), "n")
+    most = large.agg(F.max("parts")).first()[0]
+    # A cell is a bucket, or a part of one.
+    if most is None:
+        rows, counts = rows.withColumnRenamed("bucket", "cell"), counts.select(F.col("bucket").alias("cell"), "n")
     else:
-        rows = rows.join(large, "bucket", "left").withColumn(
-            "part", F.coalesce(F.pmod(F.xxhash64(F.lit(seed), "at"), "parts"), F.lit(0).cast("long"))).drop("parts")
-        counts = settle(rows.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n")), "part-counts")
+        part = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), "at"), "parts"), F.lit(0))
+        rows = rows.join(large, "bucket", "left").withColumn("cell", F.col("bucket") * most + part)
+        counts = settle(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cell-counts")
 
     filled = (
-        rows.select("bucket", "part", F.struct("draw", "row").alias("record"))
-        .repartition("bucket", "part")
-        .groupBy("bucket", "part").agg(F.array_sort(F.collect_list("record")).alias("records"))
-        .join(_offsets(counts), ["bucket", "part"])
-        # The draws of shuffle() go on from row to row, so a fixed order of buckets makes a run repeatable.
-        .sortWithinPartitions("bucket", "part")
+        rows.select("cell", F.struct("draw", "row").alias("record"))
+        .repartition("cell")
+        .groupBy("cell").agg(F.array_sort(F.collect_list("record")).alias("records"))
+        .join(_offsets(counts), "cell")
+        # The draws of shuffle() go on from row to row, so a fixed order of cells makes a run repeatable.
+        .sortWithinPartitions("cell")
         .select("first", F.shuffle("records", seed).alias("records"))
         .select("first", F.posexplode("records").alias("pos", "record"))
     )
