@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract, pii_crf, secret_links, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, html_extract, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -40,6 +40,12 @@ def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occurred before."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_winnow.drop_repeated_runs(docs, counts=True)
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled into 40 shards of equal counts, read from the written shards."""
     placed = shuffle_shards.place_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
@@ -62,10 +68,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_crf": op2_pii_crf,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_secret_links": op4_secret_links,
+    "op7_line_winnow": op7_line_winnow,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
 }
 ORACLES: dict[str, str] = {
+    # Whole windows are compared as lists of lines: no hashes and no fingerprints.
+    "op7_line_winnow": r"""
+        WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+        l AS (SELECT doc_id, len(ls) AS n_lines, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
+        p AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto,
+                     coalesce(lead(pos) OVER (PARTITION BY doc_id ORDER BY pos), n_lines) - 1 AS stop
+              FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l) WHERE words > 0),
+        w AS (
+            SELECT doc_id, min(pos) OVER f AS a, max(stop) OVER f AS b, sum(words) OVER f AS n, list(line) OVER f AS ls
+            FROM (SELECT *, upto - words AS before FROM p)
+            WINDOW f AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+            UNION ALL
+            SELECT doc_id, min(pos) OVER f, max(stop) OVER f, sum(words) OVER f, list(line) OVER f FROM p
+            WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+        g AS (SELECT ls, min((doc_id, a)) AS earliest FROM w WHERE n >= 50 GROUP BY ls),
+        x AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN (SELECT doc_id, a, b FROM w JOIN g USING (ls) WHERE n >= 50 AND (doc_id, a) > earliest) r
+              ON l.doc_id = r.doc_id AND l.pos BETWEEN r.a AND r.b)
+        SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (gone IS NULL), '') END AS text,
+               CAST(count(pos) AS BIGINT) AS n_lines, CAST(count(gone) AS BIGINT) AS n_removed
+        FROM (SELECT documents.doc_id, documents.text, l.line, l.pos, x.pos AS gone
+              FROM documents LEFT JOIN l ON documents.doc_id = l.doc_id LEFT JOIN x ON x.doc_id = l.doc_id AND x.pos = l.pos)
+        GROUP BY doc_id, text""",
     "op3_warc_zstd": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest

@@ -1,0 +1,96 @@
+import random
+
+import pytest
+
+from salesmart.llm import line_winnow
+
+
+def brute(docs, least):
+    """Removed line numbers of each document: lines in a run of ``least`` words that occurred at an earlier place."""
+    order = sorted(docs)
+    held = [(d, [(i, x, len(x.split())) for i, x in enumerate(docs[d].split("\n")) if x.split()]) for d in order]
+    seen, gone = {}, {d: set() for d in order}
+    runs = []
+    for at, (d, lines) in enumerate(held):
+        for a in range(len(lines)):
+            words = 0
+            for b in range(a, len(lines)):
+                words += lines[b][2]
+                if words >= least:
+                    runs.append((at, a, b))
+    for at, a, b in runs:  # in the order of places
+        key = tuple(x for _, x, _ in held[at][1][a:b + 1])
+        seen.setdefault(key, (at, a))
+    for at, a, b in runs:
+        d, lines = held[at]
+        if seen[tuple(x for _, x, _ in lines[a:b + 1])] < (at, a):
+            after = lines[b + 1][0] if b + 1 < len(lines) else len(docs[d].split("\n"))
+            gone[d].update(range(lines[a][0], after))
+    return gone
+
+
+def run(spark, docs, least):
+    frame = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string").repartition(3)
+    return {r.doc_id: r for r in line_winnow.drop_repeated_runs(frame, least, counts=True).collect()}
+
+
+@pytest.mark.parametrize("seed,least", [(1, 5), (2, 5), (3, 8), (4, 1), (5, 12)])
+def test_equals_brute_force(spark, seed, least):
+    draw = random.Random(seed)
+    pool = [" ".join(draw.choices("abcdefgh", k=draw.randint(0, 6))) for _ in range(25)]
+    docs = {}
+    for i in range(60):
+        lines = [draw.choice(pool) for _ in range(draw.randint(0, 8))]
+        if docs and draw.random() < 0.7:
+            other = draw.choice(list(docs.values())).split("\n")
+            cut = draw.randint(0, len(other))
+            at = draw.randint(0, len(lines))
+            lines[at:at] = other[cut:cut + draw.randint(0, 6)]
+        docs[i] = "\n".join(lines)
+    got, gone = run(spark, docs, least), brute(docs, least)
+    for i, text in docs.items():
+        lines = text.split("\n")
+        assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in gone[i]), i
+        assert (got[i].n_lines, got[i].n_removed) == (len(lines), len(gone[i]))
+
+
+def test_first_place_keeps_the_passage_whole(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    own = ["x " * 20 + str(i) for i in range(5)]
+    docs = {i: f"{own[i]}\n{passage}\nend {i}" for i in range(5)}
+    got = run(spark, docs, 50)
+    assert got[0].text == docs[0] and all(got[i].text == f"{own[i]}\nend {i}" for i in range(1, 5))
+
+
+def test_short_repeats_stay(spark):
+    docs = {i: "Released under a licence.\n" + " ".join(f"t{i}_{k}" for k in range(80)) for i in range(4)}
+    assert all(r.n_removed == 0 and r.text == docs[i] for i, r in run(spark, docs, 50).items())
+
+
+def test_repeats_within_a_document(spark):
+    line = " ".join(f"w{i}" for i in range(30))
+    assert run(spark, {1: "\n".join([line] * 6)}, 50)[1].text == line
+
+
+def test_nulls_repeats_long_texts_and_clashing_columns(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    long = "\n".join(f"{i} " + "word " * 9 for i in range(20_000))
+    rows = [(None, passage, 1), (1, None, 2), (2, "", 3), (3, passage + "\n\nz", 4), (3, passage + "\n\nz", 4), (4, long, 5), (5, "a\n" + long, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pos int").selectExpr("*", "pos AS gone", "pos AS doc", "'k' AS hash", "1 AS n_lines")
+    out = line_winnow.drop_repeated_runs(docs)
+    assert out.columns == docs.columns
+    got = sorted((r.pos, r.text, r.gone, r.hash) for r in out.collect())
+    assert [g[1] for g in got] == [passage, None, "", "z", "z", long, "a"]
+    assert line_winnow.drop_repeated_runs(docs.limit(0)).collect() == []
+
+
+def test_hot_passage(spark):
+    docs = spark.range(0, 2000, 1, 6).selectExpr(
+        "id AS doc_id", "concat(CASE WHEN id % 3 = 0 THEN concat(repeat('same ', 60), '\n') ELSE '' END, repeat(concat('w', id, ' '), 55)) AS text")
+    got = line_winnow.drop_repeated_runs(docs, counts=True).groupBy("n_removed").count().collect()
+    assert {(r.n_removed, r["count"]) for r in got} == {(0, 1334), (1, 666)}
+
+
+def test_main_path_has_no_python(spark):
+    plan = line_winnow.drop_repeated_runs(spark.range(5).selectExpr("id AS doc_id", "string(id) AS text"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
