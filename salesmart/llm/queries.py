@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, html_extract, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, config_packing, html_extract, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -40,6 +41,12 @@ def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens, packed into sequences of 4096."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return config_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occurred before."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_crf": op2_pii_crf,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_secret_links": op4_secret_links,
+    "op6_config_packing": op6_config_packing,
     "op7_line_winnow": op7_line_winnow,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
