@@ -92,7 +92,8 @@ def drop_repeated_runs(
     )
     rows = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     gone = settle(gone, "removed-lines").select(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash"), "gone")
-    joined = rows.join(gone, rows["id"].eqNullSafe(gone["gone_id"]) & (rows["hash"] == gone["gone_hash"]), "left")
+    # Removals grow with the documents: the same join at every size, and one that need not sort the texts.
+    joined = rows.join(gone.hint("shuffle_hash"), rows["id"].eqNullSafe(gone["gone_id"]) & (rows["hash"] == gone["gone_hash"]), "left")
     lines = F.split(F.col(f"row.`{text}`"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     cut = F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
