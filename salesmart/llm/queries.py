@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, config_packing, html_extract, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, config_packing, html_extract, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -41,6 +41,12 @@ def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_leak_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the alignment."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leak_align.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op6_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as tokens, packed into sequences of 4096."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_crf": op2_pii_crf,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_secret_links": op4_secret_links,
+    "op5_leak_align": op5_leak_align,
     "op6_config_packing": op6_config_packing,
     "op7_line_winnow": op7_line_winnow,
     "op9_shuffle_shards": op9_shuffle_shards,

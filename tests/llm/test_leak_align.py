@@ -1,0 +1,145 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from salesmart.llm import leak_align as la
+from salesmart.llm import queries, word_hash
+
+S = la.Settings()
+
+
+def vocabulary(n, seed=0):
+    r = random.Random(seed)
+    return ["".join(r.choices("abcdefghiklmnoprstu", k=r.randint(2, 9))) for _ in range(n)]
+
+
+VOCABULARY = vocabulary(3000)
+
+
+def prose(n, r):
+    return " ".join(r.choice(VOCABULARY[:30]) if r.random() < 0.4 else r.choice(VOCABULARY) for _ in range(n))
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower())
+
+
+def best_score(item, text):
+    """Smith-Waterman over the whole text, cell by cell."""
+    a, b, best = words(item), words(text), 0
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(0, row[j] + (2 if x == y else -1), row[j + 1] - 1, new[j] - 1))
+        best, row = max(best, *new), new
+    return best / (2 * len(a)) if a else 0.0
+
+
+def edit(text, share, r):
+    out = []
+    for w in text.split():
+        x = r.random()
+        out += [] if x < share / 3 else [w, r.choice(VOCABULARY)] if x < 2 * share / 3 else [r.choice(VOCABULARY)] if x < share else [w]
+    return " ".join(out)
+
+
+def frames(spark, docs, items):
+    return (spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3),
+            spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+
+
+def test_words_of_chunks():
+    texts = ["A b-c", None, "", "É, é", "x" * 50, "end", "", "start end"]
+    for size in (1, 7, 1 << 20):
+        got = {}
+        for low, high, found in word_hash.chunks(la._lower(pa.array(texts)), la.TABLE, size):
+            for i in range(low, high):
+                got[i] = found.hashes[found.first[i - low]:found.first[i - low + 1]].tolist()
+        names = {}
+        for i, text in enumerate(texts):
+            assert len(got[i]) == len(words(text))
+            for w, h in zip(words(text), got[i]):
+                assert names.setdefault(w, h) == h
+        assert len(set(names.values())) == len(names)
+
+
+def test_alignment_is_smith_waterman():
+    r = random.Random(1)
+    for _ in range(200):
+        a, b = (np.array(r.choices(range(6), k=r.randint(1, 12)), np.uint64) for _ in range(2))
+        score, end = la.align(a, b)
+        assert score / (2 * len(a)) == pytest.approx(best_score(" ".join(f"w{x}" for x in a), " ".join(f"w{x}" for x in b)))
+        assert la.align(a, b[:end])[0] == score
+
+
+def test_copies_and_edited_copies_are_found_and_others_left_alone(spark):
+    r = random.Random(2)
+    items = [prose(r.randint(12, 60), r) for _ in range(30)]
+    docs, want = [], {}
+    for i in range(240):
+        text = [prose(r.randint(0, 120), r), prose(r.randint(0, 120), r)]
+        if i % 4 == 0:
+            k = r.randrange(30)
+            copy = edit(items[k], r.choice([0, 0, 0.1, 0.2]), r)
+            text.insert(1, copy.upper() if i % 8 == 0 else copy.replace(" ", ", "))
+            want[i] = k
+        docs.append("\n".join(text))
+    few = la.Settings(rare_share=1e-3)  # of a small corpus
+    rows = la.find_leaks(*frames(spark, docs, items), few).collect()
+    found = {(r.doc_id, r.item_id) for r in rows}
+    scores = {(i, k): best_score(item, d) for i, d in enumerate(docs) for k, item in enumerate(items)}
+    assert {p for p, s in scores.items() if s >= 0.6} <= found <= {p for p, s in scores.items() if s >= S.least_score}
+    assert found <= set(want.items()) and len(found) >= 0.95 * len(want)
+    for row in rows:
+        assert row.score == pytest.approx(best_score(items[row.item_id], docs[row.doc_id]))
+        own = words(docs[row.doc_id])[row.first_word:row.last_word + 1]
+        assert best_score(items[row.item_id], " ".join(own)) == pytest.approx(row.score)
+
+
+def test_a_passage_in_a_third_of_all_documents(spark):
+    r = random.Random(3)
+    items = [prose(30, r), prose(30, r)]
+    docs = [prose(40, r) + (f"\n{items[0]}\n" + prose(20, r) if i % 3 == 0 else "") for i in range(600)]
+    rows = la.find_leaks(*frames(spark, docs, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(i, 0) for i in range(0, 600, 3)}
+    docs, bench = frames(spark, docs, items)
+    assert la.drop_leaking(docs, bench).count() == 400
+
+
+def test_blocks_give_the_same_rows(spark):
+    r = random.Random(4)
+    items = [prose(20, r) for _ in range(20)]
+    docs = [prose(30, r) + " " + items[i % 20] for i in range(40)]
+    whole, split = (la.find_leaks(*frames(spark, docs, items), block_bytes=b).collect() for b in (1 << 20, 300))
+    assert len(whole) == 40 and sorted(whole) == sorted(split)
+
+
+def test_nulls_short_and_long_texts_repeats_and_clashing_columns(spark):
+    r = random.Random(5)
+    long_item, item = prose(1500, r), prose(25, r)
+    long_text = prose(60_000, r) + " " + item + " " + prose(1000, r)
+    rows = [(None, None), (1, ""), (None, item), (2, item), (2, item), (3, long_text), (4, prose(100, r) + " " + long_item), (5, "one two three")]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, item int, leak int")
+    bench = spark.createDataFrame([("a", item), ("b", long_item), ("c", None), ("d", "one two three"), (None, item)], "item_id string, text string")
+    got = sorted((str(r.doc_id), str(r.item_id)) for r in la.find_leaks(docs, bench).collect())
+    assert got == sorted([(d, i) for d in ("None", "2", "2", "3") for i in ("a", "None")] + [("4", "b")])
+    kept = la.drop_leaking(docs, bench)
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None"]
+    assert la.find_leaks(docs.limit(0), bench).collect() == [] and la.find_leaks(docs, bench.limit(0)).collect() == []
+    assert la.drop_leaking(docs, bench.limit(0)).count() == 8
+
+
+def test_given_documents_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = queries.op5_leak_align(spark, sf).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    held = {i: words(t) for i, t in items.items()}
+    found = {(d, i) for d, t in docs.items() for i, w in held.items() if " " + " ".join(w) + " " in " " + " ".join(words(t)) + " "}
+    assert found <= {(r.doc_id, r.item_id) for r in rows}
+    for r in rows:
+        assert r.score == pytest.approx(best_score(items[r.item_id], docs[r.doc_id]))
