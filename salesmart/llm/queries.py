@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, config_packing, html_extract, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
+from salesmart.llm import compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
 from salesmart.session import settle
 
 
@@ -59,6 +59,12 @@ def op7_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_winnow.drop_repeated_runs(docs, counts=True)
 
 
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyperminhash.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled into 40 shards of equal counts, read from the written shards."""
     placed = shuffle_shards.place_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
@@ -84,10 +90,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_leak_align": op5_leak_align,
     "op6_config_packing": op6_config_packing,
     "op7_line_winnow": op7_line_winnow,
+    "op8_hyperminhash": op8_hyperminhash,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
 }
 ORACLES: dict[str, str] = {
+    # All pairs that share a shingle, then all that are reachable: no sketches.
+    "op8_hyperminhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: ws[i:i + 3])
+                                                  WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+              GROUP BY x.doc_id, y.doc_id),
+        l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+        r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        m AS (SELECT a AS doc_id, min(b) AS low FROM r GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+               doc_id <= coalesce(low, doc_id) AS kept
+        FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
     # Whole windows are compared as lists of lines: no hashes and no fingerprints.
     "op7_line_winnow": r"""
         WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
