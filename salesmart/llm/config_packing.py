@@ -19,23 +19,57 @@ repeated ids and rows are packed one by one; an empty table packs nothing.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salesmart.llm import word_hash
 from salesmart.session import settle
 
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
+#: Letters A to Z count as lowered, which the vocabulary does anyway.
+TABLE = word_hash.byte_table(word_hash.SPACES)
+
+
+@dataclass
+class Lists:
+    """Lists of ids: all ids one after the other, and each list's length."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+
+    @staticmethod
+    def of(lists: list[list[int]]) -> Lists:
+        return Lists(np.fromiter(chain.from_iterable(lists), "<u4"), np.array([len(x) for x in lists], np.int64))
+
+    @staticmethod
+    def joined(parts: list[Lists]) -> Lists:
+        some = [Lists.of([]), *parts]
+        return Lists(np.concatenate([x.ids for x in some]), np.concatenate([x.lengths for x in some]))
+
+    def take(self, rows: np.ndarray) -> Lists:
+        """The lists of these rows, in this order."""
+        lengths = self.lengths[rows]
+        upto = np.cumsum(lengths)
+        starts = (np.cumsum(self.lengths) - self.lengths)[rows]
+        return Lists(self.ids[np.repeat(starts - (upto - lengths), lengths) + np.arange(lengths.sum())], lengths)
+
+
+@lru_cache(2)
+def tokens_of(path: str) -> Tokens:
+    """One encoder a worker process, whatever the number of its tasks."""
+    return Tokens(path)
 
 
 class Tokens:
@@ -43,10 +77,11 @@ class Tokens:
 
     The vocabulary lowers all letters, and its pre-tokenizer drops white space, matches nothing across it and
     cuts words of letters from the marks behind them. So what stands between two ASCII separators is encoded once
-    and remembered, and words of letters are encoded many at a time and told apart by their last tokens.
+    and remembered under its 64-bit hash; a chunk of texts becomes ids by array operations. Words of letters
+    are encoded many at a time and told apart by their last tokens.
     """
 
-    def __init__(self, path: str, remembered: int = 1 << 18, window: int = 1 << 20) -> None:
+    def __init__(self, path: str, remembered: int = 1 << 22, chunk_bytes: int = word_hash.CHUNK_BYTES) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks use the cores already
@@ -54,71 +89,73 @@ class Tokens:
         names = self.encoder.get_vocab()
         self.last = np.zeros(max(names.values()) + 1, bool)
         self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.known: dict[bytes, bytes] = {}
-        self.remembered, self.window = remembered, window
+        self.remembered, self.chunk_bytes = remembered, chunk_bytes
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # of the words, sorted
+        self.rows = np.zeros(0, np.int64)  # of each hash
+        self.lists = Lists.of([])  # of each row: its ids
 
-    def _plain(self, texts: list[bytes]) -> list[bytes]:
-        found = self.encoder.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+    def _plain(self, texts: list[bytes]) -> list[list[int]]:
+        return [f.ids for f in self.encoder.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes], at_once: int = 500) -> None:
-        """Remembers words of letters."""
+    def _letters(self, words: list[bytes], at_once: int = 500) -> Lists:
+        """Ids of words of letters."""
+        found = []
         for i in range(0, len(words), at_once):
             some = words[i:i + at_once]
             ids = np.array(self.encoder.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some):
-                joined, at = ids.tobytes(), 0
-                for word, end in zip(some, (4 * ends).tolist()):
-                    self.words[word] = joined[at:end]
-                    at = end
+                found.append(Lists(ids, np.diff(ends, prepend=0)))
             else:  # not all were words of letters to the tokenizer
-                self.words.update(zip(some, self._plain(some)))
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of texts that fit in memory together, words by words."""
-        # A special token counts by its exact letters, so texts that may name one are not lowered.
-        split = [None if b"<|" in t else t.lower().split() for t in texts]
-        new = set().union(*[c for c in split if c]).difference(self.known)
-        if len(self.known) + len(new) > self.remembered:
-            self.known.clear()
-            new = set().union(*[c for c in split if c])
-        if new:
-            parts = {c: c.rstrip(b".,;:!?") for c in new}
-            parts = {c: w for c, w in parts.items() if w.isalpha() or normalize("NFC", w.decode()).lower().isalpha()}
-            if len(self.words) + len(parts) > 2 * self.remembered:
-                self.words.clear()
-            marks = {c[len(w):] for c, w in parts.items()}
-            self._learn(list(set(parts.values()).difference(self.words)))
-            rest = list(marks | (new - parts.keys()))
-            self.known.update(zip(rest, self._plain(rest)))
-            for c, w in parts.items():
-                self.known[c] = self.words[w] + self.known[c[len(w):]]
-        return [self._plain([t])[0] if c is None else b"".join(map(self.known.__getitem__, c)) for t, c in zip(texts, split)]
-
-    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
-        """Ids of each text; a long text goes in windows that end at white space."""
-        held: list[bytes] = []
-        size = 0
-        for text in texts:
-            if len(text) > self.window:
-                yield from self._encode(held)
-                held, size = [], 0
-                parts, at = [], 0
-                while at < len(text):
-                    cut = SPACE.search(text, min(len(text), at + self.window))
-                    end = cut.start() if cut else len(text)
-                    parts += self._encode([text[at:end]])
-                    at = end
-                yield b"".join(parts)
-                continue
-            held.append(text)
-            size += len(text)
-            if size >= self.window:
-                yield from self._encode(held)
-                held, size = [], 0
-        yield from self._encode(held)
+                found.append(Lists.of(self._plain(some)))
+        return Lists.joined(found)
+
+    def _learn(self, words: list[bytes]) -> Lists:
+        """Ids of words: letters with marks behind them, and others."""
+        stems = [w.rstrip(b".,;:!?") for w in words]
+        letters = [w for w in dict.fromkeys(stems) if w.isalpha() or normalize("NFC", w.decode()).lower().isalpha()]
+        pieces = dict(zip(letters, range(len(letters))))
+        # What else there is to encode: words of another kind, and the marks behind those of letters.
+        others = [w if stem not in pieces else w[len(stem):] for w, stem in zip(words, stems)]
+        rest = list(dict.fromkeys(others))
+        number = dict(zip(rest, range(len(letters), len(letters) + len(rest))))
+        pool = Lists.joined([self._letters(letters), Lists.of(self._plain(rest)), Lists.of([[]])])
+        nothing = len(letters) + len(rest)
+        pairs = np.array([[pieces.get(stem, nothing) for stem in stems], [number[o] for o in others]], np.int64).T
+        both = pool.take(pairs.ravel())
+        return Lists(both.ids, both.lengths.reshape(-1, 2).sum(1))
+
+    def _rows(self, words: word_hash.Words) -> np.ndarray:
+        """Each word's row, words new to us added."""
+        hashes, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(hashes) > self.remembered:
+            self.forget()
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.append(self.hashes, np.uint64(0))[place] != hashes
+        new |= place == len(self.hashes)
+        if new.any():
+            data = words.data.tobytes()
+            first = at[new]
+            learned = self._learn([data[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())])
+            self.rows = np.insert(self.rows, place[new], np.arange(len(self.hashes), len(self.hashes) + len(first)))
+            self.hashes = np.insert(self.hashes, place[new], hashes[new])
+            self.lists = Lists.joined([self.lists, learned])
+        return self.rows[np.searchsorted(self.hashes, hashes)][back]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text."""
+        # A special token counts by its exact letters, and a zero byte is no letter: such texts are encoded as they are.
+        odd = pc.fill_null(pc.or_(pc.match_substring(texts, "<|"), pc.match_substring(texts, "\0")), False)
+        apart = {i: texts[i].as_py().encode() for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
+        for low, high, words in word_hash.chunks(pc.if_else(odd, "", texts), TABLE, self.chunk_bytes):
+            rows = self._rows(words) if len(words.hashes) else np.zeros(0, np.int64)
+            found = self.lists.take(rows)
+            bounds = np.append(0, np.cumsum(found.lengths))[words.first].tolist()
+            for i, (a, b) in enumerate(zip(bounds, bounds[1:]), low):
+                yield np.array(self._plain([apart[i]])[0], "<u4").tobytes() if i in apart else found.ids[a:b].tobytes()
 
 
 def tokenize(
@@ -132,7 +169,7 @@ def tokenize(
     ddl = f"doc_id {key}, piece int, start bigint, length bigint, ids_crc32 bigint, part bigint, number bigint" + ", ids binary" * ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(vocabulary)
+        tokens = tokens_of(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         numbers: dict[int, int] = defaultdict(int)
@@ -140,8 +177,7 @@ def tokenize(
             kind = batch.schema.field(0).type
             rows: list[tuple] = []
             held = 0
-            texts = (body.as_py() or b"" for body in batch.column(1).cast(pa.large_binary()))
-            for name, all_ids in zip(batch.column(0), tokens.encode(texts)):
+            for name, all_ids in zip(batch.column(0), tokens.encode(batch.column(1))):
                 all_ids += end
                 for piece, at in enumerate(range(0, len(all_ids), 4 * capacity)):
                     own = all_ids[at:at + 4 * capacity]

@@ -21,8 +21,12 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def byte_table(separators: bytes) -> np.ndarray:
-    """What each byte becomes: 0 for separators, the byte itself, with A to Z lowered, for others."""
+    """What each byte becomes: 0 for separators, the byte itself, with A to Z lowered, for others.
+
+    The zero byte, where it is no separator, becomes one that UTF-8 has no use for.
+    """
     table = np.arange(256, dtype=np.uint8)
+    table[0] = 0xFF
     table[65:91] += 32
     table[list(separators)] = 0
     return table
@@ -58,17 +62,31 @@ _POWERS = _Powers()
 
 @dataclass
 class Words:
-    """Words of a chunk: each one's hash and place, and where each text's words begin (one more than texts)."""
+    """Words of a chunk: each one's hash, and where each text's words begin (one more than texts).
+
+    ``data`` holds the chunk's bytes after the table, ``starts`` and ``ends`` the words' places in it.
+    """
 
     hashes: np.ndarray
     first: np.ndarray
+    data: np.ndarray | None = None
+    starts: np.ndarray | None = None
+    ends: np.ndarray | None = None
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _POWERS.upto(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data * up[:len(data)], dtype=np.uint64, out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    out = np.zeros(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):  # a long text in parts, which end with a word
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + CHUNK_BYTES, "right")))
+        own = data[starts[low]:ends[high - 1]]
+        begin, end = starts[low:high] - starts[low], ends[low:high] - starts[low]
+        up, down = _POWERS.upto(len(own) + 1)
+        total = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(own * up[:len(own)], dtype=np.uint64, out=total[1:])
+        out[low:high] = (total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        low = high
+    return mix(out)
 
 
 def chunks(texts: pa.Array, table: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
@@ -95,7 +113,7 @@ def chunks(texts: pa.Array, table: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -
         at = at[at > 0]
         end[at - 1] |= inside[at - 1]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        yield low, high, Words(_hashes(own, starts, ends), np.searchsorted(starts, bounds))
+        yield low, high, Words(_hashes(own, starts, ends), np.searchsorted(starts, bounds), own, starts, ends)
         low = high
 
 

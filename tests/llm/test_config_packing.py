@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -20,12 +21,15 @@ def plain(texts):
     return [np.array(encoder.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
-@pytest.mark.parametrize("remembered,window", [(1 << 18, 1 << 20), (20, 1 << 20), (1 << 18, 10)])
-def test_tokens_equal_the_tokenizer(remembered, window):
+@pytest.mark.parametrize("remembered,chunk_bytes", [(1 << 18, 1 << 20), (20, 1 << 10), (1 << 18, 10)])
+def test_tokens_equal_the_tokenizer(remembered, chunk_bytes):
     draw = random.Random(1)
     texts = ODD + [" ".join(draw.choices(" ".join(ODD).split() + ["the", "ing", "Über", "éa."], k=draw.randint(1, 80))) for _ in range(300)]
     texts += ["".join(draw.choices("ab'sİé́ .,!1क़<|>\n", k=30)) for _ in range(500)]
-    assert list(cp.Tokens(VOCABULARY, remembered, window).encode(t.encode() for t in texts)) == plain(texts)
+    encoder = cp.Tokens(VOCABULARY, remembered, chunk_bytes)
+    for some in (texts, [*texts[::-1], "a\0b", "\0"]):
+        assert list(encoder.encode(pa.array(some))) == plain(some)
+    assert list(encoder.encode(pa.array([None, "a", None, "<|"]))) == plain(["", "a", "", "<|"])
 
 
 def test_knapsack_is_optimal():
