@@ -78,11 +78,11 @@ def repeated_runs(docs: DataFrame, least_words: int = 50, doc_id: str = "doc_id"
 
 
 def drop_repeated_runs(
-    docs: DataFrame, least_words: int = 50, doc_id: str = "doc_id", text: str = "text", counts: bool = False,
+    docs: DataFrame, least_words: int = 50, doc_id: str = "doc_id", text: str = "text", counts: bool = False, drop_emptied: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated runs cut out of the text.
 
-    ``counts`` adds ``n_lines`` and ``n_removed``, in place of columns of that name.
+    ``drop_emptied`` leaves out documents of which no word remains. ``counts`` adds ``n_lines`` and ``n_removed``, in place of columns of that name.
     """
     gone = (
         repeated_runs(docs, least_words, doc_id, text)
@@ -97,6 +97,8 @@ def drop_repeated_runs(
     lines = F.split(F.col(f"row.`{text}`"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     cut = F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    if drop_emptied:
+        joined = joined.filter(F.col("gone").isNull() | F.exists(left, lambda i: F.get(lines, i).rlike(WORD)))
     extra = ["n_lines", "n_removed"] if counts else []
     columns = [cut.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns if c not in extra]
     if counts:
