@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesmart.functions.keys import surrogate_key
 from salesmart.operators import timeline
 from salesmart.operators.merge import absent_rows, merge_table
+from salesmart.session import settle
 from salesmart.sources.files import require_filled
 
 # End date of an open version and the operation names of a change feed.
@@ -63,10 +64,11 @@ def scd2_apply(dimension: DataFrame, source: DataFrame, key: str, tracked: Seque
     as_is = source.alias("s").join(
         opened.alias("t"), (F.col(f"s.{key}") == F.col(f"t.{key}")) & ~_differs(tracked), "left_semi"
     )
-    fresh = absent_rows(source, as_is, [key])
+    # Settled: it closes versions and opens new ones.
+    fresh = settle(absent_rows(source, as_is, [key]), "fresh-versions")
     closing = {"effective_end_date": day, "is_current": F.lit(False)}
     kept = merge_table(
-        dimension, fresh.select(key), key, update=closing, update_when=F.col("t.is_current"),
+        dimension, fresh.select(key), key, update=closing, update_when=F.col("t.is_current"), settled=True,
     )
     versions = fresh.select(
         surrogate_key(F.col(key), day).alias("customer_key"), key, *tracked,
@@ -78,15 +80,15 @@ def scd2_apply(dimension: DataFrame, source: DataFrame, key: str, tracked: Seque
 
 def scd2_build(
     changes: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], bucket: Column | None = None,
-    hot_rows: int = timeline.HOT_ROWS,
 ) -> DataFrame:
     """Version history from a change log: one row per run of equal tracked values.
 
     ``order[0]`` is the moment of a change and becomes the validity interval ``[valid_from, valid_to)``.
+    Changes without a moment come first. ``bucket`` (by default the hour) cuts a key's time line into tasks.
     """
     moment = order[0]
-    line = timeline.cut_hot_keys(
-        changes.select(key, *order, *tracked), [key], F.date_trunc("hour", moment) if bucket is None else bucket, hot_rows,
+    line = timeline.cut_keys(
+        changes.select(key, *order, *tracked), [key], F.date_trunc("hour", moment) if bucket is None else bucket,
     )
     before = timeline.with_previous(line, order, tracked, "__before")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__before.{c}")) for c in tracked])
@@ -100,7 +102,7 @@ def scd2_build(
 
 def point_in_time_join(
     facts: DataFrame, versions: DataFrame, key: str, moment: str, attributes: Sequence[str],
-    start: str = "valid_from", end: str = "valid_to", bucket: Column | None = None, hot_rows: int = timeline.HOT_ROWS,
+    start: str = "valid_from", end: str = "valid_to", bucket: Column | None = None,
 ) -> DataFrame:
     """Inner join of facts to the version valid at their moment (``start`` <= moment < ``end``).
 
@@ -122,7 +124,7 @@ def point_in_time_join(
         )
         .where(F.col("__key").isNotNull())
     )
-    cut = timeline.cut_hot_keys(line, ["__key"], F.date_trunc("hour", "__at") if bucket is None else bucket, hot_rows)
+    cut = timeline.cut_keys(line, ["__key"], F.date_trunc("hour", "__at") if bucket is None else bucket)
     carried = timeline.with_latest(cut, ["__at", "__kind"], "__version", "__valid")
     until = F.col("__valid.__end")
     return carried.where(

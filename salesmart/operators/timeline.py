@@ -1,61 +1,36 @@
 """Ordered work per key that survives a key owning a large share of the rows.
 
-A window partitioned by key puts all rows of that key into one task. Here keys above a size limit
-are cut into time buckets, each bucket is handled as a partition of its own, and the value that must
-cross a bucket's edge is worked out on one summary row per bucket. Keys below the limit keep a
-single partition; without any hot key all that is added is one count over the key column.
+A window partitioned by key puts all rows of that key into one task. Here every key is cut into time
+buckets, each bucket is a partition of its own, and the value that must cross a bucket's edge is
+worked out on one summary row per bucket. There is one path for all keys, hot or not, and nothing
+runs before the query does. Rows without a moment form a bucket of their own, which comes first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET = "__bucket"
-HOT_ROWS = 5_000_000
-# Up to this many hot keys are written into the plan; more are found by a join.
-LISTED_KEYS = 1_000
+# Structs hold the key and the bucket: they are equal also where a value in them is NULL, so rows
+# without a key or a moment need no join of their own kind.
+WHO, PART = "__who", "__part"
 
 
 class Timeline(NamedTuple):
-    """Rows with their key; ``buckets`` tells whether hot keys were cut, ``nulls`` whether one is NULL."""
+    """Rows with their key and their bucket."""
 
     rows: DataFrame
-    keys: tuple[str, ...]
-    buckets: bool = False
-    nulls: bool = False
 
     def on(self, rows: DataFrame) -> "Timeline":
         return self._replace(rows=rows)
 
 
-def cut_hot_keys(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int = HOT_ROWS) -> Timeline:
-    """Give the rows of keys with more than ``hot_rows`` rows the bucket ``bucket``; others get none.
-
-    Counts the rows per key at once, combined before its shuffle. At most rows / hot_rows keys can be
-    hot; no more than LISTED_KEYS of them come to the driver.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counts.where(F.col("__rows") > hot_rows).select(*keys)
-    listed = hot.limit(LISTED_KEYS + 1).collect()
-    if not listed:
-        return Timeline(df, tuple(keys))
-    if len(listed) > LISTED_KEYS:
-        marks = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
-        same = _all(F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys)
-        marked = df.join(marks, same, "left").withColumn(BUCKET, F.when(F.col("__hot"), bucket))
-        return Timeline(marked.drop("__hot", *[f"__hot_{k}" for k in keys]), tuple(keys), True, True)
-    nulls = any(value is None for row in listed for value in row)
-    return Timeline(df.withColumn(BUCKET, F.when(_is_listed(keys, listed, nulls), bucket)), tuple(keys), True, nulls)
-
-
-def _is_listed(keys: Sequence[str], listed: list[Row], nulls: bool) -> Column:
-    if len(keys) == 1 and not nulls:
-        return F.col(keys[0]).isin([row[0] for row in listed])
-    return reduce(lambda a, b: a | b, [_all(F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, row)) for row in listed])
+def cut_keys(df: DataFrame, keys: Sequence[str], bucket: Column) -> Timeline:
+    """Cut every key's rows into buckets, which sort as their rows do (NULL first)."""
+    who = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return Timeline(df.withColumn(WHO, who).withColumn(PART, F.struct(F.col(WHO).alias("who"), bucket.alias("bucket"))))
 
 
 def with_previous(line: Timeline, order: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
@@ -70,41 +45,27 @@ def with_next(line: Timeline, order: Sequence[str], columns: Sequence[str], name
 
 def _with_neighbour(line: Timeline, order, columns, name, step, edge) -> DataFrame:
     payload = F.struct(*columns)
-    near = step(payload).over(_parts(line).orderBy(*order))
-    across = step("__edge").over(Window.partitionBy(*line.keys).orderBy(BUCKET))
+    near = step(payload).over(Window.partitionBy(PART).orderBy(*order))
+    across = step("__edge").over(Window.partitionBy("__part.who").orderBy("__part.bucket"))
     return _fill(line, near, edge(payload, F.struct(*order)), across, name)
 
 
 def with_latest(line: Timeline, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add ``name``: the last non-null ``value`` up to and including each row, per key in ``order``."""
-    near = F.last(value, ignorenulls=True).over(_parts(line).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    near = F.last(value, ignorenulls=True).over(
+        Window.partitionBy(PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     in_bucket = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
-    before = Window.partitionBy(*line.keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("__part.who").orderBy("__part.bucket").rowsBetween(Window.unboundedPreceding, -1)
     return _fill(line, near, in_bucket, F.last("__edge", ignorenulls=True).over(before), name)
 
 
-def _parts(line: Timeline):
-    return Window.partitionBy(*line.keys, BUCKET) if line.buckets else Window.partitionBy(*line.keys)
-
-
 def _fill(line: Timeline, near: Column, in_bucket: Column, across: Column, name: str) -> DataFrame:
     """The value seen inside a bucket, or else the one its neighbour buckets hand over.
 
     ``in_bucket`` is aggregated to one row per bucket before its shuffle. The join back is on the
-    columns the rows are partitioned by already, so it moves none of them (a NULL hot key needs a
-    null-safe join, which does). Rows of uncut keys have no bucket and match nothing.
+    column the rows are partitioned by already, so it moves none of them.
     """
-    if not line.buckets:
-        return line.rows.withColumn(name, near)
-    columns = [*line.keys, BUCKET]
-    edges = line.rows.where(F.col(BUCKET).isNotNull()).groupBy(*columns).agg(in_bucket.alias("__edge"))
-    edges = edges.withColumn("__edge", across).select("__edge", *[F.col(c).alias(f"__e_{c}") for c in columns])
-    same = _all(
-        F.col(c).eqNullSafe(F.col(f"__e_{c}")) if line.nulls and c != BUCKET else F.col(c) == F.col(f"__e_{c}") for c in columns
-    )
-    filled = line.rows.withColumn("__near", near).join(edges, same, "left").withColumn(name, F.coalesce("__near", "__edge"))
-    return filled.drop("__near", "__edge", *[f"__e_{c}" for c in columns])
-
-
-def _all(conditions) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    edges = line.rows.groupBy(PART).agg(in_bucket.alias("__edge"))
+    edges = edges.withColumn("__edge", across).withColumnRenamed(PART, "__bucket")
+    filled = line.rows.withColumn("__near", near).join(edges, F.col(PART) == F.col("__bucket"), "left")
+    return filled.withColumn(name, F.coalesce("__near", "__edge")).drop("__near", "__edge", "__bucket")

@@ -30,15 +30,43 @@ def versions_by_hand(log):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 300, 0])
-def test_version_history_with_and_without_hot_keys(spark, hot_rows):
+BUCKETS = {"hour": lambda at: None, "all": lambda at: F.lit(1), "moment": F.col}
+
+
+def built(spark, log, bucket):
+    return history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], bucket=BUCKETS[bucket]("ts"))
+
+
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_version_history_is_the_same_however_keys_are_cut(spark, bucket):
     log = change_log(1)
-    built = history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], hot_rows=hot_rows)
-    assert as_list(built) == versions_by_hand(log)
+    assert as_list(built(spark, log, bucket)) == versions_by_hand(log)
+
 
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_changes_without_a_moment_or_a_key(spark, bucket):
+    """A hot key without a value, and moments missing: those changes come first."""
+    rng = random.Random(8)
+    log = [(None if r[0] == 0 else r[0], None if rng.random() < 0.2 else r[1], *r[2:]) for r in change_log(6)]
+    log += [(77, None, 1, "a"), (77, START + timedelta(hours=5), 2, "a"), (77, START + timedelta(hours=7), 3, "b")]
+    oldest = datetime(1, 1, 1)
+    want = [tuple(None if x == oldest else x for x in v) for v in versions_by_hand([(u, t or oldest, *r) for u, t, *r in log])]
+    assert as_list(built(spark, log, bucket)) == sorted(want, key=repr)
+    assert sum(v[0] == 77 for v in want) == 2
 
-@pytest.mark.parametrize("hot_rows", [10**9, 300, 0])
-def test_point_in_time_join_with_and_without_hot_keys(spark, hot_rows):
+
+def test_building_the_plan_starts_no_job(spark):
+    log = spark.createDataFrame(change_log(3), CHANGES)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    versions = history.scd2_build(log, "user_id", ["ts", "event_id"], ["state"])
+    history.point_in_time_join(log.drop("state"), versions, "user_id", "ts", ["state"])
+    assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_point_in_time_join_is_the_same_however_keys_are_cut(spark, bucket):
     log = change_log(2, 900)
     versions = versions_by_hand(log)
     rng = random.Random(3)
@@ -56,26 +84,15 @@ def test_point_in_time_join_with_and_without_hot_keys(spark, hot_rows):
     got = history.point_in_time_join(
         spark.createDataFrame(facts, "fact_id bigint, user_id bigint, ts timestamp_ntz"),
         spark.createDataFrame(versions, "user_id bigint, state string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"),
-        "user_id", "ts", ["state"], hot_rows=hot_rows,
+        "user_id", "ts", ["state"], bucket=BUCKETS[bucket]("__at"),
     )
     assert as_list(got) == want
 
 
-def test_hot_rows_leave_their_key_partition(spark):
-    df = spark.createDataFrame(change_log(4), CHANGES)
-    line = timeline.cut_hot_keys(df, ["user_id"], F.date_trunc("hour", "ts"), 500)
-    buckets = line.rows.groupBy("user_id").agg(F.count_distinct(timeline.BUCKET).alias("n"), F.count(timeline.BUCKET).alias("cut"))
-    by_user = {r.user_id: (r.n, r.cut) for r in buckets.collect()}
-    assert by_user[0][0] > 50 and all(by_user[u] == (0, 0) for u in (1, 2, 3))
-    assert not timeline.cut_hot_keys(df, ["user_id"], F.col("ts"), 10**9).buckets
-
-
-@pytest.mark.parametrize("listed", [0, 1000])
-def test_hot_null_keys_and_many_hot_keys(spark, monkeypatch, listed):
-    monkeypatch.setattr(timeline, "LISTED_KEYS", listed)
-    log = [(None if r[0] == 0 else r[0], *r[1:]) for r in change_log(6)]
-    built = history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], hot_rows=300)
-    assert as_list(built) == versions_by_hand(log)
+def test_rows_of_a_key_are_spread_over_buckets(spark):
+    line = timeline.cut_keys(spark.createDataFrame(change_log(4), CHANGES), ["user_id"], F.date_trunc("hour", "ts"))
+    sizes = line.rows.groupBy(timeline.PART).count().collect()
+    assert len(sizes) > 200 and max(r["count"] for r in sizes) < 30
 
 
 def test_latest_row_per_key(spark):
