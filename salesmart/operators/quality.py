@@ -16,9 +16,8 @@ from salesmart.functions.money import mean, percent
 from salesmart.operators.merge import duplicate_keys
 
 PASS = "PASS"
-# Lowest share of valid rows (percent), largest staging load, volume band, freshness limit.
+# Lowest share of valid rows (percent), volume band, freshness limit.
 MIN_QUALITY_PCT = 95
-MAX_STAGING_ROWS = 100_000
 VOLUME_LOW, VOLUME_HIGH = 0.5, 1.5
 VOLUME_DAYS = 8
 MAX_AGE_HOURS = 24
@@ -86,8 +85,8 @@ def require_true(check: DataFrame) -> None:
         raise QualityError(f"check failed: {row.asDict()}")
 
 
-def validate_staging(staging: DataFrame, max_rows: int = MAX_STAGING_ROWS) -> DataFrame:
-    """First problem of a staging load, or the pass text."""
+def validate_staging(staging: DataFrame, max_rows: int) -> DataFrame:
+    """First problem of a staging load, or the pass text; ``max_rows`` is what a load may hold at most."""
     rows = F.count(F.lit(1))
     return staging.agg(
         F.when(rows == 0, STAGING_EMPTY)
@@ -119,11 +118,7 @@ def reconcile_counts(staging: DataFrame, production: DataFrame) -> DataFrame:
 
 
 def quality_metrics(clean: DataFrame) -> DataFrame:
-    """Thirteen counts over clean order lines.
-
-    Twelve come from one pass that every task reduces to one row; the distinct ids are counted apart
-    so that the other counts do not travel with every id.
-    """
+    """Thirteen counts over clean order lines, in one pass."""
     def rows_where(condition: Column, name: str) -> Column:
         return F.count_if(condition).alias(name)
 
@@ -141,12 +136,8 @@ def quality_metrics(clean: DataFrame) -> DataFrame:
         rows_where(F.col("discount_amount") > F.col("total_amount"), "invalid_discount_amount"),
         rows_where(F.col("net_amount") < 0, "negative_net_amounts"),
         rows_where(F.col("data_quality_flag") != rules.VALID, "invalid_records"),
-    ).withColumn("duplicate_orders", F.col("total_rows") - distinct_values(clean, "order_id"))
-
-
-def distinct_values(df: DataFrame, column: str) -> Column:
-    """Number of distinct values as a scalar."""
-    return df.agg(F.count_distinct(column)).scalar()
+        (rows - F.count_distinct("order_id")).alias("duplicate_orders"),
+    )
 
 
 def quality_verdicts(metrics: DataFrame) -> DataFrame:
@@ -231,7 +222,8 @@ def fact_alerts(fact: DataFrame) -> DataFrame:
         rows.alias("row_count"),
         F.count_if(F.col("customer_key").isNull() | F.col("product_key").isNull()).alias("null_check"),
         F.count_if(F.col("net_amount") < 0).alias("negative_amount"),
-    ).withColumn("duplicate_check", F.col("row_count") - distinct_values(fact, "transaction_id"))
+        (rows - F.count_distinct("transaction_id")).alias("duplicate_check"),
+    )
     checks = [
         F.struct(F.lit(name).alias("check_name"), F.col(name).alias("issues"), bad.alias("failed"))
         for name, bad in [
@@ -296,7 +288,7 @@ def require_unique(df: DataFrame, column: str) -> None:
 
 def column_health(df: DataFrame, not_null: str, unique: str) -> DataFrame:
     """Are all values of one column filled, and of another one distinct?"""
-    counted = df.agg(F.count_if(F.col(not_null).isNull()).alias("nulls"), F.count(F.lit(1)).alias("n"))
-    return counted.select(
-        (F.col("nulls") == 0).alias("no_nulls"), (F.col("n") == distinct_values(df, unique)).alias("no_duplicates"),
+    return df.agg(
+        (F.count_if(F.col(not_null).isNull()) == 0).alias("no_nulls"),
+        (F.count(F.lit(1)) == F.count_distinct(unique)).alias("no_duplicates"),
     )

@@ -1,89 +1,106 @@
-"""Global n-tiles without sorting all rows in one task."""
+"""Global n-tiles without sorting or moving the rows.
+
+``NTILE(n)`` needs only its n - 1 boundary rows: a row's tile is one more than the number of boundaries
+below it. The boundaries are found by counting: each pass splits the interval of numbers that holds a
+boundary into equal parts and counts the rows of each part, combined in every task, until one
+number is left; rows with that number are told apart by the tie number in the same way. The last pass is a
+projection. A number that very many rows share costs nothing more than any other.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows a range should hold, the least and most ranges of a global order, and the tie ranges that
-# cut a repeated value.
-ROWS_PER_RANGE = 1_000_000
-LEAST_RANGES, MOST_RANGES, TIE_RANGES = 16, 256, 32
+PARTS = 1024  # of an interval in one pass
 _NUMBER = "bigint"
 
 
+@dataclass
+class _Search:
+    """A boundary: the row at ``place`` (from 1) of those that satisfy ``inside``, by ``column``."""
+
+    order: str
+    column: str
+    place: int
+    low: int
+    high: int
+    equal_to: int | None = None  # the number whose ties are being told apart
+
+
 def with_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Column], tie: Column) -> DataFrame:
     """Add one global ``NTILE(tiles)`` column per entry of ``orders`` (name -> ascending whole number).
 
-    Rows with equal numbers are ordered by ``tie``, a unique whole number; NULL numbers come first. Rows are
-    cut into ranges at the approximate quantiles of the number. A number that is itself a cut point
-    may repeat very often and gets a range of its own, cut further at the quantiles of ``tie``. A
-    row's position is its place in its range plus all rows of the ranges before it, so it is exact
-    however the approximate quantiles fall; they only balance the work.
-
-    ``df`` is read several times: hand in a settled frame.
+    Rows with equal numbers are ordered by ``tie``, a unique whole number; NULL numbers come first. The
+    boundaries of all orders are searched together, about two passes for each ten binary digits
+    of the numbers' ranges. ``df`` is read in each pass: hand in a settled frame.
     """
     names = list(orders)
     base = df.select("*", tie.cast(_NUMBER).alias("__tie"), *[orders[n].cast(_NUMBER).alias(f"__v_{n}") for n in names])
-    cuts = _cuts(base, ["__tie", *[f"__v_{n}" for n in names]])
+    ends = [f(c).alias(f"{f.__name__}{c}") for c in ["__tie", *[f"__v_{n}" for n in names]] for f in (F.min, F.max)]
+    seen = base.agg(F.count(F.lit(1)).alias("rows"), *ends).first()
+    for n in names:  # a NULL number is the one below the least
+        base = base.withColumn(f"__v_{n}", F.coalesce(f"__v_{n}", F.lit((seen[f"min__v_{n}"] or 0) - 1)))
+    wanted = [
+        _Search(n, f"__v_{n}", place, (seen[f"min__v_{n}"] or 0) - 1, seen[f"max__v_{n}"] or 0)
+        for n in names for place in _last_places(seen["rows"], tiles)
+    ]
+    numbers = _find(base, wanted)
+    by_tie = [
+        _Search(s.order, "__tie", s.place - before, seen["min__tie"], seen["max__tie"], number)
+        for s, (number, before) in zip(wanted, numbers)
+    ]
+    ties = _find(base, by_tie)
+    tiled = {}
     for n in names:
         v = F.col(f"__v_{n}")
-        points, ties = _numbers(cuts[f"__v_{n}"]), _numbers(cuts["__tie"])
-        place = F.when(v.isNull(), -1).otherwise(_below(points, v) * 2 + F.array_contains(points, v).cast("int"))
-        base = base.withColumn(f"__r_{n}", place).withColumn(
-            f"__p_{n}", F.when(F.pmod(f"__r_{n}", F.lit(2)) == 1, _below(ties, F.col("__tie"))).otherwise(0)
-        )
-
-    ranked = base
-    for n in names:
-        inside = Window.partitionBy(f"__r_{n}", f"__p_{n}").orderBy(f"__v_{n}", "__tie")
-        ranked = ranked.withColumn("__pos", F.row_number().over(inside)).join(
-            F.broadcast(_offsets(base, f"__r_{n}", f"__p_{n}")), [f"__r_{n}", f"__p_{n}"]
-        )
-        ranked = ranked.withColumn(n, tile_of(F.col("__before") + F.col("__pos"), F.col("__all"), tiles))
-        ranked = ranked.drop("__pos", "__before", "__all")
-    return ranked.select(*df.columns, *names)
-
-
-def _cuts(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Distinct approximate quantiles: at most MOST_RANGES numbers per column come to the driver."""
-    points = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).first()
-    ranges = min(MOST_RANGES, max(LEAST_RANGES, row["n"] // ROWS_PER_RANGE))
-    wanted = {"__tie": TIE_RANGES}
-    steps = {c: max(1, MOST_RANGES // wanted.get(c, ranges)) for c in columns}
-    return {c: sorted(set((row[c] or [])[steps[c] - 1 :: steps[c]])) for c in columns}
-
-
-def _numbers(values: list) -> Column:
-    return F.expr(f"cast(array({', '.join(f'{v}L' for v in values)}) as array<{_NUMBER}>)")
+        tile = F.lit(1).cast(_NUMBER)
+        for s, (number, _), (last, _) in zip(wanted, numbers, ties):
+            if s.order == n:
+                beyond = (v > number) | ((v == number) & (F.col("__tie") > last))
+                tile = tile + beyond.cast(_NUMBER)
+        tiled[n] = tile
+    return base.select(*df.columns, *[tiled[n].alias(n) for n in names])
 
 
-def _below(points: Column, value: Column) -> Column:
-    """How many cut points are smaller than ``value``."""
-    return F.size(F.filter(points, lambda p: p < value))
+def _last_places(rows: int, tiles: int) -> list[int]:
+    """Places of the last rows of all tiles but the last; the first ``rows % tiles`` tiles get one row more."""
+    size, extra = divmod(rows, tiles)
+    ends = [tile * size + min(tile, extra) for tile in range(1, tiles)]
+    return [end for end in ends if 0 < end < rows]
 
 
-def _offsets(df: DataFrame, place: str, part: str) -> DataFrame:
-    """Rows before each range, and rows in all.
+def _find(base: DataFrame, searches: list[_Search]) -> list[tuple[int, int]]:
+    """(number, rows with a smaller one) at the place of each search.
 
-    There are at most 2 * MOST_RANGES * TIE_RANGES + 2 ranges (16,386) whatever the data, so one task
-    can add them up and the result can be broadcast.
+    At most ``PARTS`` counts per search come to the driver in a pass.
     """
-    sizes = df.groupBy(place, part).agg(F.count(F.lit(1)).alias("__n"))
-    order = Window.orderBy(place, part)
-    return sizes.select(
-        place, part,
-        F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__all"),
-    )
-
-
-def tile_of(position: Column, rows: Column, tiles: int) -> Column:
-    """The NTILE bucket of a row number: the first ``rows % tiles`` buckets get one row more."""
-    size, extra = F.floor(rows / tiles), rows % tiles
-    in_large = position <= extra * (size + 1)
-    large = F.floor((position - 1) / (size + 1)) + 1
-    small = F.floor((position - 1 - extra) / F.greatest(size, F.lit(1))) + 1
-    return F.when(in_large, large).otherwise(small).cast("bigint")
+    state = [(s.low, s.high, 0) for s in searches]
+    while any(low < high for low, high, _ in state):
+        open_ = sorted({(s.column, s.order, s.equal_to, low, high) for s, (low, high, _) in zip(searches, state) if low < high}, key=repr)
+        cells = []
+        for i, (column, order, equal_to, low, high) in enumerate(open_):
+            inside = F.col(column).between(low, high)
+            if equal_to is not None:
+                inside &= F.col(f"__v_{order}") == equal_to
+            part = F.expr(f"(`{column}` - ({low})) div {_step(low, high)}")
+            cells.append(F.when(inside, F.struct(F.lit(i).alias("i"), part.alias("part"))))
+        rows = base.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c"))
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["c"]["i"], []).append((r["c"]["part"], r["n"]))
+        for k, (s, (low, high, before)) in enumerate(zip(searches, state)):
+            if low < high:
+                step = _step(low, high)
+                for part, n in sorted(counts[open_.index((s.column, s.order, s.equal_to, low, high))]):
+                    if before + n >= s.place:
+                        state[k] = (low + part * step, min(high, low + (part + 1) * step - 1), before)
+                        break
+                    before += n
+    return [(low, before) for low, _, before in state]
+
+
+def _step(low: int, high: int) -> int:
+    return -(-(high - low + 1) // PARTS)

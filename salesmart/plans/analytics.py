@@ -98,42 +98,23 @@ def pair_support(baskets: DataFrame, min_support: int, chunk: int = 512) -> Data
     """Item pairs that share at least ``min_support`` baskets, with the number they share.
 
     ``baskets`` holds distinct (basket, item) rows and is read several times: hand in a settled
-    frame. The result is exact; the work stays bounded by
-    - dropping items that are themselves in fewer than ``min_support`` baskets: no pair of theirs
-      can reach it;
-    - not pairing up the largest baskets of more than ``chunk`` items, up to ``min_support - 1`` of
-      them. A pair that reaches the support must also occur in one of the other baskets, so pairs
-      found there are looked up in the large baskets instead;
-    - spreading the pairs of other baskets of more than ``chunk`` items over several tasks.
+    frame. Items that are themselves in fewer than ``min_support`` baskets are dropped first: no pair
+    of theirs can reach it. Every basket is cut into slices of about ``chunk`` items, and each slice
+    meets the whole basket in a task of its own, so a very large basket is many small pieces of work.
     """
     frequent = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support)
     kept = baskets.join(frequent.select("item"), "item", "left_semi")
-    sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-    # At most min_support basket ids come to the driver.
-    long = sizes.where(F.col("size") > chunk).orderBy(F.desc("size"), "basket").limit(min_support).collect()
-    large = [row.basket for row in long[: min_support - 1]]
-    left, right = kept.withColumnRenamed("item", "item_a"), kept.withColumnRenamed("item", "item_b")
-    together = ["basket"]
-    if long:
-        slices = F.ceil(F.col("size") / chunk).cast("int")
-        sized = kept.where(~F.col("basket").isin(large)).join(sizes.where(F.col("size") > 1), "basket")
-        left = sized.select("basket", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), slices).cast("int").alias("slice"))
-        right = sized.select("basket", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
-        together = ["basket", "slice"]
-    shared = (
-        left.join(right, together)
+    slices = F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("slices")
+    sized = kept.join(kept.groupBy("basket").agg(F.count(F.lit(1)).alias("n"), slices).where("n > 1"), "basket")
+    left = sized.select("basket", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), "slices").cast("int").alias("slice"))
+    right = sized.select("basket", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    return (
+        left.join(right, ["basket", "slice"])
         .where(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("shared"))
+        .where(F.col("shared") >= min_support)
     )
-    if large:
-        candidates = shared.where(F.col("shared") >= min_support - len(large))
-        rest = kept.where(F.col("basket").isin(large))
-        first = rest.select(F.col("basket"), F.col("item").alias("item_a"))
-        second = rest.select(F.col("basket"), F.col("item").alias("item_b"))
-        looked_up = candidates.join(first, "item_a").join(second, ["basket", "item_b"]).select("item_a", "item_b", F.lit(1).alias("shared"))
-        shared = candidates.unionByName(looked_up).groupBy("item_a", "item_b").agg(F.sum("shared").alias("shared"))
-    return shared.where(F.col("shared") >= min_support)
 
 
 def product_affinity(
@@ -145,9 +126,11 @@ def product_affinity(
     ``names`` maps ``item`` to the ``name`` to show and to the ``code`` that orders the two items of
     a pair, and pairs with equal counts.
     """
-    baskets = fact.select(F.col("transaction_id").alias("basket"), F.col(item).alias("item")).dropna().distinct()
-    pairs = pair_support(settle(baskets, "baskets"), min_support, chunk)
-    transactions = fact.agg(F.count_distinct("transaction_id")).scalar()
+    # One look at the facts: transactions without an item count too, but pair with nothing.
+    baskets = fact.select(F.col("transaction_id").alias("basket"), F.col(item).alias("item")).dropna(subset=["basket"])
+    baskets = settle(baskets.distinct(), "baskets")
+    pairs = pair_support(baskets.dropna(), min_support, chunk)
+    transactions = baskets.agg(F.count_distinct("basket")).scalar()
     label = F.struct(F.col(code).alias("code"), F.col(name).alias("name"))
     a = names.select(F.col(item).alias("item_a"), label.alias("a"))
     b = names.select(F.col(item).alias("item_b"), label.alias("b"))

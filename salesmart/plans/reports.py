@@ -1,9 +1,9 @@
 """Reports over the star schema and over the clean order lines.
 
-Facts are reduced to one row per dimension key before a dimension is joined, so neither a large
-dimension nor a key with very many facts puts raw fact rows through the join. Only the calendar is
-broadcast by hint: it has one row per day, and is cut to the columns needed. The order of the
-customer and product joins and their strategy are left to the planner.
+Each report reads the facts once. Where no distinct count needs the single rows, facts are reduced
+to one row per dimension key before a dimension is joined. Dimensions are cut to the columns needed;
+the order of the joins and their strategy are left to the planner, which broadcasts a small dimension
+and splits a key with very many facts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from salesmart.sources.tables import add_audit
 
 
 def _with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
-    return fact.join(F.broadcast(dim_date.select("date_key", *columns)), "date_key")
+    return fact.join(dim_date.select("date_key", *columns), "date_key")
 
 
 def daily_sales_report(fact: DataFrame, dim_date: DataFrame, day: Day | None = None, run_ts=None) -> DataFrame:
@@ -81,39 +81,17 @@ def top_spenders(fact: DataFrame, dim_customer: DataFrame, rows: int = 10, by: t
 
 
 def category_sales(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Sales and discount rate per category and subcategory, best net sales first.
-
-    Money is summed per product before the join. Distinct transactions need the (product,
-    transaction) pairs, which are made distinct before the join too.
-    """
+    """Sales and discount rate per category and subcategory, best net sales first."""
     groups = ["category", "subcategory"]
-    products = dim_product.select("product_key", *groups)
-    sums = (
-        fact.groupBy("product_key")
-        .agg(*[F.sum(c).alias(c) for c in ("quantity", "total_amount", "discount_amount", "net_amount")])
-        .join(products, "product_key")
-        .groupBy(*groups)
-        .agg(
-            F.sum("quantity").alias("units_sold"),
-            F.sum("total_amount").alias("gross_sales"),
-            F.sum("discount_amount").alias("total_discounts"),
-            F.sum("net_amount").alias("net_sales"),
-            percent(F.sum("discount_amount"), F.sum("total_amount")).alias("discount_rate_pct"),
-        )
-    )
-    orders = (
-        fact.select("product_key", "transaction_id").distinct()
-        .join(products, "product_key")
-        .groupBy(*groups)
-        .agg(F.count_distinct("transaction_id").alias("order_count"))
-        .select(*[F.col(g).alias(f"o_{g}") for g in groups], "order_count")
-    )
-    same = F.col("category").eqNullSafe(F.col("o_category")) & F.col("subcategory").eqNullSafe(F.col("o_subcategory"))
-    return as_doubles(
-        sums.join(orders, same).select(
-            *groups, "order_count", "units_sold", "gross_sales", "total_discounts", "net_sales", "discount_rate_pct",
-        )
-    ).orderBy(F.desc("net_sales"), *groups)
+    named = fact.join(dim_product.select("product_key", *groups), "product_key")
+    totals = [
+        F.sum("quantity").alias("units_sold"),
+        F.sum("total_amount").alias("gross_sales"),
+        F.sum("discount_amount").alias("total_discounts"),
+        F.sum("net_amount").alias("net_sales"),
+        percent(F.sum("discount_amount"), F.sum("total_amount")).alias("discount_rate_pct"),
+    ]
+    return as_doubles(totals_and_distincts(named, groups, totals, {"order_count": "transaction_id"})).orderBy(F.desc("net_sales"), *groups)
 
 
 def category_lines(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -167,38 +145,14 @@ def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame, year: int | Column
 
 
 def geo_sales(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Sales per country and city with the city's rank inside its country.
-
-    Distinct customers add up over customer keys (a customer lives in one city); transactions are
-    made distinct per city.
-    """
+    """Sales per country and city with the city's rank inside its country."""
     place = ["country", "city"]
-    customers = dim_customer.select("customer_key", *place)
-    sums = (
-        fact.groupBy("customer_key")
-        .agg(F.sum("net_amount").alias("net"), F.count("net_amount").alias("filled"))
-        .join(customers, "customer_key")
-        .groupBy(*place)
-        .agg(
-            F.count_distinct("customer_key").alias("unique_customers"),
-            F.sum("net").alias("total_sales"),
-            mean(F.sum("net"), F.sum("filled")).alias("avg_order_value"),
-        )
-    )
-    orders = (
-        fact.select("customer_key", "transaction_id").distinct()
-        .join(customers, "customer_key")
-        .groupBy(*place)
-        .agg(F.count_distinct("transaction_id").alias("total_orders"))
-        .select(*[F.col(p).alias(f"o_{p}") for p in place], "total_orders")
-    )
-    same = F.col("country").eqNullSafe(F.col("o_country")) & F.col("city").eqNullSafe(F.col("o_city"))
+    named = fact.join(dim_customer.select("customer_key", *place), "customer_key")
+    totals = [F.sum("net_amount").alias("total_sales"), average_of(F.col("net_amount")).alias("avg_order_value")]
+    distinct = {"unique_customers": "customer_key", "total_orders": "transaction_id"}
     rank = F.rank().over(Window.partitionBy("country").orderBy(F.desc("total_sales"))).cast("bigint")
-    return as_doubles(
-        sums.join(orders, same).select(
-            *place, "unique_customers", "total_orders", "total_sales", "avg_order_value", rank.alias("city_rank_in_country"),
-        )
-    ).orderBy(F.desc("total_sales"), *place)
+    ranked = totals_and_distincts(named, place, totals, distinct).withColumn("city_rank_in_country", rank)
+    return as_doubles(ranked).orderBy(F.desc("total_sales"), *place)
 
 
 def discount_effectiveness(fact: DataFrame) -> DataFrame:
