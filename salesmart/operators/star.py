@@ -15,6 +15,8 @@ from salesmart.sources.tables import add_audit
 
 # Span of the calendar dimension.
 CALENDAR_FIRST, CALENDAR_LAST = "2020-01-01", "2030-12-31"
+#: What tells one sale from another.
+FACT_IDENTITY = ("transaction_date", "transaction_id")
 
 
 def dim_date(spark: SparkSession, first: str = CALENDAR_FIRST, last: str = CALENDAR_LAST) -> DataFrame:

@@ -19,7 +19,7 @@ from salesmart.session import settle
 from salesmart.sources.files import dated_path, read_staging_csv, require_filled
 from salesmart.sources.schemas import ORDER_LINES_RAW, required_columns
 from salesmart.sources.tables import (
-    export_table, overwrite_partitions, reload_days, replace_from_itself, table_exists, write_truncate,
+    export_table, once, overwrite_partitions, reload_days, replace_from_itself, table_exists, upsert_days, write_truncate,
 )
 
 Bound = date | str | None
@@ -29,7 +29,7 @@ MONTH = "partition_month"
 def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Apply ``merge(target, source)`` to the table at ``path``, or to an empty one on the first load.
 
-    The source is settled first: a merge reads it several times.
+    The source is settled first, so that it does not read the table it changes.
     """
     source = settle(source, "source")
     if table_exists(spark, path):
@@ -43,22 +43,34 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callabl
 def store(rows: DataFrame, path: str, day: str, first: Bound, last: Bound, cluster_by: list[str], partition_unit: str) -> DataFrame:
     """Reload ``first``..``last`` (or everything) and return that range of the stored table.
 
-    ``partition_unit`` is ``day``, or ``month`` for tables with few rows per day. Whole partitions
-    are replaced, so a table in months can only be loaded as a whole.
+    ``partition_unit`` is ``day``, or ``month`` for tables with few rows per day: there the months
+    that the range touches are written anew, with the stored rows of their other days.
     """
     spark = rows.sparkSession
-    if partition_unit == "day":
-        if first is None and last is None:
-            write_truncate(rows, path, [day], cluster_by)
-        else:
-            reload_days(rows, path, day, first, first if last is None else last, cluster_by)
-    elif first is None and last is None:
-        write_truncate(rows.withColumn(MONTH, month_start(F.col(day))), path, [MONTH], [day, *cluster_by])
+    if first is not None and last is None:
+        last = first
+    if first is None and last is None:
+        written, name = (rows, day) if partition_unit == "day" else (_by_month(rows, day), MONTH)
+        write_truncate(written, path, [name], [day, *cluster_by])
+    elif partition_unit == "day":
+        reload_days(rows, path, day, first, last, cluster_by)
     else:
-        raise ValueError("a table partitioned by month cannot reload single days")
+        months = [bound if bound is None else f"{str(bound)[:7]}-01" for bound in (first, last)]
+        if table_exists(spark, path):
+            stored = spark.read.schema(_by_month(rows, day).schema).parquet(path)
+            others = on_days(stored, MONTH, *months) if months[0] != months[1] else on_days(stored, MONTH, months[0])
+            inside = F.lit(True)
+            inside = inside if first is None else inside & (F.col(day) >= F.lit(first).cast("date"))
+            inside = inside if last is None else inside & (F.col(day) <= F.lit(last).cast("date"))
+            rows = others.where(~inside).select(*rows.columns).unionByName(rows)
+        reload_days(_by_month(rows, day), path, MONTH, *months, [day, *cluster_by])
     return on_days(spark.read.schema(rows.schema).parquet(path), day, first, last)
 
 
+def _by_month(rows: DataFrame, day: str) -> DataFrame:
+    return rows.withColumn(MONTH, month_start(F.col(day)))
+
+
 def run_datamart(
     staging: DataFrame, root: str, first: Bound = None, last: Bound = None, *, run_ts: datetime | None = None,
     categories: tuple[str, ...] = PIVOT_CATEGORIES, strict: bool = True, partition_unit: str = "day",
@@ -81,7 +93,11 @@ def run_star_schema(
 ) -> DataFrame:
     """Dimensions, fact, fact gate and daily report; returns the report table.
 
-    ``days`` is the calendar to fill in; by default it spans the days of the transactions.
+    Transactions are put into the fact under their own day. Those of ``first``..``last`` (or of all
+    days) must be there for the gate to pass; earlier ones among them are late and are added to what
+    their day holds already, and later ones wait for their run. A transaction that is loaded again
+    replaces itself, so runs can be repeated and files can overlap. The reports of all touched days
+    are made anew. ``days`` is the calendar to fill in; by default it spans the days of the transactions.
     """
     spark = transactions.sparkSession
     dim_customer = merge_into(spark, f"{root}/dim_customer", star.dim_customer(customers, run_ts), star.scd1_customer)
@@ -89,24 +105,31 @@ def run_star_schema(
     quality.require_unique(dim_customer, "customer_key")
     quality.require_unique(dim_product, "product_key")
 
-    fact = star.fact_sales(transactions, first, last)
-    keys = ["customer_key", "product_key"]
-    loaded = store(fact, f"{root}/fact_sales", "transaction_date", first, last, keys, partition_unit)
-    quality.require_pass(quality.validate_fact_count(loaded), "validation", quality.VALIDATION_PASSED)
+    last = first if last is None else last
+    batch = settle(once(star.fact_sales(transactions, None, last), star.FACT_IDENTITY), "batch")
+    path, keys, day = f"{root}/fact_sales", ["customer_key", "product_key"], "transaction_date"
+    if partition_unit == "day":
+        upsert_days(batch, path, day, star.FACT_IDENTITY, keys)
+    else:
+        upsert_days(batch, path, day, star.FACT_IDENTITY, [day, *keys], month_start(F.col(day)), MONTH)
+    stored = spark.read.schema(batch.schema).parquet(path)
+    quality.require_pass(quality.validate_fact_count(on_days(stored, day, first, last)), "validation", quality.VALIDATION_PASSED)
 
     if days is None:
-        days = calendar(date_series_of(loaded, F.col("transaction_date")))
+        days = calendar(date_series_of(batch, F.col(day)))
     dim_date = merge_into(spark, f"{root}/dim_date", days, star.dim_date_fill)
-    report = daily_sales_report(loaded, dim_date, run_ts=run_ts)
+    touched = stored.join(batch.select(day).distinct(), day, "left_semi").select(*stored.columns)
+    report = daily_sales_report(touched, dim_date, run_ts=run_ts)
     return merge_into(spark, f"{root}/daily_sales_report", report, partial(merge_days, on="full_date"))
 
 
 def run_file_etl(
-    spark: SparkSession, source: str, root: str, run_date: str, *, run_ts: datetime | None = None,
-    max_rows: int = quality.MAX_STAGING_ROWS, export_to: str = "reports/daily_summary_{ds}",
+    spark: SparkSession, source: str, root: str, run_date: str, *, max_rows: int, run_ts: datetime | None = None,
+    export_to: str = "reports/daily_summary_{ds}",
 ) -> DataFrame:
     """Load the day's order-line file, check, clean, summarise, reconcile, export; returns the summary.
 
+    ``max_rows`` is the most lines a day's file may hold; a larger one fails the staging gate.
     A file may hold several order dates. The summary of each date it touches is recomputed from all
     loads, not only from this one.
     """

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from salesmart.session import settle
+
 # Suffixes of a table's next and previous content during a swap.
 NEW, OLD = ".new", ".old"
 EXPORT_FORMATS = ("csv", "json", "parquet")
@@ -100,16 +102,62 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def reload_days(
-    df: DataFrame, path: str, column: str, first: date | str, last: date | str, cluster_by: Sequence[str] = (),
+    df: DataFrame, path: str, column: str, first: date | str | None, last: date | str | None, cluster_by: Sequence[str] = (),
 ) -> None:
-    """Replace the days ``first``..``last`` by the rows of ``df``: days without new rows become empty."""
+    """Replace the days ``first``..``last`` by the rows of ``df``: days without new rows become empty.
+
+    A bound that is None is open. The rows are settled first, so that they are computed once for
+    writing them and for finding the days they fill.
+    """
     spark = df.sparkSession
-    before = {d for d in partition_values(spark, path, column) if str(first) <= d <= str(last)}
-    overwrite_partitions(df, path, [column], cluster_by)
-    if before:
-        # One value per day of the range comes to the driver.
-        filled = {str(r[0]) for r in df.select(column).distinct().collect()}
-        drop_partitions(spark, path, column, before - filled)
+    before = {d for d in partition_values(spark, path, column) if (first is None or str(first) <= d) and (last is None or d <= str(last))}
+    rows = settle(df, "reload")
+    overwrite_partitions(rows, path, [column], cluster_by)
+    if before:  # one value per day of the range comes to the driver
+        drop_partitions(spark, path, column, before - {str(r[0]) for r in rows.select(column).distinct().collect()})
+
+
+def upsert_days(
+    df: DataFrame, path: str, column: str, identity: Sequence[str], cluster_by: Sequence[str] = (), partition: Column | None = None,
+    partition_name: str | None = None,
+) -> None:
+    """Put rows into the partitions of their own days, late ones too, and keep all others there.
+
+    A row replaces the stored one with the same ``identity``; rows whose identity has a NULL are the same
+    if all their values are. Running a load again changes nothing. Partitions are of ``column``, or
+    of the expression ``partition`` over it, named ``partition_name``; only touched ones are read and rewritten.
+    """
+    spark, name = df.sparkSession, partition_name or column
+    if partition is not None:
+        df = df.withColumn(name, partition)
+    new = settle(once(df, identity), "upsert")
+    touched = [r[0] for r in new.select(name).distinct().collect()]  # at most the partitions of one load
+    if not touched:
+        return
+    if table_exists(spark, path):
+        stored = spark.read.schema(new.schema).parquet(path).where(F.col(name).isin(touched))
+        new = settle(absent(stored, new, identity).unionByName(new), "upserted")
+    overwrite_partitions(new, path, [name], cluster_by)
+
+
+def once(df: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """One row for each identity; of rows whose identity has a NULL, those that differ in any value."""
+    named, nameless = _by_identity(df, identity)
+    return named.dropDuplicates(list(identity)).unionByName(nameless.dropDuplicates())
+
+
+def absent(df: DataFrame, other: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` that ``other`` does not hold, by identity or, where that has a NULL, by all values."""
+    named, nameless = _by_identity(df, identity)
+    other_named, other_nameless = _by_identity(other.select(*df.columns), identity)
+    renamed = other_nameless.toDF(*[f"__{c}" for c in df.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in df.columns])
+    return named.join(other_named.select(*identity), list(identity), "left_anti").unionByName(nameless.join(renamed, same, "left_anti"))
+
+
+def _by_identity(df: DataFrame, identity: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    nameless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in identity])
+    return df.where(~nameless), df.where(nameless)
 
 
 def append_evolving(df: DataFrame, path: str, schema: StructType | None = None) -> StructType:

@@ -13,9 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType, TimestampType
 
 from salesmart.operators.history import DELETE, latest_per_key
-from salesmart.operators.star import fact_sales
+from salesmart.operators.star import FACT_IDENTITY, fact_sales
+from salesmart.session import settle
 from salesmart.sources.tables import (
-    drop_partitions, is_complete, partition_values, table_exists, write_append, write_truncate,
+    absent, drop_partitions, is_complete, once, partition_values, table_exists, write_append, write_truncate,
 )
 
 VERSION = "version"
@@ -85,24 +86,22 @@ def complete_versions(spark: SparkSession, state_path: str) -> list[int]:
 
 
 def stream_fact_sales(raw: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Append new sales to the fact, each transaction once, however late it comes.
+    """Append new sales to the fact, however late they come.
 
-    A batch is compared with the stored rows of the days it touches, so memory does not grow with
-    history and a replayed batch adds nothing.
+    A sale is told by its day and its ``transaction_id``, one without an id by all its values, so a replayed
+    batch or a repeated sale adds nothing; a sale sent again under another day is another sale. A
+    batch is compared with the stored rows of the days it touches alone.
     """
     spark = raw.sparkSession
     fact = fact_sales(raw)
-    identity = ["transaction_date", "transaction_id"]
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = batch.dropDuplicates(identity)
+        fresh = settle(once(batch, FACT_IDENTITY), "batch")
         if table_exists(session, target):
-            stored = session.read.schema(fact.schema).parquet(target).select(*identity)
-            # Pruned to the batch's days, then to its ids, before the anti join.
-            days = batch.select("transaction_date").distinct()
-            stored = stored.join(days, "transaction_date", "left_semi")
-            fresh = fresh.join(stored, identity, "left_anti")
+            days = [r[0] for r in fresh.select("transaction_date").distinct().collect()]  # those of one batch
+            stored = session.read.schema(fact.schema).parquet(target).where(F.col("transaction_date").isin(days))
+            fresh = absent(fresh, stored, FACT_IDENTITY)
         write_append(fresh, target, ["transaction_date"], ["customer_key", "product_key"])
 
     run_available(fact.writeStream.foreachBatch(load), checkpoint)

@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import date, timedelta
 
 import pytest
@@ -9,6 +10,7 @@ from salesmart.operators.incremental import backfill
 from salesmart.operators.quality import QualityError
 from salesmart.plans import pipelines
 from salesmart.sources import synthetic
+from salesmart.sources.schemas import TRANSACTIONS_RAW
 from salesmart.sources.tables import export_table
 
 NEXT = DAY + timedelta(days=1)
@@ -24,8 +26,21 @@ def test_datamart_days_and_reruns(spark, path):
     assert as_set(pipelines.run_datamart(both, f"{path}_all", run_ts=RUN)) == by_day
     assert as_set(pipelines.run_datamart(both, f"{path}_range", DAY, NEXT, run_ts=RUN)) == by_day
     assert as_set(pipelines.run_datamart(both, f"{path}_months", run_ts=RUN, partition_unit="month")) == by_day
-    with pytest.raises(ValueError):
-        pipelines.run_datamart(both, f"{path}_months", DAY, partition_unit="month")
+    for day in (NEXT, DAY):  # a day run leaves the other days of its month alone
+        assert as_set(pipelines.run_datamart(both, f"{path}_months", day, run_ts=RUN, partition_unit="month")) == by_day
+    assert spark.read.parquet(f"{path}_months/sales_cleaned").count() == 30
+
+
+def test_an_open_bound_empties_days_without_rows(spark, path):
+    rows = [(1, DAY), (2, NEXT)]
+    frame = lambda some: spark.createDataFrame(some, "id int, day date")
+    for unit in ("day", "month"):
+        stored = lambda: as_set(spark.read.parquet(f"{path}_{unit}"), "id")
+        pipelines.store(frame(rows), f"{path}_{unit}", "day", None, None, [], unit)
+        pipelines.store(frame([(3, NEXT)]), f"{path}_{unit}", "day", None, NEXT, [], unit)
+        assert stored() == {(3,)}
+        pipelines.store(frame([(4, DAY)]), f"{path}_{unit}", "day", DAY, None, [], unit)
+        assert stored() == {(3,), (4,)}
 
 
 def test_datamart_gate_stops_the_run(spark, path):
@@ -59,6 +74,28 @@ def test_star_schema_by_day_equals_backfill(spark, path):
         pipelines.run_star_schema(*inputs, f"{path}_daily", "2026-03-05")
 
 
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_late_repeated_and_nameless_rows_are_all_kept_once(spark, path, unit):
+    customers, products, _ = star_inputs(spark)
+
+    def sale(name, day, amount=10.0):
+        return (name, "C1", "P1", 1, amount, amount, 0.0, f"2026-02-{day} 10:00:00")
+
+    def run(day, *rows):
+        pipelines.run_star_schema(customers, products, spark.createDataFrame(rows, TRANSACTIONS_RAW), path, f"2026-02-{day}", run_ts=RUN, partition_unit=unit)
+        return Counter((r.transaction_id, r.transaction_date.day, float(r.total_amount)) for r in spark.read.parquet(f"{path}/fact_sales").collect())
+
+    first = [sale("t1", 27), sale("t4", 27), sale(None, 27), sale(None, 27, 5.0), sale("early", 28)]
+    assert run(27, *first) == Counter([("t1", 27, 10.0), ("t4", 27, 10.0), (None, 27, 10.0), (None, 27, 5.0)])
+    second = [sale("t2", 28), sale("t3", 27), sale("t4", 27, 7.0), sale(None, 27), sale(None, 27, 6.0), sale("t2", 28)]
+    want = Counter([("t1", 27, 10.0), ("t3", 27, 10.0), ("t4", 27, 7.0), (None, 27, 10.0), (None, 27, 5.0), (None, 27, 6.0), ("t2", 28, 10.0)])
+    assert run(28, *second) == want
+    assert run(28, *second) == want
+    assert run(27, sale("t1", 27)) == want
+    report = {r.full_date.day: r.total_sales for r in spark.read.parquet(f"{path}/daily_sales_report").collect()}
+    assert report == {27: 48.0, 28: 10.0}
+
+
 def test_backfill_equals_single_days(spark, path):
     sales = star_inputs(spark)[2].withColumn("day", F.to_date("transaction_timestamp"))
     backfill(sales, star.fact_sales, "day", "2026-02-27", "2026-02-28", f"{path}_a", "transaction_date")
@@ -79,7 +116,7 @@ def write_lines(spark, path, day, rows):
 def test_file_load_recomputes_every_touched_date(spark, path):
     write_lines(spark, path, "20240115", lines(("1", 1, 10.0, "20240114"), ("2", 2, 20.0, "20240115"), ("3", 0, 5.0, "20240115")))
     write_lines(spark, path, "20240116", lines(("4", 1, 30.0, "20240114"), ("5", 1, 1.0, "20240116")))
-    run = lambda day: pipelines.run_file_etl(spark, f"{path}/raw/sales_{{ds_nodash}}.csv", path, day, run_ts=RUN)
+    run = lambda day: pipelines.run_file_etl(spark, f"{path}/raw/sales_{{ds_nodash}}.csv", path, day, max_rows=100, run_ts=RUN)
     run("2024-01-15")
     for _ in range(2):
         got = as_set(run("2024-01-16"), "order_date", "total_orders", "total_sales", "max_order_value")
