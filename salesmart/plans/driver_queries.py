@@ -15,7 +15,7 @@ from salesmart.operators import history, incremental, merge, quality, star, tran
 from salesmart.plans import analytics, driver_tables as t, models, pipelines, reports
 from salesmart.session import scratch_path, settle
 from salesmart.sources import files, tables
-from salesmart.sources.schemas import CUSTOMERS_RAW, ORDER_LINES_RAW, PRODUCTS_RAW, SALES_RAW
+from salesmart.sources.schemas import CUSTOMERS_RAW, ORDER_LINES_RAW, PRODUCTS_RAW, SALES_RAW, TRANSACTIONS_RAW
 from salesmart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,10 +286,8 @@ def _old_customers(spark, sf):
 
 
 def _shown(dimension: DataFrame) -> DataFrame:
-    """A dimension with its load moment as a day, and a test of its hashed key in place of the key."""
-    name = dimension.columns[0].removesuffix("_key")
-    same = F.col(f"{name}_key") == surrogate_key(F.col(f"{name}_id"))
-    return dimension.withColumn("effective_date", F.to_date("effective_date")).withColumn(f"{name}_key", same)
+    """A dimension with its load moment as a day."""
+    return dimension.withColumn("effective_date", F.to_date("effective_date"))
 
 
 @query
@@ -301,35 +299,40 @@ def dim_date_fill(spark, sf):
 
 @query
 def scd1_customer(spark, sf):
-    return _shown(star.scd1_customer(_old_customers(spark, sf), t.dim_customer(spark, sf)))
+    """Customers of one nation are missing from the source; columns that are not updated differ in the target."""
+    target = _old_customers(spark, sf).withColumn("is_current", F.lit(False)).withColumn("created_date", F.lit("1990-01-01").cast("date"))
+    return _shown(star.scd1_customer(target, t.dim_customer(spark, sf).where("city <> 'FRANCE'")))
 
 
 @query
 def scd1_product(spark, sf):
+    """Products of one type are missing from the source; columns that are not updated differ in the target."""
     sold = t.table(spark, sf, "lineitem").where(F.col("l_shipdate") < t.day_start(t.EARLY_END))
     sold = sold.select(F.col("l_partkey").cast("string").alias("product_id")).distinct()
     early = t.products_raw(spark, sf).join(sold, "product_id", "left_semi").withColumn("unit_price", F.lit(0.0))
-    return _shown(star.scd1_product(star.dim_product(early, t.day_start(t.EARLY_END)), t.dim_product(spark, sf)))
+    target = star.dim_product(early, t.day_start(t.EARLY_END)).withColumn("is_current", F.lit(False))
+    return _shown(star.scd1_product(target, t.dim_product(spark, sf).where("category <> 'PROMO'")))
 
 
 @query
 def merge_daily_summary(spark, sf):
-    """A ten-column summary of returned lines, with the last half year recomputed from all lines."""
+    """A ten-column summary with a piece too many in each line, the last half year of which is recomputed."""
     lines = t.order_lines(spark, sf).select(
         "order_id", "customer_id", F.col("p_partkey").alias("product_id"), "quantity", "total_amount",
         F.to_date("moment").alias("order_date"),
     )
-    loaded = transform.order_day_summary(lines.where(F.col("quantity") > 25)).drop("updated_at")
+    loaded = transform.order_day_summary(lines.withColumn("quantity", F.col("quantity") + 1)).drop("updated_at")
     fresh = transform.order_day_summary(transform.on_days(lines, "order_date", t.LATE_START, t.LOAD_DAY)).drop("updated_at")
-    return incremental.merge_daily_summary(loaded, fresh, "order_date")
+    return incremental.merge_days(loaded, fresh, "order_date")
 
 
 @query
 def merge_newer_wins(spark, sf):
-    """Users as of the cut day, merged with their last purchase: older purchases change nothing."""
+    """Users' last events. The target lacks those who signed up last, and is older only for those who purchased last."""
     events = t.table(spark, sf, "events").select("user_id", "event_type", "value", "ts", "event_id")
-    target = history.latest_per_key(events.where(F.col("ts") < t.day_start(t.EVENTS_CUT)), ["user_id"], ["ts", "event_id"])
-    source = history.latest_per_key(events.where("event_type = 'purchase'"), ["user_id"], ["ts", "event_id"])
+    source = history.latest_per_key(events, ["user_id"], ["ts", "event_id"])
+    shift = F.when(F.col("event_type") == "purchase", F.expr("interval -1 day")).otherwise(F.expr("interval 1 day"))
+    target = source.where("event_type <> 'signup'").withColumn("ts", F.col("ts") + shift).withColumn("value", F.lit(0.0))
     return merge.merge_newer_wins(target, source, "user_id", "ts", ["event_type", "value", "ts", "event_id"])
 
 
@@ -378,8 +381,7 @@ def _customer_segments(spark, sf):
 def scd2_apply(spark, sf):
     source = _customer_segments(spark, sf).drop("balance")
     day = F.lit(t.LOAD_DAY).cast("date")
-    versions = history.scd2_apply(_segment_history(spark, sf), source, "customer_id", ["customer_name", "segment"], day)
-    return versions.withColumn("customer_key", F.col("customer_key").isNotNull())
+    return history.scd2_apply(_segment_history(spark, sf), source, "customer_id", ["customer_name", "segment"], day)
 
 
 @query
@@ -426,8 +428,9 @@ def dim_product(spark, sf):
 
 @query
 def fact_sales(spark, sf):
-    """All facts, their hashed keys resolved through the dimensions."""
-    return as_doubles(_with_ids(spark, sf, t.fact(spark, sf)))
+    """All facts, with their keys and what these stand for in the dimensions."""
+    fact = t.fact(spark, sf).withColumns({"c": F.col("customer_key"), "p": F.col("product_key")})
+    return as_doubles(_with_ids(spark, sf, fact)).withColumnsRenamed({"c": "customer_key", "p": "product_key"})
 
 
 def _with_ids(spark, sf, fact: DataFrame) -> DataFrame:
@@ -488,9 +491,11 @@ def quality_flag(spark, sf):
 
 @query
 def transform_positive(spark, sf):
+    """Lines less ten pieces and 5000, so that some are not positive; those of one order status have no id."""
     lines = t.order_lines(spark, sf).select(
-        "order_id", "customer_id", F.col("p_partkey").cast("string").alias("product_id"), "quantity", "unit_price",
-        "total_amount", F.date_format("moment", "yyyyMMdd").alias("order_date"),
+        F.when(F.col("status") != "P", F.col("order_id")).alias("order_id"), "customer_id",
+        F.col("p_partkey").cast("string").alias("product_id"), (F.col("quantity") - 10).alias("quantity"), "unit_price",
+        (F.col("total_amount") - 5000).alias("total_amount"), F.date_format("moment", "yyyyMMdd").alias("order_date"),
     )
     return as_doubles(transform.transform_positive(lines, t.LOAD_DAY).drop("ingestion_timestamp"))
 
@@ -512,9 +517,9 @@ def avg_transaction(spark, sf):
 
 @query
 def performance_tier(spark, sf):
-    """Customers per performance tier and stock advice of their total sales."""
-    per_customer = transform.sales_performance(t.order_lines(spark, sf), ["customer_id"])
-    return per_customer.groupBy("performance", "recommendation").agg(F.count(F.lit(1)).alias("customers"))
+    """Products of an order per performance tier and stock advice of their sales."""
+    per_item = transform.sales_performance(t.order_lines(spark, sf), ["order_id", "p_partkey"])
+    return per_item.groupBy("performance", "recommendation").agg(F.count(F.lit(1)).alias("items"))
 
 
 @query
@@ -625,7 +630,12 @@ def daily_net_series(spark, sf):
 
 @query
 def approx_customers(spark, sf):
-    return reports.approx_customers(t.fact(spark, sf))
+    """Is the approximate count of each day within a fifth (four standard errors) or two customers of the exact one?"""
+    fact = t.fact(spark, sf)
+    exact = fact.groupBy("transaction_date").agg(F.count_distinct("customer_key").alias("exact"))
+    off = F.abs(F.col("customers") - F.col("exact"))
+    both = reports.approx_customers(fact).join(exact, "transaction_date")
+    return both.select("transaction_date", (off <= F.greatest(F.lit(2.0), F.col("exact") / 5)).alias("close"))
 
 
 @query
@@ -659,13 +669,13 @@ def category_affinity(spark, sf):
 
 def _customers_and_orders(spark, sf):
     customers = t.customers_raw(spark, sf).select("customer_id", "customer_name", "city")
-    late = t.table(spark, sf, "orders").where(F.col("o_orderdate") >= t.day_start(t.LATE_START))
-    return customers, late.select(F.col("o_custkey").cast("string").alias("customer_id"), money("o_totalprice").alias("amount"))
+    orders = t.table(spark, sf, "orders")
+    return customers, orders.select(F.col("o_custkey").cast("string").alias("customer_id"), money("o_totalprice").alias("amount"))
 
 
 @query
 def customer_totals(spark, sf):
-    return as_doubles(analytics.customer_totals(*_customers_and_orders(spark, sf), vip_above=300_000))
+    return as_doubles(analytics.customer_totals(*_customers_and_orders(spark, sf), vip_above=1_500_000))
 
 
 @query
@@ -676,10 +686,15 @@ def customer_summary(spark, sf):
 
 @query
 def predict_sales(spark, sf):
+    """Rows predicted, and whether the fit is unbiased: its mean residual is next to nothing, as least squares have it."""
     sales = t.order_lines(spark, sf).select(
         F.to_date("moment").alias("date"), "customer_id", F.col("total_amount").cast("double").alias("amount")
     )
-    return models.predict_sales(models.fit_sales_regression(sales), sales)
+    predicted = models.predict_sales(models.fit_sales_regression(sales), sales)
+    return predicted.agg(
+        F.count("predicted_amount").alias("predicted"),
+        (F.abs(F.avg(F.col("amount") - F.col("predicted_amount"))) < F.avg("amount") / 1000).alias("unbiased"),
+    )
 
 
 # --- quality -------------------------------------------------------------------------------------
@@ -690,19 +705,32 @@ def quality_metrics(spark, sf):
     return quality.quality_metrics(_clean(spark, sf))
 
 
+def _dirty(spark, sf) -> DataFrame:
+    """Clean order lines spoilt so that every check but that of the row count finds something."""
+    total, discount = F.col("total_amount") - 2000, F.col("discount_amount") * 12 - 100
+    spoilt = _clean(spark, sf).withColumns({
+        "customer_id": F.when(F.col("category") != "ECONOMY", F.col("customer_id")),
+        "order_date": F.when(F.col("quantity") != 7, F.col("order_date")),
+        "quantity": F.col("quantity") - 2, "unit_price": F.col("unit_price") - 950,
+        "total_amount": total, "discount_amount": discount, "net_amount": total - discount,
+    })
+    flag = rules.quality_flag(*[F.col(c) for c in ("quantity", "unit_price", "total_amount", "discount_amount", "product_name", "category")])
+    return spoilt.withColumn("data_quality_flag", flag)
+
+
 @query
 def quality_verdicts(spark, sf):
-    return as_doubles(quality.quality_verdicts(quality.quality_metrics(_clean(spark, sf))))
+    return as_doubles(quality.quality_verdicts(quality.quality_metrics(_dirty(spark, sf))))
 
 
 @query
 def quality_gate(spark, sf):
-    return quality.quality_gate(quality.quality_metrics(_clean(spark, sf)))
+    return quality.quality_gate(quality.quality_metrics(_dirty(spark, sf)))
 
 
 @query
 def validate_staging(spark, sf):
-    return quality.validate_staging(t.staging_sales(spark, sf))
+    return quality.validate_staging(t.staging_sales(spark, sf), max_rows=10**12)
 
 
 @query
@@ -762,9 +790,10 @@ def high_water_mark(spark, sf):
 
 @query
 def incremental_by_timestamp(spark, sf):
-    """Users as of the cut day, with everything newer merged in."""
+    """Users as of the last days, their values lost: only those with a newer event get one back."""
     events = t.table(spark, sf, "events").select("user_id", "event_type", "value", "ts", "event_id")
-    target = history.latest_per_key(events.where(F.col("ts") < t.day_start(t.EVENTS_CUT)), ["user_id"], ["ts", "event_id"])
+    before = events.where(F.col("ts") < t.day_start(t.EVENTS_LAST_DAYS)).withColumn("value", F.lit(-1.0))
+    target = history.latest_per_key(before, ["user_id"], ["ts", "event_id"])
     source = history.latest_per_key(events, ["user_id"], ["ts", "event_id"])
     return incremental.incremental_by_timestamp(target, source, "user_id", "ts")
 
@@ -806,18 +835,38 @@ def stream_fact_sales(spark, sf):
 
 @query
 def run_datamart(spark, sf):
-    summary = pipelines.run_datamart(
-        t.staging_sales(spark, sf), scratch_path(spark, "datamart"), categories=t.CATEGORIES, strict=False, partition_unit="month"
-    )
+    """Everything before the last day in one run, then the last day, which is run twice; the gate is on."""
+    root, staging = scratch_path(spark, "datamart"), t.staging_items(spark, sf)
+    run = {"categories": t.CATEGORIES, "partition_unit": "month"}
+    pipelines.run_datamart(staging, root, None, t.DAY_BEFORE_LOAD, **run)
+    for _ in range(2):
+        summary = pipelines.run_datamart(staging, root, t.LOAD_DAY, **run)
     return summary.drop("generated_at")
 
 
 @query
 def run_star_schema(spark, sf):
-    report = pipelines.run_star_schema(
-        t.customers_raw(spark, sf), t.products_raw(spark, sf), t.transactions_raw(spark, sf), scratch_path(spark, "star"),
-        partition_unit="month",
+    """Two files of text in turn, the second one run twice.
+
+    Urgent orders come late, with the second file; orders of one status come with both; low ones
+    have no id.
+    """
+    root = scratch_path(spark, "star")
+    sales = t.order_items(spark, sf).select(
+        F.when(F.col("priority") != "5-LOW", F.col("item_id")).alias("transaction_id"), "customer_id",
+        F.col("p_partkey").cast("string").alias("product_id"), "quantity", "unit_price", "total_amount", "discount_amount",
+        F.date_format("moment", "yyyy-MM-dd HH:mm:ss").alias("transaction_timestamp"), "moment", "priority", "status",
     )
+    early, urgent = F.col("moment") < t.day_start(t.LATE_START), F.col("priority") == "1-URGENT"
+    parts = {"first": early & ~urgent, "second": ~early | urgent | (F.col("status") == "P")}
+    report = None
+    for name, first, last in (("first", None, t.DAY_BEFORE_LATE), ("second", t.LATE_START, t.LOAD_DAY), ("second", t.LATE_START, t.LOAD_DAY)):
+        path = f"{root}/files/{name}"
+        sales.where(parts[name]).select(*TRANSACTIONS_RAW.names).write.mode("overwrite").option("header", True).csv(path)
+        report = pipelines.run_star_schema(
+            t.customers_raw(spark, sf), t.products_raw(spark, sf), files.read_staging_csv(spark, path, TRANSACTIONS_RAW), root,
+            first, last, partition_unit="month",
+        )
     return report.drop("report_generated_at")
 
 
@@ -830,6 +879,6 @@ def run_file_etl(spark, sf):
     )
     lines.select(*ORDER_LINES_RAW.names).write.option("header", True).csv(f"{root}/raw/sales_{t.LOAD_DAY.replace('-', '')}.csv")
     summary = pipelines.run_file_etl(
-        spark, f"{root}/raw/sales_{{ds_nodash}}.csv", root, t.LOAD_DAY, max_rows=2**62
+        spark, f"{root}/raw/sales_{{ds_nodash}}.csv", root, t.LOAD_DAY, max_rows=10**12
     )
     return summary.drop("updated_at")

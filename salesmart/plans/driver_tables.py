@@ -10,8 +10,8 @@ from salesmart.operators import star
 
 # Days between which the incremental examples split the data; all rows are used on one side or the other.
 EARLY_END = "1995-07-01"
-LATE_START = "2001-01-01"
-LOAD_DAY = "2001-08-01"
+LATE_START, DAY_BEFORE_LATE = "2001-01-01", "2000-12-31"
+LOAD_DAY, DAY_BEFORE_LOAD = "2001-08-01", "2001-07-31"
 EVENTS_CUT = "2024-01-15"
 EVENTS_LAST_DAYS = "2024-01-28"
 CATEGORIES = ("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "SMALL", "LARGE")
@@ -22,13 +22,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines with their order's customer and day: the raw material of staging and fact.
-
-    Both tables grow with the data, so the join is asked to shuffle at every size. AQE splits an
-    order key that holds much of the lines.
-    """
+    """Order lines with their order's customer and day: the raw material of staging and fact."""
     total = money("l_extendedprice")
-    orders = table(spark, sf, "orders").hint("merge")
+    orders = table(spark, sf, "orders")
     return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
@@ -38,6 +34,29 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
         total.alias("total_amount"),
         F.round(total * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(18,2)").alias("discount_amount"),
         F.col("o_orderdate").alias("moment"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+def order_items(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order and product, with a key of its own: lines of the same product are added up."""
+    keys = ["order_id", "customer_id", "p_partkey", "moment", "priority", "status"]
+    items = order_lines(spark, sf).groupBy(*keys).agg(
+        F.sum("quantity").alias("quantity"), F.sum("total_amount").cast("decimal(18,2)").alias("total_amount"),
+        F.sum("discount_amount").cast("decimal(18,2)").alias("discount_amount"),
+    )
+    price = F.try_divide(F.col("total_amount").cast("double"), F.col("quantity"))
+    return items.withColumn("item_id", F.concat_ws("-", "order_id", "p_partkey")).withColumn("unit_price", price)
+
+
+def staging_items(spark: SparkSession, sf: str) -> DataFrame:
+    """As :func:`staging_sales`, with a row per order and product."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    return order_items(spark, sf).join(parts, "p_partkey").select(
+        F.col("item_id").alias("order_id"), "customer_id", F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
+        "quantity", "unit_price", "total_amount", "discount_amount", F.to_date("moment").alias("order_date"),
     )
 
 
