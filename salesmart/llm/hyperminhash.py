@@ -1,17 +1,23 @@
 """Near duplicates by HyperMinHash sketches, confirmed on full shingle sets.
 
 A document's set is its distinct runs of ``shingle`` words. One hash a shingle chooses a bucket and a value; a bucket
-keeps its least value as a register of 16 bits, the number of leading zeros and the 10 bits behind them. Documents
-with equal sets become one class. Classes that agree in all registers of a band are candidates; the share of equal
+keeps its least value as a register of 32 bits, the number of leading zeros and the 26 bits behind them. (With
+10 of these, the few registers of short documents would agree by chance too often.) Documents with equal sets
+become one class. Classes that agree in all registers of a band are candidates; the share of equal
 registers, less the collisions that sets of these sizes would have by chance, estimates their similarity and
 drops hopeless pairs (``sigmas`` standard errors below the limit); the rest is confirmed on the full sets.
 
+Bands are cut from several fixed shuffles of the registers, so that they can be long: 63 bands of 6 registers miss
+a pair at the limit of 0.8 with a probability of 1e-6 or less, and two documents that share a passage and
+little else rarely meet.
+
 Pairs are not listed within a band. Each band's members are confirmed against one hub, the linked ones become
 components, and further rounds test only pairs that lie in different components: against another hub
-first, and in the last round each member outside a band's largest component against all members outside
-its own. What is left out lies within a component already, so components are those of all links whose
-two documents share a band. With 32 bands of 4 registers a pair at the limit of 0.8 shares none with a probability of
-5e-8, and a more similar pair with less.
+first. What is left are members outside the largest component of a band, which near copies of near copies
+can leave in large numbers, most of them just below the limit. In the last round those of all bands with the same largest
+component form one group, and each is compared with all others of the group in blocks of bounded size, where
+the common shingles of all pairs of a block are one matrix product; only links come out of it. So components
+are those of all links whose two documents share a band.
 
 Defined results: fewer words than a shingle make one shingle, no words (or a null text) an empty set that is linked
 with nothing; a component's id is its smallest id, nulls last; rows that repeat the kept id are kept all, as
@@ -33,7 +39,7 @@ from salesmart.llm import word_hash
 from salesmart.session import settle
 
 TABLE = word_hash.byte_table(word_hash.SPACES)
-BUCKET_BITS, MANTISSA_BITS = 7, 10
+BUCKET_BITS, MANTISSA_BITS, REGISTER_BYTES = 7, 26, 4
 REGISTERS = 1 << BUCKET_BITS
 
 
@@ -43,9 +49,12 @@ class Settings:
 
     shingle: int = 4
     percent: int = 80
-    band: int = 4
+    band: int = 6
+    shuffles: int = 3
     sigmas: float = 5.0
     hub_rounds: int = 2
+    block_rows: int = 1024
+    block_shingles: int = 400_000
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -67,7 +76,7 @@ def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
 
 def registers(hashes: np.ndarray) -> np.ndarray:
     """Registers of sorted distinct hashes; 0 where a bucket is empty."""
-    out = np.zeros(REGISTERS, np.uint16)
+    out = np.zeros(REGISTERS, np.uint32)
     if len(hashes):
         bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
         least = np.flatnonzero(np.diff(bucket, prepend=-1))  # sorted: the first of a bucket is its least
@@ -81,15 +90,15 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 @lru_cache(4096)
 def _collisions(a: int, b: int) -> float:
     """Registers that two unrelated sets of 2^(a/4) and 2^(b/4) shingles are expected to have in common."""
+    # Within a step of 1/1024 of a power of two the chance is even: each step stands for its equal parts.
     zeros = np.arange(1, 58, dtype=float)[:, None]
-    mantissa = np.arange(1 << MANTISSA_BITS) / (1 << MANTISSA_BITS)
-    low = (1 + mantissa) / 2.0**zeros
-    high = low + 1 / 2.0**(zeros + MANTISSA_BITS)
+    low = (1 + np.arange(1024) / 1024) / 2.0**zeros
+    high = low + 1 / 2.0 ** (zeros + 10)
 
     def lands(n: float) -> np.ndarray:  # the least value of a bucket lies between low and high
         return np.exp(n * np.log1p(-np.minimum(low, 1 - 1e-12) / REGISTERS)) - np.exp(n * np.log1p(-np.minimum(high, 1) / REGISTERS))
 
-    return float(REGISTERS * (lands(2 ** (a / 4)) * lands(2 ** (b / 4))).sum())
+    return float(REGISTERS * (lands(2 ** (a / 4)) * lands(2 ** (b / 4))).sum() / 2 ** (MANTISSA_BITS - 10))
 
 
 def estimate(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +111,10 @@ def estimate(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: n
 
 
 def sketch(docs: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, signature, registers) of each document."""
+    """(doc_id, text_hash, n_shingles, signature, registers) of each document.
+
+    The signature names the set: two sums of its hashes.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,17 +143,41 @@ def classes_of(rows: DataFrame) -> DataFrame:
     return grouped.select(F.monotonically_increasing_id().alias("class"), "signature", "n_shingles", "d.doc_id", "d.text_hash", "d.registers")
 
 
+def bands(settings: Settings) -> np.ndarray:
+    """(band, place): the registers of each band."""
+    draw = np.random.default_rng(20240601)
+    orders = [np.arange(REGISTERS), *[draw.permutation(REGISTERS) for _ in range(settings.shuffles - 1)]]
+    count = REGISTERS // settings.band
+    return np.concatenate([o[:count * settings.band].reshape(count, settings.band) for o in orders])
+
+
 def members_of(classes: DataFrame, settings: Settings) -> DataFrame:
     """(bucket, class) of the band buckets that hold more than one class."""
-    size = 2 * settings.band
-    bands = F.expr(f"transform(sequence(0, {REGISTERS // settings.band - 1}), i -> substring(registers, i * {size} + 1, {size}))")
-    rows = classes.select("class", F.posexplode(bands).alias("band", "key")).filter(F.col("key") != F.lit(bytes(size)))
-    rows = rows.select(F.xxhash64("band", "key").alias("bucket"), "class")
+    places = bands(settings)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1000):
+                batch = whole.slice(low, 1000)
+                own = _matrix(batch.column(1))[:, places].astype(np.uint64)  # (class, band, place)
+                keys = np.broadcast_to(np.arange(len(places), dtype=np.uint64), own.shape[:2])
+                for k in range(settings.band):
+                    keys = keys * np.uint64(word_hash.BASE) + own[:, :, k]
+                row, band = np.nonzero(own.any(2))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word_hash.mix(keys)[row, band].view(np.int64)), batch.column(0).take(pa.array(row))], names=["bucket", "class"])
+
+    rows = classes.select("class", "registers").mapInArrow(cut, "bucket bigint, class bigint")
     shared = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high").select("bucket")
     # Settled, so that the join's two sides are plain shuffles and a hot bucket is split.
     return rows.hint("merge").join(settle(shared, "shared-buckets"), "bucket")
 
 
+def _matrix(found: pa.Array) -> np.ndarray:
+    """Registers of a binary column, a row each."""
+    return np.array([np.frombuffer(x.as_buffer(), np.uint32) for x in found]).reshape(-1, REGISTERS)
+
+
 def _pairs(rows: DataFrame, tested: DataFrame | None) -> DataFrame:
     """Distinct (a, b), a < b, of class pairs that were not tested yet."""
     pairs = rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -156,14 +192,68 @@ def _hub_pairs(members: DataFrame, tested: DataFrame | None, turn: int) -> DataF
     return _pairs(rows.select(F.col("class").alias("x"), "y"), tested)
 
 
-def _rest_pairs(members: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """All pairs of a bucket in different components: those outside its largest component with all others."""
+def _common(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many hashes each set on the left has in common with each on the right (all sorted and distinct)."""
+    found = np.zeros((len(left), len(right)), np.float32)
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (left, right)]
+    shared = np.intersect1d(*[np.unique(hashes) for hashes, _ in sides], assume_unique=True)
+    places = [np.searchsorted(shared, hashes) for hashes, _ in sides]
+    known = [np.append(shared, np.uint64(0))[at] == hashes if len(shared) else at < 0 for at, (hashes, _) in zip(places, sides)]
+    for low in range(0, len(shared), columns):
+        some = []
+        for (_, row), at, ok, n in zip(sides, places, known, found.shape):
+            ok = ok & (at >= low) & (at < low + columns) & (at < len(shared))
+            table = np.zeros((n, min(columns, len(shared) - low)), np.float32)
+            table[row[ok], at[ok] - low] = 1
+            some.append(table)
+        found += some[0] @ some[1].T
+    return found
+
+
+def _rest_links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between components among classes that share a bucket: at least one of each class and other component."""
     counts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("components"))
     largest = settle(largest.filter("components > 1").select("bucket", F.col("top.component").alias("main")), "largest-components")
-    mixed = settle(members.hint("merge").join(largest, "bucket"), "mixed-buckets")
-    outside = settle(mixed.filter("component != main").select("bucket", F.col("class").alias("y"), F.col("component").alias("of")), "outside")
-    return _pairs(mixed.hint("merge").join(outside, "bucket").filter("component != of").select(F.col("class").alias("x"), "y"), tested)
+    group = members.hint("merge").join(largest, "bucket").select("main", "class", "component").distinct()
+    group = settle(group.join(texts.select("class", "n_shingles"), "class"), "rest-classes")
+    sizes = group.groupBy("main").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")).select(
+        "main", F.greatest(F.ceil(F.col("rows") / settings.block_rows), F.ceil(F.col("shingles") / settings.block_shingles)).alias("blocks"))
+    cells = 1 + group.count() // settings.block_rows
+    rows = group.join(settle(sizes, "rest-groups"), "main").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
+    rows = rows.join(texts.select("class", "text"), "class")
+    # Groups of one block share cells; each pair of blocks of a larger one has a cell of its own.
+    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cell = F.when(F.col("blocks") == 1, F.struct(F.pmod(F.xxhash64("main"), F.lit(cells)).alias("g"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))
+    cell = cell.otherwise(F.struct(F.col("main").alias("g"), F.col("i"), F.col("j"))).alias("cell")
+    kept = ["main", "class", "component", "text"]
+    left = rows.filter("component != main").withColumnRenamed("block", "i").withColumn("j", all_blocks).select(cell, *kept, F.lit(True).alias("outside"))
+    right = rows.withColumnRenamed("block", "j").withColumn("i", all_blocks).select(cell, *kept, F.lit(False).alias("outside"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        main, name, component = (table[c].to_numpy() for c in ("main", "class", "component"))
+        outside = table["outside"].to_numpy(zero_copy_only=False)
+        first = dict(zip(name[::-1].tolist(), range(len(name) - 1, -1, -1)))  # each class's first row: its text is hashed once
+        own = np.array(sorted(first.values()), np.int64)
+        texts = table["text"].take(pa.array(own))
+        sets = dict(zip(name[own].tolist(), shingle_sets(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts, settings.shingle)))
+        links: set[tuple[int, int, int]] = set()
+        order = np.argsort(main, kind="stable")
+        for rows_ in np.split(order, np.flatnonzero(np.diff(main[order])) + 1):
+            l, r = rows_[outside[rows_]], rows_[~outside[rows_]]
+            if not len(l) or not len(r):
+                continue
+            common = _common([sets[c] for c in name[l].tolist()], [sets[c] for c in name[r].tolist()])
+            n_l, n_r = (np.array([len(sets[c]) for c in name[x].tolist()]) for x in (l, r))
+            linked = 100 * common >= settings.percent * (n_l[:, None] + n_r[None, :] - common)
+            for i, j in np.argwhere(linked & (component[l][:, None] != component[r][None, :])).tolist():
+                links.add((int(name[l[i]]), int(component[r[j]]), int(name[r[j]])))
+        once = {(a, c): b for a, c, b in links}
+        pairs = [(min(a, b), max(a, b)) for (a, _), b in once.items()]
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    return left.unionByName(right).groupBy("cell").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -172,8 +262,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
     @F.arrow_udf("boolean")
     def near(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for left, n_left, right, n_right in batches:
-            a, b = (np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in side]).reshape(-1, REGISTERS) for side in (left, right))
-            share, error = estimate(a, b, n_left.to_numpy(), n_right.to_numpy())
+            share, error = estimate(_matrix(left), _matrix(right), n_left.to_numpy(), n_right.to_numpy())
             yield pa.array(share + settings.sigmas * error >= settings.percent / 100)
 
     sketches = classes.select("class", "registers", "n_shingles")
@@ -224,29 +313,26 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     rows = settle(sketch(docs, settings, doc_id, text), "sketches")
     classes = settle(classes_of(rows), "classes")
     members = settle(members_of(classes, settings).withColumn("component", F.col("class")), "members")
+    texts = settle(_candidate_texts(docs, classes, members, doc_id, text), "candidate-texts")
     owners = classes.select("class", F.col("class").alias("component"))
-    tested = texts = None
+    tested = None
     for turn in range(settings.hub_rounds + 1):
-        last = turn == settings.hub_rounds
-        pairs = settle(_rest_pairs(members, tested) if last else _hub_pairs(members, tested, turn), "pairs")
-        likely = settle(_likely(pairs, classes, settings), "likely-pairs")
-        if likely.isEmpty():
+        if turn < settings.hub_rounds:
+            pairs = settle(_hub_pairs(members, tested, turn), "pairs")
             tested = pairs if tested is None else tested.unionByName(pairs)
-            continue
-        if texts is None:
-            texts = settle(_candidate_texts(docs, classes, members, doc_id, text), "candidate-texts")
-        left, right = (texts.select(F.col("class").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-        links = likely.join(left, "a").join(right, "b").filter(confirmed(settings, F.col("text_a"), F.col("text_b"))).select("a", "b")
-        links = settle(links, "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            left, right = (texts.select(F.col("class").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+            likely = _likely(pairs, classes, settings).join(left, "a").join(right, "b")
+            links = settle(likely.filter(confirmed(settings, F.col("text_a"), F.col("text_b"))).select("a", "b"), "links")
+        else:
+            links = settle(_rest_links(members, texts, settings), "links")
         if links.isEmpty():
             continue
         # Between components, which are few, and not between classes again.
-        owner = owners.select("class", "component")
-        edges = links.join(owner.toDF("a", "ca"), "a").join(owner.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+        of_a, of_b = (owners.select(F.col("class").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+        edges = links.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
         labels = components(settle(edges.filter("a != b"), "component-edges"))
         owners = settle(_relabel(owners, labels), "owners")
-        if not last:
+        if turn < settings.hub_rounds:
             members = settle(_relabel(members, labels), "members")
     named = classes.join(owners, "class")
     first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -258,13 +344,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
 
 
 def _candidate_texts(docs: DataFrame, classes: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(class, text) of the classes that share a bucket."""
+    """(class, n_shingles, text) of the classes that share a bucket."""
     wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select(
-        "class", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash"))
+        "class", "n_shingles", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash"))
     rows = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_hash") == F.col("want_hash"))
     # Wanted rows grow with the documents: the same join at every size, and one that need not sort the texts.
-    return rows.join(settle(wanted, "wanted").hint("shuffle_hash"), same).groupBy("class").agg(F.first("text").alias("text"))
+    return rows.join(settle(wanted, "wanted").hint("shuffle_hash"), same).groupBy("class", "n_shingles").agg(F.first("text").alias("text"))
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
