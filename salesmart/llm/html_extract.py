@@ -33,15 +33,16 @@ SILENT = frozenset(
     "audio video menu dialog math datalist map".split())
 ARTICLES = frozenset(["article", "main"])
 SILENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-#: Parts of class names and ids that mark an element around the article, not of it.
+#: Parts of class names and ids that mark an element around the article, not of it; and how such parts may begin.
 SILENT_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
-    "commentlist consent cookie cookies copyright cta disclaimer discussion disqus footer gdpr header hidden login masthead menu "
-    "modal nav navbar navigation newsletter notice notices notification overlay paginate pagination paywall popup privacy promo promoted "
-    "promotion recommendations recommended related remark remarks replies reply respond responses review reviews rail search share "
-    "sharing sidebar signup skip social sponsor sponsored subscribe teaser teasers toolbar topbar trending warning widget widgets".split())
-#: Names that an article's own parts also carry, so they count only outside articles and away from such names.
-WEAK_NAMES = frozenset("header banner warning review reviews byline notice teaser hidden search".split())
+    "ad ads adsense adslot adunit adbox alert alerts breadcrumb breadcrumbs comment comments commentlist consent copyright cta disclaimer "
+    "discussion disqus footer gdpr login masthead menu modal nav navbar navigation notification overlay paginate pagination paywall popup "
+    "privacy promo promoted promotion rail recommendations recommended related remark remarks replies reply respond responses share "
+    "sharing sidebar signup skip subscribe toolbar topbar trending widget widgets".split())
+SILENT_BEGINNINGS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "social", "sponsor")
+#: Names that do so unless the same class names the article too; the second ones only outside an article.
+WEAK_NAMES = frozenset("banner hidden notice notices review reviews search teaser teasers warning".split())
+OUTER_NAMES = frozenset("byline header".split())
 OWN_NAMES = frozenset("article content entry main post story".split())
 #: Elements that a start tag closes if they are open, up to the nearest element given second.
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -60,8 +61,10 @@ def _named_silent(attrs: dict[str, str | None], in_article: bool) -> bool:
         parts = [p.lower() for p in NAME_PARTS.findall(name)]
         if parts[:1] and parts[0] in ("has", "with", "no", "without", "js"):
             continue
-        found = SILENT_NAMES.intersection(parts)
-        if found - WEAK_NAMES or found and not in_article and not OWN_NAMES.intersection(parts):
+        if SILENT_NAMES.intersection(parts) or any(p.startswith(SILENT_BEGINNINGS) for p in parts):
+            return True
+        weak = WEAK_NAMES if in_article else WEAK_NAMES | OUTER_NAMES
+        if weak.intersection(parts) and not OWN_NAMES.intersection(parts):
             return True
     return False
 
@@ -74,9 +77,9 @@ class PageLines(HTMLParser):
         self.open: list[tuple[str, int]] = []  # (tag, element's number)
         self.silent: dict[int, bool] = {}  # open silent elements; True where only a name says so
         self.articles: dict[int, tuple[int, ...]] = {}  # article elements and the articles around each
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.links = self.linked = 0  # tags of the line, open links, characters in links
         self.made = 0
 
     def cut(self) -> None:
@@ -84,8 +87,8 @@ class PageLines(HTMLParser):
         line = " ".join("".join(self.text).split())
         self.text.clear()
         if line:
-            self.lines.append((line, self.tags, tuple(n for _, n in self.open)))
-            self.tags = 0
+            self.lines.append((line, self.tags, self.linked, tuple(n for _, n in self.open)))
+            self.tags = self.linked = 0
 
     def close_to(self, at: int) -> None:
         for _, n in self.open[at:]:
@@ -100,6 +103,7 @@ class PageLines(HTMLParser):
         if tag not in BLOCKS and tag not in SILENT:
             if tag in VOID:
                 return
+            self.links += tag == "a"
             self.made += 1  # an inline element: only its silence counts
             named = dict(attrs)
             if named and _named_silent(named, bool(self.articles)):
@@ -150,6 +154,8 @@ class PageLines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        if tag == "a" and self.links:
+            self.links -= 1
         if tag in BLOCKS or tag in SILENT:
             self.cut()
         for i in range(len(self.open) - 1, -1, -1):
@@ -160,6 +166,7 @@ class PageLines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.silent:
             self.text.append(data)
+            self.linked += len(data.strip()) if self.links else 0
 
 
 def smooth(signal: np.ndarray, sigma: float) -> np.ndarray:
@@ -193,11 +200,11 @@ def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_
     lines = parser.lines
     if not lines:
         return ""
-    ratios = smooth(np.array([len(text) / max(1, tags) for text, tags, _ in lines], float), sigma)
+    ratios = smooth(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
     cut = threshold(ratios)
     mass: dict[int, int] = {}
     total = 0
-    for (text, _, around), ratio in zip(lines, ratios):
+    for (text, _, _, around), ratio in zip(lines, ratios):
         weight = len(text) if ratio >= min(cut, ratios.max()) else 0
         total += weight
         for n in around:
@@ -214,7 +221,11 @@ def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_
     else:
         whole = [n for n, m in mass.items() if m >= region_share * total]
         chosen = {max(whole)} if whole else set()  # elements are numbered as they open: the last is the deepest
-    return "\n".join(text for text, _, around in lines if not chosen or not chosen.isdisjoint(around))
+    kept = [(text, linked, ratio) for (text, _, linked, around), ratio in zip(lines, ratios) if not chosen or not chosen.isdisjoint(around)]
+    if not held:  # no article is named: lists of links before and behind the text are menus
+        menu = [ratio < cut and 2 * linked > len(text) for text, linked, ratio in kept]
+        kept = kept[next((i for i, m in enumerate(menu) if not m), 0):len(kept) - next((i for i, m in enumerate(menu[::-1]) if not m), 0)]
+    return "\n".join(text for text, _, _ in kept)
 
 
 EXTRACTED = pa.struct([("text", pa.string()), ("n_chars", pa.int64())])

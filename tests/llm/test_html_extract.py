@@ -34,6 +34,9 @@ def test_article_without_what_surrounds_it():
     f"<div class='promo'><article><h1>Head</h1>{blocks(4)}</article>",
     f"<h1>Head</h1>{blocks(4)}<footer>{LONG}</footer>",
     f"<article><h1>Head</h1>{blocks(4).replace('</p>', '')}",
+    f"<div><a href=1>Home</a></div><div><a href=2>News</a></div><h1>Head</h1>{blocks(4)}<div><a href=3>About us</a> <a href=4>Terms</a></div>",
+    f"<main><div class='notice'>{LONG}</div><h1>Head</h1>{blocks(4)}<div id='newsletter-box'>{LONG}</div><div class='userComments'><p>{LONG}</p></div></main>",
+    f"<article><div class='article-header'><h1>Head</h1></div>{blocks(4)}<ul class='commentlist'><li>{LONG}</li></ul><div role=alert>{LONG}</div></article>",
     f"<main><h1>Head</h1>{blocks(4)}<aside>{LONG}</aside><div role='complementary'>{LONG}</div><p hidden>{LONG}</p></main>",
 ])
 def test_templates(page):
