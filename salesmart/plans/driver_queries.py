@@ -614,12 +614,14 @@ def category_sales_clean(spark, sf):
 
 @query
 def quality_history(spark, sf):
-    return reports.quality_history(transform.daily_summary(_clean(spark, sf), t.CATEGORIES))
+    clean = reports.on_latest_days(_clean(spark, sf), "order_date", 30)
+    return reports.quality_history(transform.daily_summary(clean, t.CATEGORIES))
 
 
 @query
 def latest_reports(spark, sf):
-    report = reports.daily_sales_report(t.fact(spark, sf), t.dim_date(spark, sf)).drop("report_generated_at")
+    fact = reports.on_latest_days(t.fact(spark, sf), "transaction_date", 7)
+    report = reports.daily_sales_report(fact, t.dim_date(spark, sf)).drop("report_generated_at")
     return reports.latest_reports(report, "full_date")
 
 

@@ -182,6 +182,11 @@ def category_sales_clean(clean: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_sales"), "category")
 
 
+def on_latest_days(df: DataFrame, day: str, rows: int) -> DataFrame:
+    """The rows of the newest ``rows`` days, so that older ones need not be worked on."""
+    return df.join(df.select(day).distinct().orderBy(F.desc(day)).limit(rows), day, "left_semi")
+
+
 def latest_reports(report: DataFrame, day: str, rows: int = 7) -> DataFrame:
     """The newest ``rows`` days of a report."""
     return report.orderBy(F.desc(day)).limit(rows)
