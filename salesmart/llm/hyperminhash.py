@@ -219,7 +219,8 @@ def _rest_links(members: DataFrame, texts: DataFrame, settings: Settings) -> Dat
     group = settle(group.join(texts.select("class", "n_shingles"), "class"), "rest-classes")
     sizes = group.groupBy("main").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")).select(
         "main", F.greatest(F.ceil(F.col("rows") / settings.block_rows), F.ceil(F.col("shingles") / settings.block_shingles)).alias("blocks"))
-    cells = 1 + group.count() // settings.block_rows
+    whole = group.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("shingles")).first()
+    cells = 1 + max(whole["rows"] // settings.block_rows, whole["shingles"] // settings.block_shingles)
     rows = group.join(settle(sizes, "rest-groups"), "main").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
     rows = rows.join(texts.select("class", "text"), "class")
     # Groups of one block share cells; each pair of blocks of a larger one has a cell of its own.
