@@ -98,7 +98,9 @@ def daily_summary(
         percent(F.count_if(is_valid), F.count(F.lit(1))).alias("data_quality_score"),
     ]
     distinct = {"total_orders": "order_id", "unique_customers": "customer_id", "unique_products": "product_id"}
-    report = totals_and_distincts(clean.withColumnRenamed("order_date", "report_date"), ["report_date"], totals, distinct)
+    used = [*distinct.values(), "category", "quantity", "total_amount", "discount_amount", "net_amount", "discount_percentage",
+            "order_size_category", "data_quality_flag"]
+    report = totals_and_distincts(clean.select(F.col("order_date").alias("report_date"), *used), ["report_date"], totals, distinct, apart=True)
     return add_audit(as_doubles(report), "generated_at", run_ts)
 
 
@@ -126,7 +128,8 @@ def order_day_summary(sales: DataFrame, run_ts: datetime | Column | None = None)
         F.max(total).alias("max_order_value"),
     ]
     distinct = {"total_orders": "order_id", "unique_customers": "customer_id", "unique_products": "product_id"}
-    report = totals_and_distincts(sales, ["order_date"], totals, distinct)
+    used = ["order_date", *distinct.values(), "quantity", "total_amount"]
+    report = totals_and_distincts(sales.select(*used), ["order_date"], totals, distinct, apart=True)
     return add_audit(as_doubles(report), "updated_at", run_ts)
 
 

@@ -36,7 +36,8 @@ def daily_sales_report(fact: DataFrame, dim_date: DataFrame, day: Day | None = N
         F.max(net).alias("max_transaction"),
     ]
     distinct = {"total_transactions": "transaction_id", "unique_customers": "customer_key", "unique_products": "product_key"}
-    per_day = totals_and_distincts(on_days(fact, "transaction_date", day), ["date_key"], totals, distinct)
+    used = ["date_key", *distinct.values(), "quantity", "total_amount", "discount_amount", "net_amount"]
+    per_day = totals_and_distincts(on_days(fact, "transaction_date", day).select(*used), ["date_key"], totals, distinct, apart=True)
     named = ["full_date", "day_name", "is_weekend"]
     report = _with_calendar(per_day, days, *named).select(*named, *[c for c in per_day.columns if c != "date_key"])
     return add_audit(as_doubles(report), "report_generated_at", run_ts)
