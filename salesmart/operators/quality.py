@@ -33,14 +33,24 @@ NO_STAGING = "Staging boş!"
 NOTHING_LOADED = "Production'a veri yüklenmedi!"
 TOO_MUCH_LOADED = "Production'da fazla veri var!"
 ALL_PASSED = "✅ ALL QUALITY CHECKS PASSED"
-CHECKS_FAILED = "❌ DATA QUALITY CHECKS FAILED:"
-VERDICT_LABELS = (
-    ("Row Count", "row_count_check"),
-    ("Null Check", "null_check"),
-    ("Value Range", "value_range_check"),
-    ("Business Rules", "business_rule_check"),
-    ("Duplicate Check", "duplicate_check"),
-    ("Quality Score", "quality_score_check"),
+NO_DATA = "ERROR: No data found for today"
+NULLS_FOUND = "ERROR: Found NULL values - OrderID:%s, CustomerID:%s, ProductID:%s, OrderDate:%s"
+BAD_RANGES = "ERROR: Invalid value ranges - InvalidQty:%s, InvalidPrice:%s, InvalidAmount:%s"
+BAD_RULES = "ERROR: Business rule violations - InvalidDiscount:%s, NegativeNet:%s"
+DUPLICATES_FOUND = "ERROR: Found %s duplicate orders"
+LOW_SCORE = "ERROR: Data quality score too low - %s%% (minimum 95%% required)"
+PASSED_REPORT = "✅ ALL QUALITY CHECKS PASSED - Total Rows: %s, Quality Score: %s%%"
+FAILED_REPORT = """❌ DATA QUALITY CHECKS FAILED:
+1. Row Count: %s
+2. Null Check: %s
+3. Value Range: %s
+4. Business Rules: %s
+5. Duplicate Check: %s
+6. Quality Score: %s
+Total Rows: %s, Invalid Records: %s, Quality Score: %s%%"""
+# The checks in the order of that report.
+CHECKS = (
+    "row_count_check", "null_check", "value_range_check", "business_rule_check", "duplicate_check", "quality_score_check",
 )
 
 
@@ -142,43 +152,20 @@ def quality_metrics(clean: DataFrame) -> DataFrame:
 
 def quality_verdicts(metrics: DataFrame) -> DataFrame:
     """Six verdicts (PASS or an ERROR text) and the quality score, from :func:`quality_metrics`."""
-    def any_positive(*names: str) -> Column:
-        return F.greatest(*[F.col(n) for n in names]) > 0 if len(names) > 1 else F.col(names[0]) > 0
-
-    def found(prefix: str, **counts: str) -> Column:
-        parts = [p for label, name in counts.items() for p in (F.lit(f", {label}:"), F.col(name).cast("string"))]
-        parts[0] = F.lit(f"ERROR: {prefix} - {next(iter(counts))}:")
-        return F.concat(*parts)
-
-    def verdict(bad: Column, text: Column | str) -> Column:
-        return F.when(bad, text).otherwise(PASS)
+    def unless_zero(text: str, *names: str) -> Column:
+        bad = reduce(lambda a, b: a | b, [F.col(n) > 0 for n in names])
+        return F.when(bad, F.format_string(text, *names)).otherwise(PASS)
 
     total, invalid = F.col("total_rows"), F.col("invalid_records")
     score = percent(total - invalid, total)
+    too_low = (invalid > 0) & ((total - invalid) * 100 < total * MIN_QUALITY_PCT)
     return metrics.select(
-        verdict(total == 0, "ERROR: No data found for today").alias("row_count_check"),
-        verdict(
-            any_positive("null_order_ids", "null_customer_ids", "null_product_ids", "null_order_dates"),
-            found("Found NULL values", OrderID="null_order_ids", CustomerID="null_customer_ids",
-                  ProductID="null_product_ids", OrderDate="null_order_dates"),
-        ).alias("null_check"),
-        verdict(
-            any_positive("invalid_quantities", "invalid_prices", "invalid_amounts"),
-            found("Invalid value ranges", InvalidQty="invalid_quantities", InvalidPrice="invalid_prices",
-                  InvalidAmount="invalid_amounts"),
-        ).alias("value_range_check"),
-        verdict(
-            any_positive("invalid_discount_amount", "negative_net_amounts"),
-            found("Business rule violations", InvalidDiscount="invalid_discount_amount", NegativeNet="negative_net_amounts"),
-        ).alias("business_rule_check"),
-        verdict(
-            any_positive("duplicate_orders"),
-            F.concat(F.lit("ERROR: Found "), F.col("duplicate_orders").cast("string"), F.lit(" duplicate orders")),
-        ).alias("duplicate_check"),
-        verdict(
-            (invalid > 0) & ((total - invalid) * 100 < total * MIN_QUALITY_PCT),
-            F.concat(F.lit("ERROR: Data quality score too low - "), _pct_text(score), F.lit("% (minimum 95% required)")),
-        ).alias("quality_score_check"),
+        F.when(total == 0, NO_DATA).otherwise(PASS).alias("row_count_check"),
+        unless_zero(NULLS_FOUND, "null_order_ids", "null_customer_ids", "null_product_ids", "null_order_dates").alias("null_check"),
+        unless_zero(BAD_RANGES, "invalid_quantities", "invalid_prices", "invalid_amounts").alias("value_range_check"),
+        unless_zero(BAD_RULES, "invalid_discount_amount", "negative_net_amounts").alias("business_rule_check"),
+        unless_zero(DUPLICATES_FOUND, "duplicate_orders").alias("duplicate_check"),
+        F.when(too_low, F.format_string(LOW_SCORE, _pct_text(score))).otherwise(PASS).alias("quality_score_check"),
         "total_rows",
         "invalid_records",
         score.alias("quality_score_pct"),
@@ -193,21 +180,13 @@ def _pct_text(score: Column) -> Column:
 
 def quality_gate(metrics: DataFrame) -> DataFrame:
     """One text: the success line, or the whole report of failed checks."""
-    checks = [name for _, name in VERDICT_LABELS]
-    passed = reduce(lambda a, b: a & b, [F.col(c) == PASS for c in checks])
-    rows, score = F.col("total_rows").cast("string"), _pct_text(F.col("quality_score_pct"))
-    lines = [
-        part
-        for i, (label, name) in enumerate(VERDICT_LABELS, start=1)
-        for part in (F.lit(f"\n{i}. {label}: "), F.col(name))
-    ]
-    report = F.concat(
-        F.lit(CHECKS_FAILED), *lines,
-        F.lit("\nTotal Rows: "), rows, F.lit(", Invalid Records: "), F.col("invalid_records").cast("string"),
-        F.lit(", Quality Score: "), score, F.lit("%"),
+    passed = reduce(lambda a, b: a & b, [F.col(c) == PASS for c in CHECKS])
+    score = _pct_text(F.col("quality_score_pct"))
+    return quality_verdicts(metrics).select(
+        F.when(passed, F.format_string(PASSED_REPORT, "total_rows", score))
+        .otherwise(F.format_string(FAILED_REPORT, *CHECKS, "total_rows", "invalid_records", score))
+        .alias("validation_result")
     )
-    success = F.concat(F.lit(f"{ALL_PASSED} - Total Rows: "), rows, F.lit(", Quality Score: "), score, F.lit("%"))
-    return quality_verdicts(metrics).select(F.when(passed, success).otherwise(report).alias("validation_result"))
 
 
 def enforce_quality(clean: DataFrame) -> str:

@@ -65,7 +65,7 @@ def test_gate_passes_and_fails_with_the_whole_report(spark):
 
 def test_staging_fact_and_count_gates(spark):
     raw = staging(spark)
-    verdict = lambda df, **o: quality.validate_staging(df, **o).first()[0]
+    verdict = lambda df, max_rows=100: quality.validate_staging(df, max_rows).first()[0]
     assert verdict(raw) == quality.VALIDATION_PASSED
     assert verdict(raw.where("false")) == quality.STAGING_EMPTY
     assert verdict(raw, max_rows=3) == quality.STAGING_TOO_LARGE
