@@ -225,8 +225,9 @@ def _rest_links(members: DataFrame, texts: DataFrame, settings: Settings) -> Dat
     rows = rows.join(texts.select("class", "text"), "class")
     # Groups of one block share cells; each pair of blocks of a larger one has a cell of its own.
     all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cell = F.when(F.col("blocks") == 1, F.struct(F.pmod(F.xxhash64("main"), F.lit(cells)).alias("g"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j")))
-    cell = cell.otherwise(F.struct(F.col("main").alias("g"), F.col("i"), F.col("j"))).alias("cell")
+    none = F.lit(-1).cast("long")
+    shared = F.struct(F.pmod(F.xxhash64("main"), F.lit(cells)).alias("g"), none.alias("i"), none.alias("j"))
+    cell = F.when(F.col("blocks") == 1, shared).otherwise(F.struct(F.col("main").alias("g"), F.col("i"), F.col("j"))).alias("cell")
     kept = ["main", "class", "component", "text"]
     left = rows.filter("component != main").withColumnRenamed("block", "i").withColumn("j", all_blocks).select(cell, *kept, F.lit(True).alias("outside"))
     right = rows.withColumnRenamed("block", "j").withColumn("i", all_blocks).select(cell, *kept, F.lit(False).alias("outside"))

@@ -115,8 +115,8 @@ def gram_counts(docs: DataFrame, items: Items, settings: Settings, text: str = "
 
     counts = np.zeros(len(known) + 1, np.int64)
     rows = docs.select(docs[text]).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    for r in rows.collect():  # as many as the block of items has grams
-        counts[r["gram"]] = r["n"]
+    found = rows.toArrow()  # as many rows as the block of items has grams
+    counts[found["gram"].to_numpy()] = found["n"].to_numpy()
     return counts[:-1], int(counts[-1])
 
 
@@ -225,7 +225,7 @@ def _searches(docs: DataFrame, benchmark: DataFrame, settings: Settings, block_b
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), block_bytes: int = 16 << 20, doc_id: str = "doc_id",
+    docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), block_bytes: int = 2 << 20, doc_id: str = "doc_id",
     item_id: str = "item_id", text: str = "text",
 ) -> DataFrame:
     """One row for each document and item it leaks: (doc_id, item_id, score, first_word, last_word)."""
@@ -242,7 +242,7 @@ def find_leaks(
 
 
 def drop_leaking(
-    docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), block_bytes: int = 16 << 20, item_id: str = "item_id", text: str = "text",
+    docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), block_bytes: int = 2 << 20, item_id: str = "item_id", text: str = "text",
 ) -> DataFrame:
     """The documents that leak no item, with their columns as they are."""
     kept = docs

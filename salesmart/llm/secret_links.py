@@ -40,7 +40,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 WEAK_ASSIGN = re.compile(
-    r"""(?:pwd|pass|pass_?phrase|secret_?key|private_?key|access_?key|auth|credential|bearer)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,200})""", re.I | re.A)
+    r"""(?:pwd|pass|pass_?phrase|secret_?key|private_?key|access_?key|auth|credential|bearer)["']?\x20{0,4}[:=]\x20{0,4}["']?"""
+    r"""([A-Za-z0-9+/_.=!@#$%^&*-]{6,200})""", re.I | re.A)
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])")
 IDENTIFIER = re.compile(
     r"""(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|key_?id|access_?key_?id|tenant(?:_?id)?)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@+-]{2,200})""", re.I | re.A)
@@ -84,7 +85,7 @@ def weak_spans(text: str, base: list[Span], least_entropy: float = 3.5) -> list[
     for start, kind, stop in found:
         while i < len(base) and base[i][2] <= start:
             i += 1
-        if start >= end and not any(b[0] < stop and b[2] > start for b in base[i:i + 3]):
+        if start >= end and (i == len(base) or base[i][0] >= stop):  # the first base span that ends later begins later
             out.append((start, kind, stop))
             end = stop
     return out
@@ -147,7 +148,9 @@ def find_secrets(docs: DataFrame, reach: int = 300, text: str = "text", keep: tu
     scanned = settle(docs.select(
         F.monotonically_increasing_id().alias("row_id"), F.struct(*[docs[c] for c in keep]).alias("kept"), parts(docs[text]).alias("parts")), "secret-parts")
     found = linked(scanned, reach).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("weak"))
-    base = F.transform(F.filter("parts", lambda p: p["kind"] < len(BASE_KINDS)), lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["stop"].alias("stop")))
+    base = F.transform(
+        F.filter("parts", lambda p: p["kind"] < len(BASE_KINDS)),
+        lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["stop"].alias("stop")))
     rows = scanned.select("row_id", "kept", base.alias("base")).join(found, "row_id", "left")
     count = lambda k: F.size(F.filter("base", lambda p: p["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     none = F.array().cast("array<struct<start: bigint, kind: int, stop: bigint>>")
