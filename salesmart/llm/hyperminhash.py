@@ -359,7 +359,7 @@ def keep_one(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "do
     """One document of each component, with its columns as they are."""
     gone = near_duplicates(docs, settings, doc_id, text).filter("NOT kept").select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    rows = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"), F.struct("*").alias("row"))
     gone = settle(gone, "near-duplicates").hint("shuffle_hash")
     same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
     return rows.join(gone, same, "left_anti").select("row.*")

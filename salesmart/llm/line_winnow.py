@@ -90,7 +90,7 @@ def drop_repeated_runs(
         .groupBy("doc").agg(F.collect_set("pos").alias("gone"))
         .select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "gone")
     )
-    rows = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"), F.struct("*").alias("row"))
     gone = settle(gone, "removed-lines").select(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash"), "gone")
     # Removals grow with the documents: the same join at every size, and one that need not sort the texts.
     joined = rows.join(gone.hint("shuffle_hash"), rows["id"].eqNullSafe(gone["gone_id"]) & (rows["hash"] == gone["gone_hash"]), "left")

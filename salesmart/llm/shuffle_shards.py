@@ -56,7 +56,7 @@ def place_rows(
     draw = F.xxhash64(F.lit(seed), docs[doc_id], docs[text])
     rows = docs.select(
         F.pmod(draw, F.lit(buckets)).alias("bucket"), draw.alias("draw"), size.alias("size"),
-        F.monotonically_increasing_id().alias("at"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+        F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row"))
     counts = settle(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "bucket-counts")
     parts = F.ceil(F.col("bytes") / bucket_bytes)
     large = counts.filter((F.col("bytes") > oversize * bucket_bytes) & (F.col("n") > 1)).select("bucket", parts.alias("parts"))

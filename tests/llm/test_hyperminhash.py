@@ -88,7 +88,7 @@ def test_nulls_empty_repeats_long_texts_and_clashing_columns(spark):
     rows = [(None, "a b c d e"), (7, "A b\tc d  e"), (None, None), (3, ""), (4, " \n"), (5, "x y"), (6, "X Y"), (8, "y x"), (9, "same row here now"),
             (9, "same row here now"), (10, " ".join(long)), (11, " ".join(edited(long, 900, r))), (None, "only one without id"), (12, "é É a b"), (13, "é é a b")]
     assert found(spark, rows) == brute(rows)
-    docs = spark.createDataFrame([(*x, 1, "s") for x in rows], "doc_id long, text string, class int, signature string")
+    docs = spark.createDataFrame([(*x, 1, "s") for x in rows], "doc_id long, text string, class int, `row.x` string")
     kept = hm.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["7", "None", "3", "4", "5", "8", "9", "9", "10", "None", "12", "13"])

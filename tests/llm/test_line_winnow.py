@@ -76,7 +76,7 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark):
     passage = " ".join(f"w{i}" for i in range(60))
     long = "\n".join(f"{i} " + "word " * 9 for i in range(20_000))
     rows = [(None, passage, 1), (1, None, 2), (2, "", 3), (3, passage + "\n\nz", 4), (3, passage + "\n\nz", 4), (4, long, 5), (5, "a\n" + long, 6)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, pos int").selectExpr("*", "pos AS gone", "pos AS doc", "'k' AS hash", "1 AS n_lines")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pos int").selectExpr("*", "pos AS gone", "pos AS doc", "'k' AS hash", "1 AS n_lines", "2 AS `a.b`")
     out = line_winnow.drop_repeated_runs(docs)
     assert out.columns == docs.columns
     got = sorted((r.pos, r.text, r.gone, r.hash) for r in out.collect())

@@ -23,9 +23,9 @@ def check(rows, shards):
 
 @pytest.mark.parametrize("bucket_bytes", [200, 5_000, 1 << 20])
 def test_every_row_once_and_even_counts(spark, bucket_bytes):
-    docs = spark.range(0, 997, 1, 5).selectExpr("id AS doc_id", "repeat('x', int(id % 90)) AS text", "id % 7 AS bucket", "1 AS row")
+    docs = spark.range(0, 997, 1, 5).selectExpr("id AS doc_id", "repeat('x', int(id % 90)) AS text", "id % 7 AS bucket", "1 AS row", "2 AS `cell.x`")
     placed = place_rows(docs, 10, bucket_bytes=bucket_bytes)
-    assert placed.columns == ["doc_id", "text", "bucket", "row", "shard", "slot"]
+    assert placed.columns == ["doc_id", "text", "bucket", "row", "cell.x", "shard", "slot"]
     rows = placed.collect()
     assert Counter(r.doc_id for r in rows) == Counter(range(997))
     check(rows, 10)
