@@ -21,11 +21,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a small table dealt out where its files give fewer tasks than there are cores.
+
+    A file of one row group is one task, which would do all the work that follows without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()  # df.rdd would make a Python RDD for it
+    return df.repartition(cores) if tasks < cores else df
+
+
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines with their order's customer and day: the raw material of staging and fact."""
     total = money("l_extendedprice")
     orders = table(spark, sf, "orders")
-    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return spread(table(spark, sf, "lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").alias("p_partkey"),
