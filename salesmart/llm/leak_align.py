@@ -1,12 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: seeds of near word pairs, then Smith-Waterman alignment of words.
 
-A first pass over the corpus counts the grams (``gram`` words) of the test items. Those that make up at most
-``rare_share`` of the corpus become seeds, and so does the rarest of every ``span`` consecutive grams of an item: each
-stretch of ``gram + span - 1`` words that a copy leaves unedited holds a seed even where a passage is so
-common that all its grams are frequent, and chance hits stay in proportion to the corpus. A second pass
-finds the seeds in each document, joins them to their items and aligns the words around hits on near
-diagonals. A document leaks an item if its best local alignment reaches ``least_score`` of the score of a
-whole copy; replaced, added and dropped words lower the score by one to three words each.
+A document leaks an item if its best local alignment reaches ``least_score`` of the score of a whole copy;
+replaced, added and dropped words lower the score by one to three words each. The seeds miss no such document,
+whatever the corpus's size. Let an item have m words and the alignment match a of them, at a cost of one for each word
+between two matches. The cost is 2a - 2 * least_score * m at most, so at most a - least_score * m steps from match to
+match cost two or more, and ceil(least_score * m) - 1 steps at least cost none or one: from a word of the item to its
+next or next but one, found as next or next but one in the document. A place of the item, with both its pairs, can
+thus be left out as a seed as long as fewer places are left out than such steps. A first pass counts the pairs
+in the corpus, and the most frequent places are left out, so chance hits stay few.
+
+A second pass finds the seeds in each document. Where as many hits as an alignment must have lie within the words
+that it can span, the words around are aligned as a whole.
 
 Items come to the executors in blocks of bounded size, one pass a block, so the benchmark may have any size. Documents
 are not shuffled; counts are combined in each task before they travel.
@@ -19,6 +23,7 @@ own result; empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,23 +45,40 @@ FOUND_DDL = "array<struct<item: int, score: double, first_word: bigint, last_wor
 class Settings:
     """Parameters of the search, see the module."""
 
-    gram: int = 3
-    span: int = 4
-    rare_share: float = 1e-7
     least_score: float = 0.5
     least_words: int = 8
     window: int = 400
+    hits: int = 3  # seeds that an alignment must hit, if it has as many; changes the work, not the result
+    rare_share: float = 1e-7  # places of pairs with this share of the corpus's are seeds too; likewise
+
+    def __post_init__(self) -> None:
+        if self.least_score * self.least_words <= 1:
+            raise ValueError("one equal word would be a leak: raise least_score or least_words")
 
 
 @dataclass
 class Items:
-    """Windows of test items: the item of each, its words, and all grams with their windows and places."""
+    """Windows of test items: the item of each, its words, and all pairs with their windows and places."""
 
     ids: list
     item: np.ndarray
     words: list[np.ndarray]
-    grams: np.ndarray  # sorted, distinct
-    places: list[np.ndarray]  # of each window: index into grams at each place
+    pairs: np.ndarray  # sorted, distinct
+    places: list[np.ndarray]  # of each window: index into pairs at each place, of the next word and the next but one (or -1)
+
+
+@dataclass
+class Seeds:
+    """Pairs to look for, with their windows: those of pair i are ``window[first[i]:first[i + 1]]``.
+
+    Of each window: how many hits an alignment has at least, within how many words.
+    """
+
+    pairs: np.ndarray
+    first: np.ndarray
+    window: np.ndarray
+    needed: np.ndarray
+    reach: np.ndarray
 
 
 def _lower(texts: pa.Array) -> pa.Array:
@@ -75,9 +97,31 @@ def items_of(rows: list[tuple], settings: Settings) -> Items:
             for part in np.array_split(own, -(-len(own) // settings.window)):
                 owner.append(i)
                 words.append(part)
-                hashes.append(word_hash.grams(word_hash.Words(part, np.array([0, len(part)])), settings.gram)[0])
-    grams = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-    return Items([i for i, _ in rows], np.array(owner, np.int64), words, grams, [np.searchsorted(grams, h) for h in hashes])
+                hashes.append(np.stack([pair_hashes(part, 1), np.append(pair_hashes(part, 2), np.uint64(0))]))
+    pairs = np.unique(np.concatenate([np.concatenate([near, far[:-1]]) for near, far in hashes])) if hashes else np.zeros(0, np.uint64)
+    places = [np.searchsorted(pairs, h) for h in hashes]
+    for p in places:
+        p[1, -1] = -1
+    return Items([i for i, _ in rows], np.array(owner, np.int64), words, pairs, places)
+
+
+def pair_hashes(words: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of each word with the word ``apart`` places on."""
+    return word_hash.mix(words[:-apart] * np.uint64(word_hash.BASE) + words[apart:])
+
+
+def pairs_in(words: word_hash.Words, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(first word, its text, index in the set) of the known pairs in texts, and how many pairs these have."""
+    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    at, index, total = [], [], 0
+    for apart in (1, 2):
+        place, known = lookup.find(pair_hashes(words.hashes, apart))
+        inside = text[place] == text[place + apart]
+        at.append(place[inside])
+        index.append(known[inside])
+        total += int(np.maximum(np.diff(words.first) - apart, 0).sum())
+    place, known = np.concatenate(at), np.concatenate(index)
+    return place, text[place], known, total
 
 
 class Lookup:
@@ -98,40 +142,48 @@ class Lookup:
         return at[hit], index[hit]
 
 
-def gram_counts(docs: DataFrame, items: Items, settings: Settings, text: str = "text") -> tuple[np.ndarray, int]:
-    """How often each gram of the items occurs in the corpus, and how many grams that has."""
-    known, n = items.grams, settings.gram
+def pair_counts(docs: DataFrame, items: Items, text: str = "text") -> tuple[np.ndarray, int]:
+    """How often each pair of the items occurs in the corpus, and how many pairs that has."""
+    known = items.pairs
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, total = Lookup(known), np.zeros(len(known) + 1, np.int64)
         for batch in batches:
             for _, _, words in word_hash.chunks(_lower(batch.column(0)), TABLE):
-                hashes, owner = word_hash.grams(words, n)
-                at, index = lookup.find(hashes)
-                total += np.bincount(index[owner[at] >= 0], minlength=len(known) + 1)
-                total[-1] += (owner >= 0).sum()
+                _, _, index, n = pairs_in(words, lookup)
+                total += np.bincount(index, minlength=len(known) + 1)
+                total[-1] += n
         found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["pair", "n"])
 
     counts = np.zeros(len(known) + 1, np.int64)
-    rows = docs.select(docs[text]).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()  # as many rows as the block of items has grams
-    counts[found["gram"].to_numpy()] = found["n"].to_numpy()
+    rows = docs.select(docs[text]).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    found = rows.toArrow()  # as many rows as the block of items has pairs
+    counts[found["pair"].to_numpy()] = found["n"].to_numpy()
     return counts[:-1], int(counts[-1])
 
 
-def seeds_of(items: Items, counts: np.ndarray, total: int, settings: Settings) -> dict[int, list[tuple[int, int]]]:
-    """{gram: [(window, place)]}: rare grams, and in each run of ``span`` grams the rarest, the first of equals."""
-    seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for w, places in enumerate(items.places):
-        rare = counts[places]
-        span = min(settings.span, len(places))
-        runs = np.lib.stride_tricks.sliding_window_view(rare, span)
-        chosen = rare <= settings.rare_share * total
-        chosen[np.arange(len(runs)) + runs.argmin(1)] = True
-        for at in np.flatnonzero(chosen):
-            seeds[int(places[at])].append((w, int(at)))
-    return dict(seeds)
+def seeds_of(items: Items, counts: np.ndarray, total: int, settings: Settings) -> Seeds:
+    """The rarest places of each window, as many as it takes to be hit ``settings.hits`` times, and other rare ones."""
+    counts = np.append(counts, 0)  # for the last place, which has one pair
+    pairs, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    needed, reach = [], []
+    for w, (word, places) in enumerate(zip(items.words, items.places)):
+        m = len(word)
+        steps = math.ceil(settings.least_score * m - 1e-9) - 1  # places that an alignment hits at least
+        missed = m - 1 - steps
+        often = counts[places].sum(0)
+        chosen = often <= settings.rare_share * total
+        chosen[np.argsort(often, kind="stable")[:missed + max(1, min(settings.hits, steps))]] = True
+        own = np.unique(places[:, chosen])
+        pairs.append(own[own >= 0])
+        windows.append(np.full(len(pairs[-1]), w))
+        needed.append(int(chosen.sum()) - missed)
+        reach.append(math.floor((3 - 2 * settings.least_score) * m + 1e-9))
+    pair, window = np.concatenate(pairs), np.concatenate(windows)
+    order = np.argsort(pair, kind="stable")
+    known, first = np.unique(pair[order], return_index=True)
+    return Seeds(items.pairs[known], np.append(first, len(pair)), window[order], np.array(needed, np.int64), np.array(reach, np.int64))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -152,54 +204,67 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _document(own: np.ndarray, hits: list[tuple[int, int, int]], items: Items, settings: Settings) -> list[dict]:
-    """Leaks of one document; ``hits`` are (window, diagonal, place)."""
-    best: dict[int, tuple[float, int, int]] = {}
-    hits.sort()
-    i = 0
-    while i < len(hits):
-        w, low, _ = hits[i]
-        word = items.words[w]
-        m, slack = len(word), len(word) // 4 + 4
-        high = low
-        while i < len(hits) and hits[i][0] == w and hits[i][1] <= high + slack:  # hits on near diagonals are one copy
-            high = hits[i][1]
-            i += 1
-        start = max(0, low - slack)
-        region = own[start:high + m + slack]
+def regions(words: word_hash.Words, seeds: Seeds, lookup: Lookup, most: int = 1 << 22) -> Iterator[tuple[int, int, int, int]]:
+    """(text, window, start, end) of the words in which an alignment can lie; about ``most`` hits are held at a time."""
+    place, text, known, _ = pairs_in(words, lookup)
+    order = np.argsort(place, kind="stable")
+    place, text, known = place[order], text[order], known[order]
+    n = seeds.first[known + 1] - seeds.first[known]
+    before = np.cumsum(n) - n
+    begins = np.searchsorted(text, text)  # the first hit of the same text
+    part = before[begins] // most if len(n) else before
+    for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(part)) + 1):
+        size = n[own]
+        held = np.repeat(seeds.first[known[own]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        w, at = seeds.window[held], np.repeat(place[own], size)
+        order = np.lexsort((at, w))
+        w, at = w[order], at[order]
+        once = np.ones(len(w), bool)
+        once[1:] = (np.diff(w) != 0) | (np.diff(at) != 0)
+        w, at = w[once], at[once]
+        doc = np.searchsorted(words.first, at, "right") - 1
+        last = np.arange(len(w)) + seeds.needed[w] - 1
+        i = np.flatnonzero(last < len(w))
+        j = last[i]
+        i, j = (x[(w[i] == w[j]) & (doc[i] == doc[j]) & (at[j] - at[i] < seeds.reach[w[i]])] for x in (i, j))
+        if not len(i):
+            continue
+        w, doc, reach = w[i], doc[i], seeds.reach[w[i]]
+        start, end = np.maximum(words.first[doc], at[j] - reach + 1), np.minimum(words.first[doc + 1], at[i] + reach)
+        new = np.flatnonzero(np.append(True, (np.diff(w) != 0) | (np.diff(doc) != 0) | (start[1:] > end[:-1])))
+        yield from zip(doc[new].tolist(), w[new].tolist(), start[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist())
+
+
+def _texts(words: word_hash.Words, items: Items, seeds: Seeds, lookup: Lookup, settings: Settings) -> dict[int, list[dict]]:
+    """Leaks of each text that has any."""
+    best: dict[int, dict[int, tuple[float, int, int]]] = defaultdict(dict)
+    for doc, w, start, stop in regions(words, seeds, lookup):
+        word, region = items.words[w], words.hashes[start:stop]
         # No alignment scores more than the item's words that occur here at all.
         if np.isin(word, region).mean() < settings.least_score:
             continue
         score, end = align(word, region)
-        share = score / (MATCH * m)
+        share = score / (MATCH * len(word))
         item = int(items.item[w])
-        if share >= settings.least_score and share > best.get(item, (0.0,))[0]:
+        if share >= settings.least_score and share > best[doc].get(item, (0.0,))[0]:
             _, back = align(word[::-1], region[:end][::-1])
-            best[item] = (share, start + end - back, start + end)
-    return [{"item": k, "score": s, "first_word": a, "last_word": b - 1} for k, (s, a, b) in sorted(best.items())]
+            start -= int(words.first[doc])
+            best[doc][item] = (share, start + end - back, start + end)
+    return {d: [{"item": k, "score": s, "first_word": a, "last_word": b - 1} for k, (s, a, b) in sorted(found.items())] for d, found in best.items()}
 
 
-def leaks(text: Column, items: Items, seeds: dict[int, list[tuple[int, int]]], settings: Settings) -> Column:
+def leaks(text: Column, items: Items, seeds: Seeds, settings: Settings) -> Column:
     """Leaked items of a text column: (index of the item, score, first and last word)."""
-    known = items.grams[sorted(seeds)]
-    places = [seeds[g] for g in sorted(seeds)]
     kind = pa.list_(pa.struct([("item", pa.int32()), ("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
 
     @F.arrow_udf(FOUND_DDL)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lookup = Lookup(known)
+        lookup = Lookup(seeds.pairs)
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(len(batch))]
             for row, _, words in word_hash.chunks(_lower(batch), TABLE):
-                hashes, owner = word_hash.grams(words, settings.gram)
-                at, index = lookup.find(hashes)
-                by: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-                for a, g, doc in zip(at.tolist(), index.tolist(), owner[at].tolist()):
-                    if doc >= 0:
-                        place = a - int(words.first[doc])
-                        by[doc] += [(w, place - p, place) for w, p in places[g]]
-                for doc, hits in by.items():
-                    found[row + doc] = _document(words.hashes[words.first[doc]:words.first[doc + 1]], hits, items, settings)
+                for doc, own in _texts(words, items, seeds, lookup, settings).items():
+                    found[row + doc] = own
             yield pa.array(found, kind)
 
     return search(text)
@@ -220,7 +285,7 @@ def _searches(docs: DataFrame, benchmark: DataFrame, settings: Settings, block_b
     for rows in blocks(benchmark, block_bytes, item_id, "text"):
         items = items_of(rows, settings)
         if items.words:
-            seeds = seeds_of(items, *gram_counts(docs, items, settings, text), settings)
+            seeds = seeds_of(items, *pair_counts(docs, items, text), settings)
             yield items, leaks(docs[text], items, seeds, settings)
 
 

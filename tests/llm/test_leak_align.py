@@ -143,3 +143,23 @@ def test_given_documents_against_brute_force(spark):
     assert found <= {(r.doc_id, r.item_id) for r in rows}
     for r in rows:
         assert r.score == pytest.approx(best_score(items[r.item_id], docs[r.doc_id]))
+
+
+def test_edited_copies_equal_brute_force_with_the_default_settings(spark):
+    r = random.Random(6)
+    items = [prose(m, r) for m in (8, 9, 15, 40, 40, 59)]
+    every = lambda k, text: " ".join("zzz" if i % k == 2 else w for i, w in enumerate(text.split()))
+    between = lambda text: " ".join(f"{w} {r.choice(VOCABULARY)}" for w in text.split())
+    copies = [f(item) for item in items for f in (lambda t: every(5, t), lambda t: every(4, t), lambda t: every(3, t), between)]
+    copies += [edit(r.choice(items), r.choice([0.2, 0.3, 0.4, 0.5]), r) for _ in range(150)]
+    docs = [prose(r.randint(0, 60), r) + "\n" + copy + "\n" + prose(r.randint(0, 60), r) for copy in copies]
+    want = {(i, k): s for i, d in enumerate(docs) for k, item in enumerate(items) if (s := best_score(item, d)) >= S.least_score}
+    assert len(want) > 60 and min(want.values()) < 0.55
+    found = {(x.doc_id, x.item_id): x.score for x in la.find_leaks(*frames(spark, docs, items)).collect()}
+    assert found == pytest.approx(want)
+    # One edited copy, and thousands, which make its pairs frequent.
+    one = docs[13]
+    assert best_score(items[3], one) >= S.least_score
+    for n in (1, 3000):
+        rows = la.find_leaks(*frames(spark, [one] * n + [prose(20, r)] * 50, items)).collect()
+        assert len({x.doc_id for x in rows if x.item_id == 3}) == n
