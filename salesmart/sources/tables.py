@@ -135,11 +135,17 @@ def upsert_days(
     if not touched:
         return
     if table_exists(spark, path):
-        stored = spark.read.schema(new.schema).parquet(path).where(F.col(name).isin(touched))
+        stored = spark.read.schema(new.schema).parquet(path).where(is_one_of(F.col(name), touched))
         new = settle(absent(stored, new, identity).unionByName(new), "upserted")
     overwrite_partitions(new, path, [name], cluster_by)
 
 
+def is_one_of(column: Column, values: Sequence) -> Column:
+    """Whether ``column`` is one of ``values``; NULL is a value like others."""
+    held = column.isin([v for v in values if v is not None])
+    return held | column.isNull() if None in values else held
+
+
 def once(df: DataFrame, identity: Sequence[str]) -> DataFrame:
     """One row for each identity; of rows whose identity has a NULL, those that differ in any value."""
     named, nameless = _by_identity(df, identity)

@@ -16,7 +16,7 @@ from salesmart.operators.history import DELETE, latest_per_key
 from salesmart.operators.star import FACT_IDENTITY, fact_sales
 from salesmart.session import settle
 from salesmart.sources.tables import (
-    absent, drop_partitions, is_complete, once, partition_values, table_exists, write_append, write_truncate,
+    absent, drop_partitions, is_complete, is_one_of, once, partition_values, table_exists, write_append, write_truncate,
 )
 
 VERSION = "version"
@@ -100,7 +100,7 @@ def stream_fact_sales(raw: DataFrame, target: str, checkpoint: str) -> DataFrame
         fresh = settle(once(batch, FACT_IDENTITY), "batch")
         if table_exists(session, target):
             days = [r[0] for r in fresh.select("transaction_date").distinct().collect()]  # those of one batch
-            stored = session.read.schema(fact.schema).parquet(target).where(F.col("transaction_date").isin(days))
+            stored = session.read.schema(fact.schema).parquet(target).where(is_one_of(F.col("transaction_date"), days))
             fresh = absent(fresh, stored, FACT_IDENTITY)
         write_append(fresh, target, ["transaction_date"], ["customer_key", "product_key"])
 

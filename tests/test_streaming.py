@@ -73,3 +73,12 @@ def test_bounded_form_drops_repeats_within_the_delay(spark, tmp_path):
     got = ingest.stream_fact_sales_bounded(stream, str(tmp_path / "fact"), str(tmp_path / "progress"))
     assert got.count() == 6 and got.select("transaction_id").distinct().count() == 6
     assert got.agg(F.max("transaction_date")).first()[0] == start.date()
+
+
+def test_undated_sales_are_loaded_once(spark, tmp_path):
+    undated = [(f"T{i}", "C", "P", 1, 10.0, 10.0, 0.0, None) for i in range(3)]
+    source = str(tmp_path / "in")
+    drop_files(spark, source, [undated, undated[:2], [sale(9, datetime(2024, 1, 1))]], TRANSACTIONS_RAW)
+    stream = ingest.file_stream(spark, f"{source}/*", TRANSACTIONS_RAW, files_per_batch=1)
+    got = ingest.stream_fact_sales(stream, str(tmp_path / "fact"), str(tmp_path / "progress"))
+    assert sorted(r.transaction_id for r in got.collect()) == ["T0", "T1", "T2", "T9"]

@@ -214,3 +214,13 @@ def test_upserts_touch_only_their_days(spark, path):
     assert glob.glob(f"{path}/day=2024-01-02/*.parquet") == kept
     tables.upsert_days(spark.createDataFrame([], schema), path, "day", identity)
     assert as_list(spark.read.schema(schema).parquet(path), "id", "day", "v") == sorted(want, key=repr)
+
+
+def test_upserts_keep_the_rows_without_a_day(spark, path):
+    def upsert(*rows):
+        df = spark.createDataFrame(list(rows), "id string, day date, v int")
+        tables.upsert_days(df, path, "day", ["day", "id"])
+        return {(r.id, r.v) for r in spark.read.schema(df.schema).parquet(path).collect()}
+
+    upsert(("a", None, 1), ("b", None, 2), ("c", date(2024, 1, 1), 3))
+    assert upsert(("d", None, 4), ("a", None, 1)) == {("a", 1), ("b", 2), ("c", 3), ("d", 4)}
