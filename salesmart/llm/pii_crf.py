@@ -5,14 +5,17 @@ Patterns give the base spans. The field then labels a document's candidates: num
 
 * unary: the shape of a candidate and the words before it,
 * chain: between candidates that follow each other,
-* skip: between distant candidates that repeat each other or are alike (same last digits, same local part).
+* skip: between distant candidates that repeat each other or are alike (same last digits, same local part), by
+  way of a hub that all of them are joined to.
 
-Base spans are clamped to their kind; loopy belief propagation carries labels along the skip edges, so a
-number written with its country code once and without it later gets one label in the whole document. Candidates
-whose marginal for a kind passes a limit become further spans. A key that occurs k times makes k - 1 skip edges.
+Base spans are clamped to their kind, and so are the hubs they are joined to; loopy belief propagation carries
+labels along the skip edges, so a number written with its country code once and without it later gets one label
+in the whole document, however often it repeats. Candidates whose marginal for a kind passes a limit become further
+spans. A key that occurs k times makes k skip edges, and any two of its occurrences are two steps apart.
 
 Weights are fitted by pseudo-likelihood on a bounded sample of documents (``fit``), whose base spans are the
-labels; no feature says what the patterns test for besides the digits' check sum.
+labels; no feature says what the patterns test for besides the digits' check sum. Candidates that no pattern takes
+count as none, but for those that repeat a base span: their label is not known, so they teach nothing.
 
 Defined results: null and empty texts have no spans; offsets are code points, ends exclusive; every row is
 worked on alone, so repeated ids and rows do not mix; an empty table gives an empty result and the prior
@@ -50,7 +53,6 @@ CUES = (
 LABELS = len(KINDS) + 1  # 0 is none of them
 FEATURES = 19
 NEAR = 200  # code points between candidates that are still a chain
-LOCAL_CHARS = 64  # of a veiled address
 
 Span = tuple[int, int, int]  # (start, kind, end)
 
@@ -105,7 +107,7 @@ class Graph:
     places: list[tuple[int, int]]
     given: np.ndarray
     features: np.ndarray
-    edges: np.ndarray  # (n, 3): from, to, 0 chain or 1 skip
+    edges: np.ndarray  # (n, 3): from, to, 0 chain or 1 skip; numbers behind the candidates' are hubs, only a skip's second
 
 
 def _candidates(text: str, base: list[Span]) -> list[tuple[int, int, int]]:
@@ -119,7 +121,7 @@ def _candidates(text: str, base: list[Span]) -> list[tuple[int, int, int]]:
     more = []
     for m in VEILED.finditer(text):
         start = m.start()
-        while start > max(0, m.start() - LOCAL_CHARS) and LOCAL.match(text[start - 1]):
+        while start > 0 and LOCAL.match(text[start - 1]):
             start -= 1
         host = VEILED_HOST.match(text, m.end())
         if host and start < m.start():
@@ -176,15 +178,15 @@ def graph(text: str, base: list[Span]) -> Graph | None:
     found = _candidates(text, base) if WORTH_A_LOOK.search(text) else []
     if not found:
         return None
-    rows, edges, last = [], [], {}
+    rows, edges, alike = [], [], {}
     for i, (s, e, _) in enumerate(found):
         row, key = _features(text, s, e)
         rows.append(row)
         if i and s - found[i - 1][1] <= NEAR:
             edges.append((i - 1, i, 0))
-        if key in last:
-            edges.append((last[key], i, 1))
-        last[key] = i
+        alike.setdefault(key, []).append(i)
+    for hub, own in enumerate((own for own in alike.values() if len(own) > 1), len(found)):
+        edges += [(i, hub, 1) for i in own]
     return Graph([(s, e) for s, e, _ in found], np.array([g for *_, g in found]), np.array(rows), np.array(edges, int).reshape(-1, 3))
 
 
@@ -211,18 +213,28 @@ def learn(graphs: list[Graph], steps: int = 300, rate: float = 0.1, pulls: tuple
     start = prior()
     if not graphs:
         return start
-    labels = np.concatenate([np.maximum(g.given, 0) for g in graphs])
+    given = np.concatenate([g.given for g in graphs])
     x = np.concatenate([g.features for g in graphs])
-    offset = np.cumsum([0] + [len(g.given) for g in graphs])
-    edges = np.concatenate([g.edges + [o, o, 0] for g, o in zip(graphs, offset)])
-    hot = np.eye(LABELS)[labels]
-    around = np.zeros((len(labels), 3, LABELS))  # labels before and after on the chain, and along skips
+    chain, skip, low, hubs = [], [], 0, 0
+    for g in graphs:
+        own = g.edges[g.edges[:, 2] == 1, :2] - [0, len(g.given)]
+        chain.append(g.edges[g.edges[:, 2] == 0, :2] + low)
+        skip.append(own + [low, hubs])
+        low, hubs = low + len(g.given), hubs + (int(own[:, 1].max()) + 1 if len(own) else 0)
+    chain, skip = np.concatenate(chain), np.concatenate(skip)
+    node, hub = skip.T
+    hot = np.eye(LABELS)[np.maximum(given, 0)]
+    votes = np.zeros((hubs, LABELS))
+    np.add.at(votes, hub, hot[node] * (given[node] >= 0)[:, None])
+    unknown = np.zeros(len(given), bool)  # repeats of a base span that are none themselves
+    unknown[node] = (given[node] < 0) & votes[hub].any(1)
+    hot[unknown] = 0
+    around = np.zeros((len(given), 3, LABELS))  # labels before and after on the chain, and of the hub without oneself
     for kind, end, other in ((0, 1, 0), (1, 0, 1)):
-        chain = edges[edges[:, 2] == 0]
         np.add.at(around, (chain[:, end], kind), hot[chain[:, other]])
-    skip = edges[edges[:, 2] == 1]
-    np.add.at(around, (skip[:, 0], 2), hot[skip[:, 1]])
-    np.add.at(around, (skip[:, 1], 2), hot[skip[:, 0]])
+    others = votes[hub] - hot[node] * (given[node] >= 0)[:, None]
+    others[~votes[hub].any(1)] = np.eye(LABELS)[0]
+    around[node, 2] = np.eye(LABELS)[others.argmax(1)] * others.any(1)[:, None]
     held = [start.unary.copy(), start.chain.copy(), start.skip.copy()]
     moment, scale = [np.zeros_like(p) for p in held], [np.zeros_like(p) for p in held]
     for step in range(1, steps + 1):
@@ -230,6 +242,7 @@ def learn(graphs: list[Graph], steps: int = 300, rate: float = 0.1, pulls: tuple
         score = x @ unary.T + around[:, 0] @ chain + around[:, 1] @ chain.T + around[:, 2] @ ((skips + skips.T) / 2)
         p = np.exp(score - score.max(1, keepdims=True))
         miss = hot - p / p.sum(1, keepdims=True)
+        miss[unknown] = 0
         both = around[:, 2].T @ miss
         slopes = [miss.T @ x, around[:, 0].T @ miss + (around[:, 1].T @ miss).T, (both + both.T) / 2]
         for i, (slope, old) in enumerate(zip(slopes, (start.unary, start.chain, start.skip))):
@@ -240,19 +253,31 @@ def learn(graphs: list[Graph], steps: int = 300, rate: float = 0.1, pulls: tuple
     return Weights(held[0], held[1], (held[2] + held[2].T) / 2)
 
 
-def marginals(g: Graph, weights: Weights, rounds: int = 60, damping: float = 0.3) -> np.ndarray:
-    """Beliefs (candidate, label) by loopy message passing over chain and skip edges."""
-    unary = g.features @ weights.unary.T
-    known = g.given >= 0
+def marginals(g: Graph, weights: Weights, rounds: int | None = None, damping: float = 0.3) -> np.ndarray:
+    """Beliefs (candidate, label) by loopy message passing over chain and skip edges.
+
+    It ends when messages stay as they are, or after ``rounds``: unless given, more than any path is long.
+    """
+    n = len(g.given)
+    nodes = max(n, int(g.edges[:, :2].max()) + 1) if len(g.edges) else n
+    unary = np.zeros((nodes, LABELS))
+    unary[:n] = g.features @ weights.unary.T
+    known = np.flatnonzero(g.given >= 0)
     unary[known] += 50.0 * np.eye(LABELS)[g.given[known]]
     if len(g.edges):
         a, b, kind = g.edges.T
+        votes = np.zeros((nodes, LABELS))
+        sure = (b >= n) & (g.given[a] >= 0)
+        np.add.at(votes, (b[sure], g.given[a[sure]]), 1)
+        hubs = np.flatnonzero(votes.any(1))
+        # Of most of its base spans, the first of equals; so firmly that no number of neighbours outweighs it.
+        unary[hubs] += 50.0 * np.bincount(b, minlength=nodes)[hubs, None] * np.eye(LABELS)[votes[hubs].argmax(1)]
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         back = np.concatenate([np.arange(len(a), 2 * len(a)), np.arange(len(a))])
         pair = np.where((kind == 0)[:, None, None], weights.chain, weights.skip)
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
         sent = np.zeros((len(source), LABELS))
-        for _ in range(rounds):
+        for _ in range(rounds or 60 + nodes):
             belief = unary.copy()
             np.add.at(belief, target, sent)
             inner = (belief[source] - sent[back])[:, :, None] + pair
@@ -264,6 +289,7 @@ def marginals(g: Graph, weights: Weights, rounds: int = 60, damping: float = 0.3
             if moved < 1e-4:
                 break
         np.add.at(unary, target, sent)
+    unary = unary[:n]
     p = np.exp(unary - unary.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 

@@ -110,3 +110,19 @@ def test_fit_is_bounded(spark):
     docs = spark.range(400).selectExpr("id AS doc_id", "concat('call +1 (297) 555-', 1000 + id) AS text")
     few, whole = pii.fit(docs, sample_docs=40), pii.fit(docs)
     assert np.abs(few.unary).sum() < np.abs(whole.unary).sum()
+
+
+@pytest.mark.parametrize("repeats", [2, 10, 100, 1000])
+@pytest.mark.parametrize("gap", [" ", "filler words go on here, " * 10])
+def test_the_label_holds_however_often_a_number_repeats(repeats, gap):
+    bare = ["297 555 8151"] * repeats
+    # Fitted on texts in which such repeats are left to the field, too.
+    repeated = [f"call +1 ({a}) 555-{b} or {gap}{a} 555 {b}" for a, b in zip(range(200, 500), range(1000, 1300))]
+    for weights in (pii.prior(), learned(sample()), learned(sample() + repeated)):
+        for words in (["+1 (297) 555-8151", *bare], [*bare, "+1 (297) 555-8151"]):
+            text = f" and{gap}".join(words) + f" and{gap}order 1234567."
+            assert kinds(text, weights) == [("phone", w) for w in words]
+    pull = np.zeros((pii.LABELS, pii.FEATURES))
+    pull[0, 0] = 0.5
+    prior = pii.Weights(pull, pii.prior().chain, pii.prior().skip)
+    assert len(kinds(f" and{gap}".join(["+1 (297) 555-8151", *bare]), prior)) == repeats + 1
