@@ -4,8 +4,8 @@ The standard library's parser sends events; block elements cut the page into lin
 ratio (its characters by the tags it took), zero where its element can hold no article text (menus, forms,
 scripts, adverts, comments, ...). The ratios are smoothed with a Gaussian, two clusters are cut apart by a
 threshold, and the element that holds the lines of the upper cluster is the content region: the article
-where the page names one, else the deepest element around most of that text. All of the region's readable
-lines are returned, short ones too.
+where the page names one, with the title and lead that the element around it has besides, else the deepest container
+around all of that text. All of the region's readable lines are returned, short ones too.
 
 Defined results: a null, empty or text-free page gives an empty string and zero characters. Open or crossed
 elements are closed as a browser would close them. Each row is worked on alone, so repeated rows get equal
@@ -32,6 +32,7 @@ SILENT = frozenset(
     "head title script style noscript template nav footer aside form button select option textarea iframe object svg canvas "
     "audio video menu dialog math datalist map".split())
 ARTICLES = frozenset(["article", "main"])
+PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr caption legend summary figcaption pre address".split())  # no containers of an article
 SILENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Parts of class names and ids that mark an element around the article, not of it; and how such parts may begin.
 SILENT_NAMES = frozenset(
@@ -77,6 +78,7 @@ class PageLines(HTMLParser):
         self.open: list[tuple[str, int]] = []  # (tag, element's number)
         self.silent: dict[int, bool] = {}  # open silent elements; True where only a name says so
         self.articles: dict[int, tuple[int, ...]] = {}  # article elements and the articles around each
+        self.pieces: set[int] = set()
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.text: list[str] = []
         self.tags = self.links = self.linked = 0  # tags of the line, open links, characters in links
@@ -109,6 +111,7 @@ class PageLines(HTMLParser):
             if named and _named_silent(named, bool(self.articles)):
                 self.open.append((tag, self.made))
                 self.silent[self.made] = True
+                self.pieces.add(self.made)
             return
         self.cut()
         if tag in BLOCKS:
@@ -145,6 +148,8 @@ class PageLines(HTMLParser):
                 del self.silent[n]
             if not self.silent:
                 self.articles[self.made] = tuple(n for _, n in self.open if n in self.articles)
+        if tag in PIECES:
+            self.pieces.add(self.made)
         self.open.append((tag, self.made))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -191,7 +196,7 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
-def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_share: float = 0.2) -> str:
+def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_share: float = 0.2, sentence: int = 80) -> str:
     """The page's article, its lines joined by a line break."""
     parser = PageLines()
     parser.feed(page)
@@ -203,29 +208,36 @@ def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_
     ratios = smooth(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
     cut = threshold(ratios)
     mass: dict[int, int] = {}
-    total = 0
     for (text, _, _, around), ratio in zip(lines, ratios):
         weight = len(text) if ratio >= min(cut, ratios.max()) else 0
-        total += weight
         for n in around:
             mass[n] = mass.get(n, 0) + weight
     held = {n: mass.get(n, 0) for n in parser.articles if n in mass}
+    outer: set[int] = set()
     if held and max(held.values()) > 0:
-        # An article within main is the finer region; teasers hold little next to the largest.
+        # An article within main is the finer region; teasers hold little next to the largest. Of main, what no article has.
         coarse = {n for k, m in held.items() for n in parser.articles[k] if m >= region_share * held.get(n, 0)}
         inner = {n: m for n, m in held.items() if n not in coarse}
         least = article_share * max(inner.values())
         chosen = {n for n, m in inner.items() if m >= least}
+        outer = {n for k in chosen for n in parser.articles[k]} & coarse
     elif held:
         chosen = set(held)
     else:
-        whole = [n for n, m in mass.items() if m >= region_share * total]
+        # Next to a very long paragraph, a line of a sentence's length is text still.
+        upper = [set(around) for (text, _, linked, around), ratio in zip(lines, ratios)
+                 if ratio >= min(cut, ratios.max()) or len(text) >= sentence and 2 * linked <= len(text)]
+        whole = set.intersection(*upper) - parser.pieces
         chosen = {max(whole)} if whole else set()  # elements are numbered as they open: the last is the deepest
-    kept = [(text, linked, ratio) for (text, _, linked, around), ratio in zip(lines, ratios) if not chosen or not chosen.isdisjoint(around)]
-    if not held:  # no article is named: lists of links before and behind the text are menus
-        menu = [ratio < cut and 2 * linked > len(text) for text, linked, ratio in kept]
-        kept = kept[next((i for i, m in enumerate(menu) if not m), 0):len(kept) - next((i for i, m in enumerate(menu[::-1]) if not m), 0)]
-    return "\n".join(text for text, _, _ in kept)
+    kept = []
+    for (text, _, linked, around), ratio in zip(lines, ratios):
+        inside = not chosen or not chosen.isdisjoint(around)
+        if inside or outer and next((n for n in reversed(around) if n in parser.articles), None) in outer:
+            # Lists of links before and behind the text, where it is in no article, are menus.
+            kept.append((text, (not held or not inside) and ratio < cut and 2 * linked > len(text)))
+    menu = [m for _, m in kept]
+    kept = kept[next((i for i, m in enumerate(menu) if not m), 0):len(kept) - next((i for i, m in enumerate(menu[::-1]) if not m), 0)]
+    return "\n".join(text for text, _ in kept)
 
 
 EXTRACTED = pa.struct([("text", pa.string()), ("n_chars", pa.int64())])

@@ -70,3 +70,21 @@ def test_nulls_repeats_extra_columns_and_no_rows(spark):
     got = html_extract.extract_pages(pages)
     assert sorted((r.text, r.article.text, r.article.n_chars) for r in got.collect()) == [("x", "", 0), ("x", "é", 1), ("x", "é", 1)]
     assert html_extract.extract_pages(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=menu-top><a>x</a></div><div id=content><h1>Title</h1><p>short intro</p><p>{LONG * 20}</p><p>short end</p></div>",
+    f"<div id=page><h1>Title</h1><p>short intro</p><ul><li>{LONG * 20}</li></ul><p>short end</p></div>",
+    f"<main><h1>Title</h1><p>short intro</p><article><p>{LONG * 20}</p></article><article class=teaser><p>More</p></article><p>short end</p></main>",
+    f"<main><div><a href=1>Home</a></div><h1>Title</h1><p>short intro</p><article><p>{LONG * 20}</p></article><p>short end</p></main>",
+])
+def test_what_stands_beside_one_dominating_part(page):
+    assert main_text(page).split("\n") == ["Title", "short intro", LONG * 20, "short end"]
+
+
+@pytest.mark.parametrize("share", [2, 6, 20])
+def test_sections_of_unequal_length(share):
+    page = f"<body><div id=content><div class=part1><p>{LONG * share}</p></div><div class=part2><p>{LONG}</p></div></div>"
+    assert main_text(page).split("\n") == [LONG * share, LONG]
+    page = f"<body><div id=content><div class=part1>{blocks(share * 2)}</div><div class=part2>{blocks(2)}</div></div>"
+    assert main_text(page).split("\n") == lines(share * 2) + lines(2)
