@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,12 +43,12 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 WEAK_ASSIGN = re.compile(
     r"""(?:pwd|pass|pass_?phrase|secret_?key|private_?key|access_?key|auth|credential|bearer)["']?\x20{0,4}[:=]\x20{0,4}["']?"""
-    r"""([A-Za-z0-9+/_.=!@#$%^&*-]{6,200})""", re.I | re.A)
+    r"""([A-Za-z0-9+/_.=!@#$%^&*-]{6,})""", re.I | re.A)
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])")
 IDENTIFIER = re.compile(
-    r"""(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|key_?id|access_?key_?id|tenant(?:_?id)?)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@+-]{2,200})""", re.I | re.A)
+    r"""(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|key_?id|access_?key_?id|tenant(?:_?id)?)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.@+-]{2,})""", re.I | re.A)
 ENDPOINT = re.compile(
-    r"""[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]{3,}+|(?:host(?:_?name)?|server|endpoint|base_?url)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.:/-]{3,200})""", re.I | re.A)
+    r"""[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]{3,}+|(?:host(?:_?name)?|server|endpoint|base_?url)["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9_.:/-]{3,})""", re.I | re.A)
 WORTH_A_LOOK = re.compile(r"[0-9:=]")
 
 Span = tuple[int, int, int]  # (start, kind, end)
@@ -68,13 +70,42 @@ def entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values())
 
 
+def _outside(start: int, stop: int, taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """The parts of an interval that are in none of ``taken``, which are sorted by start."""
+    for s, _, e in taken:
+        if s > start:
+            yield start, min(s, stop)
+        start = max(start, e)
+        if start >= stop:
+            return
+    yield start, stop
+
+
 def weak_spans(text: str, base: list[Span], least_entropy: float = 3.5) -> list[Span]:
-    """Weak candidates that touch no base span, nor each other."""
+    """Weak candidates that touch no base span, nor each other.
+
+    Of a value that has base spans inside it, the parts before, between and behind them are candidates.
+    """
     found = []
+    starts = [s for s, _, _ in base]
+    furthest = list(accumulate((e for _, _, e in base), max))
+
+    def add(m: re.Match, kind: int, least: int) -> None:
+        low, high = bisect_right(furthest, m.start()), bisect_left(starts, m.end())
+        if low >= high or m[1] is None or base[low][0] <= m.start():
+            found.append((m.start(), kind, m.end()))  # one that begins in a base span is left out below
+            return
+        for start, stop in _outside(m.start(1), m.end(), base[low:high]):
+            if stop - start >= least:
+                found.append((m.start() if start == m.start(1) else start, kind, stop))
+
     if ":" in text or "=" in text:
-        found += [(m.start(), 4, m.end()) for m in IDENTIFIER.finditer(text)]
-        found += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
-        found += [(m.start(), 3, m.end()) for m in WEAK_ASSIGN.finditer(text)]
+        for m in IDENTIFIER.finditer(text):
+            add(m, 4, 2)
+        for m in ENDPOINT.finditer(text):
+            add(m, 5, 3)
+        for m in WEAK_ASSIGN.finditer(text):
+            add(m, 3, 6)
         found += [(m.start(), 3, m.end()) for m in ASSIGN.finditer(text) if 6 <= len(m[2]) < LEAST["assign"]]
     for m in WEAK_SECRET.finditer(text):
         own = m[0]
@@ -85,6 +116,8 @@ def weak_spans(text: str, base: list[Span], least_entropy: float = 3.5) -> list[
     for start, kind, stop in found:
         while i < len(base) and base[i][2] <= start:
             i += 1
+        if start < end < stop and kind == 3 and stop - end >= 6:  # the rest of a secret whose beginning another part has taken
+            start = end
         if start >= end and (i == len(base) or base[i][0] >= stop):  # the first base span that ends later begins later
             out.append((start, kind, stop))
             end = stop

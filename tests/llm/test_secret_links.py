@@ -88,3 +88,29 @@ def test_dense_document_and_nulls_and_repeats(spark):
     rows = sl.find_secrets(docs, keep=("doc_id", "parts")).collect()
     assert sorted((r.parts, len([x for x in r.spans.split(",") if x])) for r in rows) == [(1, 6000), (2, 0), (3, 0), (4, 2), (4, 2)]
     assert sl.find_secrets(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [201, 2_000, 200_000])
+def test_long_values_are_reported_whole(spark, n):
+    draw = random.Random(n)
+    value = "".join(draw.choices("ghijklmnopGHIJKLMN0123456789", k=n))
+    for text, other in ((f"private_key = {value}", "user: anna"), (f"auth=eyJ{value}.{value}", "user: anna"), (f"client_id: a{value}", NOISE), (f"host: {value}", NOISE)):
+        spans = [body for _, body in reported(found(spark, [f"{other}\n{text} end"])[0], f"{other}\n{text} end")]
+        assert spans == [other, text]
+
+
+def test_values_around_a_base_span():
+    value = "Zq" * 150
+    text = f"auth={value}.{KEY}.{value}"
+    base = sl.base_spans(text)
+    covered = sorted((s, e) for s, _, e in base + sl.weak_spans(text, base))
+    assert covered[0][0] == 0 and covered[-1][1] == len(text) and sl.weak_spans(text, base)
+    text = "login: anna/" + "".join(random.Random(1).choices("ghijklmnopGHIJKLMN0123456789", k=300))
+    assert sl.weak_spans(text, [])[-1][2] == len(text)
+
+
+def test_long_veiled_addresses_are_found_whole():
+    from salesmart.llm import pii_crf
+
+    text = "x" * 300 + " (at) example (dot) org"
+    assert pii_crf.graph(text, []).places == [(0, len(text))]
