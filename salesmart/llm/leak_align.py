@@ -86,8 +86,8 @@ def _lower(texts: pa.Array) -> pa.Array:
 
 
 def items_of(rows: list[tuple], settings: Settings) -> Items:
-    """Index of (id, text) rows."""
-    texts = _lower(pa.array([t for _, t in rows], pa.large_string()))
+    """Index of rows that begin with (id, text)."""
+    texts = _lower(pa.array([r[1] for r in rows], pa.large_string()))
     owner, words, hashes = [], [], []
     for low, high, found in word_hash.chunks(texts, TABLE):
         for i in range(low, high):
@@ -102,7 +102,7 @@ def items_of(rows: list[tuple], settings: Settings) -> Items:
     places = [np.searchsorted(pairs, h) for h in hashes]
     for p in places:
         p[1, -1] = -1
-    return Items([i for i, _ in rows], np.array(owner, np.int64), words, pairs, places)
+    return Items([r[0] for r in rows], np.array(owner, np.int64), words, pairs, places)
 
 
 def pair_hashes(words: np.ndarray, apart: int) -> np.ndarray:
@@ -271,22 +271,24 @@ def leaks(text: Column, items: Items, seeds: Seeds, settings: Settings) -> Colum
 
 
 def blocks(benchmark: DataFrame, block_bytes: int, item_id: str, text: str) -> Iterator[list[tuple]]:
-    """The items in blocks of about ``block_bytes``."""
-    total = benchmark.agg(F.sum(F.octet_length(benchmark[text]).cast("long"))).first()[0] or 0
+    """The distinct items, each with how many rows it has, in blocks of about ``block_bytes``."""
+    items = benchmark.select(benchmark[item_id].alias("item_id"), benchmark[text].alias("text")).groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    block = F.pmod(F.xxhash64(benchmark[item_id], benchmark[text]), F.lit(n))
     for k in range(n):
-        rows = benchmark.filter(block == k).select(benchmark[item_id].alias("item_id"), benchmark[text].alias("text")).collect()
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
         if rows:
-            yield [(r["item_id"], r["text"]) for r in rows]
+            yield [(r["item_id"], r["text"], r["n"]) for r in rows]
 
 
-def _searches(docs: DataFrame, benchmark: DataFrame, settings: Settings, block_bytes: int, item_id: str, text: str) -> Iterator[tuple[Items, Column]]:
+def _searches(
+    docs: DataFrame, benchmark: DataFrame, settings: Settings, block_bytes: int, item_id: str, text: str,
+) -> Iterator[tuple[Items, list[int], Column]]:
     for rows in blocks(benchmark, block_bytes, item_id, "text"):
         items = items_of(rows, settings)
         if items.words:
             seeds = seeds_of(items, *pair_counts(docs, items, text), settings)
-            yield items, leaks(docs[text], items, seeds, settings)
+            yield items, [n for *_, n in rows], leaks(docs[text], items, seeds, settings)
 
 
 def find_leaks(
@@ -296,10 +298,11 @@ def find_leaks(
     """One row for each document and item it leaks: (doc_id, item_id, score, first_word, last_word)."""
     kind = benchmark.schema[item_id].dataType.simpleString()
     out = None
-    for items, search in _searches(docs, benchmark, settings, block_bytes, item_id, text):
+    for items, repeats, search in _searches(docs, benchmark, settings, block_bytes, item_id, text):
         rows = docs.select(docs[doc_id].alias("doc_id"), F.explode(search).alias("leak")).select("doc_id", "leak.*")
-        names = docs.sparkSession.createDataFrame(list(enumerate(items.ids)), f"item int, item_id {kind}")
-        rows = rows.join(names, "item").select("doc_id", "item_id", "score", "first_word", "last_word")
+        names = docs.sparkSession.createDataFrame(list(zip(range(len(repeats)), items.ids, repeats)), f"item int, item_id {kind}, n bigint")
+        rows = rows.join(names, "item").withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+        rows = rows.select("doc_id", "item_id", "score", "first_word", "last_word")
         out = rows if out is None else out.unionByName(rows)
     key = docs.schema[doc_id].dataType.simpleString()
     return out if out is not None else docs.sparkSession.createDataFrame(
@@ -311,6 +314,6 @@ def drop_leaking(
 ) -> DataFrame:
     """The documents that leak no item, with their columns as they are."""
     kept = docs
-    for _, search in _searches(docs, benchmark, settings, block_bytes, item_id, text):
+    for *_, search in _searches(docs, benchmark, settings, block_bytes, item_id, text):
         kept = kept.filter(F.size(search) == 0)
     return kept

@@ -163,3 +163,15 @@ def test_edited_copies_equal_brute_force_with_the_default_settings(spark):
     for n in (1, 3000):
         rows = la.find_leaks(*frames(spark, [one] * n + [prose(20, r)] * 50, items)).collect()
         assert len({x.doc_id for x in rows if x.item_id == 3}) == n
+
+
+def test_repeated_items_are_searched_once_and_have_a_row_each(spark):
+    r = random.Random(7)
+    item, other = prose(20, r), prose(20, r)
+    rows = [(1, item)] * 300 + [(2, other)] * 2 + [(3, None)] * 5
+    bench = spark.createDataFrame(rows, "item_id long, text string").repartition(3)
+    assert sum(len(b) for b in la.blocks(bench, 1000, "item_id", "text")) == 3
+    docs = spark.createDataFrame([(1, prose(9, r) + " " + item), (2, other)], "doc_id long, text string")
+    found = sorted((x.doc_id, x.item_id) for x in la.find_leaks(docs, bench, block_bytes=1000).collect())
+    assert found == [(1, 1)] * 300 + [(2, 2)] * 2
+    assert la.drop_leaking(docs, bench).count() == 0
