@@ -8,7 +8,7 @@ registers, less the collisions that sets of these sizes would have by chance, es
 drops hopeless pairs (``sigmas`` standard errors below the limit); the rest is confirmed on the full sets.
 
 Bands are cut from several fixed shuffles of the registers, so that they can be long: 63 bands of 6 registers miss
-a pair at the limit of 0.8 with a probability of 1e-6 or less, and two documents that share a passage and
+a pair at the limit of 0.8 with a probability of about 2.4e-6, and two documents that share a passage and
 little else rarely meet.
 
 Pairs are not listed within a band. Each band's members are confirmed against one hub, the linked ones become
