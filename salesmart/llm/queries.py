@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards, warc_zstd
+from salesmart.llm import (
+    compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards,
+    strassen_negatives, warc_zstd,
+)
 from salesmart.session import settle
 
 
@@ -93,6 +96,13 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.score_documents(docs).select("doc_id", "quality.*")
 
 
+def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every seventh label is off by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label)
+    return strassen_negatives.mine(vectors, lambda vec_id: vec_id % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_pii_crf": op2_pii_crf,
@@ -104,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
+    "op13_strassen_negatives": op13_strassen_negatives,
 }
 ORACLES: dict[str, str] = {
     # All pairs that share a shingle, then all that are reachable: no sketches.
@@ -152,4 +163,21 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id > first THEN first END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    # All pairs of an anchor and a row; sums of products of small integers are exact in doubles.
+    "op13_strassen_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+              FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER f AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER f <= 3
+        WINDOW f AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)""",
 }
