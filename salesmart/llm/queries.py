@@ -178,6 +178,6 @@ ORACLES: dict[str, str] = {
         SELECT anchor_id, positive_id, CAST(row_number() OVER f AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
         FROM p JOIN s USING (anchor_id)
         WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
-        QUALIFY row_number() OVER f <= 3
-        WINDOW f AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)""",
+        WINDOW f AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER f <= 3""",
 }
