@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import (
-    compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pii_crf, secret_links, shuffle_shards,
-    strassen_negatives, warc_zstd,
+    compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pair_bpe, pii_crf, secret_links,
+    shuffle_shards, strassen_negatives, warc_zstd,
 )
 from salesmart.session import settle
 
@@ -96,6 +96,15 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.score_documents(docs).select("doc_id", "quality.*")
 
 
+def op12_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as tokens and back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pair_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every 50th vector; every seventh label is off by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
@@ -114,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
+    "op12_pair_bpe": op12_pair_bpe,
     "op13_strassen_negatives": op13_strassen_negatives,
 }
 ORACLES: dict[str, str] = {
