@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import (
-    compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pair_bpe, pii_crf, secret_links,
-    shuffle_shards, strassen_negatives, warc_zstd,
+    compression_quality, config_packing, html_extract, hyperminhash, leak_align, line_winnow, pair_bpe, pair_maxscore, pii_crf,
+    secret_links, shuffle_shards, strassen_negatives, warc_zstd,
 )
 from salesmart.session import settle
 
@@ -96,6 +96,13 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.score_documents(docs).select("doc_id", "quality.*")
 
 
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = settle(pair_maxscore.build_index(docs), "index")
+    return pair_maxscore.search(index, _table(spark, sf_dir, "benchmark"))
+
+
 def op12_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as tokens and back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -123,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_compression_quality": op10_compression_quality,
+    "op11_pair_maxscore": op11_pair_maxscore,
     "op12_pair_bpe": op12_pair_bpe,
     "op13_strassen_negatives": op13_strassen_negatives,
 }
@@ -173,6 +181,24 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id > first THEN first END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    # Every document that shares a term with an item is scored: no index, no bounds.
+    "op11_pair_maxscore": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+        d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY doc_id),
+        c AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS occurrences FROM d),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, c GROUP BY term),
+        q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        s AS (SELECT item_id, doc_id,
+                     CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // occurrences)))) AS BIGINT) AS score
+              FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (doc_id), c GROUP BY item_id, doc_id),
+        r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+              FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
     # All pairs of an anchor and a row; sums of products of small integers are exact in doubles.
     "op13_strassen_negatives": """
         WITH v AS (
