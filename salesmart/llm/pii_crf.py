@@ -81,12 +81,18 @@ def _emails(text: str) -> Iterator[Span]:
         at = text.find("@", max(at + 1, end))
 
 
+def _is_octet(digits: str) -> bool:
+    """Whether digits, zeros before them included, are 255 at most; there may be more of them than ``int`` takes."""
+    rest = digits.lstrip("0")
+    return len(rest) <= 3 and int(rest or 0) <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns, by start and then kind."""
     if not WORTH_A_LOOK.search(text):
         return []
     spans = list(_emails(text))
-    spans += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    spans += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(_is_octet(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and luhn(digits):
@@ -305,6 +311,11 @@ def all_spans(text: str, base: list[Span], weights: Weights, sure: float = 0.9)
     return sorted(base + added)
 
 
+def hash_limit(share: float) -> int:
+    """The greatest 63-bit hash among the least ``share`` of all; right to one document in any number of them."""
+    return min(int(share * 2**63), 2**63 - 1)
+
+
 def fit(docs: DataFrame, sample_docs: int = 20_000, sample_chars: int = 20_000, seed: int = 7, doc_id: str = "doc_id", text: str = "text") -> Weights:
     """Weights from about ``sample_docs`` documents of at most ``sample_chars`` characters, drawn by a hash.
 
@@ -314,7 +325,7 @@ def fit(docs: DataFrame, sample_docs: int = 20_000, sample_chars: int = 20_000,
     if not total:
         return prior()
     share = min(1.0, sample_docs / total)
-    drawn = docs.filter(F.pmod(F.xxhash64(F.lit(seed), docs[doc_id], docs[text]), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    drawn = docs.filter(F.shiftrightunsigned(F.xxhash64(F.lit(seed), docs[doc_id], docs[text]), 1) <= F.lit(hash_limit(share)))
     drawn = drawn.filter((F.length(docs[text]) <= sample_chars) & docs[text].rlike("[0-9@]")).select(docs[text].alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

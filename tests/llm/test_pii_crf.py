@@ -19,7 +19,7 @@ def brute(text):
         for m in re.finditer(pattern, text):
             digits = re.sub("[^0-9]", "", m[0])
             doubled = [int(d) if i % 2 == 0 else sum(map(int, str(2 * int(d)))) for i, d in enumerate(digits[::-1])]
-            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else True,
+            good = {"email": True, "ip": all(int(p[-4300:]) <= 255 and not p[:-4300].strip("0") for p in m[0].split(".")) if kind == "ip" else True,
                     "card": 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0, "phone": 10 <= len(digits) <= 15}[kind]
             if good:
                 out.append((m.start(), k, m.end()))
@@ -28,6 +28,7 @@ def brute(text):
 
 @pytest.mark.parametrize("text", [
     "", "no data", "mail é a.b@c.de, x@y, @z.com a@b.c@d.e a@@b.cc", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 12.34.5", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "v " + "0" * 5000 + ".1.2.3 " + "0" * 5000 + "." + "0" * 9000 + "255.0.0 1.2.3." + "0" * 4400 + "256 " + "1" + "0" * 5000 + ".1.1.1",
     "call +1 (297) 555-8151 or +49.30.1234567890123 or +1  2", "٣.٣.٣.٣ +٣", "0" * 16 + " 1", "a@b.c.", "x" * 500 + "@y.z" + "9" * 500,
 ])
 def test_base_equals_plain_patterns(text):
@@ -126,3 +127,9 @@ def test_the_label_holds_however_often_a_number_repeats(repeats, gap):
     pull[0, 0] = 0.5
     prior = pii.Weights(pull, pii.prior().chain, pii.prior().skip)
     assert len(kinds(f" and{gap}".join(["+1 (297) 555-8151", *bare]), prior)) == repeats + 1
+
+
+def test_a_share_of_any_size_draws():
+    limits = [pii.hash_limit(share) for share in (1e-18, 1e-9, 4e-7, 0.5, 1.0)]
+    assert limits == sorted(limits) and limits[0] > 0 and limits[-1] == 2**63 - 1
+    assert abs(limits[1] / 2**63 - 1e-9) < 1e-15
