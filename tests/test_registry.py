@@ -1,5 +1,7 @@
 """Every registered query against its SQL oracle on the smallest given tables."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -28,6 +30,15 @@ def test_names_agree():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def test_a_missing_library_costs_the_training_queries_only():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e;"
+        "assert len(e.queries()) >= 100 and not any(n.startswith('op') and n[2].isdigit() for n in e.queries())"
+    )
+    root = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
