@@ -14,7 +14,7 @@ from salesmart.functions.money import as_doubles, money
 from salesmart.operators import history, incremental, merge, quality, star, transform
 from salesmart.plans import analytics, driver_tables as t, models, pipelines, reports
 from salesmart.session import scratch_path, settle
-from salesmart.sources import files, tables
+from salesmart.sources import clustered, files, tables
 from salesmart.sources.schemas import CUSTOMERS_RAW, ORDER_LINES_RAW, PRODUCTS_RAW, SALES_RAW, TRANSACTIONS_RAW
 from salesmart.streaming import ingest
 
@@ -265,6 +265,36 @@ def refresh_daily_rollup(spark, sf):
     return as_doubles(incremental.refresh_daily_rollup(stale, rows, changed, "day", "value"))
 
 
+def _clustered(spark, sf, dimension: DataFrame, key: str):
+    """The fact in buckets of a dimension's key, its last days appended, and the dimension in as many buckets."""
+    path = scratch_path(spark, "clustered")
+    name = "c_" + path.rsplit("-", 1)[1]
+    fact = t.fact(spark, sf)
+    late = F.col("transaction_date") >= F.lit(t.LATE_START).cast("date")
+    facts = clustered.write_clustered(fact.where(~late), f"{name}_sales", key, f"{path}/sales")
+    clustered.append_clustered(fact.where(late), clustered.open_clustered(spark, f"{name}_sales"))
+    return facts, clustered.write_clustered(dimension, f"{name}_{key}", key, f"{path}/{key}", facts.buckets, unique=True)
+
+
+@query
+def clustered_customer_value(spark, sf):
+    """Lifetime value of every customer from stored buckets."""
+    facts, customers = _clustered(spark, sf, t.dim_customer(spark, sf), "customer_key")
+    totals = [F.count(F.lit(1)).alias("transactions"), F.sum("net_amount").alias("net_sales"),
+              F.min("transaction_date").alias("first_day"), F.max("transaction_date").alias("last_day")]
+    value = clustered.totals_by_key(facts, customers, ["customer_id", "customer_name", "city", "country"], *totals)
+    return as_doubles(value.drop("customer_key"))
+
+
+@query
+def clustered_product_sales(spark, sf):
+    """Every sale joined to its product in stored buckets, and summed by kind of product."""
+    facts, products = _clustered(spark, sf, t.dim_product(spark, sf).drop("unit_price"), "product_key")
+    lines = clustered.join_clustered(facts, products)
+    return as_doubles(lines.groupBy("category", "subcategory").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("quantity").alias("quantity"), F.sum("net_amount").alias("net_sales")))
+
+
 # --- merge and history ---------------------------------------------------------------------------
 
 
