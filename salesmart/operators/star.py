@@ -17,6 +17,8 @@ from salesmart.sources.tables import add_audit
 CALENDAR_FIRST, CALENDAR_LAST = "2020-01-01", "2030-12-31"
 #: What tells one sale from another.
 FACT_IDENTITY = ("transaction_date", "transaction_id")
+#: Of rows of one sale in a load, the latest one counts; a later load's row replaces that of an earlier one.
+FACT_NEWEST = ("transaction_timestamp",)
 
 
 def dim_date(spark: SparkSession, first: str = CALENDAR_FIRST, last: str = CALENDAR_LAST) -> DataFrame:

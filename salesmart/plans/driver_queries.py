@@ -14,7 +14,7 @@ from salesmart.functions.money import as_doubles, money
 from salesmart.operators import history, incremental, merge, quality, star, transform
 from salesmart.plans import analytics, driver_tables as t, models, pipelines, reports
 from salesmart.session import scratch_path, settle
-from salesmart.sources import clustered, files, tables
+from salesmart.sources import arrivals, clustered, files, tables
 from salesmart.sources.schemas import CUSTOMERS_RAW, ORDER_LINES_RAW, PRODUCTS_RAW, SALES_RAW, TRANSACTIONS_RAW
 from salesmart.streaming import ingest
 
@@ -258,8 +258,10 @@ def union_sources(spark, sf):
 
 @query
 def refresh_daily_rollup(spark, sf):
-    """A roll-up of clicks only, with the last days refreshed from all events."""
-    rows = t.events(spark, sf).select("day", "event_type", money("value").alias("value"))
+    """A roll-up of clicks only, with the last days refreshed from all events, which are stored by day."""
+    path = scratch_path(spark, "events_by_day")
+    tables.overwrite_partitions(t.events(spark, sf).select("event_type", money("value").alias("value"), "day"), path, ["day"])
+    rows = spark.read.parquet(path)
     stale = incremental.daily_rollup(rows.where("event_type = 'click'"), "day", "value")
     changed = rows.where(F.col("day") >= F.lit(t.EVENTS_CUT).cast("date"))
     return as_doubles(incremental.refresh_daily_rollup(stale, rows, changed, "day", "value"))
@@ -847,24 +849,83 @@ def backfill(spark, sf):
     return as_doubles(stored.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"), F.sum("net_amount").alias("net_sales")))
 
 
-def _event_stream(spark, sf):
-    return ingest.file_stream(spark, f"{sf}/events*.parquet", t.table(spark, sf, "events").schema, "parquet")
+def _arrivals(spark, sf, *parts: DataFrame):
+    """The events as a stream of files, which come part by part: yields the stream after each arrival."""
+    folder = scratch_path(spark, "arriving")
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{folder}/{i:03d}")
+        yield ingest.file_stream(spark, f"{folder}/*", t.table(spark, sf, "events").schema, "parquet")
 
 
 @query
 def stream_cdc_apply(spark, sf):
-    changes = t.event_changes(_event_stream(spark, sf))
-    return ingest.stream_cdc_apply(
-        changes, scratch_path(spark, "user_state"), scratch_path(spark, "progress"), "user_id", ["ts", "event_id"]
-    )
+    """The change feed in three arrivals: the newer half, the older half, and the newest days once more."""
+    events = t.table(spark, sf, "events")
+    newer, newest = F.col("ts") >= t.day_start(t.EVENTS_CUT), F.col("ts") >= t.day_start(t.EVENTS_LAST_DAYS)
+    state, progress = scratch_path(spark, "user_state"), scratch_path(spark, "progress")
+    for stream in _arrivals(spark, sf, events.where(newer), events.where(~newer), events.where(newest)):
+        live = ingest.stream_cdc_apply(t.event_changes(stream), state, progress, "user_id", ["ts", "event_id"])
+    return live
 
 
 @query
 def stream_fact_sales(spark, sf):
-    stored = ingest.stream_fact_sales(t.event_sales(_event_stream(spark, sf)), scratch_path(spark, "facts"), scratch_path(spark, "progress"))
+    """Sales in three arrivals.
+
+    Errors come twice in one file, with different values. Early purchases come late, with the second file, and so do all clicks again,
+    with a higher value. Sign-ups have no id. The second file comes twice.
+    """
+    events = t.table(spark, sf, "events").withColumn("event_id", F.when(F.col("event_type") != "signup", F.col("event_id")))
+    late = (F.col("event_type") == "purchase") & (F.col("ts") < t.day_start(t.EVENTS_CUT))
+    first = events.where(~late)
+    first = first.unionByName(first.where("event_type = 'error'").withColumn("value", F.col("value") + 5))
+    second = events.where(late).unionByName(events.where("event_type = 'click'").withColumn("value", F.col("value") + 1))
+    second = second.unionByName(events.where("event_type = 'signup'"))
+    facts, progress = scratch_path(spark, "facts"), scratch_path(spark, "progress")
+    for stream in _arrivals(spark, sf, first, second, second):
+        stored = ingest.stream_fact_sales(t.event_sales(stream), facts, progress)
     return as_doubles(stored.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"), F.sum("net_amount").alias("net_sales")))
 
 
+@query
+def stream_fact_sales_bounded(spark, sf):
+    """Sales in three arrivals with a memory of two days: up to the cut day, all later ones, and then clicks of all days.
+
+    Clicks of the last day are repeats; those of the days before are too late, whether they are repeats or not, and
+    early purchases, which come with them, are too late as well.
+    """
+    events = t.table(spark, sf, "events")
+    early, purchase = F.col("ts") < t.day_start(t.EVENTS_CUT), F.col("event_type") == "purchase"
+    newest = events.agg(F.date_trunc("day", F.max("ts"))).scalar()
+    again = events.where((F.col("event_type") == "click") & ((F.col("ts") >= newest) | early)).unionByName(events.where(early & purchase))
+    facts, progress = scratch_path(spark, "facts"), scratch_path(spark, "progress")
+    late = repeated = 0
+    for stream in _arrivals(spark, sf, events.where(early & ~purchase), events.where(~early), again):
+        run = ingest.stream_fact_sales_bounded(t.event_sales(stream), facts, progress, "2 days")
+        late, repeated = late + run.late, repeated + run.repeated
+    stored = run.sales.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"), F.sum("net_amount").alias("net_sales"))
+    return as_doubles(stored.withColumn("late", F.lit(late).cast("long")).withColumn("repeated", F.lit(repeated).cast("long")))
+
+
+@query
+def load_complete_sets(spark, sf):
+    """Two folders of events a day, clicks and others; the others of the last days are missing in a first run."""
+    folder = scratch_path(spark, "arriving")
+    events = t.events(spark, sf).select("event_id", "value", "day", F.when(F.col("event_type") == "click", "click").otherwise("other").alias("kind"))
+    late = (F.col("kind") == "other") & (F.col("day") >= F.lit(t.EVENTS_LAST_DAYS).cast("date"))
+    days = sorted(str(d) for d in tables.distinct_values(events, "day"))
+    expected = {d: [f"{folder}/day={d}/kind={k}" for k in ("click", "other")] for d in days}
+    schema = StructType([f for f in events.schema if f.name in ("event_id", "value")])
+    target, log = scratch_path(spark, "sets"), scratch_path(spark, "sets_log")
+    shown = []
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").partitionBy("day", "kind").parquet(folder)
+        run = arrivals.load_complete_sets(spark, expected, schema, target, log, lambda paths: spark.read.schema(schema).parquet(*paths))
+        shown.append(settle(run.rows.groupBy("file_set").agg(F.count(F.lit(1)).alias("n"), F.sum(money("value")).alias("total")), "shown"))
+    first = shown[0].select("file_set", F.col("n").alias("n_first"))
+    return as_doubles(shown[1].join(first, "file_set", "left"))
+
+
 @query
 def run_datamart(spark, sf):
     """Everything before the last day in one run, then the last day, which is run twice; the gate is on."""
@@ -881,7 +942,7 @@ def run_star_schema(spark, sf):
     """Two files of text in turn, the second one run twice.
 
     Urgent orders come late, with the second file; orders of one status come with both; low ones
-    have no id.
+    have no id. The second file holds high orders twice, with different amounts.
     """
     root = scratch_path(spark, "star")
     sales = t.order_items(spark, sf).select(
@@ -894,7 +955,11 @@ def run_star_schema(spark, sf):
     report = None
     for name, first, last in (("first", None, t.DAY_BEFORE_LATE), ("second", t.LATE_START, t.LOAD_DAY), ("second", t.LATE_START, t.LOAD_DAY)):
         path = f"{root}/files/{name}"
-        sales.where(parts[name]).select(*TRANSACTIONS_RAW.names).write.mode("overwrite").option("header", True).csv(path)
+        rows = sales.where(parts[name])
+        if name == "second":
+            more = {"quantity": F.col("quantity") + 1, "total_amount": (F.col("total_amount") + 10).cast("decimal(18,2)")}
+            rows = rows.where("priority = '2-HIGH'").withColumns(more).unionByName(rows)
+        rows.select(*TRANSACTIONS_RAW.names).write.mode("overwrite").option("header", True).csv(path)
         report = pipelines.run_star_schema(
             t.customers_raw(spark, sf), t.products_raw(spark, sf), files.read_staging_csv(spark, path, TRANSACTIONS_RAW), root,
             first, last, partition_unit="month",

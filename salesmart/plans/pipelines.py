@@ -7,6 +7,7 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from salesmart.functions.dates import calendar, date_series_of, month_start
 from salesmart.operators import quality, star
@@ -19,7 +20,8 @@ from salesmart.session import settle
 from salesmart.sources.files import dated_path, read_staging_csv, require_filled
 from salesmart.sources.schemas import ORDER_LINES_RAW, required_columns
 from salesmart.sources.tables import (
-    export_table, once, overwrite_partitions, reload_days, replace_from_itself, table_exists, upsert_days, write_truncate,
+    distinct_values, export_table, is_one_of, once, overwrite_partitions, reload_days, replace_from_itself, table_exists, upsert_days,
+    write_truncate,
 )
 
 Bound = date | str | None
@@ -71,6 +73,28 @@ def _by_month(rows: DataFrame, day: str) -> DataFrame:
     return rows.withColumn(MONTH, month_start(F.col(day)))
 
 
+def read_by_day(spark: SparkSession, path: str, schema: StructType, day: str, partition_unit: str) -> Callable[..., DataFrame]:
+    """A reader of a table in day or month partitions: ``read(first, last)`` or ``read(some=days)``.
+
+    Days are literals in the filter on the partition column, so only their partitions are listed and read.
+    """
+    by_month = partition_unit != "day"
+    held = StructType([*schema, StructField(MONTH, DateType())]) if by_month else schema
+
+    def read(first: Bound = None, last: Bound = None, *, some: list[date | None] | None = None) -> DataFrame:
+        rows = spark.read.schema(held).parquet(path)
+        if some is not None:
+            if by_month:
+                rows = rows.where(is_one_of(F.col(MONTH), list({d and d.replace(day=1) for d in some})))
+            return rows.where(is_one_of(F.col(day), some)).select(*schema.names)
+        if by_month:
+            months = [bound if bound is None else f"{str(bound)[:7]}-01" for bound in (first, last)]
+            rows = on_days(rows, MONTH, *months)
+        return on_days(rows, day, first, last).select(*schema.names)
+
+    return read
+
+
 def run_datamart(
     staging: DataFrame, root: str, first: Bound = None, last: Bound = None, *, run_ts: datetime | None = None,
     categories: tuple[str, ...] = PIVOT_CATEGORIES, strict: bool = True, partition_unit: str = "day",
@@ -90,14 +114,17 @@ def run_datamart(
 def run_star_schema(
     customers: DataFrame, products: DataFrame, transactions: DataFrame, root: str, first: Bound = None,
     last: Bound = None, *, run_ts: datetime | None = None, days: DataFrame | None = None, partition_unit: str = "day",
+    span: tuple[str, str] = ("1900-01-01", "2100-12-31"),
 ) -> DataFrame:
     """Dimensions, fact, fact gate and daily report; returns the report table.
 
     Transactions are put into the fact under their own day. Those of ``first``..``last`` (or of all
     days) must be there for the gate to pass; earlier ones among them are late and are added to what
     their day holds already, and later ones wait for their run. A transaction that is loaded again
-    replaces itself, so runs can be repeated and files can overlap. The reports of all touched days
-    are made anew. ``days`` is the calendar to fill in; by default it spans the days of the transactions.
+    replaces itself, so runs can be repeated and files can overlap; within a file the latest row of a transaction
+    counts. The reports of all touched days are made anew, from the partitions of these days alone. ``days``
+    is the calendar to fill in; by default it spans the days of the transactions. A day outside ``span``
+    fails the run before anything of the fact is stored.
     """
     spark = transactions.sparkSession
     dim_customer = merge_into(spark, f"{root}/dim_customer", star.dim_customer(customers, run_ts), star.scd1_customer)
@@ -106,20 +133,23 @@ def run_star_schema(
     quality.require_unique(dim_product, "product_key")
 
     last = first if last is None else last
-    batch = settle(once(star.fact_sales(transactions, None, last), star.FACT_IDENTITY), "batch")
+    batch = settle(once(star.fact_sales(transactions, None, last), star.FACT_IDENTITY, star.FACT_NEWEST), "batch")
     path, keys, day = f"{root}/fact_sales", ["customer_key", "product_key"], "transaction_date"
+    touched = distinct_values(batch, day)  # the days of one load
+    outside = sorted(str(d) for d in touched if d is not None and not span[0] <= str(d) <= span[1])
+    if outside:
+        raise quality.QualityError(f"sales outside {span[0]}..{span[1]}: {outside[:10]}")
     if partition_unit == "day":
         upsert_days(batch, path, day, star.FACT_IDENTITY, keys)
     else:
         upsert_days(batch, path, day, star.FACT_IDENTITY, [day, *keys], month_start(F.col(day)), MONTH)
-    stored = spark.read.schema(batch.schema).parquet(path)
-    quality.require_pass(quality.validate_fact_count(on_days(stored, day, first, last)), "validation", quality.VALIDATION_PASSED)
+    stored = read_by_day(spark, path, batch.schema, day, partition_unit)
+    quality.require_pass(quality.validate_fact_count(stored(first, last)), "validation", quality.VALIDATION_PASSED)
 
     if days is None:
         days = calendar(date_series_of(batch, F.col(day)))
     dim_date = merge_into(spark, f"{root}/dim_date", days, star.dim_date_fill)
-    touched = stored.join(batch.select(day).distinct(), day, "left_semi").select(*stored.columns)
-    report = daily_sales_report(touched, dim_date, run_ts=run_ts)
+    report = daily_sales_report(stored(some=touched), dim_date, run_ts=run_ts)
     return merge_into(spark, f"{root}/daily_sales_report", report, partial(merge_days, on="full_date"))
 
 

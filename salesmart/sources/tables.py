@@ -119,25 +119,31 @@ def reload_days(
 
 def upsert_days(
     df: DataFrame, path: str, column: str, identity: Sequence[str], cluster_by: Sequence[str] = (), partition: Column | None = None,
-    partition_name: str | None = None,
-) -> None:
-    """Put rows into the partitions of their own days, late ones too, and keep all others there.
+    partition_name: str | None = None, newest: Sequence[str] = (),
+) -> list:
+    """Put rows into the partitions of their own days, late ones too, and keep all others there; return the partitions.
 
-    A row replaces the stored one with the same ``identity``; rows whose identity has a NULL are the same
-    if all their values are. Running a load again changes nothing. Partitions are of ``column``, or
-    of the expression ``partition`` over it, named ``partition_name``; only touched ones are read and rewritten.
+    A row replaces the stored one with the same ``identity``, and within a load :func:`once` picks the newest; rows whose
+    identity has a NULL are the same if all their values are. Running a load again changes nothing. Partitions are of
+    ``column``, or of the expression ``partition`` over it, named ``partition_name``; only touched ones are read and rewritten.
     """
     spark, name = df.sparkSession, partition_name or column
     if partition is not None:
         df = df.withColumn(name, partition)
-    new = settle(once(df, identity), "upsert")
-    touched = [r[0] for r in new.select(name).distinct().collect()]  # at most the partitions of one load
+    new = settle(once(df, identity, newest), "upsert")
+    touched = distinct_values(new, name)  # at most the partitions of one load
     if not touched:
-        return
+        return touched
     if table_exists(spark, path):
         stored = spark.read.schema(new.schema).parquet(path).where(is_one_of(F.col(name), touched))
         new = settle(absent(stored, new, identity).unionByName(new), "upserted")
     overwrite_partitions(new, path, [name], cluster_by)
+    return touched
+
+
+def distinct_values(df: DataFrame, column: str) -> list:
+    """The values of a column that is known to have few, such as the days of a load; NULL is one like others."""
+    return [r[0] for r in df.select(column).distinct().collect()]
 
 
 def is_one_of(column: Column, values: Sequence) -> Column:
@@ -146,10 +152,18 @@ def is_one_of(column: Column, values: Sequence) -> Column:
     return held | column.isNull() if None in values else held
 
 
-def once(df: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """One row for each identity; of rows whose identity has a NULL, those that differ in any value."""
+def once(df: DataFrame, identity: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """One row for each identity; of rows whose identity has a NULL, those that differ in any value.
+
+    The row with the greatest ``newest`` columns wins, and among equals the one with the greatest other columns, in
+    their order: the same whatever the rows' order is. Every task picks its own before the shuffle.
+    """
     named, nameless = _by_identity(df, identity)
-    return named.dropDuplicates(list(identity)).unionByName(nameless.dropDuplicates())
+    rest = [*newest, *(c for c in df.columns if c not in (*identity, *newest))]
+    if not rest:
+        return df.dropDuplicates()
+    winner = named.groupBy(*identity).agg(F.max(F.struct(*rest)).alias("__row")).select(*identity, "__row.*")
+    return winner.select(*df.columns).unionByName(nameless.dropDuplicates())
 
 
 def absent(df: DataFrame, other: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -251,6 +265,17 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+def file_stamps(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Moment of change and size of those paths that exist; of a folder, of all files in it."""
+    found = {}
+    for path in paths:
+        fs, root = _file_system(spark, path)
+        if fs.exists(root):
+            held = fs.listStatus(root)  # of a file: itself
+            found[path] = ",".join(sorted(f"{s.getPath().getName()}:{s.getModificationTime()}:{s.getLen()}" for s in held))
+    return found
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, root = _file_system(spark, path)
     fs.delete(root, True)

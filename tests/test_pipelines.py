@@ -96,6 +96,34 @@ def test_late_repeated_and_nameless_rows_are_all_kept_once(spark, path, unit):
     assert report == {27: 48.0, 28: 10.0}
 
 
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_reports_read_the_touched_partitions_only(spark, path, unit, monkeypatch):
+    customers, products, _ = star_inputs(spark)
+    plans = []
+    report = pipelines.daily_sales_report
+
+    def spied(fact, *args, **options):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        return report(fact, *args, **options)
+
+    monkeypatch.setattr(pipelines, "daily_sales_report", spied)
+    sale = lambda name, day: (name, "C1", "P1", 1, 10.0, 10.0, 0.0, f"{day} 10:00:00")
+    run = lambda first, *rows: pipelines.run_star_schema(
+        customers, products, spark.createDataFrame(rows, TRANSACTIONS_RAW), path, first, run_ts=RUN, partition_unit=unit)
+    run("2026-02-28", sale("a", "2026-01-05"), sale("b", "2026-01-06"), sale("c", "2026-02-28"))
+    assert run("2026-03-01", sale("d", "2026-03-01"), sale("e", "2026-01-05")).count() == 4
+    filters = plans[-1].split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    days = ["2026-01-05", "2026-03-01"] if unit == "day" else ["2026-01-01", "2026-03-01"]
+    assert all(d in filters for d in days) and "2026-02" not in filters and "2026-01-06" not in plans[-1]
+
+
+def test_a_day_out_of_span_fails_the_load(spark, path):
+    customers, products, _ = star_inputs(spark)
+    rows = [("a", "C1", "P1", 1, 10.0, 10.0, 0.0, "2026-02-28 10:00:00"), ("b", "C1", "P1", 1, 10.0, 10.0, 0.0, "9999-02-28 10:00:00")]
+    with pytest.raises(QualityError, match="9999-02-28"):
+        pipelines.run_star_schema(customers, products, spark.createDataFrame(rows, TRANSACTIONS_RAW), path, "2026-02-28", "9999-12-31")
+
+
 def test_backfill_equals_single_days(spark, path):
     sales = star_inputs(spark)[2].withColumn("day", F.to_date("transaction_timestamp"))
     backfill(sales, star.fact_sales, "day", "2026-02-27", "2026-02-28", f"{path}_a", "transaction_date")

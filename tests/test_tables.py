@@ -1,4 +1,5 @@
 import glob
+import re
 from datetime import date
 
 import pytest
@@ -175,6 +176,27 @@ def test_rollup_refresh_equals_rebuild(spark):
     assert as_set(fresh) == as_set(incremental.daily_rollup(sales, "day", "v"))
 
 
+def test_rollup_refresh_reads_the_changed_days_only(spark, path):
+    sales = days(spark, ("2024-01-01", 1), ("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-03", 4))
+    tables.overwrite_partitions(sales, path, ["day"])
+    stored = spark.read.schema(sales.schema).parquet(path)
+    stale = settle(incremental.daily_rollup(sales.where("v > 1"), "day", "v"))
+    fresh = incremental.refresh_daily_rollup(stale, stored, sales.where("v = 1"), "day", "v")
+    assert as_set(fresh) == as_set(incremental.daily_rollup(sales, "day", "v"))
+    seen = fresh._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ = 2024-01-01\)\]", seen)
+    assert incremental.refresh_daily_rollup(stale, stored, sales.where("false"), "day", "v") is stale
+
+
+def test_the_newest_row_wins_in_any_order(spark):
+    rows = [("a", 1, 5), ("a", 2, 3), ("a", 2, 4), ("b", None, 9), ("b", 0, 1), (None, 1, 1), (None, 1, 1), (None, 1, 2)]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "id string, at int, v int").repartition(3)
+        want = [("a", 2, 4), ("b", 0, 1), (None, 1, 1), (None, 1, 2)]
+        assert as_list(tables.once(df, ["id"], ["at"])) == sorted(want, key=repr) and tables.once(df, ["id"], ["at"]).columns == df.columns
+        assert as_list(tables.once(df.select("id"), ["id"])) == [("a",), ("b",), (None,)]
+
+
 def test_scratch_is_shared_and_fresh(spark):
     folder = shared_folder(spark)
     assert scratch_path(spark, "x") != scratch_path(spark, "x") and scratch_path(spark, "x").startswith(folder)
