@@ -11,7 +11,7 @@ from salesmart.functions import rules
 from salesmart.functions.dates import date_series_of
 from salesmart.functions.keys import surrogate_key
 from salesmart.functions.money import as_doubles, money
-from salesmart.operators import history, incremental, merge, quality, star, transform
+from salesmart.operators import daycounts, history, incremental, merge, quality, star, transform
 from salesmart.plans import analytics, driver_tables as t, models, pipelines, reports
 from salesmart.session import scratch_path, settle
 from salesmart.sources import arrivals, clustered, files, tables
@@ -672,6 +672,37 @@ def approx_customers(spark, sf):
     return both.select("transaction_date", (off <= F.greatest(F.lit(2.0), F.col("exact") / 5)).alias("close"))
 
 
+def _stored_day_counts(spark, sf) -> str:
+    """A store of the days' customers and products, at first without one order status, then with its days made anew."""
+    path = scratch_path(spark, "day_counts")
+    lines = t.order_lines(spark, sf).select(
+        F.to_date("moment").alias("day"), F.col("customer_id").cast("long").alias("customer"), F.col("p_partkey").alias("product"),
+        (F.col("total_amount") - F.col("discount_amount")).alias("net"), "status")
+    lines = settle(lines, "counted-lines")
+    counted, totals = ["customer", "product"], [F.count(F.lit(1)).alias("n"), F.sum("net").alias("net")]
+    pending = F.col("status") == "P"
+    daycounts.store_days(lines.where(~pending), path, "day", counted, counted, *totals)
+    daycounts.refresh_days(lines, path, "day", lines.where(pending), counted, counted, *totals)
+    return path
+
+
+@query
+def monthly_distinct(spark, sf):
+    """Customers and products of each month from day rows: exact, and whether the sketches come within four standard errors."""
+    counted, totals = ["customer", "product"], [F.sum("n").alias("transactions"), F.sum("net").alias("net_sales")]
+    months = daycounts.merged_counts(spark, _stored_day_counts(spark, sf), F.date_trunc("month", "day").cast("date"), counted, counted, *totals)
+    for c in counted:
+        error = F.abs(F.col(f"approx_{c}") - F.col(f"exact_{c}"))
+        months = months.withColumn(f"close_{c}", error <= 4 * daycounts.STANDARD_ERROR * F.col(f"exact_{c}")).drop(f"approx_{c}")
+    return as_doubles(months)
+
+
+@query
+def rolling_distinct(spark, sf):
+    """Customers and products of the seven days up to each day."""
+    return daycounts.rolling_counts(spark, _stored_day_counts(spark, sf), "day", 7, ["customer", "product"])
+
+
 @query
 def rfm_segments(spark, sf):
     customers = t.dim_customer(spark, sf).withColumn("number", F.col("customer_id").cast("bigint"))
