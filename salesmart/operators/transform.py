@@ -78,9 +78,12 @@ def size_column(size: str) -> str:
 
 
 def daily_summary(
-    clean: DataFrame, categories: tuple[str, ...] = PIVOT_CATEGORIES, run_ts: datetime | Column | None = None,
+    clean: DataFrame, categories: tuple[str, ...] = PIVOT_CATEGORIES, run_ts: datetime | Column | None = None, settled: bool = False,
 ) -> DataFrame:
-    """One row per order date: counts, money, category pivot, size spread and quality score."""
+    """One row per order date: counts, money, category pivot, size spread and quality score.
+
+    The rows are read twice and therefore settled first (``settled``: the caller has done so).
+    """
     net = F.col("net_amount")
     sizes = [*[label for label, _ in rules.ORDER_SIZES], rules.LARGEST_ORDER]
     is_valid = F.col("data_quality_flag") == rules.VALID
@@ -100,7 +103,8 @@ def daily_summary(
     distinct = {"total_orders": "order_id", "unique_customers": "customer_id", "unique_products": "product_id"}
     used = [*distinct.values(), "category", "quantity", "total_amount", "discount_amount", "net_amount", "discount_percentage",
             "order_size_category", "data_quality_flag"]
-    report = totals_and_distincts(clean.select(F.col("order_date").alias("report_date"), *used), ["report_date"], totals, distinct, apart=True)
+    rows = clean.select(F.col("order_date").alias("report_date"), *used)
+    report = totals_and_distincts(rows, ["report_date"], totals, distinct, apart=True, settled=settled)
     return add_audit(as_doubles(report), "generated_at", run_ts)
 
 

@@ -28,12 +28,14 @@ Bound = date | str | None
 MONTH = "partition_month"
 
 
-def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def merge_into(
+    spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], settled: bool = False,
+) -> DataFrame:
     """Apply ``merge(target, source)`` to the table at ``path``, or to an empty one on the first load.
 
-    The source is settled first, so that it does not read the table it changes.
+    The source is settled first (``settled``: the caller has done so), so that it does not read the table it changes.
     """
-    source = settle(source, "source")
+    source = source if settled else settle(source, "source")
     if table_exists(spark, path):
         replace_from_itself(merge(spark.read.parquet(path), source), path)
     else:
@@ -42,7 +44,9 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, merge: Callabl
     return spark.read.parquet(path)
 
 
-def store(rows: DataFrame, path: str, day: str, first: Bound, last: Bound, cluster_by: list[str], partition_unit: str) -> DataFrame:
+def store(
+    rows: DataFrame, path: str, day: str, first: Bound, last: Bound, cluster_by: list[str], partition_unit: str, settled: bool = False,
+) -> DataFrame:
     """Reload ``first``..``last`` (or everything) and return that range of the stored table.
 
     ``partition_unit`` is ``day``, or ``month`` for tables with few rows per day: there the months
@@ -55,7 +59,7 @@ def store(rows: DataFrame, path: str, day: str, first: Bound, last: Bound, clust
         written, name = (rows, day) if partition_unit == "day" else (_by_month(rows, day), MONTH)
         write_truncate(written, path, [name], [day, *cluster_by])
     elif partition_unit == "day":
-        reload_days(rows, path, day, first, last, cluster_by)
+        reload_days(rows, path, day, first, last, cluster_by, settled)
     else:
         months = [bound if bound is None else f"{str(bound)[:7]}-01" for bound in (first, last)]
         if table_exists(spark, path):
@@ -99,16 +103,19 @@ def run_datamart(
     staging: DataFrame, root: str, first: Bound = None, last: Bound = None, *, run_ts: datetime | None = None,
     categories: tuple[str, ...] = PIVOT_CATEGORIES, strict: bool = True, partition_unit: str = "day",
 ) -> DataFrame:
-    """Staging to clean lines to daily summary to quality gate; returns the summary table."""
-    clean = transform_sales(staging, first, last, run_ts)
-    loaded = store(clean, f"{root}/sales_cleaned", "order_date", first, last, ["category", "customer_id"], partition_unit)
-    summary = daily_summary(loaded, categories, run_ts)
-    result = merge_into(
-        staging.sparkSession, f"{root}/daily_sales_summary", summary, partial(merge_days, on="report_date")
-    )
+    """Staging to clean lines to daily summary to quality gate; returns the summary table.
+
+    The clean lines are written once and their quality is counted in that pass. The summary is published
+    when the gate has passed: a failed run leaves the old one.
+    """
+    clean = quality.watch(transform_sales(staging, first, last, run_ts))
+    store(clean.rows, f"{root}/sales_cleaned", "order_date", first, last, ["category", "customer_id"], partition_unit, settled=True)
+    summary = settle(daily_summary(clean.rows, categories, run_ts, settled=True), "summary")
     if strict:
-        quality.enforce_quality(loaded)
-    return result
+        quality.enforce_metrics(clean.metrics(summary))
+    return merge_into(
+        staging.sparkSession, f"{root}/daily_sales_summary", summary, partial(merge_days, on="report_date"), settled=True
+    )
 
 
 def run_star_schema(

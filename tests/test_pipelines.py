@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 from samples import DAY, RUN, as_list, as_set, staging, staging_rows
 
-from salesmart.operators import star
+from salesmart.operators import quality, star
 from salesmart.operators.incremental import backfill
 from salesmart.operators.quality import QualityError
+from salesmart.operators.transform import daily_summary, transform_sales
 from salesmart.plans import pipelines
 from salesmart.sources import synthetic
 from salesmart.sources.schemas import TRANSACTIONS_RAW
@@ -52,6 +53,29 @@ def test_datamart_gate_stops_the_run(spark, path):
         pipelines.run_datamart(staging(spark), path, NEXT)
 
 
+def test_a_failed_gate_leaves_the_summary_as_it_was(spark, path):
+    rows = staging_rows()
+    summary = as_set(pipelines.run_datamart(staging(spark, rows=rows), path, DAY, run_ts=RUN))
+    with pytest.raises(QualityError, match="duplicate orders"):
+        pipelines.run_datamart(staging(spark, rows=rows + rows[:1]), path, DAY, run_ts=RUN)
+    assert as_set(spark.read.parquet(f"{path}/daily_sales_summary")) == summary
+    relaxed = as_set(pipelines.run_datamart(staging(spark, rows=rows + rows[:1]), path, DAY, run_ts=RUN, strict=False))
+    assert relaxed != summary
+    # An order of one day that comes again on another, in one load of both.
+    with pytest.raises(QualityError, match="duplicate orders"):
+        twice = [*rows, *[(rows[0][0], *r[1:]) for r in staging_rows(NEXT)[:1]]]
+        pipelines.run_datamart(staging(spark, rows=twice), f"{path}_both", run_ts=RUN)
+
+
+def test_quality_is_counted_while_rows_are_written(spark):
+    for rows in (staging_rows(), staging_rows() + staging_rows()[:2], staging_rows() + staging_rows(NEXT), []):
+        clean = transform_sales(staging(spark, rows=rows), run_ts=RUN) if rows else transform_sales(staging(spark), run_ts=RUN).where("false")
+        seen = quality.watch(clean)
+        for summary in (None, daily_summary(seen.rows, settled=True)):
+            assert as_list(seen.metrics(summary)) == as_list(quality.quality_metrics(clean))
+            assert seen.metrics(summary).columns == quality.quality_metrics(clean).columns
+
+
 def star_inputs(spark):
     customers = synthetic.synth_customers(spark, 30, "2026-02-28")
     products = synthetic.synth_products(spark, 23)
