@@ -79,22 +79,16 @@ def scd2_apply(dimension: DataFrame, source: DataFrame, key: str, tracked: Seque
 
 
 def scd2_build(
-    changes: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], bucket: Column | None = None,
+    changes: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], rows_per_bucket: int = timeline.ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Version history from a change log: one row per run of equal tracked values.
 
     ``order[0]`` is the moment of a change and becomes the validity interval ``[valid_from, valid_to)``.
-    Changes without a moment come first. ``bucket`` (by default the hour) cuts a key's time line into tasks.
+    Changes without a moment come first. The log is settled, and keys with more than ``rows_per_bucket`` changes are cut.
     """
     moment = order[0]
-    line = timeline.cut_keys(
-        changes.select(key, *order, *tracked), [key], F.date_trunc("hour", moment) if bucket is None else bucket,
-    )
-    before = timeline.with_previous(line, order, tracked, "__before")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__before.{c}")) for c in tracked])
-    starts = before.where(F.col("__before").isNull() | ~same).drop("__before")
-    after = timeline.with_next(line.on(starts), order, [moment], "__after")
-    return after.select(
+    line = timeline.cut_keys(changes.select(key, *order, *tracked), key, order, rows_per_bucket)
+    return timeline.run_starts(line, tracked, moment, "__after").select(
         key, *tracked, F.col(moment).alias("valid_from"), F.col(f"__after.{moment}").alias("valid_to"),
         F.col("__after").isNull().alias("is_current"),
     )
@@ -102,30 +96,30 @@ def scd2_build(
 
 def point_in_time_join(
     facts: DataFrame, versions: DataFrame, key: str, moment: str, attributes: Sequence[str],
-    start: str = "valid_from", end: str = "valid_to", bucket: Column | None = None,
+    start: str = "valid_from", end: str = "valid_to", rows_per_bucket: int = timeline.ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Inner join of facts to the version valid at their moment (``start`` <= moment < ``end``).
 
     Versions of one key do not overlap, so at most one can be valid: the latest one started. Facts
     and versions are merged into one time line per key and the version is carried forward, which
     is linear also where a key has both many facts and many versions (a join on the key with a range
-    condition would compare all of them).
+    condition would compare all of them). Facts of one moment are told apart by a hash of their values.
     """
     fact_columns = facts.columns
     # A version that ended the moment it began is never valid; without these, starts are unique per key.
     versions = versions.where(F.col(end).isNull() | (F.col(start) < F.col(end)))
     line = (
         facts.select(F.col(key).alias("__key"), F.col(moment).alias("__at"), F.lit(1).alias("__kind"),
-                     F.struct(*fact_columns).alias("__fact"))
+                     F.xxhash64(*fact_columns).alias("__tie"), F.struct(*fact_columns).alias("__fact"))
         .unionByName(
-            versions.select(F.col(key).alias("__key"), F.col(start).alias("__at"), F.lit(0).alias("__kind"),
+            versions.select(F.col(key).alias("__key"), F.col(start).alias("__at"), F.lit(0).alias("__kind"), F.lit(0).cast("long").alias("__tie"),
                             F.struct(F.col(end).alias("__end"), *attributes).alias("__version")),
             allowMissingColumns=True,
         )
         .where(F.col("__key").isNotNull())
     )
-    cut = timeline.cut_keys(line, ["__key"], F.date_trunc("hour", "__at") if bucket is None else bucket)
-    carried = timeline.with_latest(cut, ["__at", "__kind"], "__version", "__valid")
+    cut = timeline.cut_keys(line, "__key", ["__at", "__kind", "__tie"], rows_per_bucket)
+    carried = timeline.with_latest(cut, "__version", "__valid")
     until = F.col("__valid.__end")
     return carried.where(
         (F.col("__kind") == 1) & F.col("__valid").isNotNull() & (until.isNull() | (F.col("__at") < until))

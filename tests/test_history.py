@@ -30,11 +30,12 @@ def versions_by_hand(log):
     return sorted(out, key=repr)
 
 
-BUCKETS = {"hour": lambda at: None, "all": lambda at: F.lit(1), "moment": F.col}
+#: Rows that a bucket may hold: cut to pieces of a few rows, in a few buckets, hardly, and not at all.
+BUCKETS = (3, 40, 500, 10**6)
 
 
 def built(spark, log, bucket):
-    return history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], bucket=BUCKETS[bucket]("ts"))
+    return history.scd2_build(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], ["state"], bucket)
 
 
 @pytest.mark.parametrize("bucket", BUCKETS)
@@ -55,14 +56,37 @@ def test_changes_without_a_moment_or_a_key(spark, bucket):
     assert sum(v[0] == 77 for v in want) == 2
 
 
-def test_building_the_plan_starts_no_job(spark):
+@pytest.mark.parametrize("moments", ["one hour", "one moment", "none"])
+def test_a_key_is_cut_however_its_rows_lie_in_time(spark, moments):
+    at = {"one hour": lambda i: START + timedelta(seconds=i % 3600), "one moment": lambda i: START, "none": lambda i: None}[moments]
+    log = [(0, at(i), i, "ab"[i // 7 % 2]) for i in range(2000)] + [(1, START, 5000, "a"), (None, None, 5001, "b")]
+    line = timeline.cut_keys(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], 100)
+    sizes = [r["count"] for r in line.hot.groupBy(timeline.PART).count().collect()]
+    assert len(sizes) > 14 and sum(sizes) == 2000 and max(sizes) < 300 and line.cold.count() == 2
+    oldest = datetime(1, 1, 1)
+    want = [tuple(None if x == oldest else x for x in v) for v in versions_by_hand([(u, t or oldest, *r) for u, t, *r in log])]
+    assert as_list(built(spark, log, 100)) == sorted(want, key=repr)
+
+
+def shape(df):
+    df.collect()
+    seen = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return seen.count("Exchange hashpartitioning"), seen.count("Scan parquet"), seen.count("Sort [")
+
+
+def test_plans_move_rows_once(spark):
     log = spark.createDataFrame(change_log(3), CHANGES)
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("plan-only", "plan-only")
-    versions = history.scd2_build(log, "user_id", ["ts", "event_id"], ["state"])
-    history.point_in_time_join(log.drop("state"), versions, "user_id", "ts", ["state"])
-    assert list(tracker.getJobIdsForGroup("plan-only")) == []
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        versions = history.scd2_build(log, "user_id", ["ts", "event_id"], ["state"])
+        assert shape(versions) == (1, 1, 1)  # one shuffle and one sort of the log, read once
+        joined = history.point_in_time_join(log.drop("state"), versions, "user_id", "ts", ["state"])
+        assert shape(joined) == (1, 1, 1)
+        exchanges, scans, _ = shape(history.scd2_build(log, "user_id", ["ts", "event_id"], ["state"], 50))
+        assert exchanges <= 5 and scans <= 3  # cold rows, hot rows twice (the second time reused), edges
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("bucket", BUCKETS)
@@ -84,15 +108,21 @@ def test_point_in_time_join_is_the_same_however_keys_are_cut(spark, bucket):
     got = history.point_in_time_join(
         spark.createDataFrame(facts, "fact_id bigint, user_id bigint, ts timestamp_ntz"),
         spark.createDataFrame(versions, "user_id bigint, state string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"),
-        "user_id", "ts", ["state"], bucket=BUCKETS[bucket]("__at"),
+        "user_id", "ts", ["state"], rows_per_bucket=bucket,
     )
     assert as_list(got) == want
 
 
 def test_rows_of_a_key_are_spread_over_buckets(spark):
-    line = timeline.cut_keys(spark.createDataFrame(change_log(4), CHANGES), ["user_id"], F.date_trunc("hour", "ts"))
-    sizes = line.rows.groupBy(timeline.PART).count().collect()
-    assert len(sizes) > 200 and max(r["count"] for r in sizes) < 30
+    log = change_log(4)
+    line = timeline.cut_keys(spark.createDataFrame(log, CHANGES), "user_id", ["ts", "event_id"], 20)
+    sizes = {tuple(r[0]): r["count"] for r in line.hot.groupBy(timeline.PART).count().collect()}
+    assert len(sizes) > 60 and max(sizes.values()) < 70 and sum(sizes.values()) + line.cold.count() == len(log)
+    # Buckets of a key do not overlap, and sort as their rows do.
+    spans = line.hot.groupBy(timeline.PART).agg(F.min(F.struct("ts", "event_id")).alias("lo"), F.max(F.struct("ts", "event_id")).alias("hi")).collect()
+    for key in {r[0].key for r in spans}:
+        own = sorted((r for r in spans if r[0].key == key), key=lambda r: r[0].number)
+        assert all(tuple(a.hi) < tuple(b.lo) for a, b in zip(own, own[1:]))
 
 
 def test_latest_row_per_key(spark):
