@@ -9,7 +9,7 @@ from salesmart.functions.money import money
 from salesmart.operators import star
 
 # Days between which the incremental examples split the data; all rows are used on one side or the other.
-EARLY_END = "1995-07-01"
+EARLY_END, FIT_END = "1995-07-01", "1997-01-01"
 LATE_START, DAY_BEFORE_LATE = "2001-01-01", "2000-12-31"
 LOAD_DAY, DAY_BEFORE_LOAD = "2001-08-01", "2001-07-31"
 EVENTS_CUT = "2024-01-15"

@@ -113,3 +113,32 @@ def test_regression_follows_a_line(spark):
     scored = models.predict_sales(models.fit_sales_regression(sales), sales)
     worst = scored.agg(F.max(F.abs(F.col("amount") - F.col("predicted_amount")))).first()[0]
     assert worst < 2
+
+
+def test_every_customer_has_an_effect_of_its_own(spark, path):
+    rng = random.Random(4)
+    effect = {f"c{i}": rng.uniform(-500, 500) for i in range(700)}
+    rows = []
+    for name, own in effect.items():
+        for _ in range(rng.randint(1, 6)):
+            day = date(2019, 1, 1) + timedelta(days=rng.randrange(2000))
+            rows.append((day, name, own + 12.5 * (day.year - 2000) - 0.25 * (day.timetuple().tm_yday - 183)))
+    rows += [(None, "c1", 5.0), (date(2020, 1, 1), None, 7.0), (date(2020, 1, 1), "c1", None)]
+    sales = spark.createDataFrame(rows, "date date, customer_id string, amount double")
+    models.save_regression(models.fit_sales_regression(sales), path)
+    model = models.load_regression(spark, path)
+    assert abs(model.coefficients["date_year"] - 12.5) < 1e-6 and abs(model.coefficients["date_day"] + 0.25) < 1e-6
+    assert all(abs(r.effect - effect[r.customer_id]) < 1e-6 for r in model.effects.collect()) and model.effects.count() == 700
+    scored = models.predict_sales(model, sales.unionByName(spark.createDataFrame([(date(2000, 7, 1), "new", 0.0)], sales.schema)))
+    assert scored.where("amount is not null and customer_id like 'c%' and date is not null and abs(amount - predicted_amount) > 1e-6").isEmpty()
+    assert scored.where("predicted_amount is null").count() == 1 and scored.columns == [*sales.columns, "predicted_amount"]
+    new = scored.where("customer_id = 'new'").first().predicted_amount
+    assert abs(new - model.unknown) < 1e-6
+
+
+def test_regression_where_dates_do_not_vary(spark):
+    sales = spark.createDataFrame([(date(2020, 5, 1), "a", 1.0), (date(2020, 5, 1), "a", 3.0), (date(2020, 5, 1), "b", 10.0)], "date date, customer_id string, amount double")
+    model = models.fit_sales_regression(sales)
+    assert set(model.coefficients.values()) == {0.0} and as_set(model.effects) == {("a", 2.0), ("b", 10.0)}
+    with pytest.raises(ValueError):
+        models.fit_sales_regression(sales.where("false"))
