@@ -94,27 +94,51 @@ def sales_velocity(fact: DataFrame, dim_product: DataFrame, as_of: Column, rows:
     )
 
 
+#: Of so many baskets at most an item keeps a bit each, in one 64-bit number.
+MOST_LARGE = 63
+
+
 def pair_support(baskets: DataFrame, min_support: int, chunk: int = 512) -> DataFrame:
     """Item pairs that share at least ``min_support`` baskets, with the number they share.
 
     ``baskets`` holds distinct (basket, item) rows and is read several times: hand in a settled
     frame. Items that are themselves in fewer than ``min_support`` baskets are dropped first: no pair
-    of theirs can reach it. Every basket is cut into slices of about ``chunk`` items, and each slice
-    meets the whole basket in a task of its own, so a very large basket is many small pieces of work.
+    of theirs can reach it. The ``min_support - 1`` largest baskets (of more than ``chunk`` items, 63 at most) emit no pairs: a pair
+    that reaches the support shares another basket too and is found there. What it shares of the large ones is the
+    intersection of its items' bits, one for each of these baskets. Every other basket is cut into slices of
+    about ``chunk`` items, and each slice meets the whole basket in a task of its own.
     """
     frequent = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support)
     kept = baskets.join(frequent.select("item"), "item", "left_semi")
+    large = largest_baskets(kept, min(min_support - 1, MOST_LARGE), chunk)
+    pairs = emitted_pairs(kept.where(~F.col("basket").isin(large)) if large else kept, chunk)
+    counted = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= min_support - len(large))
+    if not large:
+        return counted
+    bits = baskets.sparkSession.createDataFrame([(b, 1 << i) for i, b in enumerate(large)], f"basket {baskets.schema['basket'].dataType.simpleString()}, bit bigint")
+    masks = kept.join(F.broadcast(bits), "basket").groupBy("item").agg(F.bit_or("bit").alias("mask"))
+    for side in ("a", "b"):
+        counted = counted.join(masks.select(F.col("item").alias(f"item_{side}"), F.col("mask").alias(f"mask_{side}")), f"item_{side}", "left")
+    both = F.coalesce(F.bit_count(F.col("mask_a").bitwiseAND(F.col("mask_b"))), F.lit(0))
+    counted = counted.select("item_a", "item_b", (F.col("shared") + both).alias("shared"))
+    return counted.where(F.col("shared") >= min_support)
+
+
+def largest_baskets(baskets: DataFrame, most: int, items: int) -> list:
+    """The ``most`` largest baskets of more than ``items`` items, ``most`` being a small number."""
+    if most < 1:
+        return []
+    sizes = baskets.groupBy("basket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > items)
+    return [r[0] for r in sizes.orderBy(F.desc("n"), "basket").limit(most).collect()]
+
+
+def emitted_pairs(baskets: DataFrame, chunk: int) -> DataFrame:
+    """(item_a, item_b) once for each basket that holds both."""
     slices = F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("slices")
-    sized = kept.join(kept.groupBy("basket").agg(F.count(F.lit(1)).alias("n"), slices).where("n > 1"), "basket")
+    sized = baskets.join(baskets.groupBy("basket").agg(F.count(F.lit(1)).alias("n"), slices).where("n > 1"), "basket")
     left = sized.select("basket", F.col("item").alias("item_a"), F.pmod(F.xxhash64("item"), "slices").cast("int").alias("slice"))
     right = sized.select("basket", F.col("item").alias("item_b"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    return (
-        left.join(right, ["basket", "slice"])
-        .where(F.col("item_a") < F.col("item_b"))
-        .groupBy("item_a", "item_b")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(F.col("shared") >= min_support)
-    )
+    return left.join(right, ["basket", "slice"]).where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
 
 
 def product_affinity(

@@ -142,3 +142,32 @@ def test_regression_where_dates_do_not_vary(spark):
     assert set(model.coefficients.values()) == {0.0} and as_set(model.effects) == {("a", 2.0), ("b", 10.0)}
     with pytest.raises(ValueError):
         models.fit_sales_regression(sales.where("false"))
+
+
+@pytest.mark.parametrize("support", [1, 2, 3, 5])
+def test_large_baskets_emit_no_pairs(spark, support):
+    rng = random.Random(support)
+    held = {b: set(rng.sample(range(3000), size)) for b, size in enumerate([1200, 800, 790, *[rng.randint(1, 9) for _ in range(1500)]])}
+    # Some pairs of the large baskets come again in small ones.
+    for b in range(2000, 2060):
+        held[b] = set(rng.sample(sorted(held[b % 3]), 4))
+    rows = [(b, i) for b, items in held.items() for i in items]
+    baskets = spark.createDataFrame(rows, "basket bigint, item bigint")
+    counts = Counter(p for items in held.values() for p in combinations(sorted(items), 2))
+    got = {(r.item_a, r.item_b): r.shared for r in analytics.pair_support(baskets, support, chunk=500).collect()}
+    assert got == {p: n for p, n in counts.items() if n >= support}
+
+
+def test_one_basket_of_ten_thousand_items(spark):
+    rows = [(0, i) for i in range(10_000)] + [(1 + i // 4, (7 * i) % 10_000) for i in range(20_000)] + [(9000, 7), (9000, 14), (9000, 10_001)]
+    baskets = spark.createDataFrame(rows, "basket bigint, item bigint")
+    large = analytics.largest_baskets(baskets, 1, 512)
+    assert large == [0]
+    emitted = analytics.emitted_pairs(baskets.where(~F.col("basket").isin(large)), 512).count()
+    assert emitted * 1000 < 10_000 * 9_999 / 2  # what the large basket alone would emit
+    small = {}
+    for basket, item in rows[10_000:]:
+        small.setdefault(basket, set()).add(item)
+    counts = Counter(p for items in small.values() for p in combinations(sorted(items), 2))
+    got = {(r.item_a, r.item_b): r.shared for r in analytics.pair_support(baskets, 2).collect()}
+    assert got == {p: n + 1 for p, n in counts.items() if max(p) < 10_000}  # the large one holds all items but one
