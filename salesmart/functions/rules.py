@@ -81,7 +81,7 @@ def discount_bucket_rank(bucket: Column) -> Column:
 
 def rfm_segment(recency: Column, frequency: Column, monetary: Column) -> Column:
     def all_at_least(score: int) -> Column:
-        return F.least(recency, frequency, monetary) >= score
+        return (recency >= score) & (frequency >= score) & (monetary >= score)
 
     return (
         F.when(all_at_least(4), CHAMPIONS)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from salesmart.functions import rules
-from salesmart.functions.dates import date_series_of
+from salesmart.functions.dates import date_series_of, month_start
 from salesmart.functions.keys import surrogate_key
 from salesmart.functions.money import as_doubles, money
 from salesmart.operators import daycounts, history, incremental, merge, quality, star, transform
@@ -644,15 +645,24 @@ def category_sales_clean(spark, sf):
     return reports.category_sales_clean(_clean(spark, sf))
 
 
+def _stored_by_month(spark, rows: DataFrame, day: str) -> str:
+    path = scratch_path(spark, "by_month")
+    tables.write_truncate(rows.withColumn(pipelines.MONTH, month_start(F.col(day))), path, [pipelines.MONTH], [day])
+    return path
+
+
 @query
 def quality_history(spark, sf):
-    clean = reports.on_latest_days(_clean(spark, sf), "order_date", 30)
+    """The newest days' quality, from the newest months of the stored clean lines."""
+    path = _stored_by_month(spark, _clean(spark, sf), "order_date")
+    clean = reports.read_newest_days(spark, path, pipelines.MONTH, "order_date", 30)
     return reports.quality_history(transform.daily_summary(clean, t.CATEGORIES))
 
 
 @query
 def latest_reports(spark, sf):
-    fact = reports.on_latest_days(t.fact(spark, sf), "transaction_date", 7)
+    path = _stored_by_month(spark, t.fact(spark, sf), "transaction_date")
+    fact = reports.read_newest_days(spark, path, pipelines.MONTH, "transaction_date", 7)
     report = reports.daily_sales_report(fact, t.dim_date(spark, sf)).drop("report_generated_at")
     return reports.latest_reports(report, "full_date")
 
@@ -808,19 +818,39 @@ def quality_gate(spark, sf):
     return quality.quality_gate(quality.quality_metrics(_dirty(spark, sf)))
 
 
+def _cases(**checks: DataFrame) -> DataFrame:
+    """The rows of several checks, named."""
+    return reduce(DataFrame.unionByName, [check.withColumn("case", F.lit(name)) for name, check in checks.items()])
+
+
 @query
 def validate_staging(spark, sf):
-    return quality.validate_staging(t.staging_sales(spark, sf), max_rows=10**12)
+    """The staging gate over all lines, and over lines that fail it in each of its ways."""
+    lines = settle(t.staging_sales(spark, sf).select("total_amount", "quantity"), "gated")
+    most = 10**12
+    return _cases(
+        good=quality.validate_staging(lines, most), large=quality.validate_staging(lines, 10),
+        empty=quality.validate_staging(lines.where(F.lit(False)), most),
+        amount=quality.validate_staging(lines.withColumn("total_amount", F.col("total_amount") - 2000), most),
+        quantity=quality.validate_staging(lines.withColumn("quantity", F.col("quantity") - 2), most))
 
 
 @query
 def validate_fact_count(spark, sf):
-    return quality.validate_fact_count(t.fact(spark, sf))
+    fact = t.fact(spark, sf)
+    before = fact.where(F.col("transaction_date") < F.lit("1990-01-01").cast("date"))
+    return _cases(good=quality.validate_fact_count(fact), empty=quality.validate_fact_count(before))
 
 
 @query
 def reconcile_counts(spark, sf):
-    return quality.reconcile_counts(t.table(spark, sf, "lineitem"), t.fact(spark, sf))
+    """Staging against production: all loaded, nothing staged, nothing loaded, and more loaded than staged."""
+    lines, loaded = t.table(spark, sf, "lineitem"), settle(t.fact(spark, sf).select("transaction_id"), "loaded")
+    nothing = F.lit(False)
+    return _cases(
+        good=quality.reconcile_counts(lines, loaded), unstaged=quality.reconcile_counts(lines.where(nothing), loaded),
+        unloaded=quality.reconcile_counts(lines, loaded.where(nothing)),
+        more=quality.reconcile_counts(lines.where("l_quantity <> 7"), loaded))
 
 
 @query
@@ -842,12 +872,16 @@ def freshness_check(spark, sf):
 
 @query
 def check_true(spark, sf):
-    return quality.check_true(t.table(spark, sf, "lineitem"), F.count(F.lit(1)) > 0)
+    lines = t.table(spark, sf, "lineitem")
+    return _cases(
+        good=quality.check_true(lines, F.count(F.lit(1)) > 0), bad=quality.check_true(lines, F.min("l_quantity") > 10),
+        unknown=quality.check_true(lines, F.max(F.nullif("l_quantity", "l_quantity")) > 10))
 
 
 @query
 def check_min_rows(spark, sf):
-    return quality.check_min_rows(t.table(spark, sf, "lineitem"), 1000)
+    lines = t.table(spark, sf, "lineitem")
+    return _cases(good=quality.check_min_rows(lines, 1000), bad=quality.check_min_rows(lines, 10**12))
 
 
 @query

@@ -8,14 +8,14 @@ and splits a key with very many facts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from salesmart.functions import rules
 from salesmart.functions.dates import date_series_of
 from salesmart.functions.money import as_doubles, average_of, mean, percent
 from salesmart.functions.totals import totals_and_distincts
 from salesmart.operators.transform import Day, on_days
-from salesmart.sources.tables import add_audit
+from salesmart.sources.tables import add_audit, distinct_values, partition_values
 
 
 def _with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
@@ -183,9 +183,18 @@ def category_sales_clean(clean: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_sales"), "category")
 
 
-def on_latest_days(df: DataFrame, day: str, rows: int) -> DataFrame:
-    """The rows of the newest ``rows`` days, so that older ones need not be worked on."""
-    return df.join(df.select(day).distinct().orderBy(F.desc(day)).limit(rows), day, "left_semi")
+def read_newest_days(spark: SparkSession, path: str, partition: str, day: str, days: int) -> DataFrame:
+    """The rows of the newest ``days`` days of a table that is partitioned by something coarser, such as the month.
+
+    Partition names tell which are the newest: no other partition is looked into.
+    """
+    names, taken = sorted(partition_values(spark, path, partition), reverse=True), 1
+    while True:
+        newest = spark.read.parquet(path).where(F.col(partition).cast("string").isin(names[:taken]))
+        found = sorted(d for d in distinct_values(newest, day) if d is not None)[-days:]
+        if len(found) == days or taken >= len(names):
+            return newest.where(F.col(day).isin(found)).drop(partition)
+        taken *= 2
 
 
 def latest_reports(report: DataFrame, day: str, rows: int = 7) -> DataFrame:

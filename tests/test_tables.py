@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from samples import RUN, as_list, as_set
 
 from salesmart.operators import incremental
+from salesmart.plans import reports
 from salesmart.session import scratch_path, settle, shared_folder
 from salesmart.sources import files, schemas, tables
 
@@ -246,3 +247,14 @@ def test_upserts_keep_the_rows_without_a_day(spark, path):
 
     upsert(("a", None, 1), ("b", None, 2), ("c", date(2024, 1, 1), 3))
     assert upsert(("d", None, 4), ("a", None, 1)) == {("a", 1), ("b", 2), ("c", 3), ("d", 4)}
+
+
+def test_newest_days_come_from_the_newest_partitions(spark, path):
+    rows = days(spark, *[(f"2024-{m:02d}-{d:02d}", m * 100 + d) for m in (1, 2, 3, 5) for d in (1, 2, 9)], ("2024-05-09", 7))
+    tables.write_truncate(rows.withColumn("month", F.date_trunc("month", "day").cast("date")), path, ["month"])
+    for n, months in ((1, 1), (3, 1), (4, 2), (7, 4), (12, 4), (50, 4)):
+        got = reports.read_newest_days(spark, path, "month", "day", n)
+        want = sorted({r[0] for r in rows.select("day").collect()})[-n:]
+        assert as_set(got) == as_set(rows.where(F.col("day").isin(want)).select(*got.columns))
+        seen = got._jdf.queryExecution().executedPlan().toString()
+        assert sum(f"2024-{m:02d}-01" in seen.split("PartitionFilters: [")[1].split("], PushedFilters")[0] for m in (1, 2, 3, 5)) == months
