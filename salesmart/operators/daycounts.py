@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.functions.dates import month_start
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 from salesmart.sources.tables import distinct_values, drop_partitions, is_one_of, overwrite_partitions, partition_values, write_truncate
 
 #: Folders of a store: a row per day, and a row per day, counted column and piece of bits.
@@ -48,6 +48,7 @@ def store_days(rows: DataFrame, path: str, day: str, approximate: Sequence[str],
     write_truncate(_by_month(day_bits(rows, day, exact), day), f"{path}/{BITS}", [MONTH], [day])
 
 
+@drops_copies
 def refresh_days(rows: DataFrame, path: str, day: str, changed: DataFrame, approximate: Sequence[str], exact: Sequence[str], *totals: Column) -> None:
     """Make the days of ``changed`` anew, also those that have no rows any more.
 

@@ -16,7 +16,7 @@ from salesmart.operators.transform import (
     PIVOT_CATEGORIES, daily_summary, on_days, order_day_summary, transform_positive, transform_sales,
 )
 from salesmart.plans.reports import daily_sales_report
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 from salesmart.sources.files import dated_path, read_staging_csv, require_filled
 from salesmart.sources.schemas import ORDER_LINES_RAW, required_columns
 from salesmart.sources.tables import (
@@ -28,6 +28,7 @@ Bound = date | str | None
 MONTH = "partition_month"
 
 
+@drops_copies
 def merge_into(
     spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], settled: bool = False,
 ) -> DataFrame:
@@ -99,6 +100,7 @@ def read_by_day(spark: SparkSession, path: str, schema: StructType, day: str, pa
     return read
 
 
+@drops_copies
 def run_datamart(
     staging: DataFrame, root: str, first: Bound = None, last: Bound = None, *, run_ts: datetime | None = None,
     categories: tuple[str, ...] = PIVOT_CATEGORIES, strict: bool = True, partition_unit: str = "day",
@@ -118,6 +120,7 @@ def run_datamart(
     )
 
 
+@drops_copies
 def run_star_schema(
     customers: DataFrame, products: DataFrame, transactions: DataFrame, root: str, first: Bound = None,
     last: Bound = None, *, run_ts: datetime | None = None, days: DataFrame | None = None, partition_unit: str = "day",
@@ -160,6 +163,7 @@ def run_star_schema(
     return merge_into(spark, f"{root}/daily_sales_report", report, partial(merge_days, on="full_date"))
 
 
+@drops_copies
 def run_file_etl(
     spark: SparkSession, source: str, root: str, run_date: str, *, max_rows: int, run_ts: datetime | None = None,
     export_to: str = "reports/daily_summary_{ds}",

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,5 +58,30 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     a recomputation of everything upstream.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_load, "copies", None) is not None:
+        _load.copies.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: The settled copies of the load that runs in this thread, if one does.
+_load = threading.local()
+
+
+def drops_copies(load: Callable) -> Callable:
+    """A load that deletes the copies it has settled when it ends, also if it fails.
+
+    For functions whose results read stored tables only: nothing that they return may still need a copy.
+    """
+    @wraps(load)
+    def run(*args, **options):
+        outer, _load.copies = getattr(_load, "copies", None), []
+        try:
+            return load(*args, **options)
+        finally:
+            own, _load.copies = _load.copies, outer
+            for spark, path in own:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    return run

@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 from salesmart.sources.tables import distinct_values, drop_partitions, file_stamps, overwrite_partitions, partition_values, table_exists
 
 #: Column of a loaded row: the set that its file belongs to.
@@ -25,6 +25,7 @@ class Arrived(NamedTuple):
     missing: dict[str, list[str]]
 
 
+@drops_copies
 def load_complete_sets(
     spark: SparkSession, expected: Mapping[str, Sequence[str]], schema: StructType, target: str, log: str,
     read: Callable[[list[str]], DataFrame],

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 from salesmart.sources.tables import is_one_of
 
 #: Table property that names the keys kept apart.
@@ -60,6 +60,7 @@ def bucket_number(rows: int) -> int:
     return buckets
 
 
+@drops_copies
 def write_clustered(df: DataFrame, name: str, key: str, location: str, buckets: int | None = None, unique: bool = False) -> Clustered:
     """Create or replace a table in buckets of ``key``.
 
@@ -102,6 +103,7 @@ def open_clustered(spark: SparkSession, name: str) -> Clustered:
     return Clustered(spark, name, key, int(told["Num Buckets"]), tuple(json.loads(properties[HOT_KEYS])))
 
 
+@drops_copies
 def append_clustered(df: DataFrame, table: Clustered) -> None:
     """Add rows, such as a day's sales, to the buckets of their keys.
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 
 # Suffixes of a table's next and previous content during a swap.
 NEW, OLD = ".new", ".old"
@@ -101,6 +101,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     (_writer(df, "overwrite", partition_by, cluster_by).option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
+@drops_copies
 def reload_days(
     df: DataFrame, path: str, column: str, first: date | str | None, last: date | str | None, cluster_by: Sequence[str] = (),
     settled: bool = False,
@@ -118,6 +119,7 @@ def reload_days(
         drop_partitions(spark, path, column, before - {str(r[0]) for r in rows.select(column).distinct().collect()})
 
 
+@drops_copies
 def upsert_days(
     df: DataFrame, path: str, column: str, identity: Sequence[str], cluster_by: Sequence[str] = (), partition: Column | None = None,
     partition_name: str | None = None, newest: Sequence[str] = (),

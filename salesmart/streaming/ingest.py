@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType, TimestampType
 
 from salesmart.operators.history import DELETE, latest_per_key
 from salesmart.operators.star import FACT_IDENTITY, FACT_NEWEST, fact_sales
-from salesmart.session import settle
+from salesmart.session import drops_copies, settle
 from salesmart.sources.tables import distinct_values, drop_folder, is_complete, partition_values, upsert_days, write_truncate
 
 VERSION, BUCKET = "version", "bucket"
@@ -63,6 +63,7 @@ def stream_cdc_apply(
     spark, schema = changes.sparkSession, changes.schema
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
+    @drops_copies
     def fold(batch: DataFrame, batch_id: int) -> None:
         session, path = batch.sparkSession, version_path(state_path, batch_id)
         if not is_complete(session, path):

@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 from datetime import date, timedelta
 
@@ -10,6 +11,7 @@ from salesmart.operators.incremental import backfill
 from salesmart.operators.quality import QualityError
 from salesmart.operators.transform import daily_summary, transform_sales
 from salesmart.plans import pipelines
+from salesmart.session import settle, shared_folder
 from salesmart.sources import synthetic
 from salesmart.sources.schemas import TRANSACTIONS_RAW
 from salesmart.sources.tables import export_table
@@ -178,3 +180,17 @@ def test_file_load_recomputes_every_touched_date(spark, path):
     write_lines(spark, path, "20240117", lines(("6", 1, -1.0, "20240117")))
     with pytest.raises(QualityError, match="Negatif"):
         run("2024-01-17")
+
+
+def test_loads_leave_no_copies_behind(spark, path):
+    folder = shared_folder(spark).removeprefix("file:")
+    inputs, both = star_inputs(spark), staging(spark, rows=staging_rows() + staging_rows(NEXT))
+    kept = set(os.listdir(folder))
+    report = pipelines.run_star_schema(*inputs, f"{path}_star", "2026-02-28", run_ts=RUN)
+    summary = pipelines.run_datamart(both, f"{path}_mart", DAY, run_ts=RUN)
+    with pytest.raises(QualityError):
+        pipelines.run_datamart(both.unionByName(both), f"{path}_mart", DAY, run_ts=RUN)
+    assert set(os.listdir(folder)) == kept
+    assert report.count() >= 1 and summary.count() == 1
+    copy = settle(both)  # outside of a load it stays
+    assert copy.count() == 30 and len(os.listdir(folder)) == len(kept) + 1
