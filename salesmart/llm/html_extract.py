@@ -7,6 +7,12 @@ threshold, and the element that holds the lines of the upper cluster is the cont
 where the page names one, with the title and lead that the element around it has besides, else the deepest container
 around all of that text. All of the region's readable lines are returned, short ones too.
 
+Names of classes and ids, and forms, only say what is likely to be no article. Their text is read as well: where nothing of a sentence's length is
+left without it, or where one of them holds the page's heading and nearly all of its text, and no article is named, that element
+counts as any other. So a page with text outside real boilerplate always has a text.
+
+Elements are numbered and know the one around them, so time and memory grow with the page, however deep its markup is.
+
 Defined results: a null, empty or text-free page gives an empty string and zero characters. Open or crossed
 elements are closed as a browser would close them. Each row is worked on alone, so repeated rows get equal
 results; an empty table gives an empty result.
@@ -40,6 +46,7 @@ SILENT_NAMES = frozenset(
     "discussion disqus footer gdpr login masthead menu modal nav navbar navigation notification overlay paginate pagination paywall popup "
     "privacy promo promoted promotion rail recommendations recommended related remark remarks replies reply respond responses share "
     "sharing sidebar signup skip subscribe toolbar topbar trending widget widgets".split())
+NOT_SILENT = frozenset("commentary commentaries commentator commentators".split())
 SILENT_BEGINNINGS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "social", "sponsor")
 #: Names that do so unless the same class names the article too; the second ones only outside an article.
 WEAK_NAMES = frozenset("banner hidden notice notices review reviews search teaser teasers warning".split())
@@ -62,7 +69,7 @@ def _named_silent(attrs: dict[str, str | None], in_article: bool) -> bool:
         parts = [p.lower() for p in NAME_PARTS.findall(name)]
         if parts[:1] and parts[0] in ("has", "with", "no", "without", "js"):
             continue
-        if SILENT_NAMES.intersection(parts) or any(p.startswith(SILENT_BEGINNINGS) for p in parts):
+        if SILENT_NAMES.intersection(parts) or any(p.startswith(SILENT_BEGINNINGS) for p in parts if p not in NOT_SILENT):
             return True
         weak = WEAK_NAMES if in_article else WEAK_NAMES | OUTER_NAMES
         if weak.intersection(parts) and not OWN_NAMES.intersection(parts):
@@ -71,32 +78,57 @@ def _named_silent(attrs: dict[str, str | None], in_article: bool) -> bool:
 
 
 class PageLines(HTMLParser):
-    """Cuts a page into lines: (text, tags, links' characters, enclosing elements), silent elements left out."""
+    """Cuts a page into lines: (text, tags, links' characters, innermost element), surely silent elements left out.
+
+    Elements are numbered from 1 as they open; 0 is the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int]] = []  # (tag, element's number)
-        self.silent: dict[int, bool] = {}  # open silent elements; True where only a name says so
-        self.articles: dict[int, tuple[int, ...]] = {}  # article elements and the articles around each
+        self.count: dict[str, int] = {}  # of open elements by tag
+        self.parent = [0]
+        self.near = [0]  # the article that each element is or lies in
+        self.silent: dict[int, bool] = {}  # open silent elements; True where only a name or a form says so
+        self.sure = 0  # of these, the others
+        self.named: set[int] = set()  # elements that only a name or a form says to be silent
+        self.articles: dict[int, int] = {}  # article elements and the article around each
         self.pieces: set[int] = set()
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.headings: list[int] = []  # elements that are first headings
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = self.links = self.linked = 0  # tags of the line, open links, characters in links
-        self.made = 0
 
     def cut(self) -> None:
         """Ends the line."""
         line = " ".join("".join(self.text).split())
         self.text.clear()
         if line:
-            self.lines.append((line, self.tags, self.linked, tuple(n for _, n in self.open)))
+            self.lines.append((line, self.tags, self.linked, self.open[-1][1] if self.open else 0))
             self.tags = self.linked = 0
 
+    def put(self, tag: str, article: bool = False) -> int:
+        """A new element within the open one."""
+        around = self.open[-1][1] if self.open else 0
+        made = len(self.parent)
+        self.parent.append(around)
+        self.near.append(made if article else self.near[around])
+        self.open.append((tag, made))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        return made
+
     def close_to(self, at: int) -> None:
-        for _, n in self.open[at:]:
-            self.silent.pop(n, None)
+        for tag, n in self.open[at:]:
+            self.count[tag] -= 1
+            self.sure -= self.silent.pop(n, True) is False
         del self.open[at:]
 
+    def hush(self, n: int, by_name: bool) -> None:
+        self.silent[n] = by_name
+        self.sure += not by_name
+        if by_name:
+            self.named.add(n)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag == "br":
@@ -106,12 +138,11 @@ class PageLines(HTMLParser):
             if tag in VOID:
                 return
             self.links += tag == "a"
-            self.made += 1  # an inline element: only its silence counts
-            named = dict(attrs)
+            named = dict(attrs)  # an inline element: only its silence counts
             if named and _named_silent(named, bool(self.articles)):
-                self.open.append((tag, self.made))
-                self.silent[self.made] = True
-                self.pieces.add(self.made)
+                made = self.put(tag)
+                self.hush(made, True)
+                self.pieces.add(made)
             return
         self.cut()
         if tag in BLOCKS:
@@ -123,34 +154,37 @@ class PageLines(HTMLParser):
                     break
         shut, until = CLOSED_BY.get(tag, ((), ()))
         at = None
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in until or not shut:
-                break
-            if self.open[i][0] in shut:
-                at = i
+        if any(self.count.get(t) for t in shut):
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in until:
+                    break
+                if self.open[i][0] in shut:
+                    at = i
         if at is not None:
             self.close_to(at)
         if tag in VOID:
             return
-        if tag == "body":  # what the head has left open ends here
-            self.close_to(next((i for i, (t, _) in enumerate(self.open) if t == "head"), len(self.open)))
-        self.made += 1
+        if tag == "body" and self.count.get("head"):  # what the head has left open ends here
+            self.close_to(next(i for i, (t, _) in enumerate(self.open) if t == "head"))
         named = dict(attrs)
         article = tag in ARTICLES or (named.get("role") or "").lower() in ("main", "article") or "articlebody" in (named.get("itemprop") or "").lower()
-        inside = any(n in self.articles for _, n in self.open)
-        quiet = tag in SILENT or tag == "header" and not inside
-        if not quiet and tag not in ("html", "body", "main") and _named_silent(named, inside):
-            self.silent[self.made] = True
-        elif quiet:
-            self.silent[self.made] = False
-        elif article:
-            for n in [n for n, by_name in self.silent.items() if by_name]:  # a wrapper, after all
+        around = self.near[self.open[-1][1]] if self.open else 0
+        by_name = tag == "form" or tag not in SILENT and tag not in ("html", "body", "main") and _named_silent(named, bool(around))
+        quiet = tag in SILENT and tag != "form" or tag == "header" and not around
+        made = len(self.parent)
+        if article and not quiet and not by_name:
+            for n in [n for n, only_named in self.silent.items() if only_named]:  # a wrapper, after all
                 del self.silent[n]
-            if not self.silent:
-                self.articles[self.made] = tuple(n for _, n in self.open if n in self.articles)
+                self.named.discard(n)
+            if not self.sure:
+                self.articles[made] = around
+        self.put(tag, made in self.articles)
+        if quiet or by_name:
+            self.hush(made, not quiet)
         if tag in PIECES:
-            self.pieces.add(self.made)
-        self.open.append((tag, self.made))
+            self.pieces.add(made)
+        if tag == "h1" and not self.sure:
+            self.headings.append(made)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -163,13 +197,15 @@ class PageLines(HTMLParser):
             self.links -= 1
         if tag in BLOCKS or tag in SILENT:
             self.cut()
+        if not self.count.get(tag):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self.close_to(i)
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.silent:
+        if not self.sure:
             self.text.append(data)
             self.linked += len(data.strip()) if self.links else 0
 
@@ -196,43 +232,94 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
+def readable(parser: PageLines, region_share: float, sentence: int) -> list[tuple[str, int, int, int]]:
+    """The lines without those in elements that a name or a form silences, and with those of which it was no good sign.
+
+    The tags of lines left out count for the next one.
+    """
+    parent, lifted = parser.parent, set[int]()
+    weights = [len(text) if len(text) >= sentence and 2 * linked <= len(text) else 0 for text, _, linked, _ in parser.lines]
+    held = [0] * len(parent)
+    for weight, (_, _, _, n) in zip(weights, parser.lines):
+        held[n] += weight
+    for n in range(len(parent) - 1, 0, -1):  # an element is numbered before those in it
+        held[parent[n]] += held[n]
+    while True:
+        silenced = [0] * len(parent)  # the outermost silent element around each
+        for n in range(1, len(parent)):
+            silenced[n] = silenced[parent[n]] or (n if n in parser.named and n not in lifted else 0)
+        outermost = {silenced[n] for _, _, _, n in parser.lines} - {0}
+        most = max(outermost, key=lambda n: (held[n], -n), default=0)
+        whole = most and held[most] >= region_share * held[0] and any(silenced[h] == most for h in parser.headings)
+        kept = held[0] > sum(held[n] for n in outermost)
+        if not most or not held[most] or kept and (parser.articles or not whole):
+            break
+        # With it, silent elements that are wrappers within the wrapper.
+        lifted |= {n for n in parser.named if silenced[n] == most and held[n] >= region_share * held[most]}
+    lines, carried = [], 0
+    for text, tags, linked, n in parser.lines:
+        if silenced[n]:
+            carried += tags
+        else:
+            lines.append((text, tags + carried, linked, n))
+            carried = 0
+    return lines
+
+
 def main_text(page: str, sigma: float = 1.0, region_share: float = 0.8, article_share: float = 0.2, sentence: int = 80) -> str:
     """The page's article, its lines joined by a line break."""
     parser = PageLines()
     parser.feed(page)
     parser.close()
     parser.cut()
-    lines = parser.lines
+    lines = readable(parser, region_share, sentence)
     if not lines:
         return ""
+    parent, articles = parser.parent, parser.articles
     ratios = smooth(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines], float), sigma)
     cut = threshold(ratios)
-    mass: dict[int, int] = {}
-    for (text, _, _, around), ratio in zip(lines, ratios):
-        weight = len(text) if ratio >= min(cut, ratios.max()) else 0
-        for n in around:
-            mass[n] = mass.get(n, 0) + weight
-    held = {n: mass.get(n, 0) for n in parser.articles if n in mass}
+    mass, met = [0] * len(parent), [False] * len(parent)
+    for (text, _, _, n), ratio in zip(lines, ratios):
+        mass[n] += len(text) if ratio >= min(cut, ratios.max()) else 0
+        met[n] = True
+    for n in range(len(parent) - 1, 0, -1):
+        mass[parent[n]] += mass[n]
+        met[parent[n]] |= met[n]
+    held = {n: mass[n] for n in articles if met[n]}
     outer: set[int] = set()
     if held and max(held.values()) > 0:
         # An article within main is the finer region; teasers hold little next to the largest. Of main, what no article has.
-        coarse = {n for k, m in held.items() for n in parser.articles[k] if m >= region_share * held.get(n, 0)}
+        finest: dict[int, int] = {}  # the most that an article within each holds
+        for n in sorted(held, reverse=True):
+            if articles[n]:
+                finest[articles[n]] = max(finest.get(articles[n], 0), held[n], finest.get(n, 0))
+        coarse = {n for n, m in finest.items() if m >= region_share * held.get(n, 0)}
         inner = {n: m for n, m in held.items() if n not in coarse}
         least = article_share * max(inner.values())
         chosen = {n for n, m in inner.items() if m >= least}
-        outer = {n for k in chosen for n in parser.articles[k]} & coarse
+        wider: set[int] = set()
+        for n in chosen:
+            while (n := articles[n]) and n not in wider:
+                wider.add(n)
+        outer = wider & coarse
     elif held:
         chosen = set(held)
     else:
         # Next to a very long paragraph, a line of a sentence's length is text still.
-        upper = [set(around) for (text, _, linked, around), ratio in zip(lines, ratios)
-                 if ratio >= min(cut, ratios.max()) or len(text) >= sentence and 2 * linked <= len(text)]
-        whole = set.intersection(*upper) - parser.pieces
-        chosen = {max(whole)} if whole else set()  # elements are numbered as they open: the last is the deepest
+        upper = [0] * len(parent)
+        for (text, _, linked, n), ratio in zip(lines, ratios):
+            upper[n] += bool(ratio >= min(cut, ratios.max()) or len(text) >= sentence and 2 * linked <= len(text))
+        for n in range(len(parent) - 1, 0, -1):
+            upper[parent[n]] += upper[n]
+        # Elements are numbered as they open: of those around all of it the last is the deepest.
+        chosen = {max((n for n in range(1, len(parent)) if upper[n] == upper[0] and n not in parser.pieces), default=0)} - {0}
+    within = [False] * len(parent)
+    for n in range(1, len(parent)):
+        within[n] = n in chosen or within[parent[n]]
     kept = []
-    for (text, _, linked, around), ratio in zip(lines, ratios):
-        inside = not chosen or not chosen.isdisjoint(around)
-        if inside or outer and next((n for n in reversed(around) if n in parser.articles), None) in outer:
+    for (text, _, linked, n), ratio in zip(lines, ratios):
+        inside = not chosen or within[n]
+        if inside or parser.near[n] in outer:
             # Lists of links before and behind the text, where it is in no article, are menus.
             kept.append((text, (not held or not inside) and ratio < cut and 2 * linked > len(text)))
     menu = [m for _, m in kept]

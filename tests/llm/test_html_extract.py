@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -88,3 +89,51 @@ def test_sections_of_unequal_length(share):
     assert main_text(page).split("\n") == [LONG * share, LONG]
     page = f"<body><div id=content><div class=part1>{blocks(share * 2)}</div><div class=part2>{blocks(2)}</div></div>"
     assert main_text(page).split("\n") == lines(share * 2) + lines(2)
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='article-content share-enabled'><h1>Head</h1>{blocks(4)}</div>",
+    f"<nav><a href=1>Home</a></nav><div class='layout-sidebar-right'><h1>Head</h1>{blocks(4)}<div class='ad'>{LONG}</div></div><footer>{LONG}</footer>",
+    f"<div id='content' class='post related-off'><h1>Head</h1>{blocks(4)}<div class=related>{LONG}</div></div>",
+    f"<form id='aspnetForm'><input type=hidden><div id=page><h1>Head</h1>{blocks(4)}</div><select><option>{LONG}</option></select></form>",
+    f"<form id='aspnetForm'><article><h1>Head</h1>{blocks(4)}</article></form>",
+    f"<div class=alerts><div class=promo><h1>Head</h1>{blocks(4)}</div></div>",
+])
+def test_a_name_around_everything_silences_nothing(page):
+    text = main_text(page).split("\n")
+    assert text == ["Head", *lines(4)]
+
+
+def test_a_wrapper_with_the_heading_and_nearly_all_of_the_text():
+    page = f"<p>{LONG}</p><div class='layout-sidebar-right'><h1>Head</h1>{blocks(20)}</div>"
+    assert main_text(page).split("\n")[-21:] == ["Head", *lines(20)]
+    # Long comments and a long sidebar have no heading of the page.
+    page = f"<div id=content><h1>Head</h1>{blocks(3)}</div><div class=comments>{blocks(40)}</div><div class=sidebar>{blocks(40)}</div>"
+    assert main_text(page).split("\n") == ["Head", *lines(3)]
+    page = f"<article><h1>Head</h1>{blocks(1)}</article><div class=sidebar><h1>More</h1>{blocks(40)}</div>"
+    assert main_text(page).split("\n") == ["Head", *lines(1)]
+
+
+def test_commentary_is_no_comment():
+    page = f"<div id=content><h1>Head</h1>{blocks(2)}<div class='commentary'><p>{LONG} Said.</p></div><div class='commentbox'><p>{LONG}</p></div></div>"
+    assert main_text(page).split("\n") == ["Head", *lines(2), f"{LONG} Said."]
+
+
+@pytest.mark.parametrize("named", ["div", "section"])
+def test_given_pages_without_their_article_element(spark, named):
+    """What names the article is taken away: the ratios and the region alone must tell it."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    same = sum(main_text(re.sub("<(/?)(article|main)>", rf"<\1{named}>", r.html)) == main_text(r.html) for r in pages)
+    assert same == len(pages)
+
+
+@pytest.mark.parametrize("part", ["<div>some text here ", "<p>x</p></b></i></q><div>", "<article>some text ", "<div class=ad>some text ", f"<div class=ad><h1>{LONG}</h1>", "<li>a<div>b", "<td>a<div>b<dd>"])
+def test_deep_markup_takes_linear_time(part):
+    def seconds(n):
+        start = time.perf_counter()
+        main_text(part * n)
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(5_000), seconds(50_000)
+    assert many < 40 * few + 1
