@@ -41,12 +41,13 @@ def _offsets(counts: DataFrame) -> DataFrame:
 
 
 def place_rows(
-    docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = 8 << 20, oversize: int = 4,
+    docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = 8 << 20, oversize: int = 4, task_bytes: int = 32 << 20,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``docs`` in shuffled order, with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
 
-    Buckets beyond ``oversize`` times ``bucket_bytes`` are split.
+    Buckets beyond ``oversize`` times ``bucket_bytes`` are split. A task is given about ``task_bytes`` of them, whatever the
+    size of the input.
     """
     size = F.coalesce(F.octet_length(docs[text]), F.lit(0)).cast("long") + RECORD_BYTES
     total = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
@@ -71,7 +72,7 @@ def place_rows(
 
     filled = (
         rows.select("cell", F.struct("draw", "row").alias("record"))
-        .repartition("cell")
+        .repartition(max(-(-total["bytes"] // task_bytes), docs.sparkSession.sparkContext.defaultParallelism), "cell")
         .groupBy("cell").agg(F.array_sort(F.collect_list("record")).alias("records"))
         .join(_offsets(counts), "cell")
         # The draws of shuffle() go on from row to row, so a fixed order of cells makes a run repeatable.
