@@ -62,18 +62,22 @@ def place_rows(
     parts = F.ceil(F.col("bytes") / bucket_bytes)
     large = counts.filter((F.col("bytes") > oversize * bucket_bytes) & (F.col("n") > 1)).select("bucket", parts.alias("parts"))
     most = large.agg(F.max("parts")).first()[0]
+    # Tasks are dealt their cells in turn: by a hash some would get many.
+    tasks = max(-(-total["bytes"] // task_bytes), docs.sparkSession.sparkContext.defaultParallelism)
     # A cell is a bucket, or a part of one.
     if most is None:
-        rows, counts = rows.withColumnRenamed("bucket", "cell"), counts.select(F.col("bucket").alias("cell"), "n")
+        rows = rows.withColumn("task", F.pmod("bucket", F.lit(tasks))).withColumnRenamed("bucket", "cell")
+        counts = counts.select(F.col("bucket").alias("cell"), "n")
     else:
         part = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), "at"), "parts"), F.lit(0))
         rows = rows.join(large, "bucket", "left").withColumn("cell", F.col("bucket") * most + part)
+        rows = rows.withColumn("task", F.pmod(F.col("bucket") + part, F.lit(tasks)))
         counts = settle(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cell-counts")
 
     filled = (
-        rows.select("cell", F.struct("draw", "row").alias("record"))
-        .repartition(max(-(-total["bytes"] // task_bytes), docs.sparkSession.sparkContext.defaultParallelism), "cell")
-        .groupBy("cell").agg(F.array_sort(F.collect_list("record")).alias("records"))
+        rows.select(F.col("task").cast("int").alias("task"), "cell", F.struct("draw", "row").alias("record"))
+        .repartitionById(tasks, "task")
+        .groupBy("task", "cell").agg(F.array_sort(F.collect_list("record")).alias("records"))
         .join(_offsets(counts), "cell")
         # The draws of shuffle() go on from row to row, so a fixed order of cells makes a run repeatable.
         .sortWithinPartitions("cell")
