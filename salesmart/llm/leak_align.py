@@ -16,9 +16,9 @@ Items come to the executors in blocks of bounded size, one pass a block, so the
 are not shuffled; counts are combined in each task before they travel.
 
 Words are lowered and cut at ASCII white space and punctuation. Defined results: null and empty texts and items
-leak nothing; items of fewer than ``least_words`` words are no evidence and match nothing; longer ones than
-``window`` words are cut into equal windows, any of which may match; repeated rows each have their
-own result; empty tables give empty results.
+leak nothing; items of fewer than ``least_words`` words, of which a half proves nothing, match whole copies only, found by
+one hash of all their words; longer ones, however long, are aligned as a whole; texts have any length; repeated
+rows each have their own result; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -46,9 +46,9 @@ class Settings:
     """Parameters of the search, see the module."""
 
     least_score: float = 0.5
-    least_words: int = 8
-    window: int = 400
+    least_words: int = 8  # shorter items are matched exactly
     hits: int = 3  # seeds that an alignment must hit, if it has as many; changes the work, not the result
+    words_a_hit: int = 16  # a longer item asks for a hit for so many of its words; likewise
     rare_share: float = 1e-7  # places of pairs with this share of the corpus's are seeds too; likewise
 
     def __post_init__(self) -> None:
@@ -58,25 +58,26 @@ class Settings:
 
 @dataclass
 class Items:
-    """Windows of test items: the item of each, its words, and all pairs with their windows and places."""
+    """Test items to align: the row of each, its words, and all pairs with their places; and short items."""
 
     ids: list
     item: np.ndarray
     words: list[np.ndarray]
     pairs: np.ndarray  # sorted, distinct
-    places: list[np.ndarray]  # of each window: index into pairs at each place, of the next word and the next but one (or -1)
+    places: list[np.ndarray]  # of each item: index into pairs at each place, of the next word and the next but one (or -1)
+    short: dict[int, dict[int, list[int]]]  # by the number of words and the hash of all of them: rows
 
 
 @dataclass
 class Seeds:
-    """Pairs to look for, with their windows: those of pair i are ``window[first[i]:first[i + 1]]``.
+    """Pairs to look for, with their items: those of pair i are ``owner[first[i]:first[i + 1]]``.
 
-    Of each window: how many hits an alignment has at least, within how many words.
+    Of each item: how many hits an alignment has at least, within how many words.
     """
 
     pairs: np.ndarray
     first: np.ndarray
-    window: np.ndarray
+    owner: np.ndarray
     needed: np.ndarray
     reach: np.ndarray
 
@@ -89,20 +90,21 @@ def items_of(rows: list[tuple], settings: Settings) -> Items:
     """Index of rows that begin with (id, text)."""
     texts = _lower(pa.array([r[1] for r in rows], pa.large_string()))
     owner, words, hashes = [], [], []
+    short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
     for low, high, found in word_hash.chunks(texts, TABLE):
         for i in range(low, high):
             own = found.hashes[found.first[i - low]:found.first[i - low + 1]]
-            if len(own) < settings.least_words:
-                continue
-            for part in np.array_split(own, -(-len(own) // settings.window)):
+            if len(own) >= settings.least_words:
                 owner.append(i)
-                words.append(part)
-                hashes.append(np.stack([pair_hashes(part, 1), np.append(pair_hashes(part, 2), np.uint64(0))]))
+                words.append(own)
+                hashes.append(np.stack([pair_hashes(own, 1), np.append(pair_hashes(own, 2), np.uint64(0))]))
+            elif len(own):
+                short[len(own)][int(run_hashes(own, len(own))[0])].append(i)
     pairs = np.unique(np.concatenate([np.concatenate([near, far[:-1]]) for near, far in hashes])) if hashes else np.zeros(0, np.uint64)
     places = [np.searchsorted(pairs, h) for h in hashes]
     for p in places:
         p[1, -1] = -1
-    return Items([r[0] for r in rows], np.array(owner, np.int64), words, pairs, places)
+    return Items([r[0] for r in rows], np.array(owner, np.int64), words, pairs, places, {n: dict(found) for n, found in short.items()})
 
 
 def pair_hashes(words: np.ndarray, apart: int) -> np.ndarray:
@@ -110,6 +112,14 @@ def pair_hashes(words: np.ndarray, apart: int) -> np.ndarray:
     return word_hash.mix(words[:-apart] * np.uint64(word_hash.BASE) + words[apart:])
 
 
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each ``n`` words in a row."""
+    runs = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+    for k in range(n):
+        runs = runs * np.uint64(word_hash.BASE) + words[k:k + len(runs)]
+    return word_hash.mix(runs)
+
+
 def pairs_in(words: word_hash.Words, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(first word, its text, index in the set) of the known pairs in texts, and how many pairs these have."""
     text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
@@ -145,6 +155,8 @@ class Lookup:
 def pair_counts(docs: DataFrame, items: Items, text: str = "text") -> tuple[np.ndarray, int]:
     """How often each pair of the items occurs in the corpus, and how many pairs that has."""
     known = items.pairs
+    if not len(known):
+        return np.zeros(0, np.int64), 0
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, total = Lookup(known), np.zeros(len(known) + 1, np.int64)
@@ -164,9 +176,9 @@ def pair_counts(docs: DataFrame, items: Items, text: str = "text") -> tuple[np.n
 
 
 def seeds_of(items: Items, counts: np.ndarray, total: int, settings: Settings) -> Seeds:
-    """The rarest places of each window, as many as it takes to be hit ``settings.hits`` times, and other rare ones."""
+    """The rarest places of each item, as many as it takes to be hit as often as the settings ask, and other rare ones."""
     counts = np.append(counts, 0)  # for the last place, which has one pair
-    pairs, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    pairs, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     needed, reach = [], []
     for w, (word, places) in enumerate(zip(items.words, items.places)):
         m = len(word)
@@ -174,16 +186,17 @@ def seeds_of(items: Items, counts: np.ndarray, total: int, settings: Settings) -
         missed = m - 1 - steps
         often = counts[places].sum(0)
         chosen = often <= settings.rare_share * total
-        chosen[np.argsort(often, kind="stable")[:missed + max(1, min(settings.hits, steps))]] = True
+        hits = max(settings.hits, m // settings.words_a_hit)
+        chosen[np.argsort(often, kind="stable")[:missed + max(1, min(hits, steps))]] = True
         own = np.unique(places[:, chosen])
         pairs.append(own[own >= 0])
-        windows.append(np.full(len(pairs[-1]), w))
+        owners.append(np.full(len(pairs[-1]), w))
         needed.append(int(chosen.sum()) - missed)
         reach.append(math.floor((3 - 2 * settings.least_score) * m + 1e-9))
-    pair, window = np.concatenate(pairs), np.concatenate(windows)
+    pair, owner = np.concatenate(pairs), np.concatenate(owners)
     order = np.argsort(pair, kind="stable")
     known, first = np.unique(pair[order], return_index=True)
-    return Seeds(items.pairs[known], np.append(first, len(pair)), window[order], np.array(needed, np.int64), np.array(reach, np.int64))
+    return Seeds(items.pairs[known], np.append(first, len(pair)), owner[order], np.array(needed, np.int64), np.array(reach, np.int64))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -205,7 +218,7 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 
 
 def regions(words: word_hash.Words, seeds: Seeds, lookup: Lookup, most: int = 1 << 22) -> Iterator[tuple[int, int, int, int]]:
-    """(text, window, start, end) of the words in which an alignment can lie; about ``most`` hits are held at a time."""
+    """(text, item, start, end) of the words in which an alignment can lie; about ``most`` hits are held at a time."""
     place, text, known, _ = pairs_in(words, lookup)
     order = np.argsort(place, kind="stable")
     place, text, known = place[order], text[order], known[order]
@@ -216,7 +229,7 @@ def regions(words: word_hash.Words, seeds: Seeds, lookup: Lookup, most: int = 1
     for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(part)) + 1):
         size = n[own]
         held = np.repeat(seeds.first[known[own]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        w, at = seeds.window[held], np.repeat(place[own], size)
+        w, at = seeds.owner[held], np.repeat(place[own], size)
         order = np.lexsort((at, w))
         w, at = w[order], at[order]
         once = np.ones(len(w), bool)
@@ -235,9 +248,27 @@ def regions(words: word_hash.Words, seeds: Seeds, lookup: Lookup, most: int = 1
         yield from zip(doc[new].tolist(), w[new].tolist(), start[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist())
 
 
-def _texts(words: word_hash.Words, items: Items, seeds: Seeds, lookup: Lookup, settings: Settings) -> dict[int, list[dict]]:
+def whole_copies(words: word_hash.Words, items: Items, lookups: dict[int, Lookup]) -> Iterator[tuple[int, int, int, int]]:
+    """(text, row of the item, first word, word after the last) of the short items in texts, each text's first copy of them."""
+    for n, lookup in lookups.items():
+        place, known = lookup.find(run_hashes(words.hashes, n))
+        doc = np.searchsorted(words.first, place, "right") - 1
+        inside = place + n <= words.first[doc + 1]
+        place, known, doc = place[inside], known[inside], doc[inside]
+        _, first = np.unique(np.stack([doc, known]), axis=1, return_index=True)
+        for i in first.tolist():
+            at = int(place[i] - words.first[doc[i]])
+            for row in items.short[n][int(lookup.known[known[i]])]:
+                yield int(doc[i]), row, at, at + n
+
+
+def _texts(
+    words: word_hash.Words, items: Items, seeds: Seeds, lookup: Lookup, short: dict[int, Lookup], settings: Settings,
+) -> dict[int, list[dict]]:
     """Leaks of each text that has any."""
     best: dict[int, dict[int, tuple[float, int, int]]] = defaultdict(dict)
+    for doc, row, start, end in whole_copies(words, items, short):
+        best[doc][row] = (1.0, start, end)
     for doc, w, start, stop in regions(words, seeds, lookup):
         word, region = items.words[w], words.hashes[start:stop]
         # No alignment scores more than the item's words that occur here at all.
@@ -260,10 +291,11 @@ def leaks(text: Column, items: Items, seeds: Seeds, settings: Settings) -> Colum
     @F.arrow_udf(FOUND_DDL)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lookup = Lookup(seeds.pairs)
+        short = {n: Lookup(np.array(sorted(found), np.uint64)) for n, found in items.short.items()}
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(len(batch))]
             for row, _, words in word_hash.chunks(_lower(batch), TABLE):
-                for doc, own in _texts(words, items, seeds, lookup, settings).items():
+                for doc, own in _texts(words, items, seeds, lookup, short, settings).items():
                     found[row + doc] = own
             yield pa.array(found, kind)
 
@@ -286,7 +318,7 @@ def _searches(
 ) -> Iterator[tuple[Items, list[int], Column]]:
     for rows in blocks(benchmark, block_bytes, item_id, "text"):
         items = items_of(rows, settings)
-        if items.words:
+        if items.words or items.short:
             seeds = seeds_of(items, *pair_counts(docs, items, text), settings)
             yield items, [n for *_, n in rows], leaks(docs[text], items, seeds, settings)
 

@@ -122,7 +122,7 @@ def test_nulls_short_and_long_texts_repeats_and_clashing_columns(spark):
     r = random.Random(5)
     long_item, item = prose(1500, r), prose(25, r)
     long_text = prose(60_000, r) + " " + item + " " + prose(1000, r)
-    rows = [(None, None), (1, ""), (None, item), (2, item), (2, item), (3, long_text), (4, prose(100, r) + " " + long_item), (5, "one two three")]
+    rows = [(None, None), (1, ""), (None, item), (2, item), (2, item), (3, long_text), (4, prose(100, r) + " " + long_item), (5, "one two 3 three")]
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, item int, leak int")
     bench = spark.createDataFrame([("a", item), ("b", long_item), ("c", None), ("d", "one two three"), (None, item)], "item_id string, text string")
     got = sorted((str(r.doc_id), str(r.item_id)) for r in la.find_leaks(docs, bench).collect())
@@ -175,3 +175,34 @@ def test_repeated_items_are_searched_once_and_have_a_row_each(spark):
     found = sorted((x.doc_id, x.item_id) for x in la.find_leaks(docs, bench, block_bytes=1000).collect())
     assert found == [(1, 1)] * 300 + [(2, 2)] * 2
     assert la.drop_leaking(docs, bench).count() == 0
+
+
+def test_items_of_any_length_equal_brute_force(spark):
+    r = random.Random(8)
+    items = [prose(m, r) for m in (1, 2, 5, 7, 8, 59, 390, 401, 801, 2000)]
+    items[0] = "Sesquipedalian"
+    docs = []
+    for item in items:
+        own = item.split()
+        for share in (0.2, 0.45, 0.52, 0.8, 1.0):  # of the item, in a row
+            docs.append(" ".join([prose(40, r), *own[:round(share * len(own))], prose(40, r)]))
+        docs.append(prose(9, r) + "\n" + edit(item, 0.2, r))
+    scores = {(i, k): la.align(*(np.array([hash(w) & 0xFFFFFFFF for w in words(t)]) for t in (item, d)))[0] / (2 * len(words(item)))
+              for i, d in enumerate(docs) for k, item in enumerate(items)}
+    want = {p: s for p, s in scores.items() if s >= (1 if len(words(items[p[1]])) < S.least_words else S.least_score)}
+    rows = la.find_leaks(*frames(spark, docs, items)).collect()
+    assert {(x.doc_id, x.item_id): x.score for x in rows} == pytest.approx(want)
+    assert {k for _, k in want} == set(range(len(items)))
+    for x in rows:
+        if x.item_id < 4:
+            assert words(docs[x.doc_id])[x.first_word:x.last_word + 1] == words(items[x.item_id])
+    assert la.drop_leaking(*frames(spark, docs, items)).count() == len(docs) - len({i for i, _ in want})
+
+
+def test_short_items_end_with_the_text_and_repeat(spark):
+    docs = ["What is the capital of France", "what is the capital of", "france? what is the capital of", "of france what is the CAPITAL of france, what is the capital of france", None, ""]
+    items = ["what is the capital of France?", "of france", "What is the capital of france", "", None, "?!"]
+    docs, bench = frames(spark, docs, items)
+    got = sorted((x.doc_id, x.item_id, x.score, x.first_word, x.last_word) for x in la.find_leaks(docs, bench).collect())
+    assert got == [(0, 0, 1.0, 0, 5), (0, 1, 1.0, 4, 5), (0, 2, 1.0, 0, 5), (3, 0, 1.0, 2, 7), (3, 1, 1.0, 0, 1), (3, 2, 1.0, 2, 7)]
+    assert sorted(x.doc_id for x in la.drop_leaking(docs, bench).collect()) == [1, 2, 4, 5]
