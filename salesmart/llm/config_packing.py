@@ -5,7 +5,8 @@ covers all pieces with the least configurations: each round prices lengths by ho
 best configuration for these prices by dynamic programming (a knapsack), adds as many copies as its scarcest
 length allows, and lowers the prices of what it covers. Long pieces are priced in classes of near lengths. Copies are rounded
 down and made exact, length by length; what is left, and all short pieces, go where they fit best, into
-gaps first and into new sequences then.
+gaps first and into new sequences then. The program is rounded at several shares of its copies, down to none, which
+is best fit alone, and the plan with the fewest sequences is kept: it never needs more than best fit.
 
 The driver sees the histogram alone: at most as many rows as a sequence has tokens, whatever the size of the input,
 and its plan is bounded by that and the number of rounds. A piece finds its place in the plan by its length
@@ -202,18 +203,22 @@ def _batch(rows: list[tuple], kind: pa.DataType, ids: bool) -> pa.RecordBatch:
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
     """How often each size is taken, at the greatest value that fits; sizes may repeat."""
-    best, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    order = np.argsort(sizes, kind="stable")
-    small = sizes[order]
-    worth = values[order]
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        n = np.searchsorted(small, room, "right")
-        if n:
-            got = best[room - small[:n]] + worth[:n]
-            top = int(got.argmax())
-            if got[top] > best[room]:
-                best[room], taken[room] = got[top], order[top]
+    low, top = int(sizes.min()), int(sizes.max())
+    worth, which = np.full(top + 1, -np.inf), np.full(top + 1, -1)  # of each size the most valuable
+    order = np.argsort(values, kind="stable")
+    worth[sizes[order]], which[sizes[order]] = values[order], order
+    worth, span = worth[low:], top - low + 1
+    back = np.zeros(capacity + 1)  # best[room], the greatest room first
+    taken = [-1] * (capacity + 1)
+    last = 0.0
+    for room in range(low, capacity + 1):
+        at = capacity - room
+        got = back[at + low:at + low + span] + worth[:room - low + 1]
+        k = int(got.argmax())
+        if got[k] > last:
+            last = float(got[k])
+            taken[room] = int(which[low + k])
+        back[at] = last
     counts, room = np.zeros(len(sizes), np.int64), capacity
     while room > 0:
         if taken[room] < 0:
@@ -224,14 +229,18 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray
     return counts
 
 
-def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 400, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+def configurations(
+    sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 400, rate: float = 0.5, near: float = 0.002,
+) -> tuple[np.ndarray, np.ndarray]:
     """(configurations, copies) that cover the counts, fractional, by multiplicative weights.
 
-    Prices start in proportion to the sizes.
+    Prices start in proportion to the sizes. Rounds end early where no solution could be better by a share of ``near``.
     """
+    least = max(sizes @ counts / capacity, counts[2 * sizes > capacity].sum())
     price = sizes / capacity
     cover = np.zeros(len(sizes))
     found: dict[tuple, float] = defaultdict(float)
+    total = 0.0
     for _ in range(rounds):
         taken = knapsack(sizes, price, capacity)
         used = taken > 0
@@ -241,6 +250,9 @@ def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds:
         share = taken * step / counts
         cover += share
         found[tuple(taken)] += step
+        total += step
+        if cover.min() > 0 and total / cover.min() <= (1 + near) * least:
+            break
         # A length's price tells how far its cover lags behind: lowered by what it got, relative to the sizes.
         price = price * np.exp(-rate * share)
         price /= (price * capacity / sizes).max()
@@ -257,35 +269,53 @@ class Pattern:
     room: int
 
 
-def plan(histogram: dict[int, int], capacity: int, classes: int = 1024, short: int = 16, units: int = 2048) -> list[Pattern]:
-    """Patterns that hold every piece of the histogram {length: pieces}.
+def plan(
+    histogram: dict[int, int], capacity: int, classes: int = 1024, short: int = 16, units: int = 1024, shares: tuple[float, ...] = (1.0, 0.5, 0.0),
+) -> list[Pattern]:
+    """Patterns that hold every piece of the histogram {length: pieces}, the fewest of those that ``shares`` of the program give.
 
     Lengths from ``capacity / short`` on are grouped into ``classes`` for the program, which counts in ``units`` to a
     sequence, or in tokens if a sequence has fewer.
     """
-    unit = max(1, capacity // units)
+    unit = -(-capacity // units)
     left = {n: c for n, c in histogram.items() if c > 0}
-    long = np.array(sorted(n for n in left if n >= max(1, capacity // short) and n < capacity), np.int64)
-    patterns = []
-    if capacity in left:
-        patterns.append(Pattern(left.pop(capacity), {capacity: 1}, 0))
-    if len(long):
-        amount = np.array([left[n] for n in long])
-        group = np.minimum((np.cumsum(amount) - amount) * classes // amount.sum(), classes - 1)
-        names = np.unique(group)
-        tops = np.array([long[group == g].max() for g in names])
-        counts = np.array([amount[group == g].sum() for g in names])
-        sizes = -(-tops // unit)
-        table, copies = configurations(sizes, counts, capacity // unit)
-        # Each class hands out its lengths from the longest on, in runs of equal ones.
-        stock = [[[int(n), left[int(n)]] for n in long[group == g]] for g in names]
-        rest = counts.copy()
-        for c in np.argsort(-copies, kind="stable"):
-            used = table[c] > 0
-            whole = int(min(np.floor(copies[c] + 1e-9), (rest[used] // table[c][used]).min()))
-            rest -= table[c] * whole
-            slots = [int(g) for g in np.flatnonzero(used) for _ in range(table[c][g])]
-            patterns += _exact(slots, whole, stock, left, capacity)
+    whole = [Pattern(left.pop(capacity), {capacity: 1}, 0)] if capacity in left else []
+    long = np.array(sorted(n for n in left if n >= max(1, capacity // short)), np.int64)
+    if not len(long):
+        return _fill(whole, left, capacity)
+    amount = np.array([left[n] for n in long])
+    group = np.minimum((np.cumsum(amount) - amount) * classes // amount.sum(), classes - 1)
+    names = np.unique(group)
+    tops = np.array([long[group == g].max() for g in names])
+    counts = np.array([amount[group == g].sum() for g in names])
+    members = [long[group == g].tolist() for g in names]
+    program = configurations(-(-tops // unit), counts, capacity // unit)
+    least = max(-(-sum(n * c for n, c in left.items()) // capacity), sum(c for n, c in left.items() if 2 * n > capacity))
+    best, fewest = [], -1
+    for share in shares:
+        found = _rounded(*program, share, counts, members, dict(left), capacity)
+        needed = sum(p.copies for p in found)
+        if fewest < 0 or needed < fewest:
+            best, fewest = found, needed
+        if fewest == least:
+            break
+    return whole + best
+
+
+def _rounded(
+    table: np.ndarray, copies: np.ndarray, share: float, counts: np.ndarray, members: list[list[int]], left: dict[int, int], capacity: int,
+) -> list[Pattern]:
+    """A share of the program's copies, rounded down and made exact, and the rest where it fits best."""
+    # Each class hands out its lengths from the longest on, in runs of equal ones.
+    stock = [[[n, left[n]] for n in own] for own in members]
+    rest = counts.copy()
+    patterns: list[Pattern] = []
+    for c in np.argsort(-copies, kind="stable"):
+        used = table[c] > 0
+        whole = int(min(np.floor(share * copies[c] + 1e-9), (rest[used] // table[c][used]).min()))
+        rest -= table[c] * whole
+        slots = [int(g) for g in np.flatnonzero(used) for _ in range(table[c][g])]
+        patterns += _exact(slots, whole, stock, left, capacity)
     return _fill(patterns, left, capacity)
 
 

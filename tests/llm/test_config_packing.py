@@ -73,6 +73,22 @@ def test_plan_is_near_the_bound_and_bounded():
         assert len(patterns) < 20_000
 
 
+@pytest.mark.parametrize("capacity", [16, 100, 1024, 5002])
+def test_plan_never_needs_more_than_best_fit(capacity):
+    draw = np.random.default_rng(capacity)
+    for n in (1, 30, 3000):
+        one = Counter(np.clip(draw.lognormal(np.log(capacity / 4), 0.9, n).astype(int) + 1, 1, capacity).tolist())
+        needed = sum(p.copies for p in cp.plan(dict(one), capacity))
+        assert needed <= sum(p.copies for p in cp._fill([], dict(one), capacity))
+
+
+def test_the_program_packs_what_best_fit_does_not():
+    histogram = {44: 60, 24: 60, 22: 60, 21: 120, 35: 40, 30: 40}
+    best_fit = sum(p.copies for p in cp._fill([], dict(histogram), 100))
+    needed = sum(p.copies for p in cp.plan(dict(histogram), 100))
+    assert needed < best_fit and sum(p.copies for p in cp.plan(dict(histogram), 100, shares=(0.0,))) == best_fit
+
+
 def check(rows, capacity):
     by = defaultdict(list)
     for r in rows:
