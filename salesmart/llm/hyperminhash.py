@@ -337,7 +337,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
         if turn < settings.hub_rounds:
             members = settle(_relabel(members, labels), "members")
     named = classes.join(owners, "class")
-    first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Settled, so that the join's two sides are plain shuffles and a component that holds most classes is split.
+    first = settle(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "first-documents")
     known = settle(named.join(first, "component").select("signature", "n_shingles", "component_id"), "named-classes")
     joined = rows.select("doc_id", "text_hash", "n_shingles", "signature").join(known, ["signature", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
