@@ -1,6 +1,8 @@
+import math
 import os
 import random
 
+import numpy as np
 import pytest
 import zstandard
 
@@ -69,3 +71,68 @@ def test_extra_columns_repeats_nulls_and_no_rows(spark):
     assert cq.keep_good(docs).columns == docs.columns
     assert [tuple(r) for r in cq.keep_good(docs).collect()] == rows[:2]
     assert cq.score_documents(docs.limit(0)).collect() == []
+
+
+def plain_limits(texts, limits=cq.Limits()):
+    """(chunk, class): least and greatest ratio, from the distinct texts, in plain Python."""
+    pack = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False).compress
+    logs = {}
+    for text in {t for t in texts if t}:
+        own = text.encode()
+        chunks = [own[i:i + 4096] for i in range(0, len(own), 4096)]
+        bins = {(False, math.floor(4 * math.log2(len(own))), round(500 * math.log(len(own) / len(pack(own)))))} if len(own) >= 128 else set()
+        bins |= {(True, math.floor(4 * math.log2(len(c))), round(500 * math.log(len(c) / len(pack(c)))))
+                 for c in chunks if len(chunks) > 1 and len(c) >= 128}
+        for chunk, length, at in bins:
+            logs.setdefault((chunk, length), []).append(at / 500)
+    out = {}
+    for key, found in logs.items():
+        low, middle, high = np.percentile(found, [25, 50, 75])
+        reach = limits.spread * max((high - low) / 1.349, 0.02) * (1 + 2 / math.sqrt(len(found)))
+        out[key] = math.exp(middle - reach), math.exp(middle + reach)
+    return out
+
+
+def plain_verdict(text, known):
+    """Whether a text passes, in plain Python."""
+    pack = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False).compress
+    own = (text or "").encode()
+
+    def leaves(piece, chunk):
+        ratio = len(piece) / len(pack(piece))
+        least, most = known[chunk, math.floor(4 * math.log2(len(piece)))] if len(piece) >= 128 else (0, math.inf)
+        return not least <= ratio <= most or cq.outside(ratio, len(piece), cq.BANDS)
+
+    chunks = [own[i:i + 4096] for i in range(0, len(own), 4096)]
+    bad = sum(len(c) for c in chunks if leaves(c, len(chunks) > 1))
+    return not brute(text)[-1] and not leaves(own, False) and bad <= 0.4 * len(own)
+
+
+def test_limits_and_verdicts_equal_brute_force(spark):
+    r = random.Random(3)
+    texts = [words(r.choice([60, 90, 200, 500, 900, 1500]), s) for s in range(150)] + [None, "", words(60, 1), words(3000, 2)]
+    texts += [f"{texts[0]} {k}" * 2 for k in range(3)] + [texts[5]] * 400  # copies do not move the limits
+    want = plain_limits(texts)
+    got = cq.usual(frame(spark, texts).repartition(3))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    rows = cq.score_documents(frame(spark, texts)).select("doc_id", "quality.kept").collect()
+    assert {x.doc_id: x.kept for x in rows} == {i: plain_verdict(t, want) for i, t in enumerate(texts)}
+
+
+def test_the_corpus_tells_what_fixed_bands_and_base_rules_do_not(spark):
+    prose = [words(random.Random(s).randint(150, 400), s) for s in range(300)]
+    marks = ["##### ", "$$$$$ ", "%%%%% ", "&&&&& "]
+    junk = ["".join(w + random.Random(s * 1000 + i).choice(marks) for i, w in enumerate(words(170, 1000 + s).split())) for s in range(12)]
+    docs = frame(spark, prose + junk)
+    kept = {x.doc_id for x in cq.keep_good(docs).collect()}
+    assert len(kept & set(range(300))) >= 298 and not kept & set(range(300, 312))
+    # Without the method, or with it far too wide, all of the junk stays.
+    assert not any(brute(t)[-1] for t in junk)
+    assert cq.keep_good(docs, cq.Limits(spread=1000.0)).count() == 312
+
+
+def test_a_column_of_the_same_name_is_replaced(spark):
+    docs = frame(spark, [words(80, 1)]).selectExpr("*", "1 AS quality", "2 AS hash", "3 AS bin", "true AS chunk")
+    row = cq.score_documents(docs).first()
+    assert row.quality.kept and (row.hash, row.bin, row.chunk) == (2, 3, True)
+    assert cq.keep_good(docs).columns == docs.columns
