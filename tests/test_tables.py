@@ -258,3 +258,27 @@ def test_newest_days_come_from_the_newest_partitions(spark, path):
         assert as_set(got) == as_set(rows.where(F.col("day").isin(want)).select(*got.columns))
         seen = got._jdf.queryExecution().executedPlan().toString()
         assert sum(f"2024-{m:02d}-01" in seen.split("PartitionFilters: [")[1].split("], PushedFilters")[0] for m in (1, 2, 3, 5)) == months
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_picking_rows_reads_them_once(spark, path):
+    rows = [("a", 1.5, 1), ("a", 1.5, 2), (None, 0.0, 3), (None, -0.0, 3), (None, None, 3), ("b", None, 4)]
+    df = settle(spark.createDataFrame(rows, "id string, x double, v int"))
+    assert as_list(tables.once(df, ["id"])) == sorted([("a", 1.5, 2), (None, 0.0, 3), (None, None, 3), ("b", None, 4)], key=repr)
+    new = settle(spark.createDataFrame([("a", 9.0, 9), (None, None, 3), (None, 0.0, 4)], df.schema))
+    assert as_list(tables.absent(df, new, ["id"])) == sorted([(None, 0.0, 3), (None, -0.0, 3), ("b", None, 4)], key=repr)
+    assert scans(tables.once(df, ["id"])) == 1 and scans(tables.absent(df, new, ["id"])) == 2
+
+
+def test_upserts_of_settled_rows_make_no_copies(spark, path, monkeypatch):
+    copies = []
+    monkeypatch.setattr(tables, "settle", lambda df, label="x": copies.append(label) or settle(df, label))
+    df = spark.createDataFrame([("a", date(2024, 1, 1), 1), (None, date(2024, 1, 1), 2), ("b", date(2024, 1, 2), 3)], "id string, day date, v int")
+    for _ in range(2):
+        tables.upsert_days(settle(df), path, "day", ["day", "id"], settled=True)
+        assert as_set(spark.read.schema(df.schema).parquet(path).select(*df.columns)) == as_set(df) and not copies
+    tables.upsert_days(df.where("v = 3").withColumn("v", F.lit(4)), path, "day", ["day", "id"])
+    assert as_set(spark.read.schema(df.schema).parquet(path).select("id", "v")) == {("a", 1), (None, 2), ("b", 4)} and copies == ["upsert"]
