@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 from samples import DAY, RUN, as_list, as_set, staging, staging_rows
 
+from salesmart.functions import totals
 from salesmart.operators import quality, star
 from salesmart.operators.incremental import backfill
 from salesmart.operators.quality import QualityError
 from salesmart.operators.transform import daily_summary, transform_sales
 from salesmart.plans import pipelines
 from salesmart.session import settle, shared_folder
-from salesmart.sources import synthetic
+from salesmart.sources import synthetic, tables
 from salesmart.sources.schemas import TRANSACTIONS_RAW
 from salesmart.sources.tables import export_table
 
@@ -194,3 +195,19 @@ def test_loads_leave_no_copies_behind(spark, path):
     assert report.count() >= 1 and summary.count() == 1
     copy = settle(both)  # outside of a load it stays
     assert copy.count() == 30 and len(os.listdir(folder)) == len(kept) + 1
+
+
+def test_a_file_is_parsed_once_and_lines_are_copied_once(spark, path, monkeypatch):
+    copies = []
+    for module in (pipelines, tables, totals, quality):
+        monkeypatch.setattr(module, "settle", lambda df, label="x": copies.append(label) or settle(df, label))
+    os.makedirs(f"{path}/in")
+    with open(f"{path}/in/s_20240115.csv", "w") as f:
+        f.write("order_id,customer_id,product_id,quantity,unit_price,total_amount,order_date\no1,c1,p1,1,5.0,5.0,20240114\no1,c1,p2,1,5.0,5.0,20240115\n")
+    got = pipelines.run_file_etl(spark, f"{path}/in/s_{{ds_nodash}}.csv", f"{path}/etl", "2024-01-15", max_rows=9)
+    assert got.count() == 2 and copies == ["staging", "source"]
+    copies.clear()
+    pipelines.run_datamart(staging(spark), f"{path}/mart", DAY, run_ts=RUN, strict=False, partition_unit="month")
+    first = as_set(spark.read.parquet(f"{path}/mart/sales_cleaned").drop("processed_at"))
+    pipelines.run_datamart(staging(spark), f"{path}/mart", DAY, run_ts=RUN, strict=False, partition_unit="month")
+    assert as_set(spark.read.parquet(f"{path}/mart/sales_cleaned").drop("processed_at")) == first and copies == ["clean", "summary"] * 2
