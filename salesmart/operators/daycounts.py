@@ -21,6 +21,8 @@ DAYS, BITS = "days", "bits"
 MONTH = "store_month"
 #: Size of a sketch: 2 ** 12 registers, a standard error of about 1.6 percent.
 LG_REGISTERS, STANDARD_ERROR = 12, 0.016
+#: Least days of a block, within which windows are united.
+BLOCK_DAYS = 28
 
 
 def day_sketches(rows: DataFrame, day: str, counted: Sequence[str], *totals: Column) -> DataFrame:
@@ -87,15 +89,30 @@ def merged_counts(spark: SparkSession, path: str, period: Column, approximate: S
 
 
 def rolling_counts(spark: SparkSession, path: str, day: str, days: int, exact: Sequence[str]) -> DataFrame:
-    """Exact counts over the ``days`` days up to each stored day."""
+    """Exact counts over the ``days`` days up to each stored day.
+
+    The windows of a block of days are united in one place: a piece travels to the one or two blocks that it counts for, not
+    once for each of its windows.
+    """
     stored = spark.read.parquet(f"{path}/{DAYS}").select(F.col(day).alias("period"))
-    bits = spark.read.parquet(f"{path}/{BITS}").withColumn("ahead", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
-    bits = bits.withColumn("period", F.date_add(F.col(day), F.col("ahead")))
-    return stored.join(_counted(bits, exact), "period", "left").fillna(0, [f"exact_{c}" for c in exact])
+    length, first = F.lit(max(BLOCK_DAYS, days)), F.unix_date(day)
+    last = first + (days - 1)
+    bits = spark.read.parquet(f"{path}/{BITS}").select(
+        "column", "piece", "bits", first.alias("first"), last.alias("last"),
+        F.explode(F.sequence(F.floor(first / length), F.floor(last / length))).alias("block"),
+    ).repartition("block", "column", "piece")
+    inside = F.sequence(F.greatest("first", F.col("block") * length), F.least("last", F.col("block") * length + length - 1))
+    bits = bits.select("block", "column", "piece", "bits", F.explode(inside).alias("period"))
+    pieces = bits.groupBy("block", "period", "column", "piece").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    counted = _sizes(pieces, exact).withColumn("period", F.date_from_unix_date(F.col("period").cast("int")))
+    return stored.join(counted, "period", "left").fillna(0, [f"exact_{c}" for c in exact])
 
 
 def _counted(bits: DataFrame, exact: Sequence[str]) -> DataFrame:
     """The sizes of the united sets of each period: pieces are united first, and hold different numbers."""
-    pieces = bits.groupBy("period", "column", "piece").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    return _sizes(bits.groupBy("period", "column", "piece").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n")), exact)
+
+
+def _sizes(pieces: DataFrame, exact: Sequence[str]) -> DataFrame:
     sizes = [F.sum(F.when(F.col("column") == c, F.col("n"))).alias(f"exact_{c}") for c in exact]
     return pieces.groupBy("period").agg(*sizes)

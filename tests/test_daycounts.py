@@ -63,3 +63,18 @@ def test_numbers_below_zero_fail(spark):
     with pytest.raises(Exception, match="below zero: -1"):
         daycounts.day_bits(spark.sql("select date'2024-01-01' as day, -1L as person"), "day", ["person"]).collect()
     assert daycounts.day_bits(spark.sql("select date'2024-01-01' as day, cast(null as long) as person"), "day", ["person"]).isEmpty()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_are_made_after_pieces_have_moved(spark, path):
+    rows = visits(spark, 600).unionByName(spark.sql("select date'1969-12-29' as day, 7L as person, null as item"))
+    daycounts.store_days(rows, path, "day", [], ["person", "item"], total())
+    for days in (1, 7, 45):
+        got = daycounts.rolling_counts(spark, path, "day", days, ["person", "item"])
+        near = rows.select(F.col("day").alias("period")).distinct().join(rows, F.col("day").between(F.date_sub("period", days - 1), F.col("period")))
+        assert as_set(got) == as_set(near.groupBy("period").agg(F.count_distinct("person"), F.count_distinct("item")))
+    united = plan(got).split("bitmap_or_agg")[-1]  # from the innermost aggregate down
+    assert united.index("explode") < united.index("Exchange hashpartitioning(block")
