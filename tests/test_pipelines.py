@@ -11,8 +11,8 @@ from salesmart.operators import quality, star
 from salesmart.operators.incremental import backfill
 from salesmart.operators.quality import QualityError
 from salesmart.operators.transform import daily_summary, transform_sales
-from salesmart.plans import pipelines
-from salesmart.session import settle, shared_folder
+from salesmart.plans import driver_queries, pipelines
+from salesmart.session import scratch_path, settle, shared_folder
 from salesmart.sources import synthetic, tables
 from salesmart.sources.schemas import TRANSACTIONS_RAW
 from salesmart.sources.tables import export_table
@@ -211,3 +211,39 @@ def test_a_file_is_parsed_once_and_lines_are_copied_once(spark, path, monkeypatc
     first = as_set(spark.read.parquet(f"{path}/mart/sales_cleaned").drop("processed_at"))
     pipelines.run_datamart(staging(spark), f"{path}/mart", DAY, run_ts=RUN, strict=False, partition_unit="month")
     assert as_set(spark.read.parquet(f"{path}/mart/sales_cleaned").drop("processed_at")) == first and copies == ["clean", "summary"] * 2
+
+
+def test_star_schema_frees_what_it_has_used(spark, path, monkeypatch):
+    folder = shared_folder(spark).removeprefix("file:")
+    inputs, kept, seen = star_inputs(spark), set(os.listdir(folder)), []
+    report = pipelines.daily_sales_report
+
+    def spied(*args, **options):
+        seen.append((set(os.listdir(folder)) - kept, spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")))
+        return report(*args, **options)
+
+    monkeypatch.setattr(pipelines, "daily_sales_report", spied)
+    for root, most in ((path, 10**6), (f"{path}_steps", 1)):
+        monkeypatch.setattr(tables, "UPSERT_ROWS", most)
+        for day in ("2026-02-27", "2026-02-28", "2026-02-28"):
+            got = pipelines.run_star_schema(*inputs, root, day, run_ts=RUN)
+    assert as_set(got) == as_set(spark.read.parquet(f"{path}/daily_sales_report")) and got.count() == 2
+    facts = [as_list(spark.read.parquet(f"{root}/fact_sales").select("transaction_id", "net_amount")) for root in (path, f"{path}_steps")]
+    assert facts[0] == facts[1] and len(facts[0]) == 600
+    assert seen == [(set(), "true")] * 6  # the batch is gone before the report
+
+
+def test_files_of_sales_are_compressed_and_leave_no_copy(spark, path):
+    day = "timestamp_ntz'1995-03-01 00:00:00'"
+    spark.sql(f"""SELECT id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1.0D AS o_totalprice, {day} AS o_orderdate,
+                  IF(id < 3, '1-URGENT', '2-HIGH') AS o_orderpriority FROM range(10)""").write.parquet(f"{path}/orders.parquet")
+    spark.sql("""SELECT id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 2.0D AS l_quantity, 10.0D AS l_extendedprice,
+                 0.1D AS l_discount FROM range(10)""").write.parquet(f"{path}/lineitem.parquet")
+    root, folder = scratch_path(spark, "star"), shared_folder(spark).removeprefix("file:")
+    kept = set(os.listdir(folder))
+    driver_queries._write_sales_files(spark, path, root)
+    assert set(os.listdir(folder)) - kept == {os.path.basename(root)}
+    for name, rows in (("first", 7), ("second", 3)):
+        written = [f for f in os.listdir(f"{root}/files/{name}".removeprefix("file:")) if f.startswith("part-")]
+        assert written and all(f.endswith(".csv.gz") for f in written)
+        assert pipelines.read_staging_csv(spark, f"{root}/files/{name}", TRANSACTIONS_RAW).count() == rows
